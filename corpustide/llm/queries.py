@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+from .exact_search import OP7_SQL, op7_exact_search
+from .fingerprints import op3_fingerprints
 from .jaccard_join import op6_jaccard_join
+from .mixing import op10_mixing
+from .packing import op2_best_fit_packing
+from .quality import op9_quality
+from .secret_scan import op5_secret_scan
 from .substring_dedup import op1_substring_dedup
+from .toxicity import op8_toxicity
+from .warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_warc": op4_warc,
+    "op5_secret_scan": op5_secret_scan,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_exact_search": op7_exact_search,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op7_exact_search": OP7_SQL}
