@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .exact_search import OP7_SQL, op7_exact_search
+from .exact_search import op7_exact_search
 from .fingerprints import op3_fingerprints
 from .jaccard_join import op6_jaccard_join
 from .mixing import op10_mixing
@@ -11,7 +11,8 @@ from .quality import op9_quality
 from .secret_scan import op5_secret_scan
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op8_toxicity
-from .warc import OP4_SQL, op4_warc
+from .sql import ORACLES  # noqa: F401  (for the driver)
+from .warc import op4_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -26,4 +27,3 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op7_exact_search": OP7_SQL}

@@ -22,7 +22,7 @@ KINDS = [
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
     ("access", r"AKIA[A-Z0-9]{12,}", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
-    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8000}", 0, 1),
+    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\x09-\x0D\x20]*", 0, 1),
     ("bearer", r"[Bb]earer [A-Za-z0-9._~+/-]{20,}=*", 0, 1),
     ("prefixed", r"(?:gh[oprsu]|github_pat|glpat|xox[abprs])[_-][A-Za-z0-9_-]{16,}", 0, 1),
 ]
