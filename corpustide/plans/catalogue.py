@@ -1,4 +1,412 @@
-"""Queries by name, and their SQL."""
+"""Queries by name, each over whole tables, and the SQL of the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..functions import values as V
+from ..operators import diff, extract, keyed, pages, planning, scans
+from . import demo_views as D
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---------------------------------------------------------------- scalars
+
+
+@query("SELECT doc_id, CAST(('0x' || substr(sha256('eis:' || doc_id), 1, 16))::UBIGINT % 4 + 1 AS INTEGER) AS shard FROM documents")
+def shard_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    return D.table(spark, sf, "documents").select("doc_id", C.shard_of(F.concat(F.lit("eis:"), F.col("doc_id").cast("string")), 4).alias("shard"))
+
+
+@query("SELECT doc_id, substr(sha256(sha256(text) || chr(10) || source), 1, 16) AS key FROM documents")
+def doc_key(spark, sf):
+    return D.table(spark, sf, "documents").select("doc_id", C.document_key(F.sha2("text", 256), F.col("source")).alias("key"))
+
+
+@query(r"""SELECT page_id, CASE WHEN regexp_extract(url, '(?i)/Procurement/([0-9]+)', 1) <> '' THEN 'eis:' || regexp_extract(url, '(?i)/Procurement/([0-9]+)', 1)
+ WHEN regexp_full_match(trim(url), '[0-9]+') THEN 'eis:' || trim(url) WHEN trim(url) = '' THEN NULL ELSE 'iub:' || lower(trim(url)) END AS identity,
+ 'eis:' || page_id AS by_number, 'eis:' || page_id AS by_address FROM pages""")
+def identity_normalise(spark, sf):
+    p = D.table(spark, sf, "pages")
+    pid = F.col("page_id").cast("string")
+    return p.select("page_id", C.identity(F.col("url")).alias("identity"), C.identity(pid).alias("by_number"), C.identity(F.concat(F.lit(V.PLATFORM_PAGE), pid)).alias("by_address"))
+
+
+_SCOPE = dict(recall=["green", "blue", "lace"], prefixes=["Brand#1", "Brand#2"], excluded=["salmon"])
+
+
+@query("""SELECT p_partkey, CASE WHEN p_name ILIKE '%salmon%' THEN true WHEN starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2') THEN true
+ WHEN coalesce(p_name, '') = '' THEN false ELSE NOT (contains(lower(p_name), 'green') OR contains(lower(p_name), 'blue') OR contains(lower(p_name), 'lace')) END AS outside FROM part""")
+def scope_filter(spark, sf):
+    return D.table(spark, sf, "part").select("p_partkey", C.outside_scope(F.col("p_name"), C.codes(F.array("p_brand")), **_SCOPE).alias("outside"))
+
+
+@query("SELECT p_partkey, CASE WHEN starts_with(k, '45') OR starts_with(k, '71') OR contains(lower(p_type), 'construction') THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM (SELECT *, CAST(p_size AS VARCHAR) AS k FROM part)")
+def weigh(spark, sf):
+    return D.table(spark, sf, "part").select("p_partkey", C.weigh(C.codes(F.array(F.col("p_size").cast("string"))), F.col("p_type")).alias("weight"))
+
+
+@query("SELECT o_orderkey, o_totalprice AS value, regexp_replace(printf('%.2f', o_totalprice), '\\.', ',') || ' EUR' AS shown FROM orders")
+def money(spark, sf):
+    o = D.table(spark, sf, "orders")
+    shown = F.concat(F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(",")), F.lit(" EUR"))
+    return o.select("o_orderkey", C.money(shown).alias("value"), shown.alias("shown"))
+
+
+@query("SELECT doc_id, round(greatest(0.75, least(5.0, 0.75 + n_chars / 1048576.0::DOUBLE * 0.5)), 9) AS seconds FROM documents")
+def pause(spark, sf):
+    return D.table(spark, sf, "documents").select("doc_id", F.round(C.pause_for(F.col("n_chars")), 9).alias("seconds"))
+
+
+@query("SELECT doc_id, substr(text, 101, 1000) AS text, CASE WHEN length(text) > 1100 THEN 1100 END AS next FROM documents")
+def chunk_read(spark, sf):
+    return D.table(spark, sf, "documents").select("doc_id", C.chunk(F.col("text"), 100, 1000).alias("c")).select("doc_id", "c.text", "c.next")
+
+
+@query(r"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(text, chr(10), 1), '[^\p{L}\p{M}\p{N}_\-. ]+', '_', 'g'), '^[ ._]+|[ ._]+$', '', 'g') AS s FROM documents)
+ SELECT doc_id, CASE WHEN s = '' THEN 'file' WHEN length(s) <= 80 THEN s ELSE
+ left(left(s, length(s) - length(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1))), greatest(1, 71 - length(substr(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1), 1, 12)))) || '~' || substr(sha1(s), 1, 8) || substr(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1), 1, 12) END AS name FROM s""")
+def slug_names(spark, sf):
+    return D.table(spark, sf, "documents").select("doc_id", C.slug(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'image/jpeg' WHEN p_size % 3 = 1 THEN 'image/png' ELSE 'application/pdf' END AS mime FROM part")
+def media_types(spark, sf):
+    p = D.table(spark, sf, "part")
+    ext = F.element_at(F.array(F.lit(".JPG"), F.lit(".png"), F.lit(".xyz")), (F.col("p_size") % 3 + 1).cast("int"))
+    return p.select("p_partkey", C.mime_for(F.concat("p_name", ext)).alias("mime"))
+
+
+# ---------------------------------------------------------------- pages
+
+
+@query(r"SELECT page_id, nullif(regexp_extract(html, 'href=\"([^\"]+)\"', 1), '') AS link FROM pages")
+def page_links(spark, sf):
+    return D.table(spark, sf, "pages").select("page_id", F.nullif(F.regexp_extract("html", 'href="([^"]+)"', 1), F.lit("")).alias("link"))
+
+
+@query("""SELECT page_id, CASE WHEN contains(html, '__RequestVerificationToken') AND contains(html, 'ActualDocuments_items') OR contains(html, 'Iepirkuma pamatdati') OR contains(html, 'Basic data') THEN 'published'
+ WHEN contains(html, 'Pieeja liegta / Access Denied') THEN 'denied' WHEN contains(html, 'Pārbaude pret robotiem') THEN 'robot' ELSE 'other' END AS class FROM pages""")
+def page_class(spark, sf):
+    return D.table(spark, sf, "pages").select("page_id", C.page_class(F.col("html")).alias("class"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
+def tag_text(spark, sf):
+    """Visible text, entities left as they are."""
+    return D.table(spark, sf, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), r"\s+", " ")).alias("text"))
+
+
+@query()
+def html_text(spark, sf):
+    """Visible text, entities decoded."""
+    return D.table(spark, sf, "pages").select("page_id", C.html_text(F.col("html")).alias("text"))
+
+
+@query()
+def page_facts(spark, sf):
+    """Facts of procurement pages; of the driver's pages each is put into one, its title and address as labelled fields."""
+    p = D.table(spark, sf, "pages")
+    html = F.concat(F.lit('__RequestVerificationToken var ActualDocuments_items = [{"Id": '), F.col("page_id").cast("string"), F.lit(', "Title": "a [b]"}]; <label for="Name">Name:</label><div class="field-block">'), F.col("url"), F.lit("</div>"), F.col("html"))
+    return pages.notices(p.select("page_id", html.alias("html")), "page_id").select("pid", "title", "register_check", "unconfirmed", "currency", "link")
+
+
+@query("SELECT CAST(page_id AS VARCHAR) AS doc_id, 'actual' AS section, 'a [b] ' || page_id AS title, 'PRCDOC' AS link_type FROM pages")
+def page_documents(spark, sf):
+    p = D.table(spark, sf, "pages")
+    entry = lambda title: F.concat(F.lit('[{"Id": '), F.col("page_id").cast("string"), F.lit(f', "Title": "{title} '), F.col("page_id").cast("string"), F.lit('", "DocumentTitle": {"Title": "]"}}]; x = [1'))
+    html = F.concat(F.col("html"), F.lit(" ActualDocuments_items = "), entry("a [b]"), F.lit(" HistoricalDocuments_items = "), entry("old"))
+    return pages.documents(p.select("page_id", html.alias("html")), "page_id").select("doc_id", "section", "title", "link_type")
+
+
+# ---------------------------------------------------------------- first, last, duplicates
+
+
+@query("SELECT doc_id, source, lang, count(*) OVER (PARTITION BY text) AS copies FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
+def doc_dedup(spark, sf):
+    d = D.table(spark, sf, "documents").withColumn("digest", F.sha2("text", 256)).drop("text")
+    counts = d.groupBy("digest").agg(F.count("*").alias("copies"), F.min_by(F.struct("doc_id", "source", "lang"), "doc_id").alias("r"))
+    return counts.select("r.*", "copies")
+
+
+@query("SELECT doc_id, CASE WHEN row_number() OVER w > 1 THEN first_value(source) OVER w END AS also_listed_under FROM documents WINDOW w AS (PARTITION BY text ORDER BY doc_id)")
+def dup_listing(spark, sf):
+    d = D.table(spark, sf, "documents").select("doc_id", "source", F.sha2("text", 256).alias("path"))
+    return keyed.also_listed(d, ["doc_id"], "path", "source").select("doc_id", "also_listed_under")
+
+
+@query("""WITH d AS (SELECT doc_id, lang, source || '.pdf' AS filename, sha256(text) AS sha256 FROM documents),
+ m AS (SELECT *, row_number() OVER (PARTITION BY filename, sha256 ORDER BY doc_id) > 1 AS duplicate FROM d),
+ s AS (SELECT *, CASE WHEN NOT duplicate AND row_number() OVER (PARTITION BY lang, filename, duplicate ORDER BY doc_id) > 1 THEN replace(filename, '.pdf', '-' || substr(sha256, 1, 10) || '.pdf') ELSE filename END AS own FROM m)
+ SELECT doc_id, duplicate, first_value(own) OVER (PARTITION BY filename, sha256 ORDER BY doc_id) AS stored_name FROM s""")
+def content_suffix(spark, sf):
+    d = D.table(spark, sf, "documents").select("doc_id", "lang", F.concat("source", F.lit(".pdf")).alias("filename"), F.sha2("text", 256).alias("sha256"))
+    return keyed.suffixed_names(d, ["doc_id"], "lang").select("doc_id", "duplicate", "stored_name")
+
+
+@query("SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
+def journal_last(spark, sf):
+    return keyed.last_per_key(D.table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query("""SELECT user_id, min_by(CAST(ts AS DATE), event_id) AS first_seen, max_by(CAST(ts AS DATE), event_id) AS last_seen,
+ max_by(CAST(ts AS DATE), event_id) FILTER (WHERE event_type <> 'view') AS last_change FROM events GROUP BY user_id""")
+def seen_state(spark, sf):
+    e = D.table(spark, sf, "events").select(F.col("user_id").alias("pid"), F.col("ts").cast("date").alias("date"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status"))
+    return diff.seen(e).withColumnRenamed("pid", "user_id")
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn, text) AS text FROM conversations WHERE trim(coalesce(text, '')) <> '' GROUP BY conv_id")
+def page_assembly(spark, sf):
+    return keyed.assembled(D.table(spark, sf, "conversations"), ["conv_id"], "turn", "text")
+
+
+@query("""WITH h AS (SELECT event_id AS id FROM events WHERE event_type = 'purchase'), s AS (SELECT min(event_id) AS a FROM events),
+ g AS (SELECT id, id - coalesce(lag(id) OVER (ORDER BY id), (SELECT a FROM s) - 1) AS gap FROM h)
+ SELECT id AS event_id FROM h WHERE id < coalesce((SELECT min(id) FROM g WHERE gap > 40), 9223372036854775807)""")
+def walk_ids(spark, sf):
+    e = D.table(spark, sf, "events").select("event_id", (F.col("event_type") == "purchase").alias("hit"))
+    return keyed.walk_until_misses(e, "event_id", "hit", 40)
+
+
+# ---------------------------------------------------------------- the diff
+
+_ITEMS = """pids AS (SELECT DISTINCT source AS pid FROM documents),
+ h AS (SELECT pid, substr(sha256(pid), 4, 1) IN ('0', '1') AS new, substr(sha256(pid), 1, 1) BETWEEN '0' AND '3' AS translated, substr(sha256(pid), 2, 1) BETWEEN '0' AND '3' AS reparsed, substr(sha256(pid), 3, 1) BETWEEN '0' AND '7' AS reextracted FROM pids),
+ doc AS (SELECT source AS pid, doc_id, sha256(text) AS s, sha256(text || '.') AS e FROM documents),
+ p AS (SELECT DISTINCT pid, substr(sha256(s || chr(10) || 'a/' || doc_id), 1, 16) AS key FROM doc WHERE substr(s, 1, 1) <> '0' AND substr(sha256(pid), 4, 1) NOT IN ('0', '1')),
+ c AS (SELECT DISTINCT pid, substr(sha256(CASE WHEN substr(s, 1, 1) = '7' THEN e ELSE s END || chr(10) || 'a/' || doc_id), 1, 16) AS key FROM doc WHERE substr(s, 1, 1) <> 'f'),
+ b AS (SELECT coalesce(p.pid, c.pid) AS pid, coalesce(p.key, c.key) AS key, p.key IS NOT NULL AS was, c.key IS NOT NULL AS now FROM p FULL JOIN c ON p.pid = c.pid AND p.key = c.key),
+ m AS (SELECT pid, count(*) FILTER (now AND NOT was) AS added, count(*) FILTER (was AND NOT now) AS removed, count(*) FILTER (was AND now) AS carried, count(*) FILTER (now) AS docs FROM b GROUP BY pid)"""
+
+
+def _document_states(spark, sf):
+    previous, current = D.extracted(spark, sf)
+    return diff.document_state(previous), diff.document_state(current)
+
+
+@query(f"""WITH {_ITEMS} SELECT h.pid, CASE WHEN new THEN 'new' WHEN added + removed > 0 THEN 'changed' ELSE 'unchanged' END AS status,
+ CASE WHEN NOT new THEN added END AS added, CASE WHEN NOT new THEN removed END AS removed, CASE WHEN NOT new THEN carried END AS carried_over, docs AS documents FROM h LEFT JOIN m USING (pid)""")
+def doc_diff(spark, sf):
+    """What moved: by item the documents added, removed and carried over."""
+    before, after = D.items(spark, sf)
+    old, new = _document_states(spark, sf)
+    moves = diff.heads(before, after).join(diff.key_moves(old, new), "pid", "left")
+    known = ~F.col("new")
+    status = F.when(F.col("new"), "new").when((F.size("added") + F.size("removed")) > 0, "changed").otherwise("unchanged")
+    return moves.select("pid", status.alias("status"), F.when(known, F.size("added").cast("long")).alias("added"), F.when(known, F.size("removed").cast("long")).alias("removed"), F.when(known, F.col("carried_over")).alias("carried_over"), F.col("now").alias("documents"))
+
+
+_FACTS = """f AS (SELECT 'c' || c_custkey AS pid, sha256(CAST(c_custkey AS VARCHAR)) AS d, * FROM customer),
+ l AS (SELECT pid, d, unnest([{'field': 'title', 'was': c_name, 'now': CASE WHEN substr(d, 1, 1) = '1' THEN c_name || '*' ELSE c_name END},
+  {'field': 'status', 'was': c_mktsegment, 'now': CASE WHEN substr(d, 1, 1) IN ('1', '2') THEN lower(c_mktsegment) ELSE c_mktsegment END},
+  {'field': 'buyer', 'was': 'n' || c_nationkey, 'now': CASE WHEN substr(d, 2, 1) = '3' THEN NULL ELSE 'n' || c_nationkey END},
+  {'field': 'deadline', 'was': NULL, 'now': CASE WHEN substr(d, 2, 1) = '2' THEN '2026-01-01' END}]) AS x FROM f),
+ moved AS (SELECT pid, x.field AS field, x.was AS was, x.now AS now FROM l WHERE x.was IS DISTINCT FROM x.now AND substr(d, 4, 1) NOT IN ('0', '1')
+  AND NOT (substr(d, 3, 1) IN ('1', '2', '3') AND x.field IN ('status', 'deadline')))"""
+
+
+@query(f"WITH {_FACTS} SELECT pid, CAST(CASE field WHEN 'title' THEN 1 WHEN 'status' THEN 2 WHEN 'deadline' THEN 7 ELSE 13 END AS INTEGER) AS ord, field, was, now FROM moved")
+def fact_diff(spark, sf):
+    before, after, old, new = D.facts(spark, sf)
+    return diff.fact_moves(diff.long_facts(before), diff.long_facts(after), diff.heads(old, new))
+
+
+_RECORDS = """lf AS (SELECT DISTINCT l_orderkey, sha256(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS d, 'f' || l_linenumber AS n FROM lineitem),
+ fs AS (SELECT l_orderkey, list(d ORDER BY d) AS ds FROM lf GROUP BY l_orderkey),
+ r AS (SELECT 'c' || o_custkey AS pid, CAST(o_orderkey AS VARCHAR) AS id, substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 1) AS k, len(list_filter(ds, lambda x: substr(x, 1, 1) = '3')) AS n_added, len(list_filter(ds, lambda x: substr(x, 1, 1) = '4')) AS n_removed FROM orders LEFT JOIN fs ON o_orderkey = l_orderkey),
+ q AS (SELECT pid, id, CASE WHEN k = '0' THEN 'added' WHEN k = 'f' THEN 'removed' ELSE 'changed' END AS move, coalesce(n_added, 0) AS a, coalesce(n_removed, 0) AS z, k IN ('7', '8') AS edited, k = '7' AS dated FROM r)"""
+
+
+@query(f"""WITH {_RECORDS} SELECT pid, id, move, CASE WHEN move = 'changed' AND edited THEN 1 ELSE 0 END AS n_fields, CASE WHEN move = 'changed' THEN a ELSE 0 END AS n_files_added, CASE WHEN move = 'changed' THEN z ELSE 0 END AS n_files_removed,
+ move = 'changed' AND a + z > 0 AND NOT dated AS silent FROM q WHERE move <> 'changed' OR edited OR a + z > 0""")
+def record_diff_silent(spark, sf):
+    moves = diff.record_moves(*D.records(spark, sf))
+    return moves.select("pid", "id", "move", F.size("fields").alias("n_fields"), F.size("files_added").cast("long").alias("n_files_added"), F.size("files_removed").cast("long").alias("n_files_removed"), "silent")
+
+
+def _changes(spark, sf):
+    before, after = D.items(spark, sf)
+    old, new = _document_states(spark, sf)
+    facts = lambda df: df.select("pid", F.lit("tool").alias("field"), F.col("tool").alias("value")).filter("false")
+    records = lambda df: df.select("pid", F.lit("r").alias("id"), *[F.lit("x").alias(c) for c in V.RECORD_FIELDS if c != "withheld"], F.lit(False).alias("withheld"), F.create_map().cast("map<string,string>").alias("files"))
+    state = lambda heads, docs: {"heads": heads, "facts": facts(heads), "records": records(heads), "documents": docs, "unreadable": docs.select("pid", "key").filter("false")}
+    return diff.diff(state(before, old), state(after, new)), new
+
+
+@query(f"""WITH {_ITEMS} SELECT h.pid, CASE WHEN new THEN 'new' WHEN added + removed > 0 THEN 'changed' ELSE 'unchanged' END AS status, CASE WHEN new THEN docs END AS documents, CASE WHEN NOT new THEN reextracted END AS reextracted,
+ CASE WHEN NOT new THEN 0 END AS facts, CASE WHEN NOT new THEN 0 END AS records_added, CASE WHEN NOT new THEN 0 END AS records_changed, CASE WHEN NOT new THEN CAST(added AS INTEGER) END AS documents_added,
+ CASE WHEN NOT new THEN CAST(removed AS INTEGER) END AS documents_removed, CASE WHEN NOT new THEN carried END AS carried_over, CASE WHEN NOT new THEN 0 END AS silent_records FROM h LEFT JOIN m USING (pid)""")
+def change_summary(spark, sf):
+    return diff.summary(_changes(spark, sf)[0])
+
+
+@query(f"WITH {_ITEMS} SELECT b.pid, b.key FROM b JOIN h USING (pid) WHERE now AND (new OR reextracted OR NOT was)")
+def docs_to_send(spark, sf):
+    changes, documents = _changes(spark, sf)
+    return diff.documents_to_send(changes, documents)
+
+
+@query(f"""WITH {_ITEMS} SELECT count(*) FILTER (new) AS new, count(*) FILTER (NOT new AND added + removed > 0) AS changed, count(*) FILTER (NOT new AND added + removed = 0) AS unchanged,
+ CAST(sum(CASE WHEN new OR reextracted THEN docs ELSE added END) AS BIGINT) AS sent, CAST(sum(CASE WHEN new OR reextracted THEN 0 ELSE carried END) AS BIGINT) AS carried FROM h LEFT JOIN m USING (pid)""")
+def delivery_tallies(spark, sf):
+    changes, documents = _changes(spark, sf)
+    return planning.delivery_tallies(changes, diff.documents_to_send(changes, documents))
+
+
+# ---------------------------------------------------------------- planning and reconciliation
+
+
+@query("""WITH w AS (SELECT CAST(o_orderkey AS VARCHAR) AS target, o_orderkey AS pos FROM orders WHERE o_orderstatus <> 'F'), n AS (SELECT CAST(l_orderkey AS VARCHAR) AS target, min(l_orderkey) AS pos FROM lineitem GROUP BY 1)
+ SELECT target, 'eis:' || target AS key, false AS named FROM w UNION ALL SELECT target, 'eis:' || target AS key, true AS named FROM n WHERE target NOT IN (SELECT target FROM w)""")
+def window_targets(spark, sf):
+    o = D.table(spark, sf, "orders").filter("o_orderstatus <> 'F'")
+    window = o.select(F.col("o_orderkey").cast("string").alias("target"), F.lit(None).cast("string").alias("uuid"), F.col("o_orderkey").alias("pos"))
+    named = D.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("target"), F.col("l_orderkey").alias("pos"))
+    return planning.targets(window, named).select("target", "key", "named")
+
+
+@query("SELECT coalesce(event_type, 'unknown') AS event_type, count(*) AS n FROM events GROUP BY 1")
+def biddable_counts(spark, sf):
+    return planning.counts_by(D.table(spark, sf, "events"), "event_type")
+
+
+@query("SELECT 60000 AS expected, count(DISTINCT l_orderkey || '-' || l_linenumber) AS \"unique\", 7 AS pages, 60000 - count(DISTINCT l_orderkey || '-' || l_linenumber) AS drift, count(DISTINCT l_orderkey || '-' || l_linenumber) = 60000 AS proven FROM lineitem")
+def coverage_proof(spark, sf):
+    l = D.table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("identifier"), F.lit(None).cast("string").alias("externalId"))
+    return planning.coverage(l, 60000, 7)
+
+
+@query("SELECT max(o_orderdate) AS newest, round((epoch_us(TIMESTAMP '2026-01-01') - epoch_us(max(o_orderdate))) / 3600000000.0::DOUBLE, 1) AS lag_hours, (epoch_us(TIMESTAMP '2026-01-01') - epoch_us(max(o_orderdate))) / 3600000000.0::DOUBLE > 36 AS stale FROM orders")
+def freshness(spark, sf):
+    return planning.freshness(D.table(spark, sf, "orders"), "o_orderdate", F.lit("2026-01-01"))
+
+
+@query("""SELECT CAST(('0x' || substr(sha256('eis:' || p_partkey), 1, 16))::UBIGINT % 4 + 1 AS INTEGER) AS shard, count(*) AS targets, sum(CASE WHEN contains(lower(p_type), 'construction') OR starts_with(CAST(p_size AS VARCHAR), '45') THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END) AS weight,
+ count(*) FILTER (contains(lower(p_type), 'construction') OR starts_with(CAST(p_size AS VARCHAR), '45')) AS heavy FROM part GROUP BY 1""")
+def shard_loads(spark, sf):
+    p = D.table(spark, sf, "part").select(F.concat(F.lit("eis:"), F.col("p_partkey").cast("string")).alias("key"), C.weigh(C.codes(F.array(F.col("p_size").cast("string"))), F.col("p_type")).alias("weight"))
+    return planning.shard_loads(p, 4)
+
+
+@query("SELECT l_orderkey AS pid, max_by(l_linestatus, (l_suppkey, l_partkey, l_linenumber, l_linestatus)) AS status FROM lineitem GROUP BY 1")
+def last_tenders(spark, sf):
+    l = D.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("pid"), F.col("l_suppkey").alias("shard"), F.struct("l_partkey", "l_linenumber", "l_linestatus").alias("pos"), F.col("l_linestatus").alias("status"))
+    return planning.last_tenders(l).select("pid", "status")
+
+
+_ACCOUNTS = """a AS (SELECT 'eis:' || o_orderkey AS key, CASE o_orderstatus WHEN 'P' THEN 'failed' ELSE NULL END AS excuse FROM orders), dl AS (SELECT DISTINCT 'eis:' || l_orderkey AS key FROM lineitem)"""
+
+
+def _accounts(spark, sf):
+    o = D.table(spark, sf, "orders")
+    key = F.concat(F.lit("eis:"), F.col("o_orderkey").cast("string"))
+    asked = o.select(F.concat(F.lit("iub:u"), F.col("o_orderkey").cast("string")).alias("key"), F.lit("target").alias("outcome"))
+    accounts = asked.unionByName(o.filter("o_orderstatus = 'P'").select(key.alias("key"), F.lit("failed").alias("outcome")))
+    resolved = o.select(F.concat(F.lit("iub:u"), F.col("o_orderkey").cast("string")).alias("asked"), key.alias("found"), F.lit(1).alias("shard"))
+    return accounts, resolved, D.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("pid"))
+
+
+@query(f"WITH {_ACCOUNTS} SELECT key FROM a WHERE excuse IS NULL AND key NOT IN (SELECT key FROM dl)")
+def unaccounted(spark, sf):
+    return planning.unaccounted(*_accounts(spark, sf))
+
+
+@query(f"""WITH {_ACCOUNTS} SELECT (SELECT count(*) FROM a) AS targets, (SELECT count(*) FROM dl) AS delivered, (SELECT count(*) FROM a WHERE excuse IS NOT NULL) AS excused,
+ (SELECT count(*) FROM a WHERE excuse IS NULL AND key NOT IN (SELECT key FROM dl)) AS unaccounted""")
+def coverage_block(spark, sf):
+    return planning.coverage_block(*_accounts(spark, sf))
+
+
+@query("SELECT coalesce(lang, 'unknown') AS status, count(*) AS tenders, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unreadable FROM documents GROUP BY 1")
+def day_counts(spark, sf):
+    d = D.table(spark, sf, "documents")
+    return planning.day_counts(d.select(F.col("lang").alias("status"), F.lit(1).cast("long").alias("documents"), F.col("n_chars").alias("chars"), F.col("text").isNull().cast("long").alias("unreadable")))
+
+
+@query("""WITH RECURSIVE t AS (SELECT c_custkey AS pid, CAST(round(abs(c_acctbal) * 100) AS BIGINT) AS chars, row_number() OVER (ORDER BY CAST(round(abs(c_acctbal) * 100) AS BIGINT) DESC, c_custkey) AS n FROM customer),
+ g AS (SELECT 0::BIGINT AS n, 0::BIGINT AS pid, 0::BIGINT AS chars, 0 AS slice, [0, 0, 0, 0]::BIGINT[] AS loads
+  UNION ALL SELECT t.n, t.pid, t.chars, list_position(loads, list_min(loads)), list_transform(loads, lambda v, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN v + t.chars ELSE v END) FROM g JOIN t ON t.n = g.n + 1)
+ SELECT pid, chars, CAST(slice AS INTEGER) AS slice FROM g WHERE n > 0""")
+def slice_balance(spark, sf):
+    c = D.table(spark, sf, "customer").select(F.col("c_custkey").alias("pid"), F.round(F.abs("c_acctbal") * 100).cast("long").alias("chars"))
+    return planning.balance(c, 4)
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS uuid, trim(p_name) AS title, substr(CAST(DATE '2026-01-01' + p_size AS VARCHAR), 1, 10) AS published, CASE WHEN p_size = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS value, 'EUR' AS currency,
+ 'https://eformsb.pvs.iub.gov.lv/show/' || p_brand AS link FROM part""")
+def normalised_notices(spark, sf):
+    p = D.table(spark, sf, "part")
+    none = F.lit(None).cast("string")
+    raw = p.select(F.col("p_partkey").alias("externalId"), F.col("p_brand").alias("identifier"), none.alias("procurementIdentifier"), F.concat(F.lit(" "), "p_name", F.lit("  ")).alias("name"), none.alias("organizationName"), none.alias("organizationIdentifier"), F.concat(F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size")).cast("string"), F.lit("T10:00:00Z")).alias("publicationDate"), none.alias("date"), F.col("p_size").cast("string").alias("amount"), none.alias("currency"), F.lit(None).cast("array<struct<code: string, caption: string>>").alias("cpvCodes"), F.col("p_type").alias("type"), none.alias("procedureType"), none.alias("procedureLegalBasis"), F.lit(None).cast("boolean").alias("euFund"))
+    return planning.normalised_notices(raw).select("id", "uuid", "title", "published", "value", "currency", "link")
+
+
+# ---------------------------------------------------------------- unreadable files and scans
+
+_GAPS = """g AS (SELECT p_name || ['.pdf', '.jpg', '.dwg', '.zip', '.docx'][p_size % 5 + 1] AS file, CAST(p_size AS BIGINT) * 400000 AS bytes, CASE WHEN substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 1) = '0' THEN '' ELSE sha256(p_name || p_brand) END AS sha256,
+  CASE WHEN p_size < 20 THEN 'no text layer — a scan or a vector drawing' WHEN p_size < 40 THEN 'conversion failed: damaged' ELSE 'no deterministic text extraction' END AS reason,
+  CASE WHEN substr(sha256(CAST(p_partkey AS VARCHAR)), 2, 1) = '1' THEN 'unpacked/' || p_partkey END AS path, p_name AS source, p_partkey AS pos FROM part)"""
+
+
+@query(f"""WITH {_GAPS}, k AS (SELECT sha256, min(path) AS kept FROM (SELECT sha256, 'original/' || lpad(CAST(pos AS VARCHAR), 12, '0') AS path FROM g WHERE sha256 <> '' AND bytes < 10000000) GROUP BY sha256),
+ r AS (SELECT g.*, kept, CASE WHEN ends_with(file, '.dwg') THEN 'drawing-not-sent' WHEN NOT (contains(reason, 'no text layer') OR ends_with(file, '.jpg')) THEN 'reason-not-selected' WHEN g.sha256 = '' THEN 'no-digest-to-cache-by'
+  WHEN path IS NOT NULL THEN NULL WHEN kept IS NULL THEN 'source-not-retained' WHEN bytes > 14680064 THEN 'too-large-for-inline-upload' END AS s FROM g LEFT JOIN k USING (sha256)),
+ n AS (SELECT *, row_number() OVER (PARTITION BY s IS NULL ORDER BY pos) AS nth FROM r), f AS (SELECT *, CASE WHEN s IS NULL AND nth > 100 THEN 'over-the-run-limit' ELSE s END AS skipped FROM n)
+ SELECT pos, file, skipped, CASE WHEN skipped IS NULL THEN coalesce(path, kept) END AS send_path FROM f""")
+def ocr_queue(spark, sf):
+    g = D.gaps(spark, sf)
+    files = g.filter("sha256 <> '' and bytes < 10000000").select("sha256", F.concat(F.lit("original/"), F.lpad(F.col("pos").cast("string"), 12, "0")).alias("path"), "pos")
+    return scans.queue(g, scans.first_paths(files, ["pos"]), limit=100).select("pos", "file", "skipped", "send_path")
+
+
+@query(f"WITH {_GAPS} SELECT file, bytes, sha256, reason, pos FROM g QUALIFY row_number() OVER (PARTITION BY coalesce(nullif(sha256, ''), source) ORDER BY pos) = 1")
+def gap_audit(spark, sf):
+    return keyed.gap_audit(D.gaps(spark, sf), ["pos"]).select("file", "bytes", "sha256", "reason", "pos")
+
+
+@query(f"WITH {_GAPS} SELECT pos, sha256 FROM g WHERE sha256 <> '' AND sha256 NOT IN (SELECT sha256 FROM g WHERE reason LIKE 'no text layer%')")
+def scan_cache_misses(spark, sf):
+    g = D.gaps(spark, sf)
+    cache = g.filter("sha256 <> '' and reason like 'no text layer%'").select("sha256", F.lit("text").alias("text"), F.lit("{}").alias("provenance")).distinct()
+    return scans.split_cached(g.filter("sha256 <> ''").select("pos", "sha256"), cache)[1].select("pos", "sha256")
+
+
+@query("""SELECT l_returnflag AS method, count(DISTINCT l_orderkey) AS records, count(*) AS files, count(DISTINCT l_partkey || '-' || l_suppkey) AS unique_files, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes FROM lineitem GROUP BY 1""")
+def fetch_summary(spark, sf):
+    l = D.table(spark, sf, "lineitem")
+    return l.groupBy(F.col("l_returnflag").alias("method")).agg(F.count_distinct("l_orderkey").alias("records"), F.count("*").alias("files"), F.count_distinct(F.concat_ws("-", "l_partkey", "l_suppkey")).alias("unique_files"), F.sum(F.col("l_quantity").cast("long")).alias("bytes"))
+
+
+@query("""WITH r AS (SELECT o_custkey AS pid, o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'archive' ELSE 'actual' END AS section, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderkey * 10 END AS file_id, nullif(o_orderstatus, 'O') AS code FROM orders)
+ SELECT pid, CAST(id AS VARCHAR) AS key, 'https://www.eis.gov.lv/EKEIS/Document/' || CASE WHEN file_id IS NULL THEN 'DownloadDocumentFilesInZip?Id=' || id ELSE 'DownloadDocumentFile?Id=' || id || '&FileId=' || file_id END || '&DocumentLinkTypeCode=' || coalesce(code, 'PRCDOC') || '&ProcurementIdentifier=' || pid AS download FROM r""")
+def download_links(spark, sf):
+    o = D.table(spark, sf, "orders")
+    section = F.when(F.col("o_orderstatus") == "F", "archive").otherwise("actual")
+    records = o.select(F.col("o_custkey").alias("pid"), F.col("o_orderkey").alias("id"), section.alias("section"), F.nullif("o_orderstatus", F.lit("O")).alias("link_type"), F.lit("f.pdf").alias("filename"), F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderkey") * 10).alias("file_id"), F.lit(0).alias("pos"))
+    docs = o.select(F.col("o_custkey").alias("pid"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderkey").alias("record_id"), section.alias("section"), F.lit("f.pdf").alias("original_file"))
+    return pages.links(docs, records)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS pid, 'd/' || doc_id || '.txt' AS source, 'markdown' AS kind, length(text) AS chars_of_text, strlen(text) AS bytes, sha256(text) AS sha256 FROM documents WHERE trim(text, ' ' || chr(10) || chr(9)) <> ''")
+def extracted_texts(spark, sf):
+    """Every document as a text file of its own pack, through the extractor."""
+    d = D.table(spark, sf, "documents")
+    pid = F.col("doc_id").cast("string")
+    files = d.filter("trim(text) <> ''").select(pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"), F.encode("text", "utf-8").alias("content"), F.char_length("text").cast("long").alias("n"))
+    rows = extract.extract(files)
+    return rows.join(files.select("pid", "n"), "pid").select("pid", "source", "kind", F.col("n").alias("chars_of_text"), "bytes", "sha256")

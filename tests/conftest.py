@@ -1,11 +1,15 @@
 """One local Spark session for all tests."""
 
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# workers import functions of tests by name
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), str(HERE / "llm"), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
