@@ -269,3 +269,84 @@ def test_streams(spark, tmp_path):
     q.stop()
     assert spark.table("once").count() == 2
     assert runs.per_day(notices.distinct(), "ts", "kind").collect()[0]["n"] == 2
+
+
+class Portal:
+    """A platform of three items: one whole, one that refuses, one whose page breaks off."""
+
+    def page(self, url):
+        if url == "2":
+            return "Pieeja liegta / Access Denied"
+        if url == "3":
+            return '__RequestVerificationToken ActualDocuments_items = [{"Id": 1'
+        return '__RequestVerificationToken ActualDocuments_items = [{"Id": 1, "Title": "A"}, {"Id": 2, "Title": "B"}, {"Id": 3, "ShowDownloadIcon": false}]; HistoricalDocuments_items = [{"Id": 4}, {"Id": 9}]; <label for="Name">Name</label><div class="field-block">T</div>'
+
+    def archive(self, pid, record):
+        return {"1": publish.archive([("a.txt", b"one"), ("b.txt", b"two")]), "4": publish.archive([("a.txt", b"other")])}.get(record["id"], b"<html>")
+
+    def list(self, pid, record):
+        return [{"name": "a.txt"}, {"name": "sub/a.txt"}]
+
+    def file(self, pid, record, entry):
+        return b"one" if entry["name"] == "a.txt" else b"new"
+
+
+def test_fetch_to_delivery(spark):
+    from corpustide.plans import lifecycle
+
+    rows = [(f"eis:{n}", f"eis:{n}", str(n), str(n), ["9"]) for n in (1, 2, 3)]
+    targets = spark.createDataFrame(rows, "target string, key string, pid string, url string, done array<string>")
+    run = lifecycle.batch(targets, "test_parts:Portal", pause=0.0)
+    outcomes = {r["pid"]: r["outcome"] for r in run["outcomes"].collect()}
+    assert outcomes == {"1": "done", "2": "withdrawn", "3": "failed"} and lifecycle.exit_code(run["outcomes"]) == 0
+    got = sorted((r["record_id"], r["path"], r["duplicate"], r["method"]) for r in run["files"].collect())
+    one, two = hashlib.sha256(b"new").hexdigest()[:10], None
+    assert got == [("1", "actual/a.txt", False, "zip"), ("1", "actual/b.txt", False, "zip"), ("2", f"actual/a-{one}.txt", False, "files"), ("2", "actual/a.txt", True, "files"), ("4", "archive/a.txt", False, "zip")]
+    assert two is None and run["records"].filter("withheld").count() == 1 and run["facts"].first()["title"] == "T"
+    assert run["extracted"].filter("kind = 'markdown'").count() == 4
+    assert sorted((r["key"], r["outcome"]) for r in lifecycle.account(run["outcomes"], targets).collect()) == [("eis:1", "target"), ("eis:2", "target"), ("eis:2", "withdrawn"), ("eis:3", "failed"), ("eis:3", "target")]
+    entries = run["extracted"].filter("kind = 'markdown'").select("pid", "original_sha256", "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), "record_id", F.lit(None).cast("string").alias("also_listed_under"), F.col("source").alias("markdown_path"), F.col("chars").alias("markdown_chars"), F.lit(0).alias("pos"))
+    records = spark.createDataFrame([], "pid string, id string, publish_date string, title string, type_code string, section string, withheld boolean, files map<string,string>")
+    now = lifecycle.state(run["facts"], records, entries, run["gaps"], "t", "p")
+    before = {k: df.filter("false") for k, df in now.items()}
+    assert [r["status"] for r in lifecycle.deliver(before, now)["changes"].collect()] == ["new"]
+    same = lifecycle.deliver(now, now)
+    assert same["changes"].first()["status"] == "unchanged" and same["send"].count() == 0
+    assert lifecycle.deliver(now, now, targets.filter("pid = '2'").select("pid"))["changes"].count() == 0
+    index = lifecycle.index_entries(run["facts"], entries, run["gaps"], spark.createDataFrame([], "pid string, key string, download string")).first()
+    assert len(index["documents"]) == 4 and index["unreadable"] == [] and index["key"] == "EIS:1"
+
+
+def test_discovery(spark):
+    from corpustide.plans import lifecycle
+
+    kinds = "pos int, identifier string, externalId string, procurementIdentifier string, name string, organizationName string, organizationIdentifier string, publicationDate string, date string, amount string, currency string, cpvCodes array<struct<code: string, caption: string>>, type string, procedureType string, procedureLegalBasis string, euFund boolean"
+    row = lambda n, uid, title, kind: (n, uid, None, None, title, None, None, "2026-01-01T10:00:00Z", None, "0", None, [("45000", "c")], kind, None, None, None)
+    df = spark.createDataFrame([row(0, "a", " Green ", "competition"), row(1, "b", "Other", "planning"), row(2, "c", "Green", "result"), row(3, "a", "Green again", "competition")], kinds)
+    assert [r["title"] for r in lifecycle.discover(df, 3, 1, policy={"recall": ["green"], "prefixes": [], "excluded": []}).collect()] == ["Green"]
+    assert lifecycle.discover(df, 3, 1, F.lit("2026-01-02 09:00:00")).count() == 2
+    with pytest.raises(lifecycle.Incomplete):
+        lifecycle.discover(df, 4, 1)
+    with pytest.raises(lifecycle.Stale):
+        lifecycle.discover(df, 3, 1, F.lit("2026-01-09 09:00:00"))
+    with pytest.raises(lifecycle.Empty):
+        lifecycle.discover(df.filter("false"), 0, 1)
+    named = spark.createDataFrame([("eis:1",), ("5",)], "target string")
+    assert lifecycle.overlap(spark.createDataFrame([("5",)], "target string"), named) == 1
+    assert lifecycle.version_digest([__file__]) and lifecycle.version_digest(["/no/such"]) is None
+
+
+def test_requests():
+    from corpustide.sources import fetch
+
+    answers, waits = [(429, {"Retry-After": "90"}, b""), (503, {}, b""), (200, {}, b'{"a": 1}')], []
+    assert fetch.read_json(lambda: answers.pop(0), sleep=waits.append) == {"a": 1} and waits == [60.0, 2.0]
+    assert fetch.read_json(lambda: (404, {}, b"")) is None and fetch.read_json(lambda: (200, {}, b"{torn")) is None
+    with pytest.raises(RuntimeError):
+        fetch.read_json(lambda: (403, {}, b""))
+    parts, states = [], [200, 409, 200, 200]
+    assert fetch.upload(b"x" * 25, lambda r, d: (parts.append((r, len(d))), states.pop(0))[1], single=5, chunk=10, sleep=lambda s: None) == 4
+    assert parts == [((0, 10), 10), ((10, 20), 10), ((10, 20), 10), ((20, 25), 5)]
+    with pytest.raises(RuntimeError):
+        fetch.upload(b"x", lambda r, d: 400)
+    assert fetch.pause_for(0) == 0.75 and fetch.pause_for(1 << 30) == 5.0 and fetch.pause_for(5, cap=0) == 0
