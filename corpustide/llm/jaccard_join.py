@@ -3,8 +3,10 @@
 1. Each document becomes the set of its n-gram hashes, put in one global order (rare before frequent, then by hash).
    A bounded list of grams that repeat within batches of the input stands for "frequent"; it only orders, so it can be
    cut at any size without a change of results. Documents with equal sets collapse to one, by aggregation.
-2. Two sets of a link share one of the first ``|x| - ceil(t |x|) + 1`` grams of each (prefix filter). The sets that
-   share such a gram follow its smallest document, the pivot: so one row per set and pivot, not per gram.
+2. Two sets of a link share ``l`` or more of the first ``|x| - ceil(t |x|) + l`` grams of each (prefix filter). The
+   sets that share a gram follow its smallest document, the pivot: so one row per set and pivot, not per gram. As a
+   link has ``l`` shared grams to offer, each set may forgo some of its own and still meet all its partners: it leaves
+   the pivots that the fewest of its grams lead to, and a set with less than ``l`` grams that recur has no partner.
 3. A pivot's sets are split by size band (linked sets are in the same band or the next) and, beyond a bound on a
    block's grams, into blocks; every pair of blocks that can hold a link meets once, in a group of bounded size.
 4. In a group the sets of one block form a radix trie. It is walked once for all sets of the other block: a node
@@ -21,10 +23,10 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASES, Rolling, WordHashes, components, mixed, stored
+from .common import BASES, Rolling, WordHashes, components, mixed, narrowed, stored
 
 #: Most entries in the list of frequent grams (8 bytes each): it only orders the grams.
 FREQUENT = 65_536
@@ -70,15 +72,25 @@ def ordered(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([grams[~often], grams[often]])
 
 
+def forgone(size: int, t: Fraction) -> int:
+    """Grams that a set of this size may forgo; grows with the size."""
+    return int((1 - t) * size / 4)
+
+
+def least_shared(size: int, t: Fraction) -> int:
+    """Grams that the prefixes of a link share at least: more than both sets can forgo, as the other has ``size / t`` at most."""
+    return forgone(size, t) + forgone(int(size / t), t) + 1
+
+
 def _prefix(size: int, t: Fraction) -> int:
-    return size - math.ceil(t * size) + 1 if size else 0
+    return min(size, size - math.ceil(t * size) + least_shared(size, t)) if size else 0
 
 
 def _summaries(n: int, t: Fraction, frequent: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            size, one, two, prefix = [], [], [], []
+            size, one, two, prefix, least, forgo = [], [], [], [], [], []
             for text in batch["text"]:
                 grams = gram_hashes(text, n, known)
                 size.append(len(grams))
@@ -86,7 +98,9 @@ def _summaries(n: int, t: Fraction, frequent: np.ndarray):
                     one.append(int(grams.sum(dtype=np.uint64).view(np.int64)) if len(grams) else 0)
                     two.append(int(mixed(grams * np.uint64(BASES[1])).sum(dtype=np.uint64).view(np.int64)) if len(grams) else 0)
                 prefix.append(ordered(grams, frequent)[: _prefix(len(grams), t)].view(np.int64))
-            yield pd.DataFrame({"doc": batch["doc"], "size": size, "one": one, "two": two, "prefix": prefix})
+                least.append(least_shared(len(grams), t))
+                forgo.append(forgone(len(grams), t))
+            yield pd.DataFrame({"doc": batch["doc"], "size": size, "one": one, "two": two, "least": least, "forgo": forgo, "prefix": prefix})
 
     return run
 
@@ -237,16 +251,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     often = often.orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toPandas()["gram"]
     frequent = np.sort(often.to_numpy(dtype=np.int64).view(np.uint64))
 
-    sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, prefix array<long>"), "sets")
+    sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, prefix array<long>"), "sets")
     same = ["size", "one", "two"]
     classes = stored(sets.filter("size > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("rep"), F.max("doc").alias("other")), "classes")
-    # one row per document: its class; then the prefixes of the representatives only
-    members = stored(sets.drop("prefix").filter("size > 0 and doc is not null").join(classes.select(*same, "rep"), same).select("doc", "size", "rep"), "members")
-    reps = sets.filter("size > 0 and doc is not null").join(classes.select(*same, F.col("rep").alias("doc")), [*same, "doc"], "left_semi").dropDuplicates(["doc", *same])
-    grams = stored(reps.select("doc", "size", F.explode("prefix").alias("gram")), "grams")
-    pivots = stored(grams.groupBy("gram").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).filter("pivot < last").select("gram", "pivot"), "pivots")
+    some = sets.filter("size > 0 and doc is not null")
+    members = stored(some.drop("prefix").join(classes.select(*same, "rep"), same).select("doc", "size", "rep", "least", "forgo"), "members")
+    # a gram's rows stand in the order of documents, the pivot first; one that is alone leads nowhere
+    by_gram = Window.partitionBy("gram").orderBy("doc")
+    led = some.select("doc", F.explode("prefix").alias("gram")).select("doc", F.first("doc").over(by_gram.rowsBetween(Window.unboundedPreceding, 0)).alias("pivot"), F.row_number().over(by_gram).alias("nth"), F.lead("doc").over(by_gram).alias("next"))
+    led = stored(led.filter("nth > 1 or next is not null").groupBy("doc", "pivot").agg(F.count("*").alias("n")), "led")
+    led = led.join(members.filter("doc = rep").dropDuplicates(["doc", "size"]), "doc")
+    by_doc = Window.partitionBy("doc", "size")
+    led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn("left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0)))
     step = math.log(1 / float(t))
-    meets = stored(grams.join(pivots, "gram").select("doc", "size", "pivot").distinct().withColumn("band", F.floor(F.log(F.col("size")) / F.lit(step) + F.lit(1e-9)).cast("int")), "meets")
+    meets = led.filter("all >= least and left > forgo").select("doc", "size", "pivot").distinct()
+    meets = stored(meets.withColumn("band", F.floor(F.log(F.col("size")) / F.lit(step) + F.lit(1e-9)).cast("int")), "meets")
 
     # Blocks of a pivot's band: as many as keep each within its bounds
     bound = F.greatest(F.lit(4), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_GRAMS) / F.exp((F.col("band") + 1) * step)))).cast("int")
@@ -271,7 +290,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alone = (F.col("c") == 1) & F.col("k_up").isNull() & F.col("k_down").isNull()
     places = at.filter(~alone).select("doc", F.concat(same_band, above, below).alias("places"))
     places = stored(places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places")), "places")
-    keyed = texts.join(places, "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
+    keyed = narrowed(texts, places.select("doc"), "doc").join(places, "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long")
     twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")), "a", "left_semi")
