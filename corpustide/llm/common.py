@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a sort-merge join, at any size: the plan of a small run is then that of a large one."""
+    return df.hint("merge")
+
+
 #: Keys that are sent to all executors at most (8 bytes each).
 NARROW = 1_000_000
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASES, Rolling, WordHashes, components, mixed, narrowed, stored
+from .common import BASES, Rolling, WordHashes, components, merged, mixed, narrowed, stored
 
 #: Most entries in the list of frequent grams (8 bytes each): it only orders the grams.
 FREQUENT = 65_536
@@ -255,12 +255,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     same = ["size", "one", "two"]
     classes = stored(sets.filter("size > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("rep"), F.max("doc").alias("other")), "classes")
     some = sets.filter("size > 0 and doc is not null")
-    members = stored(some.drop("prefix").join(classes.select(*same, "rep"), same).select("doc", "size", "rep", "least", "forgo"), "members")
+    members = stored(some.drop("prefix").join(merged(classes.select(*same, "rep")), same).select("doc", "size", "rep", "least", "forgo"), "members")
     # a gram's rows stand in the order of documents, the pivot first; one that is alone leads nowhere
     by_gram = Window.partitionBy("gram").orderBy("doc")
     led = some.select("doc", F.explode("prefix").alias("gram")).select("doc", F.first("doc").over(by_gram.rowsBetween(Window.unboundedPreceding, 0)).alias("pivot"), F.row_number().over(by_gram).alias("nth"), F.lead("doc").over(by_gram).alias("next"))
     led = stored(led.filter("nth > 1 or next is not null").groupBy("doc", "pivot").agg(F.count("*").alias("n")), "led")
-    led = led.join(members.filter("doc = rep").dropDuplicates(["doc", "size"]), "doc")
+    led = led.join(merged(members.filter("doc = rep").dropDuplicates(["doc", "size"])), "doc")
     by_doc = Window.partitionBy("doc", "size")
     led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn("left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0)))
     step = math.log(1 / float(t))
@@ -271,7 +271,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bound = F.greatest(F.lit(4), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_GRAMS) / F.exp((F.col("band") + 1) * step)))).cast("int")
     bands = stored(meets.groupBy("pivot", "band").agg(F.count("*").alias("c")).withColumn("k", F.ceil(F.col("c") / bound).cast("int")), "bands")
     own = F.pmod(F.xxhash64("doc"), F.col("k")).cast("int")
-    at = stored(meets.join(bands, ["pivot", "band"]).withColumn("own", own), "at")
+    at = stored(meets.join(merged(bands), ["pivot", "band"]).withColumn("own", own), "at")
     up = bands.select("pivot", (F.col("band") - 1).alias("band"), F.col("k").alias("k_up"))
     down = bands.select("pivot", (F.col("band") + 1).alias("band"), F.col("k").alias("k_down"))
     at = at.join(stored(up, "up"), ["pivot", "band"], "left")
@@ -290,7 +290,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alone = (F.col("c") == 1) & F.col("k_up").isNull() & F.col("k_down").isNull()
     places = at.filter(~alone).select("doc", F.concat(same_band, above, below).alias("places"))
     places = stored(places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places")), "places")
-    keyed = narrowed(texts, places.select("doc"), "doc").join(places, "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
+    keyed = narrowed(texts, places.select("doc"), "doc").join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long")
     twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")), "a", "left_semi")
