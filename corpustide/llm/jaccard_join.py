@@ -63,6 +63,23 @@ def _frequent(n: int, least: int = 3):
     return run
 
 
+def frequent_grams(texts: DataFrame, n: int) -> np.ndarray:
+    """At most FREQUENT grams, sorted: those of the highest counts, down to the last level of counts that fits whole.
+
+    The driver sees a histogram of the counts' levels first, and then just the grams above the level it chose.
+    """
+    counts = stored(texts.select("text").mapInPandas(_frequent(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n >= 8").withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "frequent")
+    level, held = None, 0
+    for r in sorted(counts.groupBy("level").agg(F.count("*").alias("c")).collect(), reverse=True):
+        held += r["c"]
+        if held > FREQUENT:
+            break
+        level = r["level"]
+    if level is None:
+        return np.zeros(0, dtype=np.uint64)
+    return np.sort(counts.filter(F.col("level") >= level).select("gram").toPandas()["gram"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
 def ordered(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Grams in the global order: those not in ``frequent`` (sorted) first, each part by hash."""
     if not len(frequent) or not len(grams):
@@ -247,9 +264,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not 0 < t < 1:
         raise ValueError("threshold must be between 0 and 1")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    often = texts.select("text").mapInPandas(_frequent(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n >= 8")
-    often = often.orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toPandas()["gram"]
-    frequent = np.sort(often.to_numpy(dtype=np.int64).view(np.uint64))
+    frequent = frequent_grams(texts, n)
 
     sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, prefix array<long>"), "sets")
     same = ["size", "one", "two"]

@@ -24,7 +24,14 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
     """
     clean = labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("label")).filter(~held_out("doc") & F.col("label").isin(0, 1))
     single = clean.groupBy("doc").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").select("doc", "label")
-    pick = lambda y: single.filter(F.col("label") == y).orderBy(F.xxhash64("doc"), "doc").limit(limit)
+    there = {r["label"]: r["n"] for r in single.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    place = F.shiftrightunsigned(F.xxhash64("doc"), 11) / F.lit(float(2**53))  # in [0, 1)
+
+    def pick(y: int) -> DataFrame:
+        # few rows beyond the limit ever meet: the first cut is by the share that fills it half again
+        mine = single.filter((F.col("label") == y) & (place < 1.5 * limit / max(1, there.get(y, 0))))
+        return mine.orderBy(place, "doc").limit(limit)
+
     ids = pick(0).unionByName(pick(1))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(ids), "doc").select("text", "label")
