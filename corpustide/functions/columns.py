@@ -84,10 +84,11 @@ def document_key(sha256: Column, source: Column) -> Column:
 def slug(name: Column, limit: int = 80) -> Column:
     """File name that is safe, and still unique when it is cut: a digest of the whole takes the cut part's place."""
     s = F.regexp_replace(name, r"(?U)[^\w\-. ]+", "_")
-    s = F.regexp_replace(F.regexp_replace(s, "^[ ._]+", ""), "[ ._]+$", "")
+    s = F.btrim(s, F.lit(" ._"))
     s = F.when(s == "", "file").otherwise(s)
-    ext = F.substring(F.regexp_extract(s, r"^.*[^.].*?(\.[^.]*)$", 1), 1, 12)
-    stem_length = F.char_length(s) - F.char_length(F.regexp_extract(s, r"^.*[^.].*?(\.[^.]*)$", 1))
+    last = F.when(F.contains(s, F.lit(".")), F.concat(F.lit("."), F.substring_index(s, ".", -1))).otherwise("")
+    ext = F.substring(last, 1, 12)
+    stem_length = F.char_length(s) - F.char_length(last)
     keep = F.greatest(F.lit(1), F.lit(limit - 9) - F.char_length(ext))
     cut = F.concat(F.left(F.left(s, stem_length), keep), F.lit("~"), F.left(F.sha1(s), F.lit(8)), ext)
     return F.when(F.char_length(s) <= limit, s).otherwise(cut)

@@ -77,9 +77,9 @@ def chunk_read(spark, sf):
     return D.table(spark, sf, "documents").select("doc_id", C.chunk(F.col("text"), 100, 1000).alias("c")).select("doc_id", "c.text", "c.next")
 
 
-@query(r"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(text, chr(10), 1), '[^\p{L}\p{M}\p{N}_\-. ]+', '_', 'g'), '^[ ._]+|[ ._]+$', '', 'g') AS s FROM documents)
- SELECT doc_id, CASE WHEN s = '' THEN 'file' WHEN length(s) <= 80 THEN s ELSE
- left(left(s, length(s) - length(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1))), greatest(1, 71 - length(substr(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1), 1, 12)))) || '~' || substr(sha1(s), 1, 8) || substr(regexp_extract(s, '^.*[^.].*?(\.[^.]*)$', 1), 1, 12) END AS name FROM s""")
+@query(r"""WITH s AS (SELECT doc_id, coalesce(nullif(trim(regexp_replace(split_part(text, chr(10), 1), '[^\p{L}\p{M}\p{N}_\-. ]+', '_', 'g'), ' ._'), ''), 'file') AS s FROM documents),
+ e AS (SELECT doc_id, s, CASE WHEN contains(s, '.') THEN '.' || string_split(s, '.')[-1] ELSE '' END AS x FROM s)
+ SELECT doc_id, CASE WHEN length(s) <= 80 THEN s ELSE left(left(s, length(s) - length(x)), greatest(1, 71 - length(substr(x, 1, 12)))) || '~' || substr(sha1(s), 1, 8) || substr(x, 1, 12) END AS name FROM e""")
 def slug_names(spark, sf):
     return D.table(spark, sf, "documents").select("doc_id", C.slug(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"))
 
