@@ -134,10 +134,10 @@ def _blocks(n: int, frequent: np.ndarray):
         known = WordHashes()
         for batch in batches:
             out: list[tuple] = []
-            for doc, text, places in zip(batch["doc"], batch["text"], batch["places"]):
+            for doc, text, places, pivots, copies in zip(batch["doc"], batch["text"], batch["places"], batch["pivots"], batch["copies"]):
                 grams = ordered(gram_hashes(text, n, known), frequent).tobytes()
                 for p in places:
-                    out.append((p["pivot"], p["b1"], p["k1"], p["b2"], p["k2"], doc, p["second"], grams))
+                    out.append((p["pivot"], p["b1"], p["k1"], p["b2"], p["k2"], doc, p["second"], copies, pivots, grams))
                     if len(out) >= 2000:
                         yield pd.DataFrame(out, columns=BLOCK_COLS)
                         out = []
@@ -146,8 +146,8 @@ def _blocks(n: int, frequent: np.ndarray):
     return run
 
 
-BLOCK_COLS = ["pivot", "b1", "k1", "b2", "k2", "doc", "second", "grams"]
-BLOCK_KINDS = "pivot long, b1 int, k1 int, b2 int, k2 int, doc long, second boolean, grams binary"
+BLOCK_COLS = ["pivot", "b1", "k1", "b2", "k2", "doc", "second", "copies", "pivots", "grams"]
+BLOCK_KINDS = "pivot long, b1 int, k1 int, b2 int, k2 int, doc long, second boolean, copies long, pivots array<long>, grams binary"
 
 
 def trie_overlaps(stored_sets: list[np.ndarray], probes: list[np.ndarray], frequent: np.ndarray, t: Fraction, run: int = 32) -> np.ndarray:
@@ -210,21 +210,34 @@ def forest(linked: np.ndarray) -> np.ndarray:
 
 
 def _links(t: Fraction, frequent: np.ndarray):
-    """Links within each group of a partition sorted by group."""
+    """Links within each group of a partition sorted by group: rows (a, b, 0) of a forest, and (a, a, n) of the number of documents that a links with.
 
-    def group(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    A pair counts in one group only, that of the smallest pivot which both of its sets follow.
+    """
+
+    def group(rows: pd.DataFrame) -> list[np.ndarray]:
+        pivot = rows["pivot"].iloc[0]
         rows = rows.drop_duplicates(["doc", "second", "grams"])
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["grams"]]
-        docs, second = rows["doc"].to_numpy(), rows["second"].to_numpy()
+        docs, second, copies = rows["doc"].to_numpy(), rows["second"].to_numpy(), rows["copies"].to_numpy()
         one = [k for k in range(len(sets)) if not second[k]]
         two = [k for k in range(len(sets)) if second[k]] or one
         if not one or len(docs) < 2:
-            return docs[:0], docs[:0]
+            return [docs[:0]] * 3
         linked = np.zeros((len(sets), len(sets)), dtype=bool)
         linked[np.ix_(one, two)] = trie_overlaps([sets[k] for k in one], [sets[k] for k in two], frequent, t)
-        label = forest(linked | linked.T)
+        linked |= linked.T
+        label = forest(linked)
         moved = np.flatnonzero(label != np.arange(len(label)))
-        return docs[moved], docs[label[moved]]
+        degree = np.zeros(len(docs), dtype=np.int64)
+        if len(moved):
+            follows = [frozenset(x) for x in rows["pivots"]]
+            for i, j in np.argwhere(np.triu(linked, 1)):
+                if docs[i] != docs[j] and min(follows[i] & follows[j]) == pivot:
+                    degree[i] += copies[j]
+                    degree[j] += copies[i]
+        some = np.flatnonzero(degree)
+        return [np.r_[docs[moved], docs[some]], np.r_[docs[label[moved]], docs[some]], np.r_[np.zeros(len(moved), np.int64), degree[some]]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -235,24 +248,19 @@ def _links(t: Fraction, frequent: np.ndarray):
             rows = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
             keys = rows[BLOCK_COLS[:5]].to_numpy()
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]
-            a, b = [], []
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                p, q = group(rows.iloc[x:y])
-                a.append(p)
-                b.append(q)
+            found = [group(rows.iloc[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
             held = [rows.iloc[cuts[-1] :]]
-            if a:
-                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}, dtype="int64")
+            if found:
+                yield pd.DataFrame(dict(zip("abn", map(np.concatenate, zip(*found)))), dtype="int64")
         if held:
-            p, q = group(pd.concat(held, ignore_index=True))
-            yield pd.DataFrame({"a": p, "b": q}, dtype="int64")
+            yield pd.DataFrame(dict(zip("abn", group(pd.concat(held, ignore_index=True)))), dtype="int64")
 
     return run
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float | Fraction = 0.8) -> DataFrame:
     """One row per input row: doc_id, n_shingles (size of the set), class_id (smallest id with the same set),
-    component_id (smallest id reachable by links).
+    component_id (smallest id reachable by links), n_links (documents it links with; all texts of a repeated id count).
 
     Documents link when their Jaccard likeness is ``threshold`` or more. Null texts, and texts without words, have an
     empty set and link with nothing. A text of fewer than ``n`` words is one gram. Rows with a null id link with
@@ -303,17 +311,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     below = F.when(F.col("k_down").isNotNull(), F.transform(every(F.coalesce("k_down", F.lit(1))), lambda j: place(b - 1, j, b, o, F.lit(True)))).otherwise(none)
     # of a lone set in its band without neighbours nothing is to be compared
     alone = (F.col("c") == 1) & F.col("k_up").isNull() & F.col("k_down").isNull()
-    places = at.filter(~alone).select("doc", F.concat(same_band, above, below).alias("places"))
-    places = stored(places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places")), "places")
+    places = at.filter(~alone).select("doc", "pivot", F.concat(same_band, above, below).alias("places"))
+    places = places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("pivot").alias("pivots"))
+    copies = members.select("doc", "rep").distinct().groupBy(F.col("rep").alias("doc")).agg(F.count("*").alias("copies"))
+    places = stored(places.join(merged(copies), "doc"), "places")
     keyed = narrowed(texts, places.select("doc"), "doc").join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long")
+    links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long, n long")
+    links = stored(links, "links")
     twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")), "a", "left_semi")
-    found = components(stored(links.unionByName(twice).distinct(), "links"))
+    found = components(stored(links.filter("n = 0").select("a", "b").unionByName(twice).distinct(), "links"))
+    degrees = links.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n")).join(copies.select(F.col("doc").alias("rep"), "copies"), "rep", "full_outer")
+    degrees = stored(degrees.select("rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links")), "degrees")
 
     final = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc", "size", "rep", F.coalesce("component", "rep").alias("component"))
-    nothing = sets.filter("size = 0 or doc is null").select("doc", "size", F.col("doc").alias("rep"), F.col("doc").alias("component"))
-    return final.unionByName(nothing).select(F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), F.col("rep").alias("class_id"))
+    final = final.join(degrees, "rep")
+    nothing = sets.filter("size = 0 or doc is null").select("doc", "size", F.col("doc").alias("rep"), F.col("doc").alias("component"), F.lit(0).cast("long").alias("links"))
+    return final.unionByName(nothing).select(F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), F.col("rep").alias("class_id"), F.col("links").alias("n_links"))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -38,14 +38,15 @@ OP6_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
      g AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
      n AS (SELECT doc_id, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS h, s FROM g),
-     c AS (SELECT h, min(doc_id) AS rep FROM n WHERE n > 0 GROUP BY h),
+     c AS (SELECT h, min(doc_id) AS rep, count(*) AS copies FROM n WHERE n > 0 GROUP BY h),
      e AS (SELECT rep, n, unnest(s) AS x FROM n JOIN c ON n.h = c.h AND n.doc_id = c.rep),
      pairs AS (SELECT p.rep AS a, q.rep AS b, count(*) AS k, any_value(p.n + q.n) AS t FROM e p JOIN e q ON p.x = q.x AND p.rep < q.rep GROUP BY 1, 2),
      l AS (SELECT a, b FROM pairs WHERE 100 * k >= 90 * (t - k)), b AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
      r AS (SELECT rep AS node, rep AS comp FROM c UNION SELECT b.b, r.comp FROM r JOIN b ON b.a = r.node AND r.comp < b.b),
+     w AS (SELECT b.a AS rep, CAST(sum(c.copies) AS BIGINT) AS w FROM b JOIN c ON c.rep = b.b GROUP BY 1),
      m AS (SELECT node, min(comp) AS comp FROM r GROUP BY node)
-SELECT n.doc_id, n.n AS n_shingles, coalesce(comp, n.doc_id) AS component_id, coalesce(c.rep, n.doc_id) AS class_id
-FROM n LEFT JOIN c ON n.h = c.h AND n.n > 0 LEFT JOIN m ON m.node = c.rep
+SELECT n.doc_id, n.n AS n_shingles, coalesce(comp, n.doc_id) AS component_id, coalesce(c.rep, n.doc_id) AS class_id, coalesce(c.copies - 1, 0) + coalesce(w.w, 0) AS n_links
+FROM n LEFT JOIN c ON n.h = c.h AND n.n > 0 LEFT JOIN m ON m.node = c.rep LEFT JOIN w ON w.rep = c.rep
 """
 
 ORACLES = {"op1_substring_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_search": OP7_SQL}

@@ -38,7 +38,7 @@ def grams(text, n):
 
 
 def jaccard(docs, n, num, den):
-    """docs: list of (id, text) with distinct ids. Rows (id, set size, component)."""
+    """docs: list of (id, text) with distinct ids. Rows (id, set size, component, links)."""
     sets = {i: grams(t, n) for i, t in docs}
     index = defaultdict(set)
     for i, s in sets.items():
@@ -52,6 +52,7 @@ def jaccard(docs, n, num, den):
             i = parent[i]
         return i
 
+    links = defaultdict(int)
     for i, s in sets.items():
         both = defaultdict(int)
         for g in s:
@@ -60,8 +61,10 @@ def jaccard(docs, n, num, den):
         for j, c in both.items():
             if j > i and den * c >= num * (len(s) + len(sets[j]) - c):
                 a, b = root(i), root(j)
+                links[i] += 1
+                links[j] += 1
                 parent[max(a, b)] = min(a, b)
-    return [(i, len(s), root(i)) for i, s in sets.items()]
+    return [(i, len(s), root(i), links[i]) for i, s in sets.items()]
 
 
 BASE = [

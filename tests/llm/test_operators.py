@@ -247,14 +247,14 @@ def test_op5_ownership(spark):
 
 
 def test_op6(spark, pairs, odd, none):
-    got = queries.QUERIES["op6_jaccard_join"](spark, SF).select("doc_id", "n_shingles", "component_id")
+    got = queries.QUERIES["op6_jaccard_join"](spark, SF).select("doc_id", "n_shingles", "component_id", "n_links")
     assert _sorted(got.collect()) == _sorted(brute.jaccard(pairs, 3, 90, 100))
     once = dict(ODD)
     once.pop(None)
     rows = list(once.items())
     df = odd.filter("doc_id is not null").dropDuplicates(["doc_id"])
     for n, t in ((3, 0.9), (5, 0.8), (1, 0.5)):
-        got = jaccard_join.jaccard_components(df, n=n, threshold=t).select("doc_id", "n_shingles", "component_id")
+        got = jaccard_join.jaccard_components(df, n=n, threshold=t).select("doc_id", "n_shingles", "component_id", "n_links")
         assert _sorted(got.collect()) == _sorted(brute.jaccard(rows, n, round(t * 100), 100))
     every = jaccard_join.jaccard_components(odd)
     assert every.count() == len(ODD)
@@ -273,7 +273,7 @@ def test_op6_groups(spark):
         rows.append((i, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     for n, t in ((3, 0.9), (5, 0.8)):
-        got = jaccard_join.jaccard_components(df, n=n, threshold=t).select("doc_id", "n_shingles", "component_id")
+        got = jaccard_join.jaccard_components(df, n=n, threshold=t).select("doc_id", "n_shingles", "component_id", "n_links")
         assert _sorted(got.collect()) == _sorted(brute.jaccard(rows, n, round(t * 100), 100))
 
 
@@ -401,3 +401,18 @@ def _check_mix(rows, out, whole=True):
             assert r["block"] == min(63, int(r["offset"] * 64 / budget))
     if whole:
         assert sum(1 for r in out if r["epoch"] == 0) == len(rows)
+
+
+def test_op2_plain_characters():
+    """Every character that the faster path takes on gives the tokenizers library's ids, alone and between others."""
+    import re
+
+    import public_tokenizers
+
+    ids = packing.Ids(str(public_tokenizers.path("byte_bpe_50k.json")))
+    assert ids.fast is not None
+    plain = [chr(c) for c in range(0x2100) if not re.search(packing.PLAIN, chr(c))]
+    assert len(plain) > 600
+    texts = [f"a{c}b {c} {c}{c}1{c} \n{c}'s{c}" for c in plain] + ["", " ", "\n\n", "a  b", "x" * 3000, "don't WE'LL ''s", "<|endoftext|>", "a<|endoftext|> b", "日本語 text", "\x1c\x1f x", "½ ² ³"]
+    for t in texts:
+        assert np.frombuffer(ids.encode(t), dtype="<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)

@@ -41,7 +41,7 @@ def test_near_duplicates_stage(spark, docs):
     more = docs.unionByName(docs.limit(5)).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
     kept = pipeline.near_duplicates_stage(spark, more, SF)
     assert kept.columns == docs.columns
-    want = [i for i, _, c in brute.jaccard([(i, t) for i, t, _ in _rows(docs)], 5, 80, 100) if i == c]
+    want = [i for i, _, c, _ in brute.jaccard([(i, t) for i, t, _ in _rows(docs)], 5, 80, 100) if i == c]
     assert sorted(r[0] for r in _rows(kept) if r[0] is not None) == sorted(want)
     assert sum(r[0] is None for r in _rows(kept)) == 3
 
