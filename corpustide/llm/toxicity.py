@@ -159,36 +159,46 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": pd.Series(some, dtype=object), "toxic": [count[1][w] for w in some], "clean": [count[0][w] for w in some]})
 
 
-def lexicon(rows: list[tuple[int, list[str]]], total: tuple[int, int]) -> list[str]:
-    """Greedy cover of toxic rows (label, candidates in it); total: rows of each label.
+def least_gain(toxic: int) -> float:
+    """What a word must explain at least to be taken: rows, of so many toxic ones."""
+    return max(2.5, 0.015 * toxic)
+
+
+def lexicon(words: list[str], clean: np.ndarray, sets: list[tuple[np.ndarray, int]], total: tuple[int, int]) -> list[str]:
+    """Greedy cover of toxic rows. words: candidates; clean: clean rows that hold each; sets: for each distinct set of
+    candidates in a toxic row, their places in ``words`` and the number of such rows; total: rows of each label.
 
     Each candidate that explains a row lessens what the row still counts for, so stems go before their inflections,
     and words that merely belong to copied documents find those explained.
     """
-    toxic = [words for label, words in rows if label == 1]
-    clean = Counter(w for label, words in rows if label == 0 for w in words)
-    has: dict[str, list[int]] = {}
-    for k, words in enumerate(toxic):
-        for w in words:
-            has.setdefault(w, []).append(k)
-    left = np.ones(len(toxic))
-    gain = {w: float(len(ks)) for w, ks in has.items()}
-    loss = {w: STRICT * clean[w] * total[1] / max(1, total[0]) for w in has}
-    least = max(2.5, 0.015 * len(toxic))
+    has: list[list[int]] = [[] for _ in words]
+    for k, (places, _) in enumerate(sets):
+        for w in places.tolist():
+            has[w].append(k)
+    left = np.array([float(n) for _, n in sets])
+    gain = np.zeros(len(words))
+    for places, n in sets:
+        gain[places] += n
+    loss = STRICT * clean * total[1] / max(1, total[0])
+    open_ = np.ones(len(words), dtype=bool)
+    least = least_gain(total[1])
     taken: list[str] = []
-    while gain and len(taken) < LEXICON:
-        word = max(gain, key=lambda w: (gain[w] - loss[w], len(w), w))
-        if gain[word] - loss[word] < least:
+    while open_.any() and len(taken) < LEXICON:
+        net = np.where(open_, gain - loss, -np.inf)
+        # sums of equal rows may differ in their last digits
+        top = max(np.flatnonzero(net >= net.max() - 1e-9).tolist(), key=lambda w: (len(words[w]), words[w]))
+        if net[top] < least - 1e-9:
             break
+        word, mine = words[top], set(has[top])
         taken.append(word)
-        for k in has[word]:
-            left[k] *= FADE
-            for w in toxic[k]:
-                if w in gain:
-                    gain[w] -= left[k] * (1 / FADE - 1)
+        left[has[top]] *= FADE
+        for k in has[top]:
+            gain[sets[k][0]] -= left[k] * (1 / FADE - 1)
         stem = word.rstrip("*")
-        for w in [w for w in gain if w == word or (w.rstrip("*").startswith(stem) or stem.startswith(w.rstrip("*"))) and set(has[w]) <= set(has[word])]:
-            del gain[w]  # it would add nothing
+        for w in np.flatnonzero(open_).tolist():
+            other = words[w].rstrip("*")
+            if w == top or (other.startswith(stem) or stem.startswith(other)) and mine.issuperset(has[w]):
+                open_[w] = False  # it would add nothing
     return taken
 
 
@@ -200,15 +210,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = (totals.get(0, 0), totals.get(1, 0))
     if not all(total):
         return Grammar(INSULTS)
-    rate = F.col("toxic") / total[1] - STRICT * F.col("clean") / total[0]
-    found = {r["word"] for r in words.filter(F.col("toxic") >= 2).filter(rate > 0).orderBy(F.desc("toxic"), "word").limit(2000).collect()}
+    # what explains a word's toxic rows only lessens, so one that starts below the least gain is never taken
+    net = F.col("toxic") - F.lit(STRICT * total[1] / total[0]) * F.col("clean")
+    found = words.filter(net >= least_gain(total[1]) - 1e-6).orderBy("word").toPandas()
+    place = {w: k for k, w in enumerate(found["word"])}
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"label": batch["label"], "words": [sorted(found.intersection(features(t))) for t in batch["text"]]})
+            some = [np.array(sorted(place[w] for w in features(t) if w in place), dtype="<i4").tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"places": pd.Series(some, dtype=object)})
 
-    have = [(r["label"], r["words"]) for r in rows.mapInPandas(present, "label int, words array<string>").collect()]  # 2 * limit rows at most
-    grammar = Grammar(INSULTS.union(lexicon(have, total)))
+    # of the toxic rows alone, each distinct set once: 4 bytes for each candidate in it
+    sets = rows.filter("label = 1").select("text").mapInPandas(present, "places binary").groupBy("places").agg(F.count("*").alias("n")).orderBy("places").collect()
+    have = [(np.frombuffer(r["places"], dtype="<i4"), r["n"]) for r in sets]
+    grammar = Grammar(INSULTS.union(lexicon(found["word"].tolist(), found["clean"].to_numpy(dtype=float), have, total)))
 
     def matched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

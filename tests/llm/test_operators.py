@@ -353,6 +353,18 @@ def test_op8_clauses():
     assert g.score("You are a moron.") > 0.7 > g.score("You are not a moron.")
 
 
+def test_op8_copied_document(spark):
+    """Copies of one long toxic document do not keep a rarer insult out of the lexicon."""
+    r = random.Random(8)
+    own = " ".join("".join(r.choices("abcdefghij", k=9)) for _ in range(900))  # some 3,600 features
+    common = lambda k: " ".join(f"common{r.choice('abcdef')}" for _ in range(20)) + f" row{k}"
+    rows = [(i, f"{own} {i}", 1) for i in range(120)] + [(i, f"you are a zorblat {common(i)}", 1) for i in range(120, 200)] + [(i, f"you are a guest {common(i)}", 0) for i in range(200, 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    grammar = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert grammar.class_of("zorblat") == toxicity.INSULT
+    assert grammar.score("you are a zorblat") > 0.7 > grammar.score("you are a guest")
+
+
 def test_op10(spark, docs, pairs, odd, none):
     got = queries.QUERIES["op10_mixing"](spark, SF)
     plan = got._jdf.queryExecution().toString()
