@@ -221,8 +221,11 @@ def _links(t: Fraction, frequent: np.ndarray):
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["grams"]]
         docs, second, copies = rows["doc"].to_numpy(), rows["second"].to_numpy(), rows["copies"].to_numpy()
         one = [k for k in range(len(sets)) if not second[k]]
-        two = [k for k in range(len(sets)) if second[k]] or one
-        if not one or len(docs) < 2:
+        two = [k for k in range(len(sets)) if second[k]]
+        b1, k1, b2, k2 = rows[BLOCK_COLS[1:5]].iloc[0]
+        if b1 == b2 and k1 == k2:
+            two = one  # a block against itself; where the second of two is empty, there is nothing to compare
+        if not one or not two or len(docs) < 2:
             return [docs[:0]] * 3
         linked = np.zeros((len(sets), len(sets)), dtype=bool)
         linked[np.ix_(one, two)] = trie_overlaps([sets[k] for k in one], [sets[k] for k in two], frequent, t)

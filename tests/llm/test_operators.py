@@ -277,6 +277,15 @@ def test_op6_groups(spark):
         assert _sorted(got.collect()) == _sorted(brute.jaccard(rows, n, round(t * 100), 100))
 
 
+def test_op6_empty_block(spark):
+    """Sets so large that five of them have two blocks, of which one is empty: each link counts once."""
+    ids = [r[0] for r in spark.range(200).filter(F.pmod(F.xxhash64("id"), F.lit(2)) == 0).limit(5).collect()]
+    words = _prose(12, 9000).split()
+    rows = [(i, " ".join(words[:k] + [f"w{i}"] + words[k:])) for k, i in enumerate(ids, 100)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), n=3, threshold=0.9)
+    assert _sorted(got.select("doc_id", "n_shingles", "component_id", "n_links").collect()) == _sorted(brute.jaccard(rows, 3, 90, 100))
+
+
 def test_op6_trie():
     from fractions import Fraction
 
