@@ -3,8 +3,9 @@
 A configuration is a multiset of lengths that fits one sequence. The program asks for the fewest sequences whose
 configurations cover the histogram. It is solved by multiplicative weights: each length has a weight that falls as it
 is covered, the weights price the lengths, and a knapsack dynamic program over the capacity finds the dearest
-configuration. The fractional solution is rounded down, and what is left is packed largest first, each sequence
-being completed by the best fit (an exact completion by one or two lengths where there is one).
+configuration. The fractional solution is rounded down, all of it or its full configurations only, and what is left
+is packed largest first, each sequence being completed by the best fit (an exact completion by one or two lengths
+where there is one). Of these plans and the greedy one alone that of the fewest sequences is kept.
 
 Only the histogram (at most ``capacity`` numbers) reaches the driver. Pieces find their place from their rank among
 those of their length: ranks come from salted groups and their prefix counts, so no length is gathered in one task.
@@ -154,28 +155,12 @@ def _complete(left: np.ndarray, room: int) -> list[int]:
     return out
 
 
-def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100, lists: int = 8) -> list[tuple[dict[int, int], int]]:
-    """Configurations ({length: count}, multiplicity) that hold the histogram exactly."""
-    left = np.zeros(capacity + 1, dtype=np.int64)
-    for length, count in histogram.items():
-        left[length] = count
-    out: list[tuple[dict[int, int], int]] = []
-    if left[capacity]:
-        out.append(({capacity: 1}, int(left[capacity])))
-        left[capacity] = 0
-    lengths = np.flatnonzero(left)
-    if len(lengths) and left.sum() > 200:
-        often = lengths[left[lengths] * 8 >= left[lengths].mean()]  # rarer ones wait for the rounding: they would make every step short
-        rows, much, _ = fractional(often, left[often].astype(float), capacity, rounds, lists)
-        total = (rows * much[:, None]).sum(axis=0)
-        scale = 1 / max(1.0, float((total / left[often]).max()))
-        full = rows @ often
-        for k in np.lexsort((-much, -full)):
-            used = rows[k] > 0
-            times = min(int(much[k] * max(scale, 0.5)), int((left[often[used]] // rows[k][used]).min()))
-            if times > 0 and full[k] == capacity:
-                out.append(({int(a): int(b) for a, b in zip(often[used], rows[k][used])}, times))
-                left[often[used]] -= times * rows[k][used]
+Plan = list[tuple[dict[int, int], int]]
+
+
+def _greedy(left: np.ndarray, capacity: int) -> Plan:
+    """Configurations that hold what is left exactly: largest first, each completed by the best fit. Empties ``left``."""
+    out: Plan = []
     while left.any():
         top = int(np.flatnonzero(left)[-1])
         left[top] -= 1
@@ -188,6 +173,48 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100,
     return out
 
 
+def _rounded(left: np.ndarray, lengths: np.ndarray, rows: np.ndarray, much: np.ndarray) -> Plan:
+    """Configurations rounded down, the fullest first, as far as they go. Takes them from ``left``."""
+    out: Plan = []
+    for k in np.lexsort((-much, -(rows @ lengths))):
+        used = rows[k] > 0
+        times = min(int(much[k]), int((left[lengths[used]] // rows[k][used]).min()))
+        if times > 0:
+            out.append(({int(a): int(b) for a, b in zip(lengths[used], rows[k][used])}, times))
+            left[lengths[used]] -= times * rows[k][used]
+    return out
+
+
+def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100, lists: int = 8) -> Plan:
+    """Configurations ({length: count}, multiplicity) that hold the histogram exactly.
+
+    Of the fractional solution all configurations are rounded down, or only the full ones, or none; what that leaves
+    is packed greedily, and the plan of the fewest sequences is kept.
+    """
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    for length, count in histogram.items():
+        left[length] = count
+    whole: Plan = []
+    if left[capacity]:
+        whole.append(({capacity: 1}, int(left[capacity])))
+        left[capacity] = 0
+    lengths = np.flatnonzero(left)
+    if not len(lengths) or left.sum() <= 200:
+        return whole + _greedy(left, capacity)
+    often = lengths[left[lengths] * 8 >= left[lengths].mean()]  # rarer ones wait for the rounding: they would make every step short
+    rows, much, _ = fractional(often, left[often].astype(float), capacity, rounds, lists)
+    total = (rows * much[:, None]).sum(axis=0)
+    scale = 1 / max(1.0, float((total / left[often]).max()))
+    much = much * max(scale, 0.5)
+    full = rows @ often == capacity
+    plans: list[Plan] = []
+    for some in (full, np.ones(len(rows), dtype=bool), np.zeros(len(rows), dtype=bool)):
+        rest = left.copy()
+        plan = _rounded(rest, often, rows[some], much[some])
+        plans.append(whole + plan + _greedy(rest, capacity))
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
 def layout(plan: list[tuple[dict[int, int], int]], capacity: int) -> dict[int, tuple[np.ndarray, ...]]:
     """For each length, its slots in the order of the plan: last rank (exclusive), count in the configuration, first sequence, offset."""
     rows: dict[int, list[tuple[int, int, int, int]]] = {}

@@ -146,6 +146,21 @@ def test_op2_configurations():
         assert sum(t for _, t in plan) <= max(large, math.ceil(sum(lengths) / 1024)) * 1.3 + 1
 
 
+def _sequences(histogram):
+    plan = packing.configurations(histogram, 1024)
+    got = Counter()
+    for counts, times in plan:
+        assert sum(k * v for k, v in counts.items()) <= 1024
+        got.update({k: v * times for k, v in counts.items()})
+    assert got == Counter(histogram)
+    return sum(times for _, times in plan)
+
+
+def test_op2_not_full():
+    """Lengths of which none sum to the capacity: configurations that are not full count too."""
+    assert _sequences({516: 20_000, 260: 20_000, 265: 20_000, 245: 40_000}) <= 30_300  # 30,000 can do
+
+
 def test_op3(spark, docs, odd, none):
     for df, rows in ((docs, [tuple(r) for r in docs.select("doc_id", "text").collect()]), (odd, ODD)):
         key = {(r["doc_id"], r["text"]): r["h"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
