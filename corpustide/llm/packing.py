@@ -199,8 +199,8 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100,
         whole.append(({capacity: 1}, int(left[capacity])))
         left[capacity] = 0
     lengths = np.flatnonzero(left)
-    if not len(lengths) or left.sum() <= 200:
-        return whole + _greedy(left, capacity)
+    if not len(lengths):
+        return whole
     often = lengths[left[lengths] * 8 >= left[lengths].mean()]  # rarer ones wait for the rounding: they would make every step short
     rows, much, _ = fractional(often, left[often].astype(float), capacity, rounds, lists)
     total = (rows * much[:, None]).sum(axis=0)

@@ -161,6 +161,11 @@ def test_op2_not_full():
     assert _sequences({516: 20_000, 260: 20_000, 265: 20_000, 245: 40_000}) <= 30_300  # 30,000 can do
 
 
+def test_op2_few_pieces():
+    """The program runs at every size: the same for a few pieces."""
+    assert _sequences({516: 30, 260: 30, 265: 30, 245: 60}) <= 48  # 45 can do
+
+
 def test_op3(spark, docs, odd, none):
     for df, rows in ((docs, [tuple(r) for r in docs.select("doc_id", "text").collect()]), (odd, ODD)):
         key = {(r["doc_id"], r["text"]): r["h"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
