@@ -6,7 +6,7 @@ trees and the linear program, so ORACLE_SQL is None, and tests hold the stages a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpustide.llm import jaccard_join, mixing, packing, quality, secret_scan
@@ -21,11 +21,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents that link at 0.8 on shingles of five words, the one with the smallest id.
 
-    Documents without words, and rows without an id, link with nothing and stay. Rows that repeat an id are one document.
+    Documents without words, and rows without an id, link with nothing and stay. Rows that repeat both id and text are
+    one document, of which the first by all columns stays; rows of one id with different texts are documents of their own.
     """
-    found = jaccard_join.jaccard_components(docs, n=5, threshold=0.8)
-    first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct(), "keep")
-    kept = docs.join(first, docs["doc_id"] == first["_keep"], "left_semi").dropDuplicates(["doc_id"])
+    known = docs.filter("doc_id is not null")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = jaccard_join.jaccard_components(known, n=5, threshold=0.8)
+        first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")), "keep")
+        kept = known.join(first, known["doc_id"] == first["_keep"], "left_semi")
+    else:
+        digest = F.sha2("text", 256)
+        same = Window.partitionBy("doc_id", digest).orderBy(F.to_json(F.struct(*docs.columns)))
+        rows = stored(known.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth").withColumn("_node", F.monotonically_increasing_id()), "rows")
+        found = jaccard_join.jaccard_components(rows, id_col="_node", n=5, threshold=0.8).select(F.col("doc_id").alias("_node"), "component_id")
+        order = F.struct("doc_id", digest.alias("digest"), "_node")
+        first = stored(rows.select("_node", order.alias("order")).join(found, "_node").groupBy("component_id").agg(F.min("order").alias("order")).select("order._node"), "keep")
+        kept = rows.join(first, "_node", "left_semi").select(*docs.columns)
     return kept.unionByName(docs.filter("doc_id is null"))
 
 

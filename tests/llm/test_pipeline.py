@@ -46,6 +46,17 @@ def test_near_duplicates_stage(spark, docs):
     assert sum(r[0] is None for r in _rows(kept)) == 3
 
 
+def test_near_duplicates_stage_repeated_ids(spark, docs):
+    """Rows of one id with texts that do not link all stay; of repeated and of linked ones the first does."""
+    long = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, "one text of its own here", "b"), (1, "another that is not like it", "a"), (1, "another that is not like it", "c"), (2, long, "a"), (2, long + " end", "a"), (3, long, "a"), (4, None, "a"), (4, None, "a"), (4, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = pipeline.near_duplicates_stage(spark, df, SF).collect()
+    got = sorted((r["doc_id"], r["text"] or str(r["text"]), r["source"]) for r in kept if r["doc_id"] != 2)
+    assert got == [(1, "another that is not like it", "a"), (1, "one text of its own here", "b"), (4, "", "a"), (4, "None", "a")]
+    assert [r["text"].startswith(long) for r in kept if r["doc_id"] == 2] == [True]
+
+
 def _masked(rows):
     kinds = [(n, re.compile(p, re.A), g, least) for n, p, g, least in secret_scan.KINDS]
     spans = {}
