@@ -72,26 +72,27 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def _verdicts(found: DataFrame, owners: int) -> DataFrame:
-    """Spans with their owners: uid, span, live."""
+    """Spans with what holds their values: uid, span, repos, owners, live."""
     counts = stored(ownership(found), "ownership")
     spans = found.select("uid", F.explode("spans").alias("span")).withColumn("value", F.sha2("span.value", 256))
-    return spans.join(counts, "value").select("uid", "span", (F.col("owners") < owners).alias("live"))
+    return spans.join(counts, "value").select("uid", "span", "repos", "owners", (F.col("owners") < owners).alias("live"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS) -> DataFrame:
-    """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live_spans.
+    """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live_spans, held_by.
 
-    Null texts count as empty, null repositories and owners as one that is unnamed. Values of ``owners`` distinct
+    ``held_by`` has, for each of ``spans`` in their order, the distinct repositories and owners of its value. Null texts count as empty, null repositories and owners as one that is unnamed. Values of ``owners`` distinct
     owners or more are examples, others live. Rows that repeat an id each get a row. Other columns are not read.
     """
     found = candidates(docs, id_col, text_col, repo_col, owner_col)
-    judged = _verdicts(found, owners).groupBy("uid").agg(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"), F.count_if(~F.col("live")).alias("n_example"))
+    judged = _verdicts(found, owners).groupBy("uid").agg(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"), F.count_if(~F.col("live")).alias("n_example"), F.array_sort(F.collect_list(F.struct("span", "repos", "owners"))).alias("held"))
     of = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["rank"] < BASE)
     out = found.join(judged, "uid", "left")
     return out.select(
         F.col("doc").alias("doc_id"), of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
         F.coalesce(F.size("live").cast("long"), F.lit(0).cast("long")).alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce(_listed(F.col("live")), F.lit("")).alias("live_spans"),
+        F.coalesce(F.transform("held", lambda h: F.struct(h["repos"].alias("repos"), h["owners"].alias("owners"))), F.array().cast("array<struct<repos: bigint, owners: bigint>>")).alias("held_by"),
     )
 
 
@@ -119,4 +120,4 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
     """Every document; repositories and owners are the sources."""
-    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("held_by")

@@ -266,6 +266,14 @@ def test_op5_ownership(spark):
     assert clean[4] == "key: password=copied-example [SECRET] \U0001f600 end"
 
 
+def test_op5_repositories(spark):
+    """Repositories and owners of each value, where they are not the same."""
+    rows = [(i, "secret=mine-abcdefgh" + (" password=copied-example" if i % 2 else ""), f"r{i}", f"o{i % 2}") for i in range(4)] + [(4, "", "r0", "o0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    got = {r["doc_id"]: [tuple(h) for h in r["held_by"]] for r in secret_scan.scan_secrets(df, repo_col="repo", owner_col="owner").collect()}
+    assert got == {0: [(4, 2)], 1: [(4, 2), (2, 1)], 2: [(4, 2)], 3: [(4, 2), (2, 1)], 4: []}
+
+
 def test_op6(spark, pairs, odd, none):
     got = queries.QUERIES["op6_jaccard_join"](spark, SF).select("doc_id", "n_shingles", "component_id", "n_links")
     assert _sorted(got.collect()) == _sorted(brute.jaccard(pairs, 3, 90, 100))
