@@ -3,9 +3,9 @@
 A configuration is a multiset of lengths that fits one sequence. The program asks for the fewest sequences whose
 configurations cover the histogram. It is solved by multiplicative weights: each length has a weight that falls as it
 is covered, the weights price the lengths, and a knapsack dynamic program over the capacity finds the dearest
-configuration. The fractional solution is rounded down, all of it or its full configurations only, and what is left
-is packed largest first, each sequence being completed by the best fit (an exact completion by one or two lengths
-where there is one). Of these plans and the greedy one alone that of the fewest sequences is kept.
+configurations, until every length is covered. The fractional solution is rounded, and the program is solved and
+rounded again for what that leaves; the last few pieces are packed largest first, each sequence being completed by
+the best fit, where that takes fewer sequences.
 
 Only the histogram (at most ``capacity`` numbers) reaches the driver. Pieces find their place from their rank among
 those of their length: ranks come from salted groups and their prefix counts, so no length is gathered in one task.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,47 +90,97 @@ def _pieces(path: str, capacity: int, end: int, ids: bool):
     return run
 
 
-def dearest(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Knapsack by dynamic programming, for several price lists at once: counts [list, length] of the dearest configuration."""
-    k = prices.shape[1]
-    best = np.zeros((capacity + 1, k))
-    took = np.full((capacity + 1, k), -1, dtype=np.int64)
-    lists = np.arange(k)
-    for c in range(int(lengths[0]), capacity + 1):
-        fit = int(np.searchsorted(lengths, c, side="right"))
-        value = best[c - lengths[:fit]] + prices[:fit]
-        top = value.argmax(axis=0)
-        best[c], took[c] = value[top, lists], top
-    counts = np.zeros((k, len(lengths)), dtype=np.int64)
-    for j in range(k):
-        c = capacity
-        while c >= lengths[0] and took[c, j] >= 0:
-            counts[j, took[c, j]] += 1
-            c -= int(lengths[took[c, j]])
-    return counts
-
-
-def fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, lists: int, step: float = 0.2, rate: float = 0.3) -> tuple[np.ndarray, np.ndarray, float]:
-    """Multiplicative weights on the configuration program: configurations, their multiplicity, and a lower bound."""
-    rng = np.random.default_rng(7)
-    weight = np.log(lengths / capacity)
-    found: dict[bytes, float] = {}
-    bound = 0.0
-    for _ in range(rounds):
-        price = np.exp(weight)
-        noisy = price[:, None] * (1 + 0.002 * rng.random((len(lengths), lists)))
-        noisy[:, 0] = price
-        counts = dearest(lengths, noisy, capacity)
-        bound = max(bound, float((price * demand).sum() / (counts[0] * price).sum()))
-        for row in counts:
-            used = row > 0
-            if not used.any():
-                continue
-            much = step * float((demand[used] / row[used]).min())
-            found[row.tobytes()] = found.get(row.tobytes(), 0.0) + much
-            weight[used] -= rate * much * row[used] / demand[used]
-    configurations = np.array([np.frombuffer(x, dtype=np.int64) for x in found]).reshape(-1, len(lengths))
-    return configurations, np.array(list(found.values())), bound
+def knapsack(prices: np.ndarray, capacity: int, noise: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Knapsack by dynamic programming. prices: [capacity + 1], 0 where there is no length.
+
+    Gives for each capacity the best value, the length taken last, and the largest capacity up to it where one is
+    taken. Each step's prices rise by up to ``noise``, another amount for each capacity and length, so that of
+    configurations of about one value different lengths find different ones.
+    """
+    low = int(np.flatnonzero(prices)[0])
+    best, took = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+    turned = np.zeros(capacity + 1)  # best, from the end
+    shake = rng.random(3 * capacity)
+    starts = rng.integers(0, 2 * capacity - 1, capacity + 1).tolist()
+    own, rise = prices[low:], ((prices > 0) * noise)[low:]
+    for c in range(low, capacity + 1):
+        n = c - low + 1
+        value = turned[capacity - c + low : capacity + 1] + own[:n]
+        if noise:
+            value += shake[starts[c] : starts[c] + n] * rise[:n]
+        k = int(value.argmax())
+        if value[k] > best[c - 1]:
+            best[c], took[c] = value[k], k + low
+        else:
+            best[c] = best[c - 1]
+        turned[capacity - c] = best[c]
+    return best, took, np.maximum.accumulate(np.where(took > 0, np.arange(capacity + 1), 0))
+
+
+def through(lengths: np.ndarray, took: np.ndarray, at: np.ndarray, capacity: int) -> list[list[int]]:
+    """The dearest configuration through each length, which stands first in it."""
+    out = [[int(x)] for x in lengths]
+    room = at[capacity - lengths]
+    live = np.flatnonzero(room)
+    while len(live):
+        items = took[room[live]]
+        for k, x in zip(live.tolist(), items.tolist()):
+            out[k].append(x)
+        room[live] = at[room[live] - items]
+        live = live[room[live] > 0]
+    return out
+
+
+Configuration = tuple[tuple[int, int], ...]
+
+
+def fractional(demand: np.ndarray, capacity: int, rng: np.random.Generator, keep: float = 0.9, least: float = 1e-3, reach: float = 0.75, rate: float = 0.25) -> tuple[dict[Configuration, float], float]:
+    """Multiplicative weights on the configuration program: configurations ((length, count), …) with their multiplicity, and a lower bound.
+
+    A length's price is its share of the capacity times its weight, and its weight falls by the same factor as the
+    share of its demand that is left, to the power of ``rate``. Rounds lower what may be left of any length by the
+    factor ``keep``, at last to nothing: lengths that have more left are covered by the dearest configuration through
+    them, as far as no other length in it falls below ``reach`` of the round's share. So every length ends covered
+    exactly, and none runs out long before the others. No configuration holds more of a length than there is.
+    """
+    lengths = np.flatnonzero(demand)
+    have, wanted = demand.astype(float), demand.tolist()
+    left = [float(x) for x in wanted]
+    found: dict[Configuration, float] = {}
+    bound, solved, most = 0.0, 0, 1.0
+    while most > 0:
+        most = most * keep if most * keep > least else 0.0
+        low = most * reach
+        while True:
+            share = np.array(left)[lengths] / have[lengths]
+            late = lengths[share > most + 1e-9]
+            if not len(late):
+                break
+            weighted, prices = np.zeros(capacity + 1), np.zeros(capacity + 1)
+            weighted[lengths] = lengths / capacity * np.clip(share, 1e-6, 1.0) ** rate
+            open_ = lengths[share > low + 1e-9]
+            prices[open_] = weighted[open_]
+            if solved % 20 == 0:  # the dearest configuration at any prices bounds the program
+                bound = max(bound, float(weighted @ have) / float(knapsack(weighted, capacity, 0.0, rng)[0][capacity]))
+            best, took, at = knapsack(prices, capacity, 0.03 / capacity, rng)
+            solved += 1
+            configurations = through(late, took, at, capacity)
+            for k in np.argsort(-(prices[late] + best[capacity - late]), kind="stable").tolist():
+                first = configurations[k][0]
+                if left[first] <= most * wanted[first] + 1e-9:
+                    continue  # another one has covered it meanwhile
+                counts = {x: min(n, wanted[x]) for x, n in Counter(configurations[k]).items()}
+                step = (left[first] - most * wanted[first]) / counts[first]
+                for x, n in counts.items():
+                    if x != first:
+                        step = min(step, (left[x] - low * wanted[x]) / n)
+                if step <= 1e-9:
+                    continue
+                key = tuple(sorted(counts.items()))
+                found[key] = found.get(key, 0.0) + step
+                for x, n in counts.items():
+                    left[x] -= step * n
+    return found, bound
 
 
 def _complete(left: np.ndarray, room: int) -> list[int]:
@@ -173,24 +224,48 @@ def _greedy(left: np.ndarray, capacity: int) -> Plan:
     return out
 
 
-def _rounded(left: np.ndarray, lengths: np.ndarray, rows: np.ndarray, much: np.ndarray) -> Plan:
-    """Configurations rounded down, the fullest first, as far as they go. Takes them from ``left``."""
+def _rounded(found: dict[Configuration, float], left: np.ndarray, capacity: int, share: float = 0.75) -> Plan:
+    """Configurations of a fractional solution, taken from ``left``: all rounded down, then of those that are no emptier
+    than the mean the ones with the largest remainders rounded up, until ``share`` of what rounding down left is placed."""
     out: Plan = []
-    for k in np.lexsort((-much, -(rows @ lengths))):
-        used = rows[k] > 0
-        times = min(int(much[k]), int((left[lengths[used]] // rows[k][used]).min()))
+    size = {k: sum(x * n for x, n in k) for k in found}
+    fullness = sum(found[k] * size[k] for k in found) / sum(found.values())
+
+    def take(key: Configuration, times: int) -> int:
+        times = min(times, *(int(left[x]) // n for x, n in key))
         if times > 0:
-            out.append(({int(a): int(b) for a, b in zip(lengths[used], rows[k][used])}, times))
-            left[lengths[used]] -= times * rows[k][used]
+            out.append((dict(key), times))
+            for x, n in key:
+                left[x] -= times * n
+        return max(0, times) * sum(n for _, n in key)
+
+    for key in sorted(found, key=lambda k: (-size[k], -found[k], k)):
+        take(key, int(found[key] + 1e-6))
+    wanted = share * left.sum()
+    upwards = sorted(found, key=lambda k: (-(found[k] % 1), -size[k], k))
+    for some in ([k for k in upwards if size[k] >= fullness - 1e-9], upwards):  # the fuller ones alone, if any of them still fits
+        done = 0
+        for key in some:
+            if done >= wanted:
+                break
+            done += take(key, 1)
+        if done:
+            break
     return out
 
 
-def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100, lists: int = 8) -> Plan:
-    """Configurations ({length: count}, multiplicity) that hold the histogram exactly.
+def configurations(histogram: dict[int, int], capacity: int) -> Plan:
+    """Configurations ({length: count}, multiplicity) that hold the histogram exactly. See :func:`solve`."""
+    return solve(histogram, capacity)[0]
 
-    Of the fractional solution all configurations are rounded down, or only the full ones, or none; what that leaves
-    is packed greedily, and the plan of the fewest sequences is kept.
+
+def solve(histogram: dict[int, int], capacity: int) -> tuple[Plan, dict[str, float]]:
+    """The plan, and figures of it: pieces below capacity, those placed by the program, its value and lower bound.
+
+    The program is solved and rounded, then again for what rounding left, until nothing is. After each time the rest
+    could also be packed greedily; of these plans that of the fewest sequences is kept, the latest of equals.
     """
+    rng = np.random.default_rng(7)
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, count in histogram.items():
         left[length] = count
@@ -198,21 +273,21 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = 100,
     if left[capacity]:
         whole.append(({capacity: 1}, int(left[capacity])))
         left[capacity] = 0
-    lengths = np.flatnonzero(left)
-    if not len(lengths):
-        return whole
-    often = lengths[left[lengths] * 8 >= left[lengths].mean()]  # rarer ones wait for the rounding: they would make every step short
-    rows, much, _ = fractional(often, left[often].astype(float), capacity, rounds, lists)
-    total = (rows * much[:, None]).sum(axis=0)
-    scale = 1 / max(1.0, float((total / left[often]).max()))
-    much = much * max(scale, 0.5)
-    full = rows @ often == capacity
-    plans: list[Plan] = []
-    for some in (full, np.ones(len(rows), dtype=bool), np.zeros(len(rows), dtype=bool)):
-        rest = left.copy()
-        plan = _rounded(rest, often, rows[some], much[some])
-        plans.append(whole + plan + _greedy(rest, capacity))
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+    pieces = int(left.sum())
+    about: dict[str, float] = {"pieces": pieces, "placed": 0, "value": 0.0, "bound": 0.0}
+    plan: Plan = []
+    best, fewest = plan, math.inf
+    while left.any():
+        found, bound = fractional(left, capacity, rng, 0.8 if plan else 0.9)
+        if not plan:
+            about |= {"value": sum(found.values()), "bound": bound}
+        plan = plan + _rounded(found, left, capacity)
+        rest = _greedy(left.copy(), capacity)
+        sequences = sum(times for _, times in plan) + sum(times for _, times in rest)
+        if sequences <= fewest:
+            best, fewest = plan + rest, sequences
+            about["placed"] = pieces - int(left.sum())
+    return whole + best, about
 
 
 def layout(plan: list[tuple[dict[int, int], int]], capacity: int) -> dict[int, tuple[np.ndarray, ...]]:
@@ -261,14 +336,23 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     pieces = stored(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInPandas(_pieces(tokenizer, capacity, end, ids), kinds), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     slots = layout(configurations(histogram, capacity), capacity)
-    # A length's pieces are dealt to groups of some hundreds of rows (of more beyond 4096 groups a length)
-    salts = min(4096, max(1, math.ceil(max(histogram.values(), default=0) / 400)))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc", "piece", "ids_crc32"), F.lit(salts)))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    firsts = stored(sizes.select("length", "salt", before.alias("first")), "firsts")
-    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc", "piece", "ids_crc32", "start"))
-    ranked = salted.withColumn("within", within).join(firsts, ["length", "salt"]).select("doc", "piece", "start", "length", "ids_crc32", "ids", (F.col("first") + F.col("within") - 1).alias("rank"))
+    # A length's pieces are dealt to coarse groups, and those to fine ones of some hundreds of rows; the sums before a
+    # group are over the square root of their number, at each level
+    groups = max(1, math.isqrt(max(histogram.values(), default=0) // 400) + 1)
+    dealt = F.xxhash64("doc", "piece", "ids_crc32")
+    salted = pieces.withColumn("coarse", F.pmod(dealt, F.lit(groups))).withColumn("fine", F.pmod(F.shiftrightunsigned(dealt, 32), F.lit(groups)))
+    sizes = stored(salted.groupBy("length", "coarse", "fine").agg(F.count("*").alias("n")), "sizes")
+
+    def before(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+        so_far = F.sum("n").over(Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumn(f"before_{by}", F.coalesce(so_far, F.lit(0))).drop("n")
+
+    outer = before(sizes.groupBy("length", "coarse").agg(F.sum("n").alias("n")), ["length"], "coarse")
+    firsts = stored(before(sizes, ["length", "coarse"], "fine").join(outer, ["length", "coarse"]), "firsts")
+    keys = ["length", "coarse", "fine"]
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy("doc", "piece", "ids_crc32", "start"))
+    rank = F.col("before_coarse") + F.col("before_fine") + F.col("within") - 1
+    ranked = salted.withColumn("within", within).join(firsts, keys).select("doc", "piece", "start", "length", "ids_crc32", "ids", rank.alias("rank"))
     placed = ranked.mapInPandas(_place(slots), f"{kinds}, sequence_id long, offset long")
     return placed.select(F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 

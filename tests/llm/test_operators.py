@@ -156,6 +156,38 @@ def _sequences(histogram):
     return sum(times for _, times in plan)
 
 
+def _histogram(sf):
+    import duckdb
+    import public_tokenizers
+
+    ids, out = packing.Ids(str(public_tokenizers.path("byte_bpe_50k.json"))), Counter()
+    for (text,) in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet'").fetchall():
+        n = len(ids.encode(text or "")) // 4 + 1
+        out[n % 1024 or 1024] += 1
+        out[1024] += (n - 1) // 1024
+    return out
+
+
+def test_op2_program():
+    """The program's solution covers every length and is near its bound; rounding it places nine pieces in ten or more, in no more sequences than best fit alone."""
+    for sf, times in (("sf0.01", 1), ("sf0.1", 30)):
+        histogram = {k: n * times for k, n in _histogram(f"/root/testdata/{sf}").items()}
+        demand = np.zeros(1025, dtype=np.int64)
+        for k, n in histogram.items():
+            demand[k] = n if k < 1024 else 0
+        found, bound = packing.fractional(demand, 1024, np.random.default_rng(1))
+        cover = np.zeros(1025)
+        for key, much in found.items():
+            for x, n in key:
+                cover[x] += n * much
+        assert np.allclose(cover, demand, atol=1e-4)
+        assert bound <= sum(found.values()) <= 1.02 * bound
+        plan, about = packing.solve(histogram, 1024)
+        assert about["placed"] >= 0.9 * about["pieces"] == 0.9 * demand.sum()
+        greedy = sum(t for _, t in packing._greedy(demand.copy(), 1024)) + histogram[1024]
+        assert sum(t for _, t in plan) <= 1.0001 * greedy
+
+
 def test_op2_not_full():
     """Lengths of which none sum to the capacity: configurations that are not full count too."""
     assert _sequences({516: 20_000, 260: 20_000, 265: 20_000, 245: 40_000}) <= 30_300  # 30,000 can do
