@@ -37,15 +37,6 @@ def merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-#: Keys that are sent to all executors at most (8 bytes each).
-NARROW = 1_000_000
-
-
-def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``df`` without rows whose ``key`` is not in ``keys`` where those are few enough to broadcast, else ``df`` itself: to precede a join."""
-    return df.join(F.broadcast(keys.distinct()), key, "left_semi") if keys.count() <= NARROW else df
-
-
 class WordHashes(dict):
     """64-bit hash of each word (bytes), remembered; forgets all when ``limit`` words are held, so memory is bounded."""
 

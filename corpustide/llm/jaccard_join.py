@@ -3,12 +3,14 @@
 1. Each document becomes the set of its n-gram hashes, put in one global order (rare before frequent, then by hash).
    A bounded list of grams that repeat within batches of the input stands for "frequent"; it only orders, so it can be
    cut at any size without a change of results. Documents with equal sets collapse to one, by aggregation.
-2. Two sets of a link share ``l`` or more of the first ``|x| - ceil(t |x|) + l`` grams of each (prefix filter). The
-   sets that share a gram follow its smallest document, the pivot: so one row per set and pivot, not per gram. As a
-   link has ``l`` shared grams to offer, each set may forgo some of its own and still meet all its partners: it leaves
-   the pivots that the fewest of its grams lead to, and a set with less than ``l`` grams that recur has no partner.
+2. Two sets of a link share ``l`` or more of the first ``|x| - ceil(t |x|) + l`` grams of each (prefix filter), as
+   long as ``l`` is no more than ``ceil(t |x|)``, which any link of x shares. The sets that share a gram follow its
+   smallest document, the pivot: so one row per set and pivot, not per gram. As a link has ``l`` shared grams to
+   offer, each set may forgo some of its own and still meet all its partners: it leaves the pivots that the fewest of
+   its grams lead to, and a set of which fewer grams recur than any link must share has no partner.
 3. A pivot's sets are split by size band (linked sets are in the same band or the next) and, beyond a bound on a
    block's grams, into blocks; every pair of blocks that can hold a link meets once, in a group of bounded size.
+   Where all sets of a group follow a smaller pivot too, they meet there, and the group is passed over.
 4. In a group the sets of one block form a radix trie. It is walked once for all sets of the other block: a node
    adds its run of grams to the overlaps of all of them, and a subtree is left when no overlap can still suffice by
    what remains. Links leave as a forest on the block's sets, never as all pairs.
@@ -26,12 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASES, Rolling, WordHashes, components, merged, mixed, narrowed, stored
+from .common import BASES, Rolling, WordHashes, components, merged, mixed, stored
 
 #: Most entries in the list of frequent grams (8 bytes each): it only orders the grams.
 FREQUENT = 65_536
 #: Grams of a block at most, and sets of a block at most.
-BLOCK_GRAMS, BLOCK_SETS = 40_000, 96
+BLOCK_GRAMS, BLOCK_SETS = 400_000, 1024
+#: Bytes of the table of which probe holds which gram, so that many probes walk the trie at once.
+TABLE = 1 << 26
 #: ASCII upper case to lower case, as bytes.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -90,17 +94,26 @@ def ordered(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def forgone(size: int, t: Fraction) -> int:
-    """Grams that a set of this size may forgo; grows with the size."""
-    return int((1 - t) * size / 4)
+    """Grams that a set of this size may forgo; grows with the size.
 
+    What both sets of a link forgo is at most ``t / 2`` of the larger one's size, so less than the ``ceil(t size)``
+    grams that they share, at any threshold.
+    """
+    return int(min((1 - t) / 4, t * t / (2 * (1 + t))) * size)
 
-def least_shared(size: int, t: Fraction) -> int:
-    """Grams that the prefixes of a link share at least: more than both sets can forgo, as the other has ``size / t`` at most."""
+
+def extra(size: int, t: Fraction) -> int:
+    """Grams that the prefixes of a link share at least: more than both sets forgo, as the other has ``size / t`` at most."""
     return forgone(size, t) + forgone(int(size / t), t) + 1
 
 
+def least_shared(size: int, t: Fraction) -> int:
+    """Grams that the prefixes of any link of a set of this size share: its partner has ``t size`` at least."""
+    return forgone(size, t) + forgone(math.ceil(t * size), t) + 1
+
+
 def _prefix(size: int, t: Fraction) -> int:
-    return min(size, size - math.ceil(t * size) + least_shared(size, t)) if size else 0
+    return min(size, size - math.ceil(t * size) + extra(size, t)) if size else 0
 
 
 def _summaries(n: int, t: Fraction, frequent: np.ndarray):
@@ -152,61 +165,108 @@ BLOCK_KINDS = "pivot long, b1 int, k1 int, b2 int, k2 int, doc long, second bool
 
 def trie_overlaps(stored_sets: list[np.ndarray], probes: list[np.ndarray], frequent: np.ndarray, t: Fraction, run: int = 32) -> np.ndarray:
     """Matrix [stored, probe]: True where the Jaccard likeness is ``t`` or more. All sets in the global order."""
-    grams, inverse = np.unique(np.concatenate([*stored_sets, *probes]), return_inverse=True)
-    ends = np.cumsum([len(x) for x in (*stored_sets, *probes)])
-    coded = np.split(inverse, ends[:-1])
-    has = np.zeros((len(grams), len(probes)), dtype=np.uint8)
-    for k, codes in enumerate(coded[len(stored_sets) :]):
-        has[codes, k] = 1
-    place = np.empty(len(grams), dtype=np.int64)  # a code's place in the global order
+    grams, inverse = np.unique(np.concatenate(stored_sets), return_inverse=True)
+    place = np.empty(len(grams), dtype=np.int64)  # a gram's place in the global order
     place[np.searchsorted(grams, ordered(grams, frequent))] = np.arange(len(grams))
-    codes = [place[x] for x in coded[: len(stored_sets)]]
-    has = has[np.searchsorted(grams, ordered(grams, frequent))]
-    sizes = np.array([len(x) for x in codes])
-    probe_sizes = np.array([len(x) for x in probes])
-    # overlap o suffices if o >= t / (1 + t) * (x + y); in integers
-    need = -((-t.numerator * (sizes[:, None] + probe_sizes[None, :])) // (t.numerator + t.denominator))
+    sizes = np.array([len(x) for x in stored_sets])
+    codes = np.split(place[inverse], np.cumsum(sizes)[:-1])
+    order = sorted(range(len(codes)), key=lambda i: codes[i].astype(">u4").tobytes())
     linked = np.zeros((len(codes), len(probes)), dtype=bool)
-    order = sorted(range(len(codes)), key=lambda i: codes[i].tolist())
-    # A node: the sets order[a:b], which agree on their first ``depth`` grams; overlaps of all probes with those.
-    todo = [(0, len(order), 0, np.zeros(len(probes), dtype=np.int64))]
+    at_once = max(8, min(1024, TABLE // max(1, len(grams))))
+    for start in range(0, len(probes), at_once):
+        some = probes[start : start + at_once]
+        has = np.zeros((len(grams), len(some)), dtype=np.uint8)
+        for k, probe in enumerate(some):
+            at = np.minimum(np.searchsorted(grams, probe), len(grams) - 1)
+            has[place[at[grams[at] == probe]], k] = 1
+        _walk(codes, order, sizes, has, np.array([len(x) for x in some]), t, run, linked[:, start : start + at_once])
+    return linked
+
+
+def _walk(codes: list[np.ndarray], order: list[int], sizes: np.ndarray, has: np.ndarray, probe_sizes: np.ndarray, t: Fraction, run: int, linked: np.ndarray) -> None:
+    """Walk the trie of ``codes`` (sorted by ``order``) once for all probes, and mark ``linked``."""
+
+    def need(sets: list[int], probes: np.ndarray) -> np.ndarray:
+        # an overlap o suffices if o >= t / (1 + t) * (x + y); in integers
+        return -((-t.numerator * (sizes[sets][:, None] + probe_sizes[probes][None, :])) // (t.numerator + t.denominator))
+
+    # A node: the sets order[a:b], which agree on their first ``depth`` grams; probes that may still suffice, and
+    # their overlaps with those grams
+    todo = [(0, len(order), 0, np.arange(len(probe_sizes)), np.zeros(len(probe_sizes), dtype=np.int64))]
     while todo:
-        a, b, depth, overlap = todo.pop()
+        a, b, depth, probes, overlap = todo.pop()
         here = order[a:b]
         rest = sizes[here] - depth
-        left = probe_sizes - overlap  # grams of a probe that may still match
-        alive = overlap[None, :] + np.minimum(rest[:, None], left[None, :]) >= need[here]
+        left = probe_sizes[probes] - overlap  # grams of a probe that may still match
+        enough = need(here, probes)
+        alive = (overlap[None, :] + np.minimum(rest[:, None], left[None, :]) >= enough).any(axis=0)
         if not alive.any():
             continue
-        ended = [i for i in here if sizes[i] == depth]
-        for i in ended:
-            linked[i] = overlap >= need[i]
+        ended = [k for k, i in enumerate(here) if sizes[i] == depth]
+        for k in ended:
+            linked[here[k], probes] = overlap >= enough[k]
         a += len(ended)  # in sorted order, a set that ends here stands first
         if a == b:
             continue
+        if 2 * np.count_nonzero(alive) < len(probes):
+            probes, overlap = probes[alive], overlap[alive]
         first, last = codes[order[a]], codes[order[b - 1]]
         common = min(len(first), len(last), depth + run)
         differ = np.flatnonzero(first[depth:common] != last[depth:common])
         shared = int(differ[0]) if len(differ) else common - depth
         if shared:
-            todo.append((a, b, depth + shared, overlap + has[first[depth : depth + shared]].sum(axis=0)))
+            todo.append((a, b, depth + shared, probes, overlap + _rows(has, first[depth : depth + shared], probes).sum(axis=0)))
             continue
         heads = np.array([codes[i][depth] for i in order[a:b]])
         cuts = np.r_[0, np.flatnonzero(heads[1:] != heads[:-1]) + 1, len(heads)]
-        todo += [(a + int(x), a + int(y), depth + 1, overlap + has[heads[x]]) for x, y in zip(cuts[:-1], cuts[1:])]
-    return linked
+        counts = _rows(has, heads[cuts[:-1]], probes)
+        todo += [(a + int(x), a + int(y), depth + 1, probes, overlap + counts[k]) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))]
+
+
+def _rows(has: np.ndarray, grams: np.ndarray, probes: np.ndarray) -> np.ndarray:
+    return has[grams] if len(probes) == has.shape[1] else has[grams[:, None], probes[None, :]]
 
 
 def forest(linked: np.ndarray) -> np.ndarray:
     """For each node of a symmetric matrix, the smallest node of its component."""
     label = np.arange(len(linked))
-    linked = linked | np.eye(len(linked), dtype=bool)
-    while True:
-        near = np.where(linked, label[None, :], len(label)).min(axis=1)
-        near = near[near]
-        if (near == label).all():
-            return label
-        label = near
+    new = linked.any(axis=1)
+    for k in np.flatnonzero(new).tolist():
+        if not new[k]:
+            continue
+        near = np.array([k])
+        new[k] = False
+        while len(near):  # k is the smallest node of its component
+            reached = linked[near].any(axis=0) & new
+            near = np.flatnonzero(reached)
+            new[near] = False
+            label[near] = k
+    return label
+
+
+def _all_share(lower: list[np.ndarray]) -> bool:
+    """Whether all these arrays of distinct pivots have one in common."""
+    if not all(map(len, lower)):
+        return False
+    return int(np.unique(np.concatenate(lower), return_counts=True)[1].max()) == len(lower)
+
+
+def _meet_before(lower: list[np.ndarray]) -> np.ndarray:
+    """Matrix: True where two sets share one of their ``lower`` pivots."""
+    n = len(lower)
+    pivots, inverse, count = np.unique(np.concatenate(lower), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(x) for x in lower])
+    several = np.flatnonzero(count > 1)
+    column = np.full(len(pivots), -1)
+    column[several] = np.arange(len(several))
+    met = np.zeros((n, n), dtype=bool)
+    for start in range(0, len(several), 1024):
+        mine = (column[inverse] >= start) & (column[inverse] < start + 1024)
+        held = np.zeros((n, 1024), dtype=np.float32)
+        held[owner[mine], column[inverse[mine]] - start] = 1
+        some = held.any(axis=1)
+        met[np.ix_(some, some)] |= held[some] @ held[some].T > 0
+    return met
 
 
 def _links(t: Fraction, frequent: np.ndarray):
@@ -218,29 +278,30 @@ def _links(t: Fraction, frequent: np.ndarray):
     def group(rows: pd.DataFrame) -> list[np.ndarray]:
         pivot = rows["pivot"].iloc[0]
         rows = rows.drop_duplicates(["doc", "second", "grams"])
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["grams"]]
-        docs, second, copies = rows["doc"].to_numpy(), rows["second"].to_numpy(), rows["copies"].to_numpy()
-        one = [k for k in range(len(sets)) if not second[k]]
-        two = [k for k in range(len(sets)) if second[k]]
+        docs, second, copies = rows["doc"].to_numpy(), rows["second"].to_numpy(dtype=bool), rows["copies"].to_numpy()
+        one, two = np.flatnonzero(~second), np.flatnonzero(second)
         b1, k1, b2, k2 = rows[BLOCK_COLS[1:5]].iloc[0]
         if b1 == b2 and k1 == k2:
             two = one  # a block against itself; where the second of two is empty, there is nothing to compare
-        if not one or not two or len(docs) < 2:
+        if not len(one) or not len(two) or len(docs) < 2:
             return [docs[:0]] * 3
+        lower = [np.unique(x[x < pivot]) for x in map(np.asarray, rows["pivots"])]
+        if _all_share(lower):
+            return [docs[:0]] * 3
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["grams"]]
         linked = np.zeros((len(sets), len(sets)), dtype=bool)
         linked[np.ix_(one, two)] = trie_overlaps([sets[k] for k in one], [sets[k] for k in two], frequent, t)
         linked |= linked.T
         label = forest(linked)
         moved = np.flatnonzero(label != np.arange(len(label)))
         degree = np.zeros(len(docs), dtype=np.int64)
+        some = np.flatnonzero(linked.any(axis=1))
         if len(moved):
-            follows = [frozenset(x) for x in rows["pivots"]]
-            for i, j in np.argwhere(np.triu(linked, 1)):
-                if docs[i] != docs[j] and min(follows[i] & follows[j]) == pivot:
-                    degree[i] += copies[j]
-                    degree[j] += copies[i]
-        some = np.flatnonzero(degree)
-        return [np.r_[docs[moved], docs[some]], np.r_[docs[label[moved]], docs[some]], np.r_[np.zeros(len(moved), np.int64), degree[some]]]
+            pairs = linked[np.ix_(some, some)] & (docs[some][:, None] != docs[some][None, :])
+            pairs &= ~_meet_before([lower[k] for k in some])
+            degree[some] = pairs @ copies[some].astype(np.float64)
+        counted = np.flatnonzero(degree)
+        return [np.r_[docs[moved], docs[counted]], np.r_[docs[label[moved]], docs[counted]], np.r_[np.zeros(len(moved), np.int64), degree[counted]]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -282,10 +343,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = stored(sets.filter("size > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("rep"), F.max("doc").alias("other")), "classes")
     some = sets.filter("size > 0 and doc is not null")
     members = stored(some.drop("prefix").join(merged(classes.select(*same, "rep")), same).select("doc", "size", "rep", "least", "forgo"), "members")
-    # a gram's rows stand in the order of documents, the pivot first; one that is alone leads nowhere
-    by_gram = Window.partitionBy("gram").orderBy("doc")
-    led = some.select("doc", F.explode("prefix").alias("gram")).select("doc", F.first("doc").over(by_gram.rowsBetween(Window.unboundedPreceding, 0)).alias("pivot"), F.row_number().over(by_gram).alias("nth"), F.lead("doc").over(by_gram).alias("next"))
-    led = stored(led.filter("nth > 1 or next is not null").groupBy("doc", "pivot").agg(F.count("*").alias("n")), "led")
+    # a gram leads to its smallest document, if it is in another one too: an aggregate that combines before its shuffle,
+    # and a join whose larger partitions can be split
+    held = some.select("doc", F.explode("prefix").alias("gram"))
+    pivots = stored(held.groupBy("gram").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).filter("pivot < last").select("gram", "pivot"), "pivots")
+    led = stored(held.join(merged(pivots), "gram").groupBy("doc", "pivot").agg(F.count("*").alias("n")), "led")
     led = led.join(merged(members.filter("doc = rep").dropDuplicates(["doc", "size"])), "doc")
     by_doc = Window.partitionBy("doc", "size")
     led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn("left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0)))
@@ -318,7 +380,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     places = places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("pivot").alias("pivots"))
     copies = members.select("doc", "rep").distinct().groupBy(F.col("rep").alias("doc")).agg(F.count("*").alias("copies"))
     places = stored(places.join(merged(copies), "doc"), "places")
-    keyed = narrowed(texts, places.select("doc"), "doc").join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
+    keyed = texts.join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long, n long")
     links = stored(links, "links")

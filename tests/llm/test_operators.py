@@ -346,6 +346,44 @@ def test_op6_empty_block(spark):
     assert _sorted(got.select("doc_id", "n_shingles", "component_id", "n_links").collect()) == _sorted(brute.jaccard(rows, 3, 90, 100))
 
 
+def test_op6_thresholds(spark):
+    """No link is lost at any threshold: sets inside each other, and chains of near copies."""
+    r = random.Random(4)
+    words = [f"v{k}" for k in range(400)]
+    rows = [(0, " ".join(words[:100])), (1, " ".join(words[:250])), (2, " ".join(words[:110])), (3, " ".join(words[40:160]))]
+    for i in range(4, 120):
+        a = r.randrange(300)
+        rows.append((i, " ".join(r.sample(words[a : a + 100], r.randint(3, 90)))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for percent in (10, 20, 30, 40, 50, 60, 70, 90):
+        got = jaccard_join.jaccard_components(df, n=1, threshold=percent / 100).select("doc_id", "n_shingles", "component_id", "n_links")
+        assert _sorted(got.collect()) == _sorted(brute.jaccard(rows, 1, percent, 100)), percent
+
+
+def test_op6_large_group(spark):
+    """20,000 near copies, each with a word of its own at one of sixty places: a set is read once for each block of its group."""
+    from fractions import Fraction
+
+    n, words = 20_000, [f"v{k}" for k in range(60)]
+    place = [i * 7 % 60 for i in range(n)]
+    rows = [(i, " ".join([*words[: place[i]], f"own{i}", *words[place[i] + 1 :]])) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in jaccard_join.jaccard_components(df, n=3, threshold=0.9).collect()}
+    touched = [{g for g in range(58) if g <= p <= g + 2} for p in range(60)]
+    there = Counter(place)
+
+    def like(p, q):
+        both = 58 - len(touched[p] | touched[q])
+        return Fraction(both, 116 - both) >= Fraction(9, 10)
+
+    links = [sum(there[q] for q in range(60) if like(p, q)) - like(p, p) for p in range(60)]  # of one place too, the own words differ
+    assert all(got[i][1] == links[place[i]] for i in range(n))
+    smallest = [min(i for i in range(n) if place[i] == p) for p in range(60)]
+    for _ in range(60):
+        smallest = [min(smallest[q] for q in range(60) if q == p or like(p, q)) for p in range(60)]
+    assert all(got[i][0] == (smallest[place[i]] if like(place[i], place[i]) else i) for i in range(n))
+
+
 def test_op6_trie():
     from fractions import Fraction
 
