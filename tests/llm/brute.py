@@ -92,3 +92,42 @@ def indel(a, b):
         for j, y in enumerate(b, 1):
             row[j] = before[j - 1] if x == y else 1 + min(before[j], row[j - 1])
     return row[-1]
+
+
+def aimed(clause, insult, target, reach):
+    """(insults with a target, those without): one within reach before it, or the first to come within reach if no other insult comes between."""
+    with_, without = 0, 0
+    for k, x in enumerate(clause):
+        if x != insult:
+            continue
+        before = target in clause[max(0, k - reach) : k]
+        after = clause[k + 1 : k + 1 + reach]
+        upto = after[: after.index(target)] if target in after else None
+        if before or upto is not None and insult not in upto:
+            with_ += 1
+        else:
+            without += 1
+    return with_, without
+
+
+def threatened(clause, threat, target, reach):
+    """Targets that a threat within reach meets first."""
+    found = 0
+    for k, x in enumerate(clause):
+        since = clause[:k]
+        while target in since:
+            since = since[since.index(target) + 1 :]
+        found += x == target and threat in since[-reach:]
+    return found
+
+
+def negated_reported(clause, insult, negation, report, reach):
+    """Insults that a negation reaches, and the others after a reporting verb. An insult ends what does not reach it."""
+    negated = reported = 0
+    for k, x in enumerate(clause):
+        if x == insult:
+            if negation in clause[max(0, k - reach) : k]:
+                negated += 1
+            elif report in clause[:k]:
+                reported += 1
+    return negated, reported
