@@ -10,7 +10,8 @@
    its grams lead to, and a set of which fewer grams recur than any link must share has no partner.
 3. A pivot's sets are split by size band (linked sets are in the same band or the next) and, beyond a bound on a
    block's grams, into blocks; every pair of blocks that can hold a link meets once, in a group of bounded size.
-   Where all sets of a group follow a smaller pivot too, they meet there, and the group is passed over.
+   Where all sets of a group follow a smaller pivot too, they meet there, and the group is passed over; a pivot that
+   is a near copy of another joins its group beforehand.
 4. In a group the sets of one block form a radix trie. It is walked once for all sets of the other block: a node
    adds its run of grams to the overlaps of all of them, and a subtree is left when no overlap can still suffice by
    what remains. Links leave as a forest on the block's sets, never as all pairs.
@@ -351,8 +352,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     led = led.join(merged(members.filter("doc = rep").dropDuplicates(["doc", "size"])), "doc")
     by_doc = Window.partitionBy("doc", "size")
     led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn("left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0)))
+    led = stored(led, "weighed")
+    # Copies that lack some of the first pivot's grams would be led to others by these, and the group would meet many
+    # times over. A pivot that half of its own recurring grams lead to another joins that one's group, in two steps
+    parents = led.filter("pivot < doc and 2 * n >= all").groupBy("doc").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("parent")).select(F.col("doc").alias("pivot"), "parent")
+    parents = stored(parents, "parents")
+    further = parents.select(F.col("pivot").alias("parent"), F.col("parent").alias("beyond"))
+    parents = stored(parents.join(merged(further), "parent", "left").select("pivot", F.coalesce("beyond", "parent").alias("parent")), "parents")
     step = math.log(1 / float(t))
-    meets = led.filter("all >= least and left > forgo").select("doc", "size", "pivot").distinct()
+    meets = led.filter("all >= least and left > forgo").select("doc", "size", "pivot").join(merged(parents), "pivot", "left")
+    meets = meets.select("doc", "size", F.coalesce("parent", "pivot").alias("pivot")).distinct()
     meets = stored(meets.withColumn("band", F.floor(F.log(F.col("size")) / F.lit(step) + F.lit(1e-9)).cast("int")), "meets")
 
     # Blocks of a pivot's band: as many as keep each within its bounds
