@@ -16,14 +16,33 @@ MIX = 0xBF58476D1CE4E5B9
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where it is unset."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, one of our own if all tasks run in this process (tests); on a cluster that is an error, as other
+    machines would not see a local folder.
+    """
+    conf = spark.sparkContext.getConf()
+    at = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = conf.get("spark.master") or ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="corpustide-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These column names, each made longer until ``df`` has none like it (Spark does not tell case apart)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and survives the loss of any executor."""
     spark = df.sparkSession

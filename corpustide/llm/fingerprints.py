@@ -9,6 +9,7 @@ edit distance where their block sizes are equal or one step apart.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,11 +135,27 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def _split_points(values: DataFrame, n: int) -> list[int]:
-    """At most ``n`` split points of a long column, by approximate quantiles."""
-    n = min(n, 2048)
-    points = values.approxQuantile("doc", [k / n for k in range(1, n)], 0.25 / n) if n > 1 else []
-    return sorted({int(x) for x in points})
+def _parts(rows: DataFrame, n: int) -> DataFrame:
+    """Adds ``part``: about ``n`` ranges of (doc, hash), numbered in their order.
+
+    Ranges lie between approximate quantiles of doc. An id that fills several of them (nulls, which have one value, or a
+    repeated id) gets as many ranges of the hash.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    points = sorted(rows.approxQuantile("doc", [k / n for k in range(1, n)], 0.25 / n)) if n > 1 else []
+    ends = sorted(set(points))
+    exact = lambda x: abs(x) < 2**53 or x == -(2.0**63)  # noqa: E731  a double that stands for one id
+    table, base = [], 0
+    for k, value in enumerate([None, *ends]):
+        hot = points.count(value) if value is not None and exact(value) and points.count(value) > 1 else 0
+        table.append((float(k), base, hot, int(value) if hot else None))
+        base += hot + 1
+    ranges = rows.sparkSession.createDataFrame(table, "_k double, base int, hot int, value long")  # at most n rows
+    numbered = Bucketizer(splits=[-math.inf, *ends, math.inf], inputCol="_place", outputCol="_k").transform(rows.withColumn("_place", F.col("doc").cast("double"))) if ends else rows.withColumn("_place", F.lit(0.0)).withColumn("_k", F.lit(0.0))
+    place = (F.col("hash").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)  # of the hash, from 0 to 1
+    within = F.when(F.col("doc") == F.col("value"), F.least(F.col("hot") - 1, F.floor(place * F.col("hot")).cast("int"))).otherwise(F.col("hot"))
+    return numbered.join(F.broadcast(ranges), "_k").withColumn("part", F.col("base") + within).drop("_k", "_place", "base", "hot", "value")
 
 
 def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,24 +163,15 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     The next document is the one with the next smaller id, after the smallest the largest; rows of equal ids follow
     each other by a hash of their texts, null ids come last. Null texts count as empty; an empty table gives no
-    rows, a single row is its own next. Other columns are not read.
+    rows, a single row is its own next; texts of any length are read whole. Other columns are not read.
 
     The texts move once: to ranges of ids, in order, each with the first row of the range that follows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(id_col).isNull().alias("void"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    points = _split_points(rows.select("doc"), 8 * parts)
-    wide = max(1, int(len(points) ** 0.5))
-    groups = [points[k : k + wide] for k in range(0, len(points), wide)]
-    if groups:  # two short searches instead of a long one
-        first = F.array(*[F.lit(g[0]).cast("long") for g in groups])
-        inner = F.array(*[F.array(*[F.lit(x).cast("long") for x in g]) for g in groups])
-        coarse = F.size(F.filter(first, lambda x: x <= F.col("doc")))
-        rows = rows.withColumn("coarse", coarse).withColumn("part", F.when(F.col("coarse") == 0, 0).otherwise((F.col("coarse") - 1) * wide + F.size(F.filter(F.element_at(inner, F.greatest(F.col("coarse"), F.lit(1))), lambda x: x <= F.col("doc"))))).drop("coarse")
-    else:
-        rows = rows.withColumn("part", F.lit(0))
-    # first row of each part, in the order of descending ids; at most 2048 rows
+    rows = _parts(rows, 8 * parts)
+    # first row of each part, in the order of descending ids: a row for each part
     heads = rows.groupBy("part").agg(F.max(F.struct("doc", "hash")).alias("top")).select("part", "top.doc", "top.hash").collect()
     heads.sort(key=lambda r: -r["part"])
     after = [(heads[(k + 1) % len(heads)]["doc"], heads[(k + 1) % len(heads)]["hash"], r["part"]) for k, r in enumerate(heads)]

@@ -6,8 +6,8 @@ most repeated source stays within the repetition limit. Each source then gets it
 whole permutations of its documents and the start of one more, cut where its budget ends; blocks cut across all
 sources at the same fractions of their budgets, so every block has the mix's weights.
 
-Running sums over a permutation go by ranges of its hash, some hundred rows each, whose totals are summed first: no
-source, however large, is sorted in one task.
+Running sums over a permutation go by ranges of its hash, some hundred rows each, and those by coarser ranges, as many
+as a coarse one has fine ones, whose totals are summed first: no source, however large, is sorted in one task.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_names, stored
 
 #: Ways and rounds of the search: the exponent is found to about 1e-7.
 WAYS, ROUNDS = 32, 5
-#: Rows of a range at best, ranges of a source at most.
-RANGE, RANGES = 100, 4096
+#: Rows of a fine range, about.
+RANGE = 100
 
 
 def count_tokens(text: Column) -> Column:
@@ -65,7 +65,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Without ``budget`` the largest source is read once, so nothing is left out. A document is taken while its source's
     budget holds all of it. Documents without tokens (null, empty) cost nothing and are taken once; null sources are
-    one source, with an empty name. Rows that repeat are documents of their own. Other columns are not read.
+    one source, with an empty name. Rows that repeat are documents of their own, an empty table gives no rows. Other
+    columns are not read.
     """
     rows = stored(docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), count_tokens(F.col(text_col)).alias("n")), "tokens")
     totals = rows.groupBy("source").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("docs")).filter("total > 0")
@@ -77,18 +78,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     z, top_total, top_power = power.agg(F.sum("q"), F.max("total"), F.max("q")).first()
     every = budget if budget is not None else (top_total or 0) * (z or 1) / (top_power or 1)
     sources = power.withColumn("weight", F.col("q") / F.lit(z or 1.0)).withColumn("budget", F.round(F.col("weight") * F.lit(float(every))).cast("long"))
-    sources = sources.withColumn("ranges", F.least(F.lit(RANGES), F.greatest(F.lit(1), F.ceil(F.col("docs") / RANGE))).cast("int"))
+    sources = sources.withColumn("ranges", F.ceil(F.sqrt(F.col("docs") / RANGE)).cast("long"))
     sources = stored(sources.select("source", "total", "weight", "budget", "ranges"), "sources")
 
     times = F.floor(F.col("budget") / F.col("total")).cast("int") + F.when(F.col("budget") % F.col("total") > 0, 1).otherwise(0)
     taken = rows.filter("n > 0").join(sources, "source").filter(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "epoch", "doc", "hash"), 11) / F.lit(float(2**53))  # in [0, 1)
-    taken = stored(taken.withColumn("place", place).withColumn("range", F.floor(F.col("place") * F.col("ranges")).cast("int")).select("doc", "hash", "source", "n", "epoch", "total", "budget", "place", "range"), "taken")
-    ranges = taken.groupBy("source", "epoch", "range").agg(F.sum("n").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    firsts = stored(ranges.select("source", "epoch", "range", before.alias("first")), "firsts")
-    within = F.coalesce(F.sum("n").over(Window.partitionBy("source", "epoch", "range").orderBy("place", "doc", "hash").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = taken.withColumn("within", within).join(firsts, ["source", "epoch", "range"])
+    fine = F.floor(F.col("place") * F.col("ranges") * F.col("ranges")).cast("long")
+    taken = taken.withColumn("place", place).withColumn("fine", fine).withColumn("coarse", F.floor(F.col("fine") / F.col("ranges")))
+    taken = stored(taken.select("doc", "hash", "source", "n", "epoch", "total", "budget", "place", "coarse", "fine"), "taken")
+    sums = stored(taken.groupBy("source", "epoch", "coarse", "fine").agg(F.sum("n").alias("n")), "sums")
+
+    def before(rows: DataFrame, keys: list[str], by: list[str], name: str) -> DataFrame:
+        so_far = F.sum("n").over(Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumn(name, F.coalesce(so_far, F.lit(0)))
+
+    keys = ["source", "epoch", "coarse"]
+    outer = before(sums.groupBy(*keys).agg(F.sum("n").alias("n")), keys[:2], ["coarse"], "outer").drop("n")
+    firsts = before(sums, keys, ["fine"], "inner").drop("n").join(outer, keys)
+    firsts = stored(firsts.select(*keys, "fine", (F.col("outer") + F.col("inner")).alias("first")), "firsts")
+    placed = before(taken, [*keys, "fine"], ["place", "doc", "hash"], "within").join(firsts, [*keys, "fine"])
     offset = F.col("epoch") * F.col("total") + F.col("first") + F.col("within")
     placed = placed.withColumn("offset", offset.cast("long")).filter(F.col("offset") + F.col("n") <= F.col("budget"))
     block = F.floor(F.col("offset") * F.lit(float(blocks)) / F.col("budget")).cast("int")
@@ -98,20 +107,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it; same columns. See :func:`mix`.
+    """The rows of ``docs``, each as many times as the mix takes it; same columns, whatever their names. See :func:`mix`.
 
-    The mix tells rows apart by id, text and source; of rows that repeat in all three each is taken the same number of
-    times, to within one.
+    The mix tells rows apart by id, text and source, nulls being values of their own; of rows that repeat in all three
+    each is taken the same number of times, to within one. Rows without words are taken once. An empty table gives no rows.
     """
-    keys = ["_doc", "_hash", "_source"]
-    taken = mix(docs, id_col, text_col, source_col, **how).groupBy(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), F.col("source").alias("_source")).agg(F.count("*").alias("_taken"))
-    rows = docs.withColumn("_k", F.struct(F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source")))
-    same = docs.groupBy(F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source")).agg(F.count("*").alias("_rows"))
-    null_safe = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    each = taken.alias("t").join(same.alias("s"), null_safe("t", "s")).select("t._doc", "t._hash", "t._source", F.round(F.col("_taken") / F.col("_rows")).cast("int").alias("_times"))
-    each = each.select(F.struct(*keys).alias("_e"), "_times")
-    joined = rows.join(each, [F.col(f"_k.{k}").eqNullSafe(F.col(f"_e.{k}")) for k in keys])
-    return joined.filter("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    key_, same_, times_, nth_ = free_names(docs, "_key", "_same", "_times", "_nth")
+    key = F.struct(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
+    taken = mix(docs, id_col, text_col, source_col, **how).groupBy(F.struct(F.col("doc_id").alias("doc"), "hash", "source").alias("key")).agg(F.count("*").alias("taken"))
+    there = docs.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("rows"))
+    each = taken.join(there, "key").select(F.col("key").alias(same_), F.round(F.col("taken") / F.col("rows")).cast("int").alias(times_)).filter(F.col(times_) > 0)
+    rows = docs.withColumn(key_, key)
+    joined = rows.join(each, [F.col(f"{key_}.{k}").eqNullSafe(F.col(f"{same_}.{k}")) for k in ("doc", "hash", "source")])
+    return joined.withColumn(nth_, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*docs.columns)
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

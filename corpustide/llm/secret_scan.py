@@ -1,8 +1,9 @@
 """Secret scan by corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are found by patterns, with their places in code points. Each candidate value is then counted over the
-whole corpus by distinct repositories and owners: a value that several owners hold is an example that is copied
-around; one that a single owner holds looks live.
+whole corpus by distinct repositories and owners: a value that several owners hold in several repositories is an
+example that is copied around. One that few owners hold looks live, in however many repositories of theirs; so does
+one that many owners share in few repositories, as it has not spread beyond those.
 
 Places come from cutting the text at the matches: the pieces between them and the matches alternate, so running sums
 of their lengths give the starts, at any number of matches and length of text.
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_names, stored
 
 #: Kinds in their order: pattern of a match; group of its value; fewest characters of the value. Fixed values; the
 #: first three are the base kinds. Hex and access-key matches are runs, so asking for the length in the pattern
@@ -27,8 +28,8 @@ KINDS = [
     ("prefixed", r"(?:gh[oprsu]|github_pat|glpat|xox[abprs])[_-][A-Za-z0-9_-]{16,}", 0, 1),
 ]
 BASE = 3
-#: Values held by as many owners or more are examples.
-OWNERS = 3
+#: Values held by as many owners or more, and in as many repositories or more, are examples.
+OWNERS, REPOSITORIES = 3, 3
 _SPAN = "struct<start: bigint, rank: int, stop: bigint, value: string>"
 
 
@@ -71,21 +72,23 @@ def ownership(found: DataFrame) -> DataFrame:
     return values.groupBy("value").agg(F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners"))
 
 
-def _verdicts(found: DataFrame, owners: int) -> DataFrame:
+def _verdicts(found: DataFrame, owners: int, repositories: int) -> DataFrame:
     """Spans with what holds their values: uid, span, repos, owners, live."""
     counts = stored(ownership(found), "ownership")
     spans = found.select("uid", F.explode("spans").alias("span")).withColumn("value", F.sha2("span.value", 256))
-    return spans.join(counts, "value").select("uid", "span", "repos", "owners", (F.col("owners") < owners).alias("live"))
+    return spans.join(counts, "value").select("uid", "span", "repos", "owners", ((F.col("owners") < owners) | (F.col("repos") < repositories)).alias("live"))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live_spans, held_by.
 
-    ``held_by`` has, for each of ``spans`` in their order, the distinct repositories and owners of its value. Null texts count as empty, null repositories and owners as one that is unnamed. Values of ``owners`` distinct
-    owners or more are examples, others live. Rows that repeat an id each get a row. Other columns are not read.
+    ``held_by`` has, for each of ``spans`` in their order, the distinct repositories and owners of its value. Null texts
+    count as empty, null repositories and owners as one that is unnamed. Values of ``owners`` distinct owners or more in
+    ``repositories`` distinct repositories or more are examples, others live. Rows that repeat an id each get a row, an
+    empty table gives none, texts of any length are read whole. Other columns are not read.
     """
     found = candidates(docs, id_col, text_col, repo_col, owner_col)
-    judged = _verdicts(found, owners).groupBy("uid").agg(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"), F.count_if(~F.col("live")).alias("n_example"), F.array_sort(F.collect_list(F.struct("span", "repos", "owners"))).alias("held"))
+    judged = _verdicts(found, owners, repositories).groupBy("uid").agg(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"), F.count_if(~F.col("live")).alias("n_example"), F.array_sort(F.collect_list(F.struct("span", "repos", "owners"))).alias("held"))
     of = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["rank"] < BASE)
     out = found.join(judged, "uid", "left")
@@ -96,15 +99,20 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS, mark: str = "[SECRET]") -> DataFrame:
-    """The rows of ``docs`` with every live-looking secret replaced by ``mark``; examples stay. Same columns."""
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES, mark: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs`` with every live-looking secret replaced by ``mark``; examples stay. Same columns, whatever their names.
+
+    Null texts stay null, texts without secrets as they are; rows that repeat, and rows without an id, are each kept.
+    Where spans of several kinds overlap, one mark takes the place of all. An empty table gives no rows.
+    """
+    spans_, hash_ = free_names(docs, "_spans", "_hash")
     any_kind = "|".join(f"(?:{k[1]})" for k in KINDS)
     has = F.coalesce(F.col(text_col).rlike(any_kind), F.lit(False))
     marked = docs.filter(has)
     found = candidates(marked, id_col, text_col, repo_col, owner_col)
-    live = _verdicts(found, owners).filter("live").groupBy("uid").agg(F.array_sort(F.collect_list("span")).alias("_spans"))
+    live = _verdicts(found, owners, repositories).filter("live").groupBy("uid").agg(F.array_sort(F.collect_list("span")).alias("live"))
     # spans and verdicts follow from the text alone, so one row for each distinct text is enough
-    keyed = stored(found.join(live, "uid").select(F.col("hash").alias("_hash"), "_spans").dropDuplicates(["_hash"]), "live")
+    keyed = stored(found.join(live, "uid").select("hash", "live").dropDuplicates(["hash"]), "live").select(F.col("hash").alias(hash_), F.col("live").alias(spans_))
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
@@ -113,8 +121,8 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     rest = lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.char_length(text)))
-    clean = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, rest))
-    redacted = marked.join(keyed, F.sha2(text, 256) == F.col("_hash"), "left")
+    clean = F.when(F.col(spans_).isNull(), text).otherwise(F.aggregate(spans_, start, step, rest))
+    redacted = marked.join(keyed, F.sha2(text, 256) == F.col(hash_), "left")
     return docs.filter(~has).unionByName(redacted.withColumn(text_col, clean).select(*docs.columns))
 
 

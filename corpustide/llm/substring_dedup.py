@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import BASES, Rolling, WordHashes, mixed, sliding_min, stored
 
-#: Bits of a seed's order key that hold its place, so that of equal hashes the rightmost wins: documents of up to 2**28 words.
+#: Bits of a seed's order key that hold its place, so that of equal hashes the rightmost wins; longer documents go in
+#: segments of so many windows.
 PLACE_BITS = 28
+SEGMENT = 1 << 27
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -42,8 +44,12 @@ def regions(hashes: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, ...
     one, two = Rolling(hashes, BASES[0]), Rolling(hashes, BASES[1])
     seeds = one.windows(seed)
     mask = np.uint64((1 << PLACE_BITS) - 1)
-    keys = (seeds & ~mask) | (mask - np.arange(len(seeds), dtype=np.uint64))
-    at = (mask - (sliding_min(keys, window - seed + 1) & mask)).astype(np.int64)
+    windows = len(hashes) - window + 1
+    at = np.empty(windows, dtype=np.int64)
+    for low in range(0, windows, SEGMENT):
+        some = seeds[low : min(low + SEGMENT, windows) + window - seed]
+        keys = (some & ~mask) | (mask - np.arange(len(some), dtype=np.uint64))
+        at[low : low + SEGMENT] = low + (mask - (sliding_min(keys, window - seed + 1) & mask)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     last = np.r_[first[1:], len(at)] - 1
     place = at[first] - first
@@ -142,8 +148,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: doc_id, n_words, n_removed, kept_sha256, kept (text without repeats), spans (maximal repeats, in words).
 
     Null and empty texts have no words, and the SHA-256 of the empty string; null ids keep all their words; repeated
-    rows each get a row; of equal passages the one in the smallest id stays. Other columns of ``docs`` are not read.
-    Without ``texts``, kept is null.
+    rows each get a row; of equal passages the one in the smallest id stays. An empty table gives no rows; texts of any
+    length are read whole, by one task each. Other columns of ``docs`` are not read. Without ``texts``, kept is null.
     """
     if not 1 <= seed < window:
         raise ValueError("seed must be shorter than window")

@@ -131,3 +131,67 @@ def negated_reported(clause, insult, negation, report, reach):
             elif report in clause[:k]:
                 reported += 1
     return negated, reported
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def _chunk_letter(data):
+    value = 0
+    for k, x in enumerate(data):
+        value += (x + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64)
+    value &= (1 << 64) - 1
+    value ^= value >> 31
+    value = value * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    value ^= value >> 29
+    return LETTERS[value >> 58]
+
+
+def fingerprint(text):
+    """Block size, letters, letters at twice the block size: chunks end where the hash of the last seven bytes says so."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    if not data:
+        return "3::"
+    size = 3
+    while size * 64 < len(data):
+        size *= 2
+    marks = []
+    for i in range(len(data)):
+        h = 0
+        for j in range(min(7, i + 1)):
+            h += (data[i - j] + 1) * pow(0x2C1B3C6D, j, 1 << 32)
+        h &= 0xFFFFFFFF
+        h ^= h >> 15
+        h = h * 0x297A2D39 & 0xFFFFFFFF
+        marks.append(h ^ h >> 16)
+    while size > 3 and sum(h % size == size - 1 for h in marks) < 32:
+        size //= 2
+
+    def letters(block, most):
+        out, at = "", 0
+        for i, h in enumerate(marks):
+            if h % block == block - 1 and len(out) < most - 1:
+                out += _chunk_letter(data[at : i + 1])
+                at = i + 1
+        return out + _chunk_letter(data[at:]) if at < len(data) else out
+
+    return f"{size}:{letters(size, 64)}:{letters(2 * size, 32)}"
+
+
+def likeness(one, two):
+    if one == two:
+        return 1.0
+    (x, *a), (y, *b) = one.split(":"), two.split(":")
+
+    def of(p, q):
+        if p == q:
+            return 1.0
+        if not p or not q:
+            return 0.0
+        n = min(7, max(1, min(len(p), len(q)) // 3))
+        if not {p[k : k + n] for k in range(len(p) - n + 1)} & {q[k : k + n] for k in range(len(q) - n + 1)}:
+            return 0.0
+        return 1 - indel(p, q) / (len(p) + len(q))
+
+    x, y = int(x), int(y)
+    return max(of(a[0], b[0]), of(a[1], b[1])) if x == y else of(a[0], b[1]) if x == 2 * y else of(a[1], b[0]) if y == 2 * x else 0.0

@@ -86,6 +86,16 @@ def test_op1_partial_matches(spark):
     assert _sorted(got) == _sorted(brute.substring_dedup(rows))
 
 
+def test_op1_segments(monkeypatch):
+    """A long document goes in segments, with the same anchors."""
+    hashes = np.random.default_rng(3).integers(0, 2**62, 3000).astype(np.uint64)
+    hashes[500:700] = hashes[100]
+    want = substring_dedup.regions(hashes, 50, 25)
+    monkeypatch.setattr(substring_dedup, "SEGMENT", 37)
+    for x, y in zip(want, substring_dedup.regions(hashes, 50, 25)):
+        assert (x == y).all()
+
+
 def _reference_pieces(rows, capacity=1024):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -216,6 +226,32 @@ def test_op3(spark, docs, odd, none):
     assert got[0] > 0.5 > 0.2 > got[1]
 
 
+def test_op3_plain(docs):
+    """Fingerprints and likenesses against a version in plain integers, byte by byte."""
+    texts = [r["text"] or "" for r in docs.select("text").collect() if len(r["text"] or "") < 6000][:80] + ["", "a", "abcdefg", "é" * 50, "x" * 700]
+    for one, two in zip(texts, texts[1:] + texts[:1]):
+        a, b = brute.fingerprint(one), brute.fingerprint(two)
+        changed = brute.fingerprint(fingerprints.edited(one, two))
+        assert fingerprints.fingerprint(one) == a
+        assert abs(fingerprints.likeness(a, changed) - brute.likeness(a, changed)) < 1e-12
+        assert abs(fingerprints.likeness(a, b) - brute.likeness(a, b)) < 1e-12
+
+
+def test_op3_heavy_ids(spark):
+    """A third of the rows without an id, a third with one id: they spread over ranges of their hash, in order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " * (i % 9)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    plain = df.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), "text", F.xxhash64("text").alias("hash"))
+    parts = fingerprints._parts(plain, 32).collect()
+    assert max(Counter(r["part"] for r in parts).values()) <= 150 and len({r["part"] for r in parts}) > 16
+    key = {(r["doc_id"], r["text"]): r["h"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    line = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -key[r]))
+    want = Counter()
+    for k, (i, text) in enumerate(line):
+        want[i, hashlib.sha256(fingerprints.edited(text, line[(k + 1) % len(line)][1]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in fingerprints.fingerprint_neighbours(df).collect()) == want
+
+
 def test_op3_distance():
     r = random.Random(1)
     for _ in range(200):
@@ -298,6 +334,27 @@ def test_op5_ownership(spark):
     assert clean[4] == "key: password=copied-example [SECRET] \U0001f600 end"
 
 
+def test_op5_spread(spark):
+    """Live is what few owners hold, in however many repositories, and what has not spread beyond few repositories."""
+    rows = [(i, "secret=one-owner-only", f"r{i}", "o") for i in range(6)] + [(10 + i, "secret=one-repository", "r", f"o{i}") for i in range(6)] + [(20 + i, "secret=copied-around", f"r{i}", f"o{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    got = {r["doc_id"]: (r["n_live"], r["n_example"]) for r in secret_scan.scan_secrets(df, repo_col="repo", owner_col="owner").collect()}
+    assert got == {i: (1, 0) if i < 20 else (0, 1) for i, *_ in rows}
+
+
+def test_clashing_names(spark, odd):
+    """Stages that return the caller's columns leave them alone, whatever they are called."""
+    names = ["_spans", "_hash", "_times", "_e", "_n", "_k", "_key", "_same", "_nth", "live", "uid", "key", "taken", "rows"]
+    df = odd.select("*", *[F.lit(f"own {n}").alias(n) for n in names if n not in odd.columns])
+    own = {n: f"own {n}" for n in names if n not in odd.columns}
+    for out in (secret_scan.redact_secrets(df), mixing.mixed_documents(df)):
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert len(rows) >= len(ODD) and all(r[n] == x for r in rows for n, x in own.items())
+    taken = Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.mixed_documents(df).select("doc_id", "text", "source").collect())
+    assert set(taken) == {(r["doc_id"], r["text"], r["source"]) for r in odd.select("doc_id", "text", "source").collect()}
+
+
 def test_op5_repositories(spark):
     """Repositories and owners of each value, where they are not the same."""
     rows = [(i, "secret=mine-abcdefgh" + (" password=copied-example" if i % 2 else ""), f"r{i}", f"o{i % 2}") for i in range(4)] + [(4, "", "r0", "o0")]
