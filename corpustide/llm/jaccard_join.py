@@ -12,10 +12,13 @@
    block's grams, into blocks; every pair of blocks that can hold a link meets once, in a group of bounded size.
    Where all sets of a group follow a smaller pivot too, they meet there, and the group is passed over; a pivot that
    is a near copy of another joins its group beforehand.
-4. In a group the sets of one block form a radix trie. It is walked once for all sets of the other block: a node
+4. The sets of a group are first compared by bitmaps of one bit a gram, the parity of the grams that fall on it: two
+   sets differ by as many grams as their bitmaps by bits at least, so a set whose bitmap is too far from all others
+   in its group has no link there. Only the others' texts are read again and their sets brought together.
+5. In a group the sets of one block form a radix trie. It is walked once for all sets of the other block: a node
    adds its run of grams to the overlaps of all of them, and a subtree is left when no overlap can still suffice by
    what remains. Links leave as a forest on the block's sets, never as all pairs.
-5. Components come from hooking and pointer jumping over stored tables.
+6. Components come from hooking and pointer jumping over stored tables.
 """
 
 from __future__ import annotations
@@ -117,11 +120,34 @@ def _prefix(size: int, t: Fraction) -> int:
     return min(size, size - math.ceil(t * size) + extra(size, t)) if size else 0
 
 
+#: Bits of a set's bitmap at least and at most.
+BITS = (64, 1 << 15)
+
+
+def parity(grams: np.ndarray) -> bytes:
+    """Bitmap of a set: a power of two of bits, one for each gram or more within BITS; each the parity of the grams that fall on it."""
+    bits = min(BITS[1], max(BITS[0], 1 << max(0, len(grams) - 1).bit_length()))
+    return np.packbits((np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def far_apart(one: list[bytes], two: list[bytes], sizes_one: np.ndarray, sizes_two: np.ndarray, t: Fraction) -> np.ndarray:
+    """Matrix: True where bitmaps differ by more bits than linked sets of these sizes do by grams."""
+    bits = 8 * min(map(len, one + two))
+
+    def signs(maps: list[bytes]) -> np.ndarray:
+        # folding a bitmap gives the parities of fewer bits
+        folded = np.stack([np.unpackbits(np.frombuffer(x, dtype=np.uint8)).reshape(-1, bits).sum(axis=0) & 1 for x in maps])
+        return 1 - 2 * folded.astype(np.float32)
+
+    differ = (bits - signs(one) @ signs(two).T) / 2
+    return differ * (t.denominator + t.numerator) > (t.denominator - t.numerator) * (sizes_one[:, None] + sizes_two[None, :]).astype(np.float64)
+
+
 def _summaries(n: int, t: Fraction, frequent: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            size, one, two, prefix, least, forgo = [], [], [], [], [], []
+            size, one, two, prefix, least, forgo, bits = [], [], [], [], [], [], []
             for text in batch["text"]:
                 grams = gram_hashes(text, n, known)
                 size.append(len(grams))
@@ -131,7 +157,8 @@ def _summaries(n: int, t: Fraction, frequent: np.ndarray):
                 prefix.append(ordered(grams, frequent)[: _prefix(len(grams), t)].view(np.int64))
                 least.append(least_shared(len(grams), t))
                 forgo.append(forgone(len(grams), t))
-            yield pd.DataFrame({"doc": batch["doc"], "size": size, "one": one, "two": two, "least": least, "forgo": forgo, "prefix": prefix})
+                bits.append(parity(grams))
+            yield pd.DataFrame({"doc": batch["doc"], "size": size, "one": one, "two": two, "least": least, "forgo": forgo, "bits": bits, "prefix": prefix})
 
     return run
 
@@ -160,7 +187,9 @@ def _blocks(n: int, frequent: np.ndarray):
     return run
 
 
-BLOCK_COLS = ["pivot", "b1", "k1", "b2", "k2", "doc", "second", "copies", "pivots", "grams"]
+#: A group: pivot, and band and block of both sides.
+KEYS = ["pivot", "b1", "k1", "b2", "k2"]
+BLOCK_COLS = [*KEYS, "doc", "second", "copies", "pivots", "grams"]
 BLOCK_KINDS = "pivot long, b1 int, k1 int, b2 int, k2 int, doc long, second boolean, copies long, pivots array<long>, grams binary"
 
 
@@ -277,17 +306,10 @@ def _links(t: Fraction, frequent: np.ndarray):
     """
 
     def group(rows: pd.DataFrame) -> list[np.ndarray]:
-        pivot = rows["pivot"].iloc[0]
         rows = rows.drop_duplicates(["doc", "second", "grams"])
-        docs, second, copies = rows["doc"].to_numpy(), rows["second"].to_numpy(dtype=bool), rows["copies"].to_numpy()
-        one, two = np.flatnonzero(~second), np.flatnonzero(second)
-        b1, k1, b2, k2 = rows[BLOCK_COLS[1:5]].iloc[0]
-        if b1 == b2 and k1 == k2:
-            two = one  # a block against itself; where the second of two is empty, there is nothing to compare
-        if not len(one) or not len(two) or len(docs) < 2:
-            return [docs[:0]] * 3
-        lower = [np.unique(x[x < pivot]) for x in map(np.asarray, rows["pivots"])]
-        if _all_share(lower):
+        docs, copies = rows["doc"].to_numpy(), rows["copies"].to_numpy()
+        one, two = _sides(rows)
+        if not len(one):
             return [docs[:0]] * 3
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["grams"]]
         linked = np.zeros((len(sets), len(sets)), dtype=bool)
@@ -299,11 +321,18 @@ def _links(t: Fraction, frequent: np.ndarray):
         some = np.flatnonzero(linked.any(axis=1))
         if len(moved):
             pairs = linked[np.ix_(some, some)] & (docs[some][:, None] != docs[some][None, :])
+            lower = _lower(rows)
             pairs &= ~_meet_before([lower[k] for k in some])
             degree[some] = pairs @ copies[some].astype(np.float64)
         counted = np.flatnonzero(degree)
         return [np.r_[docs[moved], docs[counted]], np.r_[docs[label[moved]], docs[counted]], np.r_[np.zeros(len(moved), np.int64), degree[counted]]]
 
+    return _grouped(group, ["a", "b", "n"])
+
+
+def _grouped(group, columns: list[str]):
+    """Apply ``group`` (rows to one array for each column) to the groups of a partition that is sorted by KEYS."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:
@@ -311,18 +340,56 @@ def _links(t: Fraction, frequent: np.ndarray):
                 continue
             held.append(batch)
             rows = pd.concat(held, ignore_index=True) if len(held) > 1 else batch
-            keys = rows[BLOCK_COLS[:5]].to_numpy()
+            keys = rows[KEYS].to_numpy()
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]
             found = [group(rows.iloc[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
             held = [rows.iloc[cuts[-1] :]]
             if found:
-                yield pd.DataFrame(dict(zip("abn", map(np.concatenate, zip(*found)))), dtype="int64")
+                yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*found)))))
         if held:
-            yield pd.DataFrame(dict(zip("abn", group(pd.concat(held, ignore_index=True)))), dtype="int64")
+            yield pd.DataFrame(dict(zip(columns, group(pd.concat(held, ignore_index=True)))))
 
     return run
 
 
+def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a group's rows that are compared with each other: a block with another, or with itself.
+
+    Nothing where one side is empty, or where all sets follow a smaller pivot too.
+    """
+    second = rows["second"].to_numpy(dtype=bool)
+    one, two = np.flatnonzero(~second), np.flatnonzero(second)
+    b1, k1, b2, k2 = rows[KEYS[1:]].iloc[0]
+    if b1 == b2 and k1 == k2:
+        two = one  # where the second of two blocks is empty, there is nothing to compare
+    if not len(one) or not len(two) or len(rows) < 2 or _all_share(_lower(rows)):
+        return one[:0], two[:0]
+    return one, two
+
+
+def _lower(rows: pd.DataFrame) -> list[np.ndarray]:
+    """The pivots below the group's own that each set follows."""
+    pivot = rows["pivot"].iloc[0]
+    return [np.unique(x[x < pivot]) for x in map(np.asarray, rows["pivots"])]
+
+
+def _near(t: Fraction):
+    """Of each group, the sets that the bitmaps leave a possible partner: doc and place."""
+    columns = ["doc", *KEYS, "second"]
+
+    def group(rows: pd.DataFrame) -> list[np.ndarray]:
+        one, two = _sides(rows)
+        if not len(one):
+            return [rows[c].to_numpy()[:0] for c in columns]
+        docs, size, bits = rows["doc"].to_numpy(), rows["size"].to_numpy(), rows["bits"].tolist()
+        may = ~far_apart([bits[k] for k in one], [bits[k] for k in two], size[one], size[two], t)
+        may &= docs[one][:, None] != docs[two][None, :]
+        kept = np.union1d(one[may.any(axis=1)], two[may.any(axis=0)])
+        return [rows[c].to_numpy()[kept] for c in columns]
+
+    return _grouped(group, columns)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float | Fraction = 0.8) -> DataFrame:
     """One row per input row: doc_id, n_shingles (size of the set), class_id (smallest id with the same set),
     component_id (smallest id reachable by links), n_links (documents it links with; all texts of a repeated id count).
@@ -339,11 +406,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     frequent = frequent_grams(texts, n)
 
-    sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, prefix array<long>"), "sets")
+    sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, bits binary, prefix array<long>"), "sets")
     same = ["size", "one", "two"]
     classes = stored(sets.filter("size > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("rep"), F.max("doc").alias("other")), "classes")
     some = sets.filter("size > 0 and doc is not null")
-    members = stored(some.drop("prefix").join(merged(classes.select(*same, "rep")), same).select("doc", "size", "rep", "least", "forgo"), "members")
+    members = stored(some.drop("prefix", "bits").join(merged(classes.select(*same, "rep")), same).select("doc", "size", "rep", "least", "forgo"), "members")
     # a gram leads to its smallest document, if it is in another one too: an aggregate that combines before its shuffle,
     # and a join whose larger partitions can be split
     held = some.select("doc", F.explode("prefix").alias("gram"))
@@ -385,13 +452,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     below = F.when(F.col("k_down").isNotNull(), F.transform(every(F.coalesce("k_down", F.lit(1))), lambda j: place(b - 1, j, b, o, F.lit(True)))).otherwise(none)
     # of a lone set in its band without neighbours nothing is to be compared
     alone = (F.col("c") == 1) & F.col("k_up").isNull() & F.col("k_down").isNull()
-    places = at.filter(~alone).select("doc", "pivot", F.concat(same_band, above, below).alias("places"))
-    places = places.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("pivot").alias("pivots"))
+    met = at.filter(~alone).select("doc", "pivot", F.concat(same_band, above, below).alias("places"))
+    met = stored(met.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("pivot").alias("pivots")), "places")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    grouped = lambda df: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
+    bitmaps = some.select("doc", "size", "bits").join(merged(met), "doc").select("doc", "size", "bits", "pivots", F.explode("places").alias("p")).select("p.*", "doc", "size", "bits", "pivots")
+    near = stored(grouped(bitmaps).mapInPandas(_near(t), "doc long, pivot long, b1 int, k1 int, b2 int, k2 int, second boolean"), "near")
     copies = members.select("doc", "rep").distinct().groupBy(F.col("rep").alias("doc")).agg(F.count("*").alias("copies"))
-    places = stored(places.join(merged(copies), "doc"), "places")
+    near = near.groupBy("doc").agg(F.collect_set(F.struct(*KEYS, "second")).alias("places")).join(merged(met.select("doc", "pivots")), "doc")
+    places = stored(near.join(merged(copies), "doc"), "near-places")
     keyed = texts.join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    links = keyed.repartition(parts, *BLOCK_COLS[:5]).sortWithinPartitions(*BLOCK_COLS[:5]).mapInPandas(_links(t, frequent), "a long, b long, n long")
+    links = grouped(keyed).mapInPandas(_links(t, frequent), "a long, b long, n long")
     links = stored(links, "links")
     twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")), "a", "left_semi")
     found = components(stored(links.filter("n = 0").select("a", "b").unionByName(twice).distinct(), "links"))

@@ -441,6 +441,26 @@ def test_op6_large_group(spark):
     assert all(got[i][0] == (smallest[place[i]] if like(place[i], place[i]) else i) for i in range(n))
 
 
+def test_op6_bitmaps():
+    """Bitmaps never part sets that link, at any sizes and thresholds, and part most that share little."""
+    from fractions import Fraction
+
+    r = np.random.default_rng(5)
+    for t in (Fraction(1, 10), Fraction(1, 2), Fraction(4, 5), Fraction(9, 10)):
+        for size in (3, 60, 700):
+            base = r.integers(0, 2**63, 4 * size).astype(np.uint64)
+            sets = [np.unique(r.choice(base[: size * (2 if k % 2 else 1)], r.integers(1, size + 1), replace=False)) for k in range(40)]
+            sizes = np.array([len(x) for x in sets])
+            far = jaccard_join.far_apart([jaccard_join.parity(x) for x in sets], [jaccard_join.parity(x) for x in sets], sizes, sizes, t)
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    both = len(np.intersect1d(a, b))
+                    assert not (far[i, j] and both >= t * (len(a) + len(b) - both))
+    others = [np.unique(r.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(30)]
+    far = jaccard_join.far_apart([jaccard_join.parity(x) for x in others], [jaccard_join.parity(x) for x in others], np.array(list(map(len, others))), np.array(list(map(len, others))), Fraction(9, 10))
+    assert far.sum() == 30 * 29
+
+
 def test_op6_trie():
     from fractions import Fraction
 
@@ -478,6 +498,29 @@ def test_op7(spark):
     assert exact_search.top_k(df.filter("false"), asked.filter("false")).count() == 0
 
 
+def test_op7_blocks(spark):
+    """Many small blocks of rows and of queries, over several parts, give the same; huge components too; cells hold their values."""
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [tuple(r) for r in table.select("vec_id", "embedding").collect()]
+    for block, query_block in ((7, 3), (100, 2), (1000, 1)):
+        got = exact_search.top_k(table.repartition(5), table.filter("vec_id % 50 = 0"), block=block, query_block=query_block)
+        assert _sorted(got.collect()) == _sorted(_want_top(rows))
+    r = np.random.default_rng(2)
+    wide = [(i, (r.normal(size=3) * 10.0 ** r.integers(0, 5)).tolist()) for i in range(300)] + [(i, [1.0, 2.0, 3.0]) for i in range(300, 330)]
+    df = spark.createDataFrame(wide, "vec_id long, embedding array<double>").repartition(4)
+    got = exact_search.top_k(df, df.filter("vec_id % 50 = 0"), scale=2**16, block=11, query_block=2)
+    scaled = [(i, [x * 2.0**8 for x in v]) for i, v in wide]  # the plain version multiplies by 256
+    assert _sorted(got.collect()) == _sorted(_want_top(scaled))
+    x = r.integers(-1000, 1000, (500, 7)).astype(np.float64)
+    edges = exact_search.Edges(np.sort(r.integers(-1000, 1000, (7, 15)), axis=1).astype(np.float64), x.min(axis=0), x.max(axis=0))
+    cell = exact_search.unpacked(exact_search.packed(edges.cells(x)), 500, 7)
+    dims = np.arange(7)
+    assert (edges.low[dims, cell] <= x).all() and (x <= edges.high[dims, cell]).all()
+    below, above = edges.bounds(x[:50], cell)
+    exact = x[:50] @ x.T
+    assert (below <= exact).all() and (exact <= above).all()
+
+
 def _held(i):
     return zlib.crc32(str(i).encode()) % 3 == 1
 
