@@ -1,6 +1,7 @@
 """A training-data pipeline in five stages, each written as Parquet and read again as the next one's documents.
 
-Every stage but the last returns the columns of ``documents``. No SQL can express the trained classifier, the prefix
+Every stage but the last returns the columns of ``documents``, and any others that it was given, whatever their names;
+an empty table gives an empty one. Texts are read whole, at any length. No SQL can express the trained classifier, the prefix
 trees and the linear program, so ORACLE_SQL is None, and tests hold the stages against plain versions.
 """
 
@@ -10,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpustide.llm import jaccard_join, mixing, packing, quality, secret_scan
-from corpustide.llm.common import stored
+from corpustide.llm.common import free_names, stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality discriminant, learned from the labels of ``docs``, scores 0.5 or more."""
+    """Documents that the quality discriminant, learned from the labels of ``docs``, scores 0.5 or more.
+
+    Null and empty texts score as texts without words. Each row counts by its text alone, so rows that repeat, or have
+    no id, stay or go alike. Without labels of both classes, all are of the one there is (good, if there is none).
+    """
     return quality.keep_quality(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -24,34 +29,45 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents without words, and rows without an id, link with nothing and stay. Rows that repeat both id and text are
     one document, of which the first by all columns stays; rows of one id with different texts are documents of their own.
     """
+    keep, nth, node = free_names(docs, "_keep", "_nth", "_node")
     known = docs.filter("doc_id is not null")
     if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
         found = jaccard_join.jaccard_components(known, n=5, threshold=0.8)
-        first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")), "keep")
-        kept = known.join(first, known["doc_id"] == first["_keep"], "left_semi")
+        first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias(keep)), "keep")
+        kept = known.join(first, known["doc_id"] == first[keep], "left_semi")
     else:
         digest = F.sha2("text", 256)
         same = Window.partitionBy("doc_id", digest).orderBy(F.to_json(F.struct(*docs.columns)))
-        rows = stored(known.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth").withColumn("_node", F.monotonically_increasing_id()), "rows")
-        found = jaccard_join.jaccard_components(rows, id_col="_node", n=5, threshold=0.8).select(F.col("doc_id").alias("_node"), "component_id")
-        order = F.struct("doc_id", digest.alias("digest"), "_node")
-        first = stored(rows.select("_node", order.alias("order")).join(found, "_node").groupBy("component_id").agg(F.min("order").alias("order")).select("order._node"), "keep")
-        kept = rows.join(first, "_node", "left_semi").select(*docs.columns)
+        rows = stored(known.withColumn(nth, F.row_number().over(same)).filter(F.col(nth) == 1).drop(nth).withColumn(node, F.monotonically_increasing_id()), "rows")
+        found = jaccard_join.jaccard_components(rows, id_col=node, n=5, threshold=0.8).select(F.col("doc_id").alias(node), F.col("component_id").alias(keep))
+        order = F.struct("doc_id", digest.alias("digest"), F.col(node).alias("node"))
+        first = rows.select(node, order.alias(nth)).join(found, node).groupBy(keep).agg(F.min(nth).alias(nth))
+        kept = rows.join(stored(first.select(F.col(f"{nth}.node").alias(node)), "keep"), node, "left_semi").select(*docs.columns)
     return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with live-looking secrets masked; values that several sources share are examples and stay."""
+    """All documents, with live-looking secrets masked; values that several sources share are examples and stay.
+
+    Null texts stay null; a null source is one source, without a name. Rows that repeat each stay.
+    """
     return secret_scan.redact_secrets(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, those of small sources repeated up to four times: entropy half way to the largest."""
+    """All documents, those of small sources repeated up to four times: entropy half way to the largest.
+
+    Documents without words (null, empty) are taken once; a null source is one source, without a name; rows that
+    repeat are each taken equally often, to within one.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 1024 tokens."""
+    """Pieces of all documents in sequences of 1024 tokens: rows of their own, with the columns of the packing query.
+
+    Null and empty texts are one piece, of the end token alone. Rows that repeat, or have no id, are documents of their own.
+    """
     import public_tokenizers
 
     return packing.pack(docs, str(public_tokenizers.path("byte_bpe_50k.json")), ids=False).drop("ids")
