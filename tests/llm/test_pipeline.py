@@ -108,6 +108,32 @@ def test_packing_stage(spark, docs):
     assert sum(used.values()) == sum(map(len, ids.values())) and max(used.values()) <= 1024
 
 
+def test_odd_rows(spark):
+    """Every stage on nulls, empty, long and repeated rows, with columns that have its helpers' names."""
+    long = " ".join(f"w{k % 977}x{k}" for k in range(9000))
+    plain = "The harbour office closes early on market days, and the ferry waits for nobody after nine. " * 3
+    rows = [(1, plain, "a"), (1, plain, "a"), (1, plain + "Other ends follow here.", "b"), (2, None, "a"), (3, "", None), (None, plain, None), (None, None, "a"), (4, long, "a"), (5, long, "b"), (6, plain + " password=hunter2hunter2", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ["lang", "n_chars", "_keep", "_nth", "_node", "_spans", "_hash", "_key", "_same", "_times", "doc", "size", "grams", "score", "key", "label", "node", "component_id", "order", "digest"]
+    df = df.select("*", *[F.lit(f"own {n}").alias(n) for n in names]).repartition(3)
+    none = spark.read.parquet(f"{SF}/labels.parquet").filter("false")
+    kept = quality.keep_quality(df, quality.learn(df, none))
+    assert kept.count() == len(rows)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns, name
+        assert all(r[n] == f"own {n}" for r in out.collect() for n in names), name
+    first = pipeline.near_duplicates_stage(spark, df, SF).collect()
+    assert sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in first if r["doc_id"] != 1 and r["doc_id"] != 6) == [(0, 0), (0, len(plain)), (2, 0), (3, 0), (4, len(long))]
+    assert {len(r["text"]) for r in first if r["doc_id"] == 1} and len({r["text"] for r in first if r["doc_id"] == 1}) == sum(r["doc_id"] == 1 for r in first)
+    secrets = {(r["doc_id"], r["text"]) for r in pipeline.secrets_stage(spark, df, SF).collect()}
+    assert secrets == {(i, t.replace("password=hunter2hunter2", "[SECRET]") if t else t) for i, t, _ in rows}
+    mixed = Counter((r["doc_id"], r["text"], r["source"]) for r in pipeline.mixing_stage(spark, df, SF).collect())
+    assert set(mixed) == set(rows)
+    packed = pipeline.packing_stage(spark, df, SF).collect()
+    assert sum(r["piece"] == 0 for r in packed) == len(rows)
+
+
 def test_whole(spark, docs):
     """Each stage works on what the one before kept."""
     now = docs
