@@ -66,11 +66,16 @@ SCAN_IMAGES = (".jpg", ".jpeg", ".png", ".tif", ".tiff", ".bmp")
 DRAWINGS = (".dwg", ".dxf", ".emf", ".wmf")
 INLINE_LIMIT = 14 * 1024 * 1024
 
-# Extraction.
+# Extraction: how files begin, what tells containers apart, limits, and kinds of plain text.
+FILE_STARTS = {".pdf": b"%PDF", ".ifc": b"ISO-10303-21", ".7z": b"7z", ".rtf": b"{\\rtf", ".zip": b"PK\x03\x04", ".ole": b"\xd0\xcf\x11\xe0"}
+ZIP_PARTS = {".docx": "word/document.xml", ".xlsx": "xl/", ".pptx": "ppt/"}
+OLE_STREAMS = {".doc": ("WordDocument",), ".xls": ("Workbook", "Book"), ".ppt": ("PowerPoint Document",)}
 MAX_DEPTH, MAX_MEMBERS, MAX_EXPANDED = 6, 5000, 8 * 1024**3
-MIN_USEFUL_CHARS, MIN_MEDIA_BYTES = 1, 4096
+MIN_USEFUL_CHARS = 1
 TEXT_KINDS = {".txt": "text", ".csv": "csv", ".tsv": "tsv", ".xml": "xml", ".json": "json", ".md": "markdown"}
-LEGACY_KINDS = (".doc", ".xls", ".ppt", ".rtf")
+LEVEL_KEYS = ("start", "numFmt", "lvlText", "lvlRestart")
+# A reason that later steps look for: such files are worth character recognition.
+NO_TEXT = "no text layer — a scan or a vector drawing"
 
 # Delivery.
 DELIVERED_NAMES = ("manifest.json", "summary.json", "procurement.json", "manifest_normalized.json", "document.md", "structure.json", "done.txt", "failed.txt", "withdrawn.txt", "resolved.tsv")
