@@ -216,12 +216,3 @@ def chunk(text: Column, offset: int, size: int = 50_000) -> Column:
     """Struct (text, next): a part of a text, and where the next one starts, null at the end."""
     n = F.char_length(text)
     return F.struct(F.substring(text, offset + 1, size).alias("text"), F.when(n > offset + size, F.lit(offset + size)).alias("next"))
-
-
-def file_kind(name: Column, head: Column) -> Column:
-    """Kind of a file by its first bytes, else by its extension. ZIP and OLE containers are told apart by extract.sniff."""
-    magic = lambda hexed: F.startswith(head, F.unhex(F.lit(hexed)))
-    return (
-        F.when(magic("25504446"), ".pdf").when(magic("49534F2D31303330332D3231"), ".ifc").when(magic("377A"), ".7z").when(magic("504B0304"), ".zip")
-        .when(magic("7B5C727466"), ".rtf").when(magic("D0CF11E0"), ".ole").otherwise(F.lower(F.regexp_extract(name, r"(\.[^./]*)$", 1)))
-    )

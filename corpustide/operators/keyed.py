@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,9 +57,15 @@ def replay(journal: DataFrame, value: str = "value", schema: str = "id string",
     return last_per_key(parsed, ["id"], [line]).drop(line)
 
 
-def still_on_disk(files: Column, ok: str = "on_disk") -> Column:
-    """Whether a journal entry's files (array of structs) are all there, and there is one at least."""
-    return (F.size(files) > 0) & F.forall(files, lambda f: F.coalesce(f[ok], F.lit(False)))
+def resumable(journal: DataFrame, disk: DataFrame) -> DataFrame:
+    """(id): journal entries that need not be fetched again: with one file at least, and all of them on disk at their size.
+
+    journal: id, files (array of structs with path and size), as :func:`replay` gives it. disk: path, size.
+    """
+    files = journal.select("id", F.explode("files").alias("f")).select("id", "f.path", "f.size")
+    there = disk.groupBy("path").agg(F.max("size").alias("there"))
+    held = files.join(there, "path", "left")
+    return held.groupBy("id").agg(F.bool_and(F.coalesce(F.col("there") == F.col("size"), F.lit(False))).alias("whole")).filter("whole").select("id")
 
 
 def resolutions(rows: DataFrame) -> DataFrame:
@@ -69,21 +73,12 @@ def resolutions(rows: DataFrame) -> DataFrame:
     return rows.filter((F.col("found") != "-") & (F.col("found") != "") & (F.col("asked") != ""))
 
 
-def set_moves(before: Column, after: Column) -> Column:
-    """Struct (added, removed, kept) of two arrays, each sorted."""
-    return F.struct(F.array_sort(F.array_except(after, before)).alias("added"), F.array_sort(F.array_except(before, after)).alias("removed"), F.array_sort(F.array_intersect(before, after)).alias("kept"))
-
-
 def assembled(rows: DataFrame, keys: list[str], order: str, text: str, separator: str = "\n\n") -> DataFrame:
     """Texts of each key joined in order; empty ones left out."""
     parts = F.array_sort(F.collect_list(F.when(F.trim(F.coalesce(text, F.lit(""))) != "", F.struct(order, text))))
     return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda p: p[text]), separator).alias("text"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def walk_until_misses(ids: DataFrame, id_col: str, hit_col: str, misses: int = 40, limit: int | None = None, bucket: int = 100_000) -> DataFrame:
     """Hits of an ordered walk over consecutive ids that stops after a run of ``misses``, or ``limit`` hits.
 

@@ -72,45 +72,43 @@ def shard_loads(df: DataFrame, shards: int) -> DataFrame:
     return df.groupBy(C.shard_of(F.col("key"), shards).alias("shard")).agg(F.count("*").alias("targets"), F.sum("weight").alias("weight"), F.count_if(F.col("weight") > 1).alias("heavy"))
 
 
-def balance(items: DataFrame, slices: int, pid: str = "pid", load: str = "chars") -> DataFrame:
+#: Items of one day that one task may balance; some bytes each.
+MOST_ITEMS = 5_000_000
+
+
+def balance(items: DataFrame, slices: int, pid: str = "pid", load: str = "chars", day: str | None = None) -> DataFrame:
     """Items by longest processing time: largest first (ties by pid), each to the least loaded slice, ties to the lowest.
 
-    The rule is sequential, and its rows (an id and a size for each item of one day) go through one task with a heap:
-    thousands a day, tens of bytes each. Adds ``slice`` from 1.
+    The rule is sequential, so the rows of one ``day`` (an id and a size for each item; all rows are one day without the
+    column) go through one task with a heap, and days in parallel. A day of more than MOST_ITEMS is an error. Adds
+    ``slice`` from 1.
     """
     import heapq
 
-    import pandas as pd
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        ordered = batch.sort_values([load, pid], ascending=[False, True], kind="stable")
-        heap = [(0, n) for n in range(1, slices + 1)]
-        out = []
-        for size in ordered[load].tolist():
-            total, n = heapq.heappop(heap)
-            out.append(n)
-            heapq.heappush(heap, (total + int(size), n))
-        return ordered.assign(slice=pd.Series(out, index=ordered.index, dtype="int32"))
-
-    rows = items.select(pid, F.col(load).cast("long").alias(load))
-    kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", slice int"
-    one = lambda frame: run(frame.drop(columns="_all"))
-    return rows.withColumn("_all", F.lit(True)).groupBy("_all").applyInPandas(one, kinds)
-
-
-def balance_sql(items: DataFrame, slices: int, pid: str = "pid", load: str = "chars") -> DataFrame:
-    """The same by a higher-order function over one array: for hundreds of items, without Python."""
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col(load)).alias("k"), F.col(pid).alias("pid"))))
-    start = F.struct(F.array_repeat(F.lit(0).cast("long"), slices).alias("loads"), F.array().cast("array<struct<pid: string, slice: int, chars: bigint>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        at = F.array_position(acc["loads"], F.array_min(acc["loads"])).cast("int")
-        loads = F.transform(acc["loads"], lambda v, i: F.when(i == at - 1, v - x["k"]).otherwise(v))
-        row = F.struct(x["pid"].cast("string").alias("pid"), at.alias("slice"), (-x["k"]).alias("chars"))
-        return F.struct(loads.alias("loads"), F.array_append(acc["out"], row).alias("out"))
-
-    packed = items.select(F.col(pid), F.col(load).cast("long").alias(load)).agg(ordered.alias("rows"))
-    return packed.select(F.explode(F.aggregate("rows", start, step, lambda acc: acc["out"])).alias("r")).select("r.*")
+    def run(batches):
+        import pandas as pd
+
+        at, heap, seen = object(), [], 0
+        for batch in batches:
+            out = []
+            for now, size in zip(batch["_day"], batch["_load"].tolist()):
+                now = None if pd.isna(now) else now
+                if now != at:
+                    at, heap, seen = now, [(0, n) for n in range(1, slices + 1)], 0
+                seen += 1
+                if seen > MOST_ITEMS:
+                    raise ValueError(f"a day has more than {MOST_ITEMS} items")
+                total, n = heap[0]
+                heapq.heapreplace(heap, (total + size, n))
+                out.append(n)
+            yield batch.drop(columns=["_day", "_load"]).assign(slice=pd.Series(out, index=batch.index, dtype="int32"))
+
+    kinds = dict(items.dtypes)
+    own = [pid, load, *([day] if day else [])]
+    schema = ", ".join(f"`{c}` {'bigint' if c == load else kinds[c]}" for c in own) + ", slice int"
+    rows = items.select(pid, F.col(load).cast("long").alias(load), *([day] if day else []), (F.col(day).cast("string") if day else F.lit("")).alias("_day"), F.coalesce(F.col(load).cast("long"), F.lit(0)).alias("_load"))
+    parts = rows.repartition("_day") if day else rows.coalesce(1)
+    return parts.sortWithinPartitions("_day", F.desc("_load"), pid).mapInPandas(run, schema)
 
 
 def fresh_shards(indexes: DataFrame, run_id: str | None, shards: int) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -58,27 +60,50 @@ def split_cached(queued: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFr
     return queued.join(whole, "sha256"), queued.join(whole.select("sha256"), "sha256", "left_anti")
 
 
-#: Readers by name: function from (bytes, path) to text, and whether it needs a key. A reader of one's own is added here.
-PROVIDERS: dict[str, tuple[Callable[[bytes, str], str], bool]] = {}
+class Provider(NamedTuple):
+    """A reader: function from (bytes, path) to text; whether it needs a key; its model; the bytes it takes at most."""
+
+    read: Callable[[bytes, str], str]
+    keyed: bool = False
+    model: str = ""
+    ceiling: int | None = V.INLINE_LIMIT
+
+
+#: Providers by name; a reader of one's own is added here, on every machine that runs tasks.
+PROVIDERS: dict[str, Provider] = {}
+
+
+def provider(name: str, environ: dict[str, str], key: str = "") -> Provider:
+    """A provider by name; the error names what is missing, never a value."""
+    if name not in PROVIDERS:
+        raise KeyError(f"no provider {name!r}; there are: {', '.join(sorted(PROVIDERS)) or 'none'}")
+    if PROVIDERS[name].keyed and not environ.get(key, "").strip():
+        raise ValueError(f"{key} is not set")
+    return PROVIDERS[name]
 
 
 def prompt_digest(prompt: str) -> str:
+    """What a result depends on besides the file and the model."""
     return hashlib.sha256(prompt.encode()).hexdigest()
 
 
-def run(misses: DataFrame, reader: Callable[[bytes, str], str]) -> DataFrame:
+def run(misses: DataFrame, reader: Callable[[bytes, str], str], pause: float = 0.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Read each row (sha256, send_path, content, pos) in order: sha256, outcome (read, empty, failed, deferred), text, error.
 
-    One task, because a quota ends the run for all that follow; an error of the reader skips its own file only.
+    One task, because a quota ends the run for all that follow; an error of the reader skips its own file only. Between
+    two calls it waits for ``pause`` seconds.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        spent = False
+        spent, calls = False, 0
         for batch in batches:
             out = []
             for digest, path, content in zip(batch["sha256"], batch["send_path"], batch["content"]):
                 outcome, text, error = "deferred", None, None
                 if not spent:
+                    if calls and pause:
+                        sleep(pause)
+                    calls += 1
                     try:
                         text = reader(bytes(content), path)
                         outcome = "read" if text.strip() else "empty"
@@ -92,5 +117,19 @@ def run(misses: DataFrame, reader: Callable[[bytes, str], str]) -> DataFrame:
     return misses.select("sha256", "send_path", "content", "pos").coalesce(1).sortWithinPartitions("pos").mapInPandas(read, "sha256 string, outcome string, text string, error string")
 
 
+def plan(queued: DataFrame, cache: DataFrame) -> DataFrame:
+    """What a run would do with each gap, without calling anyone: adds ``step`` (skip, cached, call)."""
+    hits, misses = split_cached(queued.filter("skipped is null"), cache)
+    steps = hits.drop("text").withColumn("step", F.lit("cached")).unionByName(misses.withColumn("step", F.lit("call")))
+    return steps.unionByName(queued.filter("skipped is not null").withColumn("step", F.lit("skip")))
+
+
+def results(rows: DataFrame, name: str, model: str, prompt: str, at: Column) -> DataFrame:
+    """Read texts as they are kept: sha256, text, provenance (JSON: provider, model, digest of the prompt, time). Only a read text is kept, each digest once."""
+    about = F.to_json(F.struct(F.lit(name).alias("provider"), F.lit(model).alias("model"), F.lit(prompt_digest(prompt)).alias("prompt_sha256"), at.cast("string").alias("read_at")))
+    kept = rows.filter("outcome = 'read' and coalesce(sha256, '') <> ''").groupBy("sha256").agg(F.min("text").alias("text"))
+    return kept.select("sha256", "text", about.alias("provenance"))
+
+
 def totals(results: DataFrame) -> DataFrame:
     return results.agg(*[F.count_if(F.col("outcome") == k).alias(k) for k in ("read", "empty", "failed", "deferred")], F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import diff, extract, keyed, pages, planning, scans
+from ..operators import diff, extract, keyed, links, packs, pages, planning, scans
 from . import demo_views as D
 
 QUERIES: dict = {}
@@ -77,11 +77,11 @@ def chunk_read(spark, sf):
     return D.table(spark, sf, "documents").select("doc_id", C.chunk(F.col("text"), 100, 1000).alias("c")).select("doc_id", "c.text", "c.next")
 
 
-@query(r"""WITH s AS (SELECT doc_id, coalesce(nullif(trim(regexp_replace(split_part(text, chr(10), 1), '[^\p{L}\p{M}\p{N}_\-. ]+', '_', 'g'), ' ._'), ''), 'file') AS s FROM documents),
+@query(r"""WITH s AS (SELECT doc_id, coalesce(nullif(trim(regexp_replace(text, '[^\p{L}\p{M}\p{N}_\-. ]+', '_', 'g'), ' ._'), ''), 'file') AS s FROM documents),
  e AS (SELECT doc_id, s, CASE WHEN contains(s, '.') THEN '.' || string_split(s, '.')[-1] ELSE '' END AS x FROM s)
  SELECT doc_id, CASE WHEN length(s) <= 80 THEN s ELSE left(left(s, length(s) - length(x)), greatest(1, 71 - length(substr(x, 1, 12)))) || '~' || substr(sha1(s), 1, 8) || substr(x, 1, 12) END AS name FROM e""")
 def slug_names(spark, sf):
-    return D.table(spark, sf, "documents").select("doc_id", C.slug(F.split_part("text", F.lit("\n"), F.lit(1))).alias("name"))
+    return D.table(spark, sf, "documents").select("doc_id", C.slug(F.col("text")).alias("name"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'image/jpeg' WHEN p_size % 3 = 1 THEN 'image/png' ELSE 'application/pdf' END AS mime FROM part")
@@ -94,35 +94,82 @@ def media_types(spark, sf):
 # ---------------------------------------------------------------- pages
 
 
-@query(r"SELECT page_id, nullif(regexp_extract(html, 'href=\"([^\"]+)\"', 1), '') AS link FROM pages")
+@query(r"""WITH p AS (SELECT page_id, html || CASE WHEN page_id % 3 <> 0 THEN ' <a href="https://www.eis.gov.lv/EKEIS/Supplier/Procurement/' || page_id * 7 || '">' ELSE '' END AS html FROM pages),
+ l AS (SELECT page_id, 'https://www.eis.gov.lv/EKEIS/Supplier/Procurement/' || nullif(regexp_extract(html, 'eis\.gov\.lv/EKEIS/Supplier/Procurement/(\d+)', 1), '') AS url FROM p)
+ SELECT page_id, url, url IS NOT NULL AS has_link FROM l""")
 def page_links(spark, sf):
-    return D.table(spark, sf, "pages").select("page_id", F.nullif(F.regexp_extract("html", 'href="([^"]+)"', 1), F.lit("")).alias("link"))
+    """Notices and the platform page that each one's own page links to; two in three of the driver's pages are given a link."""
+    p = D.table(spark, sf, "pages").withColumn("uuid", F.concat(F.lit("U"), F.col("page_id").cast("string")))
+    link = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit(f' <a href="{V.PLATFORM_PAGE}'), (F.col("page_id") * 7).cast("string"), F.lit('">'))).otherwise("")
+    found = links.with_links(p.select("page_id", "uuid"), links.platform_links(p.withColumn("html", F.concat("html", link))))
+    yes = links.linked(found).select("page_id", F.lit(True).alias("yes"))
+    return found.join(yes, "page_id", "left").select("page_id", "url", F.coalesce("yes", F.lit(False)).alias("has_link"))
+
+
+@query(r"""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 1 THEN 'https://eis.gov.lv/ekeis/supplier/procurement/' || o_orderkey || '/'
+  WHEN 2 THEN 'https://eformsb.pvs.iub.gov.lv/show/0000ABCD-0000-0000-0000-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') ELSE 'http://elsewhere.example/' || o_orderkey END AS target FROM orders)
+ SELECT o_orderkey, target, CASE WHEN o_orderkey % 4 < 2 THEN 'https://www.eis.gov.lv/EKEIS/Supplier/Procurement/' || o_orderkey WHEN o_orderkey % 4 = 2 AND o_orderkey % 8 = 2 THEN 'https://www.eis.gov.lv/EKEIS/Supplier/Procurement/' || o_orderkey * 2 END AS url FROM t""")
+def target_urls(spark, sf):
+    """Targets in every form, and the page that each stands for; of register ids every other one's notice has a link."""
+    key = F.col("o_orderkey")
+    text, kind = key.cast("string"), key % 4
+    uuid = F.concat(F.lit("0000ABCD-0000-0000-0000-"), F.lpad(text, 12, "0"))
+    target = F.when(kind == 0, text).when(kind == 1, F.concat(F.lit("https://eis.gov.lv/ekeis/supplier/procurement/"), text, F.lit("/"))).when(kind == 2, F.concat(F.lit(V.NOTICE_PAGE), uuid)).otherwise(F.concat(F.lit("http://elsewhere.example/"), text))
+    o = D.table(spark, sf, "orders")
+    notices = o.filter(key % 8 == 2).select(uuid.alias("uuid"), F.concat(F.lit(V.PLATFORM_PAGE), (key * 2).cast("string")).alias("html"))
+    return links.target_urls(o.select("o_orderkey", target.alias("target")), links.platform_links(notices))
+
 
+_MARKS = ("", "__RequestVerificationToken ActualDocuments_items", "Basic data", "Iepirkuma pamatdati", "Pieeja liegta / Access Denied", "Pārbaude pret robotiem", "__RequestVerificationToken", "Pieeja liegta / Access Denied Pārbaude pret robotiem Basic data")
+_CLASSES = ("other", "published", "published", "published", "denied", "robot", "other", "published")
 
-@query("""SELECT page_id, CASE WHEN contains(html, '__RequestVerificationToken') AND contains(html, 'ActualDocuments_items') OR contains(html, 'Iepirkuma pamatdati') OR contains(html, 'Basic data') THEN 'published'
- WHEN contains(html, 'Pieeja liegta / Access Denied') THEN 'denied' WHEN contains(html, 'Pārbaude pret robotiem') THEN 'robot' ELSE 'other' END AS class FROM pages""")
+
+@query(f"SELECT page_id, [{', '.join(repr(c) for c in _CLASSES)}][page_id % 8 + 1] AS class FROM pages")
 def page_class(spark, sf):
-    return D.table(spark, sf, "pages").select("page_id", C.page_class(F.col("html")).alias("class"))
+    """Classes of pages; each eighth of the driver's pages is given other marks, so that every class and precedence is met."""
+    mark = F.element_at(F.array(*[F.lit(m) for m in _MARKS]), (F.col("page_id") % 8 + 1).cast("int"))
+    return D.table(spark, sf, "pages").select("page_id", C.page_class(F.concat("html", mark)).alias("class"))
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title, CASE WHEN page_id % 2 = 0 THEN ['Basic data'] ELSE [] END AS marks, 'Name & more' AS label FROM pages""")
+def page_log(spark, sf):
+    """What a log says of a page that was not the one asked for; and a label's own words."""
+    p = D.table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.concat("html", F.lit("Basic data"))).otherwise(F.col("html")).alias("html"))
+    return p.select("page_id", pages.describe(F.col("html")).alias("d"), C.label_text(F.lit(" Name &amp;  more: <span>tip</span>")).alias("label")).select("page_id", "d.title", "d.marks", "label")
 
 
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
 def tag_text(spark, sf):
     """Visible text, entities left as they are."""
-    return D.table(spark, sf, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]+>", " "), r"\s+", " ")).alias("text"))
+    return D.table(spark, sf, "pages").select("page_id", C.html_text(F.col("html"), entities=False).alias("text"))
+
 
+#: The entities that the driver's pages hold, the ampersand's last.
+_DECODED = """replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), '&amp', '&')"""
 
-@query()
+
+@query(rf"SELECT page_id, trim(regexp_replace({_DECODED}, '\s+', ' ', 'g')) AS text FROM pages")
 def html_text(spark, sf):
     """Visible text, entities decoded."""
     return D.table(spark, sf, "pages").select("page_id", C.html_text(F.col("html")).alias("text"))
 
 
-@query()
+@query(r"""SELECT CAST(page_id AS VARCHAR) AS pid, trim(regexp_replace(url, '\s+', ' ', 'g')) AS title, CASE WHEN page_id % 3 = 0 THEN 'page-link' ELSE 'unverified' END AS register_check, page_id % 3 <> 0 AS unconfirmed,
+ CASE WHEN page_id % 3 = 0 THEN '00000000-0000-0000-0000-' || lpad(CAST(page_id AS VARCHAR), 12, '0') END AS iub_uuid, page_id + 0.5::DOUBLE AS value, 'EUR' AS currency, 'Buyer ' || page_id AS buyer, CAST(page_id AS VARCHAR) AS buyer_reg,
+ ['4500' || page_id, '71'] AS cpv_additional, 'https://www.eis.gov.lv/EKEIS/Supplier/Procurement/' || page_id AS link FROM pages""")
 def page_facts(spark, sf):
-    """Facts of procurement pages; of the driver's pages each is put into one, its title and address as labelled fields."""
+    """Facts of procurement pages: each of the driver's pages stands within one, its address and number in labelled fields."""
     p = D.table(spark, sf, "pages")
-    html = F.concat(F.lit('__RequestVerificationToken var ActualDocuments_items = [{"Id": '), F.col("page_id").cast("string"), F.lit(', "Title": "a [b]"}]; <label for="Name">Name:</label><div class="field-block">'), F.col("url"), F.lit("</div>"), F.col("html"))
-    return pages.notices(p.select("page_id", html.alias("html")), "page_id").select("pid", "title", "register_check", "unconfirmed", "currency", "link")
+    number = F.col("page_id").cast("string")
+    field = lambda fid, label, *value: [F.lit(f'<label title="a > b" for="{fid}">{label}: <i>tip</i></label> <div class="x field-block">'), *value, F.lit("</div>")]
+    uuid = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(V.NOTICE_PAGE + "00000000-0000-0000-0000-"), F.lpad(number, 12, "0"))).otherwise("")
+    codes = F.concat(F.lit('<script>var CpvAdditionals_items = [{"Title": "<b>4500'), number, F.lit('</b>"}, {"Title": "71"}, {"Title": "71"}];</script>'))
+    html = F.concat(
+        F.lit('__RequestVerificationToken var ActualDocuments_items = [{"Id": '), number, F.lit(', "Title": "a [b]"}]; '), uuid, *field("Name", "Name", F.col("url")), *field("x", "Kontaktpersona", F.lit("A person")), *field("", "Expected contract price", number, F.lit(",50 EUR")),
+        *field("OrganizerId", "Pasūtītājs", F.lit("Buyer "), number, F.lit(", reģ. numurs: "), number), *field("SubjectDescription_CpvAdditionalIdList", "CPV", codes), F.col("html"),
+    )
+    facts = pages.notices(p.select("page_id", html.alias("html")), "page_id")
+    return facts.select("pid", "title", "register_check", "unconfirmed", "iub_uuid", "value", "currency", "buyer", "buyer_reg", "cpv_additional", "link")
 
 
 @query("SELECT CAST(page_id AS VARCHAR) AS doc_id, 'actual' AS section, 'a [b] ' || page_id AS title, 'PRCDOC' AS link_type FROM pages")
@@ -158,9 +205,24 @@ def content_suffix(spark, sf):
     return keyed.suffixed_names(d, ["doc_id"], "lang").select("doc_id", "duplicate", "stored_name")
 
 
-@query("SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
+@query("SELECT CAST(user_id AS VARCHAR) AS id, max_by(event_type, (ts, event_id)) AS event_type, max_by(event_id, (ts, event_id)) AS event_id FROM events WHERE event_id % 10 <> 3 GROUP BY user_id")
 def journal_last(spark, sf):
-    return keyed.last_per_key(D.table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+    """The state of a journal of JSON lines; one line in ten is torn."""
+    e = D.table(spark, sf, "events")
+    line = F.to_json(F.struct(F.col("user_id").cast("string").alias("id"), "event_type", "event_id"))
+    value = F.when(F.col("event_id") % 10 == 3, F.substring(line, 1, 9)).otherwise(line)
+    return keyed.replay(e.select(F.struct("ts", "event_id").alias("line"), value.alias("value")), schema="id string, event_type string, event_id long")
+
+
+@query("""WITH f AS (SELECT l_orderkey, sha256(l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber) AS d FROM lineitem)
+ SELECT l_orderkey AS id FROM f GROUP BY 1 HAVING bool_and(substr(d, 1, 1) NOT IN ('0', '1'))""")
+def resumed_records(spark, sf):
+    """Records that a journal has, and whose files are all on disk: of the driver's line items some are gone, some cut short."""
+    own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
+    rows = D.table(spark, sf, "lineitem").select("l_orderkey", own.alias("path"), F.col("l_orderkey").alias("size")).distinct()
+    journal = rows.groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct("path", "size")).alias("files"))
+    disk = rows.filter(F.substring("path", 1, 1) != "0").select("path", F.when(F.substring("path", 1, 1) == "1", -1).otherwise(F.col("size")).alias("size"))
+    return keyed.resumable(journal, disk)
 
 
 @query("""SELECT user_id, min_by(CAST(ts AS DATE), event_id) AS first_seen, max_by(CAST(ts AS DATE), event_id) AS last_seen,
@@ -189,7 +251,7 @@ _ITEMS = """pids AS (SELECT DISTINCT source AS pid FROM documents),
  h AS (SELECT pid, substr(sha256(pid), 4, 1) IN ('0', '1') AS new, substr(sha256(pid), 1, 1) BETWEEN '0' AND '3' AS translated, substr(sha256(pid), 2, 1) BETWEEN '0' AND '3' AS reparsed, substr(sha256(pid), 3, 1) BETWEEN '0' AND '7' AS reextracted FROM pids),
  doc AS (SELECT source AS pid, doc_id, sha256(text) AS s, sha256(text || '.') AS e FROM documents),
  p AS (SELECT DISTINCT pid, substr(sha256(s || chr(10) || 'a/' || doc_id), 1, 16) AS key FROM doc WHERE substr(s, 1, 1) <> '0' AND substr(sha256(pid), 4, 1) NOT IN ('0', '1')),
- c AS (SELECT DISTINCT pid, substr(sha256(CASE WHEN substr(s, 1, 1) = '7' THEN e ELSE s END || chr(10) || 'a/' || doc_id), 1, 16) AS key FROM doc WHERE substr(s, 1, 1) <> 'f'),
+ c AS (SELECT DISTINCT pid, substr(sha256(CASE WHEN substr(s, 1, 1) = '7' THEN e ELSE s END || chr(10) || 'a/' || doc_id), 1, 16) AS key FROM doc WHERE substr(s, 1, 1) <> 'f' OR substr(sha256(pid), 4, 1) IN ('0', '1')),
  b AS (SELECT coalesce(p.pid, c.pid) AS pid, coalesce(p.key, c.key) AS key, p.key IS NOT NULL AS was, c.key IS NOT NULL AS now FROM p FULL JOIN c ON p.pid = c.pid AND p.key = c.key),
  m AS (SELECT pid, count(*) FILTER (now AND NOT was) AS added, count(*) FILTER (was AND NOT now) AS removed, count(*) FILTER (was AND now) AS carried, count(*) FILTER (now) AS docs FROM b GROUP BY pid)"""
 
@@ -240,29 +302,42 @@ def record_diff_silent(spark, sf):
 
 
 def _changes(spark, sf):
-    before, after = D.items(spark, sf)
-    old, new = _document_states(spark, sf)
-    facts = lambda df: df.select("pid", F.lit("tool").alias("field"), F.col("tool").alias("value")).filter("false")
-    records = lambda df: df.select("pid", F.lit("r").alias("id"), *[F.lit("x").alias(c) for c in V.RECORD_FIELDS if c != "withheld"], F.lit(False).alias("withheld"), F.create_map().cast("map<string,string>").alias("files"))
-    state = lambda heads, docs: {"heads": heads, "facts": facts(heads), "records": records(heads), "documents": docs, "unreadable": docs.select("pid", "key").filter("false")}
-    return diff.diff(state(before, old), state(after, new)), new
-
-
-@query(f"""WITH {_ITEMS} SELECT h.pid, CASE WHEN new THEN 'new' WHEN added + removed > 0 THEN 'changed' ELSE 'unchanged' END AS status, CASE WHEN new THEN docs END AS documents, CASE WHEN NOT new THEN reextracted END AS reextracted,
- CASE WHEN NOT new THEN 0 END AS facts, CASE WHEN NOT new THEN 0 END AS records_added, CASE WHEN NOT new THEN 0 END AS records_changed, CASE WHEN NOT new THEN CAST(added AS INTEGER) END AS documents_added,
- CASE WHEN NOT new THEN CAST(removed AS INTEGER) END AS documents_removed, CASE WHEN NOT new THEN carried END AS carried_over, CASE WHEN NOT new THEN 0 END AS silent_records FROM h LEFT JOIN m USING (pid)""")
+    previous, current = D.states(spark, sf)
+    return diff.diff(previous, current), current["documents"]
+
+
+_STATES = f"""{_FACTS}, {_RECORDS},
+ h AS (SELECT 'c' || c_custkey AS pid, substr(d, 5, 1) = '0' AS new, substr(d, 6, 1) IN ('0', '1') AS reextracted FROM (SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR)) AS d FROM customer)),
+ nf AS (SELECT pid, count(*) AS facts FROM moved GROUP BY pid),
+ nr AS (SELECT pid, count(*) FILTER (move = 'added') AS records_added, count(*) FILTER (move = 'removed') AS records_removed, count(*) FILTER (move = 'changed' AND (edited OR a + z > 0)) AS records_changed, count(*) FILTER (move = 'changed' AND a + z > 0 AND NOT dated) AS silent FROM q GROUP BY pid),
+ li AS (SELECT 'c' || o_custkey AS pid, sha256(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS d, 'a/' || l_orderkey || '/' || l_linenumber AS source, l_quantity > 45 AS unread FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ dk AS (SELECT DISTINCT pid, substr(sha256(d || chr(10) || source), 1, 16) AS key, substr(d, 2, 1) <> '1' AND NOT unread AND NOT new AS was, substr(d, 2, 1) <> '2' AND (NOT unread OR substr(d, 3, 1) = '0') AS now FROM li JOIN h USING (pid)),
+ ds AS (SELECT pid, key, bool_or(was) AS was, bool_or(now) AS now FROM dk GROUP BY pid, key),
+ uk AS (SELECT pid, CASE WHEN substr(d, 4, 1) <> '0' THEN d ELSE substr(sha256(chr(10) || source), 1, 16) END AS key, substr(d, 2, 1) <> '1' AND unread AND NOT new AS was, substr(d, 2, 1) <> '2' AND unread AND substr(d, 3, 1) <> '0' AS now FROM li JOIN h USING (pid)),
+ us AS (SELECT pid, key, bool_or(was) AS was, bool_or(now) AS now FROM uk GROUP BY pid, key),
+ nd AS (SELECT pid, count(*) FILTER (now AND NOT was) AS added, count(*) FILTER (was AND NOT now) AS removed, count(*) FILTER (was AND now) AS carried, count(*) FILTER (now) AS docs FROM ds GROUP BY pid),
+ nu AS (SELECT pid, count(*) FILTER (was <> now) AS unreadable FROM us GROUP BY pid),
+ s AS (SELECT h.pid, new, reextracted, coalesce(facts, 0) AS facts, coalesce(records_added, 0) AS records_added, coalesce(records_removed, 0) AS records_removed, coalesce(records_changed, 0) AS records_changed, coalesce(silent, 0) AS silent,
+  coalesce(added, 0) AS added, coalesce(removed, 0) AS removed, coalesce(carried, 0) AS carried, coalesce(docs, 0) AS docs, coalesce(unreadable, 0) AS unreadable FROM h LEFT JOIN nf USING (pid) LEFT JOIN nr USING (pid) LEFT JOIN nd USING (pid) LEFT JOIN nu USING (pid)),
+ t AS (SELECT *, CASE WHEN new THEN 'new' WHEN facts + records_added + records_removed + records_changed + added + removed + unreadable > 0 THEN 'changed' ELSE 'unchanged' END AS status FROM s)"""
+
+
+@query(f"""WITH {_STATES} SELECT pid, status, CASE WHEN new THEN docs END AS documents, CASE WHEN NOT new THEN reextracted END AS reextracted, CASE WHEN NOT new THEN CAST(facts AS INTEGER) END AS facts, CASE WHEN NOT new THEN CAST(records_added AS INTEGER) END AS records_added,
+ CASE WHEN NOT new THEN CAST(records_changed AS INTEGER) END AS records_changed, CASE WHEN NOT new THEN CAST(added AS INTEGER) END AS documents_added, CASE WHEN NOT new THEN CAST(removed AS INTEGER) END AS documents_removed, CASE WHEN NOT new THEN carried END AS carried_over,
+ CASE WHEN NOT new THEN CAST(silent AS INTEGER) END AS silent_records FROM t""")
 def change_summary(spark, sf):
+    """Facts, records, documents and unreadable files of customers, between two states."""
     return diff.summary(_changes(spark, sf)[0])
 
 
-@query(f"WITH {_ITEMS} SELECT b.pid, b.key FROM b JOIN h USING (pid) WHERE now AND (new OR reextracted OR NOT was)")
+@query(f"WITH {_STATES} SELECT ds.pid, ds.key FROM ds JOIN h USING (pid) WHERE now AND (new OR reextracted OR NOT was)")
 def docs_to_send(spark, sf):
     changes, documents = _changes(spark, sf)
     return diff.documents_to_send(changes, documents)
 
 
-@query(f"""WITH {_ITEMS} SELECT count(*) FILTER (new) AS new, count(*) FILTER (NOT new AND added + removed > 0) AS changed, count(*) FILTER (NOT new AND added + removed = 0) AS unchanged,
- CAST(sum(CASE WHEN new OR reextracted THEN docs ELSE added END) AS BIGINT) AS sent, CAST(sum(CASE WHEN new OR reextracted THEN 0 ELSE carried END) AS BIGINT) AS carried FROM h LEFT JOIN m USING (pid)""")
+@query(f"""WITH {_STATES} SELECT count(*) FILTER (status = 'new') AS new, count(*) FILTER (status = 'changed') AS changed, count(*) FILTER (status = 'unchanged') AS unchanged,
+ CAST(sum(CASE WHEN new OR reextracted THEN docs ELSE added END) AS BIGINT) AS sent, CAST(sum(CASE WHEN new OR reextracted THEN 0 ELSE carried END) AS BIGINT) AS carried FROM t""")
 def delivery_tallies(spark, sf):
     changes, documents = _changes(spark, sf)
     return planning.delivery_tallies(changes, diff.documents_to_send(changes, documents))
@@ -280,9 +355,13 @@ def window_targets(spark, sf):
     return planning.targets(window, named).select("target", "key", "named")
 
 
-@query("SELECT coalesce(event_type, 'unknown') AS event_type, count(*) AS n FROM events GROUP BY 1")
+@query("""WITH k AS (SELECT event_id, CASE event_type WHEN 'purchase' THEN 'competition' WHEN 'view' THEN 'planning' ELSE event_type END AS type FROM events)
+ SELECT coalesce(type, 'unknown') AS type, count(*) AS n, count(*) FILTER (type IN ('competition', 'planning')) AS biddable FROM k GROUP BY 1""")
 def biddable_counts(spark, sf):
-    return planning.counts_by(D.table(spark, sf, "events"), "event_type")
+    kind = F.when(F.col("event_type") == "purchase", "competition").when(F.col("event_type") == "view", "planning").otherwise(F.col("event_type"))
+    k = D.table(spark, sf, "events").select(kind.alias("type"))
+    some = planning.counts_by(planning.biddable(k, "type"), "type").withColumnRenamed("n", "biddable")
+    return planning.counts_by(k, "type").join(some, "type", "left").select("type", "n", F.coalesce("biddable", F.lit(0)).alias("biddable"))
 
 
 @query("SELECT 60000 AS expected, count(DISTINCT l_orderkey || '-' || l_linenumber) AS \"unique\", 7 AS pages, 60000 - count(DISTINCT l_orderkey || '-' || l_linenumber) AS drift, count(DISTINCT l_orderkey || '-' || l_linenumber) = 60000 AS proven FROM lineitem")
@@ -389,7 +468,70 @@ def scan_cache_misses(spark, sf):
 @query("""SELECT l_returnflag AS method, count(DISTINCT l_orderkey) AS records, count(*) AS files, count(DISTINCT l_partkey || '-' || l_suppkey) AS unique_files, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes FROM lineitem GROUP BY 1""")
 def fetch_summary(spark, sf):
     l = D.table(spark, sf, "lineitem")
-    return l.groupBy(F.col("l_returnflag").alias("method")).agg(F.count_distinct("l_orderkey").alias("records"), F.count("*").alias("files"), F.count_distinct(F.concat_ws("-", "l_partkey", "l_suppkey")).alias("unique_files"), F.sum(F.col("l_quantity").cast("long")).alias("bytes"))
+    return packs.fetch_totals(l.select(F.col("l_returnflag").alias("method"), F.col("l_orderkey").alias("record_id"), F.concat_ws("-", "l_partkey", "l_suppkey").alias("path"), F.col("l_quantity").cast("long").alias("size")), ["method"])
+
+
+def _download(spark, sf):
+    """A download's rows: customers are packs, orders records (some withheld), line items files (some listed twice)."""
+    l, o = D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders")
+    path = F.concat(F.lit("actual/"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
+    own = o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), F.col("o_orderkey"), F.col("o_orderkey").cast("string").alias("record_id"), F.lit("actual").alias("section"), F.col("o_orderpriority").alias("title"), F.lit("T").alias("type_code"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date"))
+    none = lambda kind: F.lit(None).cast(kind)
+    hidden = own.filter(F.col("o_orderkey") % 10 == 0).select("*", F.lit(True).alias("withheld"), none("string").alias("filename"), none("string").alias("original_name"), none("string").alias("path"), none("bigint").alias("size"), none("string").alias("sha256"), none("boolean").alias("duplicate"), none("string").alias("method"), none("binary").alias("content"))
+    files = own.filter(F.col("o_orderkey") % 10 != 0).join(l, own["o_orderkey"] == l["l_orderkey"])
+    shown = files.select(*[own[c] for c in own.columns], F.lit(False).alias("withheld"), path.alias("filename"), path.alias("original_name"), path.alias("path"), F.col("l_quantity").cast("long").alias("size"), F.sha2(path, 256).alias("sha256"), (F.col("l_linenumber") % 7 == 0).alias("duplicate"), F.col("l_returnflag").alias("method"), F.encode(path, "utf-8").alias("content"))
+    return shown.unionByName(hidden).drop("o_orderkey")
+
+
+_DOWNLOAD = "f AS (SELECT 'c' || o_custkey AS pid, o_orderkey, l_partkey || '-' || l_suppkey AS path, CAST(l_quantity AS BIGINT) AS size FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 10 <> 0), w AS (SELECT 'c' || o_custkey AS pid, count(*) AS withheld FROM orders WHERE o_orderkey % 10 = 0 GROUP BY 1)"
+
+
+@query(f"""WITH {_DOWNLOAD}, n AS (SELECT pid, count(DISTINCT o_orderkey) AS documents, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM f GROUP BY pid)
+ SELECT pid, coalesce(documents, 0) AS documents, coalesce(withheld, 0) AS withheld, coalesce(files, 0) AS files, coalesce(bytes, 0) AS bytes FROM n FULL JOIN w USING (pid)""")
+def pack_manifests(spark, sf):
+    """What the manifests say, read back from their JSON."""
+    record = "struct<id: string, files: array<struct<path: string, size: bigint>>>"
+    read = F.from_json(F.decode("content", "utf-8"), f"struct<pid: string, documents: array<{record}>, withheld_records: array<{record}>>")
+    rows = packs.manifests(_download(spark, sf)).select(read.alias("m")).select("m.pid", "m.documents", F.size("m.withheld_records").cast("long").alias("withheld"))
+    files = F.flatten(F.transform("documents", lambda d: d["files"]))
+    return rows.select("pid", F.size("documents").cast("long").alias("documents"), "withheld", F.size(files).cast("long").alias("files"), F.aggregate(files, F.lit(0).cast("long"), lambda n, f: n + f["size"]).alias("bytes"))
+
+
+@query(f"WITH {_DOWNLOAD}, n AS (SELECT pid, count(DISTINCT path) AS members FROM f GROUP BY pid) SELECT pid, coalesce(members, 0) + 1 AS members, true AS ok FROM n FULL JOIN w USING (pid)")
+def original_archives(spark, sf):
+    """Archives of the originals: every path once, and the manifest."""
+    rows = _download(spark, sf)
+    return packs.originals(rows, packs.manifests(rows)).select("pid", "members", "ok")
+
+
+@query("SELECT 'c' || o_custkey AS pid, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS records, CAST(count(DISTINCT l_partkey || '-' || l_suppkey) AS BIGINT) AS unique_files, CAST(count(DISTINCT CASE WHEN l_returnflag = 'R' THEN o_orderkey END) AS BIGINT) AS returned FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 10 <> 0 GROUP BY 1")
+def pack_summaries(spark, sf):
+    """What the summaries say, read back from their JSON."""
+    read = F.from_json(F.decode("content", "utf-8"), "struct<pid: string, records: bigint, unique_files: bigint, methods: map<string, bigint>>")
+    files = _download(spark, sf).filter("not withheld")
+    return packs.summaries(files).select(read.alias("m")).select("m.pid", "m.records", "m.unique_files", F.coalesce(F.try_element_at("m.methods", F.lit("R")), F.lit(0)).alias("returned"))
+
+
+@query(f"WITH {_GAPS} SELECT reason, count(*) AS n, min_by(file, pos) AS sample FROM g GROUP BY reason")
+def note_samples(spark, sf):
+    return packs.note_samples(D.gaps(spark, sf), ["pos"], "reason", "file")
+
+
+@query(f"""WITH {_GAPS} SELECT sha256, min(file) AS text, '{{"provider":"p","model":"m","prompt_sha256":"' || sha256('read it') || '","read_at":"2026-01-01"}}' AS provenance FROM g WHERE sha256 <> '' AND bytes > 8000000 GROUP BY sha256""")
+def scan_results(spark, sf):
+    """Read texts with what they came from, as the cache keeps them; texts of too few bytes were not read."""
+    read = D.gaps(spark, sf).select("sha256", F.col("file").alias("text"), F.when(F.col("bytes") > 8_000_000, "read").otherwise("empty").alias("outcome"))
+    return scans.results(read, "p", "m", "read it", F.lit("2026-01-01"))
+
+
+@query(f"""WITH {_GAPS}, c AS (SELECT DISTINCT sha256 FROM g WHERE sha256 <> '' AND bytes > 8000000)
+ SELECT pos, CASE WHEN ends_with(file, '.dwg') THEN 'skip' WHEN g.sha256 IN (SELECT sha256 FROM c) THEN 'cached' ELSE 'call' END AS step FROM g""")
+def scan_plan(spark, sf):
+    """What a run would do with each gap: nothing, take it from the cache, or call the reader."""
+    g = D.gaps(spark, sf)
+    queued = g.select("pos", "sha256", F.when(F.col("file").endswith(".dwg"), "drawing-not-sent").alias("skipped"))
+    cache = g.filter("sha256 <> '' and bytes > 8000000").select("sha256", F.lit("t").alias("text"), F.lit("{}").alias("provenance")).distinct()
+    return scans.plan(queued, cache).select("pos", "step")
 
 
 @query("""WITH r AS (SELECT o_custkey AS pid, o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'archive' ELSE 'actual' END AS section, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderkey * 10 END AS file_id, nullif(o_orderstatus, 'O') AS code FROM orders)
@@ -402,11 +544,11 @@ def download_links(spark, sf):
     return pages.links(docs, records)
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS pid, 'd/' || doc_id || '.txt' AS source, 'markdown' AS kind, length(text) AS chars_of_text, strlen(text) AS bytes, sha256(text) AS sha256 FROM documents WHERE trim(text, ' ' || chr(10) || chr(9)) <> ''")
+@query(r"""WITH d AS (SELECT doc_id, text, '```' || chr(10) || regexp_replace(text, '^\s+|\s+$', '', 'g') || chr(10) || '```' AS md FROM documents)
+ SELECT CAST(doc_id AS VARCHAR) AS pid, 'd/' || doc_id || '.txt' AS source, 'markdown' AS kind, md5(md) AS text_md5, length(md) AS chars, strlen(text) AS bytes, sha256(text) AS sha256 FROM d""")
 def extracted_texts(spark, sf):
-    """Every document as a text file of its own pack, through the extractor."""
+    """Every document as a text file of its own pack, through the extractor: its text, and its length."""
     d = D.table(spark, sf, "documents")
     pid = F.col("doc_id").cast("string")
-    files = d.filter("trim(text) <> ''").select(pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"), F.encode("text", "utf-8").alias("content"), F.char_length("text").cast("long").alias("n"))
-    rows = extract.extract(files)
-    return rows.join(files.select("pid", "n"), "pid").select("pid", "source", "kind", F.col("n").alias("chars_of_text"), "bytes", "sha256")
+    files = d.select(pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
+    return extract.extract(files).select("pid", "source", "kind", F.md5("text").alias("text_md5"), "chars", "bytes", "sha256")

@@ -2,8 +2,7 @@
 
 Items are the ``source`` values of documents, records are orders, files line items, the journal and run log events.
 Two states of the same table differ by edits that a digest decides (a hex digit of the row's own), so that every
-branch of the comparison is reached. Every row is in one state at least, but for documents whose text digest starts
-with f and whose source is new: those are in neither.
+branch of the comparison is reached. Every row is in one state at least.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ def extracted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     known = d.filter(~digit(F.col("source"), 4).isin("0", "1"))
     previous = shape(known.filter(F.substring(first, 1, 1) != "0"), first)
     edited = F.when(F.substring(first, 1, 1) == "7", F.sha2(F.concat("text", F.lit(".")), 256)).otherwise(first)
-    current = shape(d.filter(F.substring(first, 1, 1) != "f"), edited)
+    current = shape(d.filter((F.substring(first, 1, 1) != "f") | digit(F.col("source"), 4).isin("0", "1")), edited)
     return previous, current
 
 
@@ -61,8 +60,8 @@ def records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(previous, current) records, of orders and their line items: pid, id, publish_date, title, type_code, section, withheld, files (map)."""
     o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
-    files = l.select("l_orderkey", own.alias("d"), F.concat(F.lit("f"), F.col("l_linenumber").cast("string")).alias("n")).dropDuplicates(["l_orderkey", "d"])
-    by = files.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("d", "n"))).alias("fs"))
+    files = l.select("l_orderkey", own.alias("d"), F.concat(F.lit("f"), F.col("l_linenumber").cast("string")).alias("n"))
+    by = files.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.struct("d", "n"))).alias("fs"))
     rows = o.join(by, o["o_orderkey"] == by["l_orderkey"], "left").withColumn("fs", F.coalesce("fs", F.array().cast("array<struct<d: string, n: string>>")))
     key = digit(F.col("o_orderkey"))
 
@@ -87,3 +86,29 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     old = c.select("pid", F.lit("t1").alias("tool"), F.lit("p1").alias("parser"), F.when(d(3) == "0", None).otherwise(F.lit("lv")).alias("language"))
     new = c.select("pid", F.lit("t1").alias("tool"), F.when(d(4).isin("0", "1"), "p2").otherwise("p1").alias("parser"), F.when(d(3).isin("0", "1", "2", "3"), "en").otherwise("lv").alias("language"))
     return wide(base), wide(base | edits), old, new
+
+
+def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(previous, current) whole states, of customers: heads, facts, records (orders), documents and unreadable files (line items).
+
+    A customer whose digest has 0 in its fifth place is new, one with 0 or 1 in its sixth was extracted by another tool.
+    """
+    wide_was, wide_now, old, new = facts(spark, sf_dir)
+    records_was, records_now = records(spark, sf_dir)
+    key = lambda pid: F.substring(pid, 2, 20)  # noqa: E731  the customer's number, which the digests are of
+    known = lambda df: df.filter(digit(key(F.col("pid")), 5) != "0")
+    items_now = new.withColumn("tool", F.when(digit(key(F.col("pid")), 6).isin("0", "1"), "t2").otherwise("t1"))
+    l, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
+    lines = l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), own.alias("d"), F.concat(F.lit("a/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("source"), (F.col("l_quantity") > 45).alias("unread"), F.col("l_quantity").cast("long").alias("n"))
+    at = lambda k: F.substring("d", k, 1)
+
+    def side(heads: DataFrame, wide: DataFrame, recs: DataFrame, gone: str, fixed: str, cut) -> dict[str, DataFrame]:
+        from ..operators import diff
+
+        mine = cut(lines.filter(at(2) != gone))
+        entries = mine.filter(~F.col("unread") | (at(3) == fixed)).select("pid", F.col("d").alias("original_sha256"), "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), F.lit(None).cast("string").alias("record_id"), F.lit(None).cast("string").alias("also_listed_under"), F.col("source").alias("markdown_path"), F.col("n").alias("markdown_chars"), F.lit(0).alias("pos"))
+        gaps_ = mine.filter(F.col("unread") & (at(3) != fixed)).select("pid", F.col("source").alias("file"), F.col("n").alias("bytes"), F.when(at(4) != "0", F.col("d")).alias("sha256"), F.lit("conversion failed").alias("reason"))
+        return {"heads": cut(heads), "facts": diff.long_facts(cut(wide)), "records": cut(recs), "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps_)}
+
+    return side(old, wide_was, records_was, "1", "x", known), side(items_now, wide_now, records_now, "2", "0", lambda df: df)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import diff, extract, keyed, pages, planning
+from ..operators import diff, extract, keyed, links, packs, pages, planning
 from ..sources import fetch as downloads
+from ..sources import publish
 
 
 class Incomplete(Exception):
@@ -26,9 +27,12 @@ class Stale(Exception):
     """The register's newest notice is older than it may be."""
 
 
-def discover(records: DataFrame, expected: int, pages_read: int, now=None, policy: dict | None = None) -> DataFrame:
+def discover(records: DataFrame, expected: int, pages_read: int, now=None, policy: dict | None = None, notice_pages: DataFrame | None = None) -> DataFrame:
     """Biddable notices of a complete scan, in the common shape, without those outside the policy.
 
+    With ``notice_pages`` (uuid, html; see :func:`corpustide.sources.fetch.notice_pages`) each has the ``url`` of its
+    platform page, null where its page links to none.
+
     With ``now`` (a timestamp column) the scan must also be fresh. The policy comes before anything is downloaded.
     """
     proof = planning.coverage(records, expected, pages_read).first()
@@ -40,6 +44,8 @@ def discover(records: DataFrame, expected: int, pages_read: int, now=None, polic
         raise Stale("newest notice")
     once = keyed.first_per_key(records.withColumn("_key", F.coalesce(F.nullif("identifier", F.lit("")), F.nullif("externalId", F.lit("")), F.lit(""))), ["_key"], ["pos"]).drop("_key")
     notices = planning.normalised_notices(planning.biddable(once, "type"))
+    if notice_pages is not None:
+        notices = links.with_links(notices, links.platform_links(notice_pages))
     if policy is None:
         return notices
     codes = C.codes(F.transform("cpv", lambda c: c["code"]))
@@ -67,10 +73,12 @@ def split(rows: DataFrame) -> dict[str, DataFrame]:
     """Tables of a stored download (see :func:`corpustide.sources.fetch.fetch`)."""
     items = rows.filter(F.col("outcome").isin("done", "failed", "withdrawn"))
     files = rows.filter("outcome = 'file'")
-    packs = files.filter("content is not null").select("pid", "record_id", "path", "content")
-    text = extract.extract(packs)
+    text = extract.extract(files.filter("content is not null").select("pid", "record_id", "path", "content"))
     gaps = text.filter("kind = 'unsupported'").select("pid", F.col("source").alias("file"), "bytes", "sha256", F.col("note").alias("reason"), F.lit(None).cast("string").alias("path"))
-    return {"outcomes": items.select("target", "pid", "outcome", "error"), "records": rows.filter("outcome in ('file', 'record')").drop("content", "html"), "files": files, "facts": pages.notices(items.filter("outcome = 'done'"), "pid"), "extracted": text, "gaps": gaps}
+    facts = pages.notices(items.filter("outcome = 'done'"), "pid")
+    written = packs.manifests(rows).unionByName(packs.summaries(files)).unionByName(packs.procurements(facts))
+    archives = packs.originals(files, written)
+    return {"written": written, "originals": archives, "outcomes": items.select("target", "pid", "outcome", "error"), "records": rows.filter("outcome in ('file', 'record')").drop("content", "html"), "files": files, "facts": facts, "extracted": text, "gaps": gaps}
 
 
 def account(outcomes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -103,10 +111,17 @@ def deliver(previous: dict[str, DataFrame], current: dict[str, DataFrame], publi
     return {"changes": changes, "refreshed": diff.refreshed(changes), "send": send, "summary": diff.summary(changes), "tallies": planning.delivery_tallies(changes, send)}
 
 
-def index_entries(facts: DataFrame, entries: DataFrame, gaps: DataFrame, links: DataFrame) -> DataFrame:
+def publish_delivery(root: str, run: str, delivery: dict[str, DataFrame], texts: DataFrame, seen: DataFrame, shard: int | None = None) -> None:
+    """Publish what :func:`deliver` found, in order. texts (pid, key, path, content): all texts; only those to send are
+    written, of items that are written again. seen (pid, first_seen, last_seen, last_change): every item of the run."""
+    documents = texts.join(delivery["send"], ["pid", "key"], "left_semi").join(delivery["refreshed"].select("pid"), "pid", "left_semi")
+    publish.publish(root, run, packs.delivered(documents).select("pid", "path", "content"), seen, delivery["summary"], delivery["changes"], shard)
+
+
+def index_entries(facts: DataFrame, entries: DataFrame, gaps: DataFrame, addresses: DataFrame) -> DataFrame:
     """One index row for each item: its facts in short, its documents with their addresses, and what could not be read."""
     key = C.document_key(F.col("original_sha256"), F.col("source"))
-    docs = entries.filter(F.col("also_listed_under").isNull() & (F.coalesce("markdown_path", F.lit("")) != "")).withColumn("key", key).join(links, ["pid", "key"], "left")
+    docs = entries.filter(F.col("also_listed_under").isNull() & (F.coalesce("markdown_path", F.lit("")) != "")).withColumn("key", key).join(addresses, ["pid", "key"], "left")
     doc = F.struct("pos", F.concat(F.lit("doc/"), "key", F.lit(".md")).alias("path"), F.substring_index("source", "/", -1).alias("name"), "source", "section", F.col("record_title").alias("record"), F.col("markdown_chars").alias("chars"), "download")
     listed = docs.groupBy("pid").agg(F.array_sort(F.collect_list(doc)).alias("documents"))
     unread = gaps.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("file", "reason"))).alias("unreadable"))

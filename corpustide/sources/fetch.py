@@ -160,6 +160,27 @@ def fetch(targets: DataFrame, by: str, pause: float = V.PAUSE_CAP, sections: tup
     return targets.select("target", "pid", "url", "done").coalesce(1).mapInPandas(run, SCHEMA)
 
 
+def notice_pages(notices: DataFrame, by: str, pause: float = 0.25) -> DataFrame:
+    """(uuid, html): each notice's own page, from which its platform page follows; null where it cannot be read. ``by``: see :func:`fetch`.
+
+    One task, as the register asks for a single stream.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = transport(by)()
+        for batch in batches:
+            found = []
+            for link in batch["link"]:
+                try:
+                    found.append(client.page(link))
+                except Exception:  # a notice without its page stays, without a link
+                    found.append(None)
+                time.sleep(pause)
+            yield pd.DataFrame({"uuid": batch["uuid"], "html": pd.Series(found, dtype=object)})
+
+    return notices.select("uuid", "link").coalesce(1).mapInPandas(run, "uuid string, html string")
+
+
 def _files(client, pid: str, record: dict) -> tuple[str, list[tuple[str, bytes]]]:
     """(method, files) of a record: the members of its archive, or where there is none each file on its own."""
     members = record_archive(lambda _: client.archive(pid, record), "")

@@ -13,7 +13,6 @@ import json
 import os
 import zipfile
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,11 +34,11 @@ def archive(members: list[tuple[str, bytes]], last: str | None = "index.json") -
     return out.getvalue()
 
 
-def archives(members: DataFrame) -> DataFrame:
+def archives(members: DataFrame, last: str | None = "index.json") -> DataFrame:
     """One archive for each item of (pid, path, content): pid, sha256, members, content."""
 
     def run(pack: pd.DataFrame) -> pd.DataFrame:
-        data = archive([(p, bytes(c)) for p, c in zip(pack["path"], pack["content"])])
+        data = archive([(p, bytes(c)) for p, c in zip(pack["path"], pack["content"])], last)
         return pd.DataFrame({"pid": [pack["pid"].iloc[0]], "sha256": [hashlib.sha256(data).hexdigest()], "members": [pack["path"].nunique()], "content": [data]})
 
     return members.groupBy("pid").applyInPandas(run, "pid string, sha256 string, members long, content binary")
@@ -79,51 +78,78 @@ def ranges(size: int, single: int = 4 << 20, chunk: int = 10 << 20) -> list[tupl
     return [(a, min(a + chunk, size)) for a in range(0, size, chunk)]
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    rows: list[tuple[str, str, str]]
+class FilesWriter(DataSourceWriter):
+    """Files under a folder, each whole or not at all; those that are there with the same bytes are left alone."""
 
+    def __init__(self, root: str):
+        self.root = root
 
-class PublicationWriter(DataSourceWriter):
-    def __init__(self, root: str, state: str):
-        self.root, self.state = root, state
-
-    def write(self, iterator: Iterator) -> Written:
-        rows = []
+    def write(self, iterator: Iterator) -> WriterCommitMessage:
         for row in iterator:
-            data = bytes(row.content)
-            digest = hashlib.sha256(data).hexdigest()
-            path = f"{row.pid}/{row.path}"
-            full = os.path.join(self.root, path)
-            if not os.path.exists(full) or hashlib.sha256(open(full, "rb").read()).hexdigest() != digest:
+            data, full = bytes(row.content), os.path.join(self.root, row.path)
+            if not os.path.exists(full) or hashlib.sha256(open(full, "rb").read()).digest() != hashlib.sha256(data).digest():
                 put(full, data)
-            rows.append((row.pid, row.path, digest))
-        return Written(rows)
+        return WriterCommitMessage()
 
-    def commit(self, messages: list[Written | None]) -> None:
-        by: dict[str, list] = {}
-        for m in messages:
-            for pid, path, digest in m.rows if m else ():
-                by.setdefault(pid, []).append({"path": path, "sha256": digest})
-        for pid, docs in sorted(by.items()):
-            put(os.path.join(self.root, pid, "index.json"), json.dumps({"pid": pid, "documents": sorted(docs, key=lambda d: d["path"])}).encode())
-        for pid in sorted(by):
-            put(os.path.join(self.root, pid, "state.json"), json.dumps({"pid": pid, "state": self.state}).encode())
-        put(os.path.join(self.root, "day.json"), json.dumps({"state": self.state, "items": sorted(by)}).encode())
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Nothing is left to do: each task has written its files."""
 
-    def abort(self, messages: list[Written | None]) -> None:
-        """Documents may stay: without an index nothing refers to them."""
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Files may stay: without an index nothing refers to them."""
 
 
 class Publication(DataSource):
-    """``df.write.format("publication")`` of (pid, path, content). Options: root (a folder that all executors share), state."""
+    """``df.write.format("publication")`` of (path, content). Option root: a folder that all executors share."""
 
     @classmethod
     def name(cls) -> str:
         return "publication"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return PublicationWriter(self.options["root"], self.options.get("state", ""))
+        return FilesWriter(self.options["root"])
+
+
+def _put_all(files: DataFrame, root: str) -> None:
+    files.select("path", F.col("content").cast("binary").alias("content")).write.format("publication").option("root", root).mode("append").save()
+
+
+def publish(root: str, state: str, documents: DataFrame, seen: DataFrame | None = None, runs: DataFrame | None = None, changes: DataFrame | None = None, shard: int | None = None) -> None:
+    """Publish documents (pid, path, content), step by step, each by tasks and only after the one before has ended:
+
+    documents; each item's index; each item's state; what was seen (pid, first_seen, last_seen, last_change) and the
+    run's record of each item (pid, and its columns); the shard's index; the change records; at last the day's marker.
+    A reader that finds a later file may rely on all before it. Items that did not move come in ``seen`` and ``runs``
+    only, and none of their documents is written. The driver writes the marker alone.
+    """
+    to_json = lambda *cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    at = lambda name: F.concat(F.col("pid"), F.lit(f"/{name}"))
+    _put_all(documents.select(at("").alias("folder"), "path", "content").select(F.concat("folder", "path").alias("path"), "content"), root)
+    listed = documents.select("pid", F.struct("path", F.sha2("content", 256).alias("sha256")).alias("d")).groupBy("pid").agg(F.array_sort(F.collect_list("d")).alias("documents"))
+    _put_all(listed.select(at("index.json").alias("path"), to_json("pid", "documents").alias("content")), root)
+    items = documents.select("pid").distinct()
+    _put_all(items.select(at("state.json").alias("path"), to_json("pid", F.lit(state).alias("state")).alias("content")), root)
+    for name, rows in (("seen", seen), ("run", runs)):
+        if rows is not None:
+            path = at(f"{name}.json") if name == "seen" else at(f"runs/{state}.json")
+            _put_all(rows.select(path.alias("path"), to_json(*rows.columns).alias("content")), root)
+    place = "" if shard is None else f"shard-{shard}/"
+    _lines(items.orderBy("pid"), f"{root}/{place}index-{state}")
+    if changes is not None:
+        _lines(changes, f"{root}/{place}changes-{state}")
+    put(os.path.join(root, place, "day.json"), json.dumps({"state": state, "shard": shard}).encode())
+
+
+def _lines(rows: DataFrame, path: str) -> None:
+    """JSON lines in parts under a folder, by tasks; Spark's own marker says that they are whole."""
+    rows.write.mode("overwrite").json(f"file://{path}" if path.startswith("/") else path)
+
+
+def harvest(records: DataFrame, coverage: DataFrame, root: str) -> None:
+    """A scan's records as JSON lines, and beside them one row about the scan: its coverage and the records by type."""
+    records.write.mode("overwrite").json(f"{root}/records")
+    by = records.groupBy(F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count("*").alias("n"))
+    counts = by.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "n")))).alias("by_type")).withColumn("_one", F.lit(1))
+    coverage.withColumn("_one", F.lit(1)).join(counts, "_one").drop("_one").coalesce(1).write.mode("overwrite").json(f"{root}/meta")  # one row each
 
 
 def outcomes(df: DataFrame, root: str) -> None:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import os
 import time
 import urllib.error
 import urllib.request
@@ -83,31 +84,60 @@ class Register(DataSource):
 
 
 class WalkReader(DataSourceStreamReader):
-    """Pages of consecutive ids; the offset is the frontier id. A batch takes ``batch`` ids."""
+    """Pages of consecutive ids; the offset is the frontier id. A batch takes ``batch`` ids, and none after a run of misses.
+
+    Spark does not tell a reader the offset that it committed, so the frontier is kept in the folder ``state``: a name
+    for each planned batch, made when it is planned, which is after its offset was logged. A restarted reader goes on
+    from the largest. Tasks leave there the last id of a batch that had a page, which the run of misses is counted from.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.options = dict(options)
-        self.at = int(self.options.get("start", 1))
-        self.end = int(self.options.get("end", 2**62))
+        self.state = self.options.get("state")
+        if not self.state:
+            raise ValueError("state must name a folder that driver and tasks share, kept as long as the checkpoint")
+        os.makedirs(self.state, exist_ok=True)
+        self.start, self.end = int(self.options.get("start", 1)), int(self.options.get("end", 2**62))
+        self.misses = int(self.options.get("misses", 40))
+
+    def _kept(self, kind: str) -> list[int]:
+        return [int(name.partition("-")[2]) for name in os.listdir(self.state) if name.startswith(f"{kind}-")]
+
+    def _keep(self, kind: str, number: int) -> None:
+        os.close(os.open(os.path.join(self.state, f"{kind}-{number}"), os.O_CREAT | os.O_WRONLY))
 
     def initialOffset(self) -> dict:
-        return {"id": int(self.options.get("start", 1))}
+        return {"id": self.start}
 
     def latestOffset(self) -> dict:
-        self.at = min(self.at + int(self.options.get("batch", 100)), self.end)
-        return {"id": self.at}
+        at = max(self._kept("planned"), default=self.start)
+        last = max(self._kept("hit"), default=self.start - 1)
+        if at - 1 - last >= self.misses:
+            return {"id": at}  # the walk has ended
+        return {"id": min(at + int(self.options.get("batch", 100)), self.end)}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self._keep("planned", end["id"])
         return [InputPartition((start["id"], end["id"]))] if end["id"] > start["id"] else []
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         page = transport(self.options["transport"])
+        last = None
         for pid in range(*partition.value):
-            yield (pid, page(pid))
+            found = page(pid)
+            last = pid if found is not None else last
+            yield (pid, found)
+        if last is not None:
+            self._keep("hit", last)
+
+    def commit(self, end: dict) -> None:
+        for kind in ("planned", "hit"):
+            for old in sorted(self._kept(kind))[:-1]:
+                os.remove(os.path.join(self.state, f"{kind}-{old}"))
 
 
 class Walk(DataSource):
-    """``spark.readStream.format("walk")``: pid, html (null where nothing is published). Options: transport, start, end, batch."""
+    """``spark.readStream.format("walk")``: pid, html (null where nothing is published). Options: transport, state, start, end, batch, misses."""
 
     @classmethod
     def name(cls) -> str:

@@ -59,8 +59,6 @@ def test_small_scalars(spark):
     assert _each(spark, ["a<br>&amp; b"], C.html_text(F.col("x"))) == ["a & b"]
     got = _values(spark, [(0, 0), (10 * 1024 * 1024, 1), (1024 * 1024, 2)], "n long", C.pause_for(F.col("n")))
     assert got == [0.75, 5.0, 1.25]
-    moves = spark.createDataFrame([(["b", "a"], ["c", "b"])], "x array<string>, y array<string>").select(keyed.set_moves(F.col("x"), F.col("y")).alias("m")).first()["m"]
-    assert (moves["added"], moves["removed"], moves["kept"]) == (["c"], ["a"], ["b"])
     at = spark.sql("select date'2026-01-10' as d").select(planning.window_bounds(3, F.col("d")).alias("w")).first()["w"]
     assert str(at["start"]) == "2026-01-08"
 
@@ -138,7 +136,8 @@ def test_balance(spark, loads, slices):
         heapq.heappush(heap, (total + x, s))
     df = spark.createDataFrame(rows, "pid string, chars long")
     assert {r["pid"]: r["slice"] for r in planning.balance(df, slices).collect()} == want
-    assert {r["pid"]: r["slice"] for r in planning.balance_sql(df, slices).collect()} == want
+    two = df.withColumn("day", F.lit("d1")).unionByName(df.withColumn("day", F.lit("d2"))).repartition(3)
+    assert {(r["day"], r["pid"]): r["slice"] for r in planning.balance(two, slices, day="day").collect()} == {(d, p): s for d in ("d1", "d2") for p, s in want.items()}
 
 
 def test_day(spark):
@@ -240,11 +239,79 @@ def test_archives_and_publication(spark, tmp_path):
     packed = publish.archives(rows)
     assert {r["pid"]: r["members"] for r in publish.verified(packed).filter("ok").collect()} == {"p1": 2, "p2": 1}
     assert publish.verified(packed.withColumn("sha256", F.lit("0"))).filter("ok").count() == 0
+    seen = spark.createDataFrame([("p1", "d1", "d2", "d2"), ("p2", "d1", "d2", "d2"), ("p3", "d0", "d2", "d0")], "pid string, first_seen string, last_seen string, last_change string")
+    runs = spark.createDataFrame([("p1", "changed"), ("p2", "new"), ("p3", "unchanged")], "pid string, status string")
     for _ in range(2):  # a replay writes the same
-        rows.write.format("publication").option("root", str(tmp_path)).option("state", "s1").mode("append").save()
+        publish.publish(str(tmp_path), "s1", rows, seen, runs, runs, shard=2)
         index = json.loads((tmp_path / "p1/index.json").read_text())
         assert [d["path"] for d in index["documents"]] == ["doc/x.md", "doc/y.md"]
-        assert (tmp_path / "p2/doc/z.md").read_bytes() == b"z" and json.loads((tmp_path / "day.json").read_text())["items"] == ["p1", "p2"]
+        assert (tmp_path / "p2/doc/z.md").read_bytes() == b"z" and json.loads((tmp_path / "shard-2/day.json").read_text()) == {"state": "s1", "shard": 2}
+    # an item that did not move has its last look and the run's record, and nothing else
+    assert sorted(str(f.relative_to(tmp_path)) for f in (tmp_path / "p3").rglob("*.json")) == ["p3/runs/s1.json", "p3/seen.json"]
+    assert [r["pid"] for r in spark.read.json(f"file://{tmp_path}/shard-2/index-s1").orderBy("pid").collect()] == ["p1", "p2"]
+    assert spark.read.json(f"file://{tmp_path}/shard-2/changes-s1").count() == 3
+
+
+def test_publication_order(spark, tmp_path, monkeypatch):
+    """A publication that breaks off leaves no file of a later step: no state without its index, no marker without all."""
+    register.install(spark)
+    rows = spark.createDataFrame([("p1", "doc/x.md", b"x")], "pid string, path string, content binary")
+    steps = ["documents", "index", "state", "shard index", "marker"]
+    real, real_lines, real_put = publish._put_all, publish._lines, publish.put
+    for broken in range(len(steps)):
+        root, done = tmp_path / str(broken), []
+
+        def step(name, call):
+            if len(done) == broken:
+                raise RuntimeError(name)
+            done.append(name)
+            call()
+
+        monkeypatch.setattr(publish, "_put_all", lambda files, at: step("files", lambda: real(files, at)))
+        monkeypatch.setattr(publish, "_lines", lambda r, path: step("lines", lambda: real_lines(r, path)))
+        monkeypatch.setattr(publish, "put", lambda path, data: step("marker", lambda: real_put(path, data)))
+        with pytest.raises(RuntimeError):
+            publish.publish(str(root), "s1", rows)
+        have = [(root / f).exists() for f in ("p1/doc/x.md", "p1/index.json", "p1/state.json", "index-s1/_SUCCESS", "day.json")]
+        assert have == [k < broken for k in range(5)]
+
+
+def test_harvest(spark, tmp_path):
+    records = spark.createDataFrame([("a", "competition"), ("b", None), ("c", "competition")], "identifier string, type string")
+    publish.harvest(records, planning.coverage(records.withColumn("externalId", F.lit(None).cast("string")), 3, 1), f"file://{tmp_path}")
+    meta = spark.read.json(f"file://{tmp_path}/meta").first()
+    assert meta["proven"] and meta["unique"] == 3 and meta["by_type"].asDict() == {"competition": 2, "unknown": 1}
+    assert spark.read.json(f"file://{tmp_path}/records").count() == 3
+
+
+def _walk_live(pid):
+    return f"page {pid}" if pid < 240 and pid % 3 == 0 else None
+
+
+def test_walk_stream(spark, tmp_path):
+    """A stream over ids goes on after a restart where it stopped, reads none twice, and ends after a run of misses."""
+    register.install(spark)
+    got = {}  # by batch, as one that was broken off before it was committed runs again
+
+    def start():
+        pages = spark.readStream.format("walk").options(transport="test_parts:_walk_live", state=str(tmp_path / "state"), start="1", batch="20", misses="40").load()
+        return pages.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda df, n: got.update({n: [r["pid"] for r in df.collect()]})).start()
+
+    import time
+
+    for _ in range(2):  # broken off in the middle
+        q, before, end = start(), len(got), time.time() + 60
+        while len(got) < before + 2 and time.time() < end:
+            time.sleep(0.05)
+        q.stop()
+        assert len(got) > before
+    q = start()
+    q.processAllAvailable()
+    q.stop()
+    read = [pid for n in sorted(got) for pid in got[n]]
+    assert read == list(range(1, len(read) + 1)) and 240 + 38 <= len(read) <= 300
+    with pytest.raises(Exception):
+        spark.readStream.format("walk").options(transport="test_parts:_walk_live").load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp2")).start().processAllAvailable()
 
 
 def test_streams(spark, tmp_path):
@@ -304,6 +371,13 @@ def test_fetch_to_delivery(spark):
     assert got == [("1", "actual/a.txt", False, "zip"), ("1", "actual/b.txt", False, "zip"), ("2", f"actual/a-{one}.txt", False, "files"), ("2", "actual/a.txt", True, "files"), ("4", "archive/a.txt", False, "zip")]
     assert two is None and run["records"].filter("withheld").count() == 1 and run["facts"].first()["title"] == "T"
     assert run["extracted"].filter("kind = 'markdown'").count() == 4
+    written = {(r["pid"], r["path"]): json.loads(bytes(r["content"])) for r in run["written"].collect()}
+    manifest = written["1", "manifest.json"]
+    assert [d["id"] for d in manifest["documents"]] == ["1", "2", "4"] and len(manifest["withheld_records"]) == 1
+    assert [f["path"] for f in manifest["documents"][0]["files"]] == ["actual/a.txt", "actual/b.txt"]
+    assert written["1", "summary.json"]["methods"] == {"zip": 2, "files": 1} and written["1", "procurement.json"]["title"] == "T"
+    kept = {r["pid"]: (r["members"], r["ok"], zipfile.ZipFile(io.BytesIO(bytes(r["content"]))).namelist()) for r in run["originals"].collect()}
+    assert kept["1"] == (5, True, [*sorted(["actual/a.txt", f"actual/a-{one}.txt", "actual/b.txt", "archive/a.txt"]), "manifest.json"])
     assert sorted((r["key"], r["outcome"]) for r in lifecycle.account(run["outcomes"], targets).collect()) == [("eis:1", "target"), ("eis:2", "target"), ("eis:2", "withdrawn"), ("eis:3", "failed"), ("eis:3", "target")]
     entries = run["extracted"].filter("kind = 'markdown'").select("pid", "original_sha256", "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), "record_id", F.lit(None).cast("string").alias("also_listed_under"), F.col("source").alias("markdown_path"), F.col("chars").alias("markdown_chars"), F.lit(0).alias("pos"))
     records = spark.createDataFrame([], "pid string, id string, publish_date string, title string, type_code string, section string, withheld boolean, files map<string,string>")
