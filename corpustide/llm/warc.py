@@ -163,7 +163,7 @@ def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for page, url, html, first in zip(batch["page"], batch["url"], batch["html"], batch["first"]):
             page = None if pd.isna(page) else int(page)
             payload = (html or "").encode("utf-8", "surrogatepass")
-            refers = None if pd.isna(first) or page is None or first == page else int(first)
+            refers = None if pd.isna(first) or first == page else int(first)
             kind = "response" if refers is None else "revisit"
             held.append((page, kind, record(page, url, kind, payload, hashlib.sha1(payload).hexdigest(), refers)))
             size += len(held[-1][2])
@@ -196,13 +196,15 @@ def write_packages(pages: DataFrame, least: int = 1000) -> DataFrame:
     """Packages (column content) that hold a record for each row of ``pages`` (page_id, url, html).
 
     Of records with equal payloads of ``least`` bytes or more, the one with the largest page_id is a response and the
-    others revisit it. Null html is an empty payload. Rows that repeat the largest page_id are all responses, rows
-    without a page_id too, and never revisited. Other columns are not read. To keep the packages as files, write each
-    row's content; ``Package.of`` also reads from an open file.
+    others revisit it, rows without a page_id too; where none has a page_id all are responses. Rows that repeat the
+    largest page_id are all responses. Null html is an empty payload, payloads of any length are one record, an empty
+    table gives no packages, and other columns are not read. To keep the packages as files, write each row's content;
+    ``Package.of`` also reads from an open file, record by record.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page"), "url", "html")
-    marks = rows.select("page", F.sha2("html", 256).alias("digest"), F.octet_length("html").alias("n")).filter(F.col("page").isNotNull() & (F.col("n") >= least)).select("page", "digest")
-    firsts = stored(marks.groupBy("digest").agg(F.min("page").alias("low"), F.max("page").alias("first")).filter("low < first").select("digest", "first"), "payloads")
+    marks = rows.select("page", F.sha2("html", 256).alias("digest"), F.octet_length("html").alias("n")).filter(F.col("n") >= least)
+    several = marks.groupBy("digest").agg(F.count("*").alias("rows"), F.max("page").alias("first")).filter("rows > 1 and first is not null")
+    firsts = stored(several.select("digest", "first"), "payloads")
     joined = rows.withColumn("digest", F.when(F.octet_length("html") >= least, F.sha2("html", 256))).join(firsts, "digest", "left")
     return joined.select("page", "url", "html", "first").mapInPandas(_write, "content binary")
 

@@ -195,3 +195,45 @@ def likeness(one, two):
 
     x, y = int(x), int(y)
     return max(of(a[0], b[0]), of(a[1], b[1])) if x == y else of(a[0], b[1]) if x == 2 * y else of(a[1], b[0]) if y == 2 * x else 0.0
+
+
+def statistics(text):
+    """The quality statistics of a text, character by character."""
+    import math
+
+    data = (text or "").encode("utf-8", "surrogatepass")
+    n = max(1, len(data))
+    sizes = [len(w) for w in words(text)] or [0]
+    mean = sum(sizes) / len(sizes)
+    spread = math.sqrt(sum((x - mean) ** 2 for x in sizes) / len(sizes))
+    sentence = set(b".,;:!?'\"-()")
+    upper = sum(65 <= c <= 90 for c in data)
+    digits = sum(48 <= c <= 57 for c in data)
+    marks = [c in sentence or 33 <= c <= 126 and not chr(c).isalnum() for c in data]
+    entropy = -sum(k / n * math.log2(k / n) for c in set(data) if (k := data.count(c)))
+    lines = data.split(b"\n")
+
+    def logit(x):
+        return math.log((x + 0.001) / (1.001 - x))
+
+    own = words(text)
+    return [
+        math.log1p(len(own)), math.log1p(mean), math.log1p(spread), logit(len(set(own)) / max(1, len(own))), logit(upper / n), logit(digits / n), logit(sum(c in sentence for c in data) / n),
+        logit(sum(m and c not in sentence for m, c in zip(marks, data)) / n), logit(data.count(10) / n), logit(len(set(lines)) / len(lines)), entropy, logit(sum(x <= 3 for x in sizes) / len(sizes)), logit(sum(a and b for a, b in zip(marks, marks[1:])) / n),
+    ]
+
+
+def discriminant(x, y, to_pooled, to_sphere, prior):
+    """Posterior of class 1 for two Gaussians with shrunk covariances, by inverse and determinant."""
+    import numpy as np
+
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6)
+    own = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    pooled = sum(own[k] * (y == k).sum() for k in (0, 1)) / len(y)
+    log = []
+    for k in (0, 1):
+        s = (1 - to_pooled) * own[k] + to_pooled * pooled
+        s = (1 - to_sphere) * s + to_sphere * np.trace(s) / len(s) * np.eye(len(s))
+        d = z - z[y == k].mean(axis=0)
+        log.append(np.log((1 - prior, prior)[k]) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d))
+    return 1 / (1 + np.exp(np.clip(log[0] - log[1], -40, 40)))

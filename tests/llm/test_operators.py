@@ -1,6 +1,7 @@
 """The ten operators against plain versions, on the smallest tables and on rows made to be awkward."""
 
 import hashlib
+import json
 import math
 import random
 import zlib
@@ -275,7 +276,37 @@ def test_op4(spark, none):
     assert warc.read_packages(warc.write_packages(df.filter("false"))).count() == 0
     twice = spark.createDataFrame([(1, None, big), (2, None, big), (2, None, big), (None, None, big)], "page_id long, url string, html string")
     got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"]) for r in warc.read_packages(warc.write_packages(twice)).collect())
-    assert got == [(0, "response", None), (1, "revisit", 2), (2, "response", None), (2, "response", None)]
+    assert got == [(0, "revisit", 2), (1, "revisit", 2), (2, "response", None), (2, "response", None)]
+    nameless = spark.createDataFrame([(None, None, big), (None, None, big)], "page_id long, url string, html string")
+    assert [r["record_type"] for r in warc.read_packages(warc.write_packages(nameless)).collect()] == ["response"] * 2
+
+
+def test_op4_packages(monkeypatch, tmp_path):
+    """A task's rows in several packages; each read by range from an open file, of which no more than the parts asked for is read."""
+    import io
+
+    import pandas as pd
+
+    monkeypatch.setattr(warc, "PACKAGE", 2000)
+    r = random.Random(9)
+    pages = pd.DataFrame({"page": range(60), "url": [f"http://h/{i}" for i in range(60)], "html": ["".join(chr(r.randint(33, 1000)) for _ in range(400)) for _ in range(60)], "first": [None] * 60})
+    packages = [bytes(x) for frame in warc._write(iter([pages[:25], pages[25:]])) for x in frame["content"]]
+    assert len(packages) > 5
+    found = pd.concat(list(warc._read(iter([pd.DataFrame({"content": packages})]))))
+    assert sorted(found["page_id"]) == list(range(60))
+    for n, data in enumerate(packages):
+        (tmp_path / f"{n}.zip").write_bytes(data)
+        with open(tmp_path / f"{n}.zip", "rb") as f:
+            read = []
+            package = warc.Package.of(f)
+            inner = package.read
+            package.read = lambda at, size: read.append(size) or inner(at, size)
+            index = package.range(warc.INDEX, 0, package.members[warc.INDEX].size).decode().split("\n")
+            entry = json.loads(index[-1])
+            headers, block = warc.parse(package.range(warc.DATA, entry["offset"], entry["length"]))
+            assert block.decode() == pages["html"][entry["page"]]
+            assert sum(read) == 60 + package.members[warc.INDEX].size + entry["length"]
+    assert isinstance(warc.Package.of(io.BytesIO(packages[0])).members, dict)
 
 
 def _want_pages(rows):
@@ -547,6 +578,17 @@ def test_op8_op9(spark, odd, none, name, label, at, least):
         assert score(none, model).count() == 0
 
 
+def test_op9_plain(docs):
+    """Statistics and scores against plain loops: densities from covariances, determinants and inverses."""
+    texts = [r["text"] for r in docs.select("text").collect()][:60] + [None, "", "a", "One two.  Three!!\n\nOne two.", "é" * 40]
+    x = np.array([quality.statistics(t) for t in texts])
+    for row, t in zip(x, texts):
+        assert np.allclose(row, brute.statistics(t), atol=1e-9), t
+    y = (np.arange(len(texts)) % 3 > 0).astype(int)
+    model = quality.Discriminant(x, y, 0.3, 0.1, 0.6)
+    assert np.allclose(model.score(x), brute.discriminant(x, y, 0.3, 0.1, 0.6), atol=1e-9)
+
+
 def test_op8_clauses():
     g = toxicity.Grammar(["moron"], ["gru*", "blorp*"])
     counts = lambda t: dict(zip(toxicity.PATTERNS, g.counts(t)))
@@ -638,6 +680,12 @@ def _check_mix(rows, out, whole=True):
     entropy = lambda e: -sum(x**e / sum(y**e for y in p.values()) * math.log(x**e / sum(y**e for y in p.values())) for x in p.values())
     if whole:
         target = entropy(1) + 0.5 * (entropy(0) - entropy(1))
+        low, high = 0.0, 1.0  # the smallest exponent that keeps to both bounds, bisected plainly: both fall as it grows
+        for _ in range(60):
+            middle = (low + high) / 2
+            fits = entropy(middle) <= target + 1e-12 and (min(p.values()) / max(p.values())) ** (middle - 1) <= 4
+            low, high = (low, middle) if fits else (middle, high)
+        assert abs(a - high) < 1e-5, (a, high)
         limit = (min(p.values()) / max(p.values())) ** (a - 1)
         assert entropy(a) <= target + 1e-6 and limit <= 4 + 1e-4
         assert abs(entropy(a) - target) < 1e-4 or abs(limit - 4) < 1e-3
