@@ -552,3 +552,6 @@ def extracted_texts(spark, sf):
     pid = F.col("doc_id").cast("string")
     files = d.select(pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
     return extract.extract(files).select("pid", "source", "kind", F.md5("text").alias("text_md5"), "chars", "bytes", "sha256")
+
+
+from . import catalogue_packs  # noqa: E402,F401  adds its queries to the same tables
