@@ -38,6 +38,8 @@ from .common import BASES, Rolling, WordHashes, components, merged, mixed, store
 FREQUENT = 65_536
 #: Grams of a block at most, and sets of a block at most.
 BLOCK_GRAMS, BLOCK_SETS = 400_000, 1024
+#: Smaller pivots of a set that go with its bitmap; all that remain go with the set itself.
+SMALLEST = 4
 #: Bytes of the table of which probe holds which gram, so that many probes walk the trie at once.
 TABLE = 1 << 26
 #: ASCII upper case to lower case, as bytes.
@@ -456,10 +458,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = stored(met.groupBy("doc").agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("pivot").alias("pivots")), "places")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     grouped = lambda df: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
-    bitmaps = some.select("doc", "size", "bits").join(merged(met), "doc").select("doc", "size", "bits", "pivots", F.explode("places").alias("p")).select("p.*", "doc", "size", "bits", "pivots")
+    bitmaps = some.select("doc", "size", "bits").join(merged(met), "doc").select("doc", "size", "bits", "pivots", F.explode("places").alias("p"))
+    # the few smallest of a set's pivots show most of the groups that meet elsewhere too
+    bitmaps = bitmaps.select("p.*", "doc", "size", "bits", F.slice(F.array_sort(F.filter("pivots", lambda x: x < F.col("p.pivot"))), 1, SMALLEST).alias("pivots"))
     near = stored(grouped(bitmaps).mapInPandas(_near(t), "doc long, pivot long, b1 int, k1 int, b2 int, k2 int, second boolean"), "near")
     copies = members.select("doc", "rep").distinct().groupBy(F.col("rep").alias("doc")).agg(F.count("*").alias("copies"))
-    near = near.groupBy("doc").agg(F.collect_set(F.struct(*KEYS, "second")).alias("places")).join(merged(met.select("doc", "pivots")), "doc")
+    # two sets that link keep the smallest pivot they share, so that later ones know that they have met
+    near = near.groupBy("doc").agg(F.collect_set(F.struct(*KEYS, "second")).alias("places")).withColumn("pivots", F.array_distinct(F.transform("places", lambda p: p["pivot"])))
     places = stored(near.join(merged(copies), "doc"), "near-places")
     keyed = texts.join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     links = grouped(keyed).mapInPandas(_links(t, frequent), "a long, b long, n long")
