@@ -134,7 +134,7 @@ def through(lengths: np.ndarray, took: np.ndarray, at: np.ndarray, capacity: int
 Configuration = tuple[tuple[int, int], ...]
 
 
-def fractional(demand: np.ndarray, capacity: int, rng: np.random.Generator, keep: float = 0.9, least: float = 1e-3, reach: float = 0.75, rate: float = 0.25) -> tuple[dict[Configuration, float], float]:
+def fractional(demand: np.ndarray, capacity: int, rng: np.random.Generator, keep: float = 0.9, least: float = 0.01, reach: float = 0.75, rate: float = 0.25) -> tuple[dict[Configuration, float], float]:
     """Multiplicative weights on the configuration program: configurations ((length, count), …) with their multiplicity, and a lower bound.
 
     A length's price is its share of the capacity times its weight, and its weight falls by the same factor as the
@@ -278,7 +278,7 @@ def solve(histogram: dict[int, int], capacity: int) -> tuple[Plan, dict[str, flo
     plan: Plan = []
     best, fewest = plan, math.inf
     while left.any():
-        found, bound = fractional(left, capacity, rng, 0.8 if plan else 0.9)
+        found, bound = fractional(left, capacity, rng, *((0.6, 0.05) if plan else (0.9, 0.01)))  # coarser for the rest
         if not plan:
             about |= {"value": sum(found.values()), "bound": bound}
         plan = plan + _rounded(found, left, capacity)
