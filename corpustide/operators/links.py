@@ -41,3 +41,15 @@ def target_urls(targets: DataFrame, links: DataFrame, target: str = "target") ->
     known = links.select(F.col("uuid").alias("_uuid"), F.col("url").alias("_url"))
     rows = targets.withColumn("_asked", notice_uuid(asked)).withColumn("_own", own)
     return rows.join(known, F.col("_asked") == F.col("_uuid"), "left").withColumn("url", F.coalesce("_own", "_url")).drop("_asked", "_own", "_uuid", "_url")
+
+
+def register_uuids(targets: DataFrame, found: DataFrame) -> DataFrame:
+    """Targets (target, url) with the register's id (``uuid``) that discovery gave for the target itself, else for its page.
+
+    found: asked (a target or an address), uuid. Of an asked one that is there several times the smallest id counts.
+    """
+    known = found.filter("uuid is not null").groupBy("asked").agg(F.min("uuid").alias("uuid"))
+    by_target = known.select(F.col("asked").alias("target"), F.col("uuid").alias("_by_target"))
+    by_url = known.select(F.col("asked").alias("url"), F.col("uuid").alias("_by_url"))
+    rows = targets.join(by_target, "target", "left").join(by_url, "url", "left")
+    return rows.withColumn("uuid", F.coalesce("_by_target", "_by_url")).drop("_by_target", "_by_url")

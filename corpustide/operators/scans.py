@@ -87,25 +87,26 @@ def prompt_digest(prompt: str) -> str:
     return hashlib.sha256(prompt.encode()).hexdigest()
 
 
-def run(misses: DataFrame, reader: Callable[[bytes, str], str], pause: float = 0.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """Read each row (sha256, send_path, content, pos) in order: sha256, outcome (read, empty, failed, deferred), text, error.
+def run(misses: DataFrame, reader: Callable[[bytes, str], str], load: Callable[[str], bytes], pause: float = 0.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Read each row (sha256, send_path, pos) in order: sha256, outcome (read, empty, failed, deferred), text, error.
 
-    One task, because a quota ends the run for all that follow; an error of the reader skips its own file only. Between
-    two calls it waits for ``pause`` seconds.
+    One task, because a quota ends the run for all that follow; so rows are addresses, and ``load`` gives a file's bytes
+    when its turn comes. An error of the reader, or of the load, skips its own file only. Between two calls it waits for
+    ``pause`` seconds.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spent, calls = False, 0
         for batch in batches:
             out = []
-            for digest, path, content in zip(batch["sha256"], batch["send_path"], batch["content"]):
+            for digest, path in zip(batch["sha256"], batch["send_path"]):
                 outcome, text, error = "deferred", None, None
                 if not spent:
                     if calls and pause:
                         sleep(pause)
                     calls += 1
                     try:
-                        text = reader(bytes(content), path)
+                        text = reader(load(path), path)
                         outcome = "read" if text.strip() else "empty"
                     except Quota as e:
                         spent, error = True, str(e)
@@ -114,7 +115,7 @@ def run(misses: DataFrame, reader: Callable[[bytes, str], str], pause: float = 0
                 out.append((digest, outcome, text, error))
             yield pd.DataFrame(out, columns=["sha256", "outcome", "text", "error"]).astype(object)
 
-    return misses.select("sha256", "send_path", "content", "pos").coalesce(1).sortWithinPartitions("pos").mapInPandas(read, "sha256 string, outcome string, text string, error string")
+    return misses.select("sha256", "send_path", "pos").coalesce(1).sortWithinPartitions("pos").mapInPandas(read, "sha256 string, outcome string, text string, error string")
 
 
 def plan(queued: DataFrame, cache: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import extract, keyed, packs, planning, scans
+from ..operators import extract, keyed, links, packs, planning, scans
 from ..sources import fetch, publish, register
 from ..streaming import runs
 from . import demo_packs as P
@@ -16,7 +16,7 @@ from .catalogue import query
 
 # ---------------------------------------------------------------- files into text
 
-_TEXTS = """f AS (SELECT CAST(p_partkey AS VARCHAR) AS pid, p_partkey % 8 AS k, 'f/' || p_partkey || '.' || ['docx', 'xlsx', 'pptx', 'ifc', 'csv', 'edoc', 'dwg', 'md'][p_partkey % 8 + 1] AS path, p_name AS n, p_brand AS b, CAST(p_size AS VARCHAR) AS z FROM part),
+_TEXTS = """f AS (SELECT CAST(p_partkey AS VARCHAR) AS pid, p_partkey % 10 AS k, 'f/' || p_partkey || '.' || ['docx', 'xlsx', 'pptx', 'ifc', 'csv', 'edoc', 'dwg', 'md', 'pdf', 'rtf'][p_partkey % 10 + 1] AS path, p_name AS n, p_brand AS b, CAST(p_size AS VARCHAR) AS z FROM part),
  x AS (SELECT pid, path AS source, 'markdown' AS kind, '## ' || b || chr(10) || chr(10) || n || chr(10) || chr(10) || '### Tabula 1' || chr(10) || chr(10) || '| ' || b || ' | ' || n || ' |' AS text, NULL AS note, true AS sidecar FROM f WHERE k = 0
   UNION ALL SELECT pid, path, 'markdown', '## Lapa' || chr(10) || chr(10) || '| ' || n || ' |  | ' || z || ' |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| =A1+1 |  |  |', NULL, false FROM f WHERE k = 1
   UNION ALL SELECT pid, path, 'markdown', '## Slaids 1' || chr(10) || chr(10) || n, NULL, false FROM f WHERE k = 2
@@ -27,7 +27,9 @@ _TEXTS = """f AS (SELECT CAST(p_partkey AS VARCHAR) AS pid, p_partkey % 8 AS k,
   UNION ALL SELECT pid, path || '/a/in.zip/deep.md', 'markdown', n, NULL, false FROM f WHERE k = 5
   UNION ALL SELECT pid, path || '/b.txt', 'markdown', '```' || chr(10) || b || chr(10) || '```', NULL, false FROM f WHERE k = 5
   UNION ALL SELECT pid, path, 'unsupported', NULL, 'no deterministic text extraction for .dwg', false FROM f WHERE k = 6
-  UNION ALL SELECT pid, path, 'unsupported', NULL, 'no text layer — a scan or a vector drawing', false FROM f WHERE k = 7)"""
+  UNION ALL SELECT pid, path, 'unsupported', NULL, 'no text layer — a scan or a vector drawing', false FROM f WHERE k = 7
+  UNION ALL SELECT pid, path, 'markdown', '## Lapa 1' || chr(10) || chr(10) || n, NULL, false FROM f WHERE k = 8
+  UNION ALL SELECT pid, path, 'markdown', n || chr(10) || chr(10) || b, NULL, false FROM f WHERE k = 9)"""
 
 
 def _extracted(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,6 +160,17 @@ def resolutions(spark, sf):
     return keyed.resolutions(D.table(spark, sf, "orders").select(F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("asked"), found.alias("found")))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'a' || o_orderkey WHEN o_orderkey % 3 = 1 THEN 'b' || o_orderkey END AS uuid FROM orders""")
+def target_uuids(spark, sf):
+    """The register's id of each target: by the target itself, else by its page."""
+    o = D.table(spark, sf, "orders")
+    number = F.col("o_orderkey").cast("string")
+    targets = o.select("o_orderkey", F.concat(F.lit("t"), number).alias("target"), F.concat(F.lit(V.PLATFORM_PAGE), number).alias("url"))
+    by_target = o.filter("o_orderkey % 3 = 0").select(F.concat(F.lit("t"), number).alias("asked"), F.concat(F.lit("a"), number).alias("uuid"))
+    by_url = o.filter("o_orderkey % 3 < 2").select(F.concat(F.lit(V.PLATFORM_PAGE), number).alias("asked"), F.concat(F.lit("b"), number).alias("uuid"))
+    return links.register_uuids(targets, by_target.unionByName(by_url)).select("o_orderkey", "uuid")
+
+
 @query("SELECT count(DISTINCT o_orderkey) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def overlap(spark, sf):
     """How many targets of a named list the window found as well."""

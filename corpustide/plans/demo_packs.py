@@ -50,7 +50,14 @@ def pptx(text: str) -> bytes:
     return zipped([("ppt/presentation.xml", show), ("ppt/_rels/presentation.xml.rels", '<Relationships><Relationship Id="a" Target="slides/slide1.xml"/></Relationships>'), ("ppt/slides/slide1.xml", slide)])
 
 
-KINDS = ("docx", "xlsx", "pptx", "ifc", "csv", "edoc", "dwg", "empty")
+def pdf(text: str) -> bytes:
+    """A page that shows one line."""
+    shown = f"BT /F1 12 Tf 72 700 Td ({text}) Tj ET".encode("cp1252")
+    objects = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>", b"<< /Type /Page /Contents 4 0 R >>", b"<< /Length %d >>\nstream\n%s\nendstream" % (len(shown), shown)]
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, body) for n, body in enumerate(objects, 1))
+
+
+KINDS = ("docx", "xlsx", "pptx", "ifc", "csv", "edoc", "dwg", "empty", "pdf", "rtf")
 
 
 def _file(kind: str, name: str, brand: str, size: int) -> bytes:
@@ -66,6 +73,10 @@ def _file(kind: str, name: str, brand: str, size: int) -> bytes:
         return f"name,brand\n{name},{brand}|{size}\n".encode()
     if kind == "edoc":
         return zipped([("mimetype", "application/x"), ("META-INF/s.xml", "<s/>"), ("a/in.zip", zipped([("deep.md", f" {name} ")])), ("b.txt", brand.encode())])
+    if kind == "pdf":
+        return pdf(name)
+    if kind == "rtf":
+        return rf"{{\rtf1\ansi {{\fonttbl x}}{name}\par {brand}}}".encode()
     return b"AC10" if kind == "dwg" else b""
 
 

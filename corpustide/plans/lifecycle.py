@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import diff, extract, keyed, links, packs, pages, planning
+from ..operators import diff, extract, keyed, links, packs, pages, planning, scans
 from ..sources import fetch as downloads
 from ..sources import publish
 
@@ -27,6 +28,45 @@ class Stale(Exception):
     """The register's newest notice is older than it may be."""
 
 
+class Unverified(Exception):
+    """A published archive differs from its digest or its checksums."""
+
+
+class Unresolved(Exception):
+    """A notice has no page on the platform, or the platform does not answer."""
+
+
+#: Exit codes by what ended a run: fixed values, by command.
+EXITS: dict[type[BaseException], int] = {Incomplete: 2, Empty: 3, Stale: 4, downloads.Refused: 2, downloads.Malformed: 2, scans.Quota: 3, Unverified: 2, Unresolved: 1}
+
+
+def exit_for(error: BaseException | None) -> int:
+    """The exit code of a run: 0 where nothing ended it, 1 for what has no code of its own."""
+    return 0 if error is None else next((code for kind, code in EXITS.items() if isinstance(error, kind)), 1)
+
+
+def verify(archives: DataFrame) -> DataFrame:
+    """The archives (see :func:`corpustide.sources.publish.verified`), or an error that names those that are not sound."""
+    checked = publish.verified(archives)
+    bad = [r["pid"] for r in checked.filter("not coalesce(ok, false)").select("pid").limit(20).collect()]  # named in the error
+    if bad:
+        raise Unverified(", ".join(map(str, bad)))
+    return checked
+
+
+def read_scans(gaps: DataFrame, files: DataFrame, cache: DataFrame, reader: scans.Provider, load: Callable[[str], bytes], name: str, prompt: str, at: Column, limit: int | None = None, pause: float = 0.0) -> dict[str, DataFrame]:
+    """Character recognition of what extraction could not read: the queue with what becomes of each gap, results to keep, and totals.
+
+    files (sha256, path, pos): where the bytes of a gap are kept. cache (sha256, text, provenance): earlier results, which
+    are not asked for again. The results are to be stored before they are used twice, as asking again costs again.
+    """
+    queued = scans.queue(gaps, scans.first_paths(files, ["pos"]), limit=limit, size_limit=reader.ceiling)
+    misses = scans.split_cached(queued.filter("skipped is null"), cache)[1]
+    once = keyed.first_per_key(misses, ["sha256"], ["pos"])
+    read = scans.run(once, reader.read, load, pause)
+    return {"plan": scans.plan(queued, cache), "read": read, "kept": scans.results(read, name, reader.model, prompt, at), "totals": scans.totals(read)}
+
+
 def discover(records: DataFrame, expected: int, pages_read: int, now=None, policy: dict | None = None, notice_pages: DataFrame | None = None) -> DataFrame:
     """Biddable notices of a complete scan, in the common shape, without those outside the policy.
 

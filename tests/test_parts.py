@@ -185,14 +185,70 @@ def _read(content, path):
     return content.decode()
 
 
+def _load(path):
+    return {"ok": b"text", "blank": b" ", "more": b"more"}.get(path, b"")
+
+
 def test_scan_run(spark):
-    rows = [("a", "ok", b"text", 0), ("b", "bad", b"", 1), ("c", "ok", b" ", 2), ("d", "quota", b"", 3), ("e", "ok", b"more", 4)]
-    out = scans.run(spark.createDataFrame(rows, "sha256 string, send_path string, content binary, pos long"), _read)
+    rows = [("a", "ok", 0), ("b", "bad", 1), ("c", "blank", 2), ("d", "quota", 3), ("e", "more", 4)]
+    out = scans.run(spark.createDataFrame(rows, "sha256 string, send_path string, pos long"), _read, _load)
     got = {r["sha256"]: r["outcome"] for r in out.collect()}
     assert got == {"a": "read", "b": "failed", "c": "empty", "d": "deferred", "e": "deferred"}
     assert tuple(scans.totals(out).first()) == (1, 1, 1, 2, 5)
 
 
+def test_read_scans(spark):
+    """Queue, cache, run and results as one: what the cache has is not asked for, a digest is asked for once."""
+    from corpustide.plans import lifecycle
+
+    rows = [("a.pdf", "s1", "ok"), ("b.pdf", "s1", "ok"), ("c.pdf", "s2", "more"), ("d.pdf", "s3", "blank"), ("e.dwg", "s4", "ok")]
+    gaps = spark.createDataFrame([(f, 10, d, V.NO_TEXT, p, n) for n, (f, d, p) in enumerate(rows)], "file string, bytes long, sha256 string, reason string, path string, pos long")
+    files = spark.createDataFrame([], "sha256 string, path string, pos long")
+    cache = spark.createDataFrame([("s2", "known", "{}"), ("s3", "torn", None)], "sha256 string, text string, provenance string")
+    done = lifecycle.read_scans(gaps, files, cache, scans.Provider(_read, model="m"), _load, "p", "read it", F.lit("2026-01-01"))
+    assert {r["file"]: r["step"] for r in done["plan"].collect()} == {"a.pdf": "call", "b.pdf": "call", "c.pdf": "cached", "d.pdf": "call", "e.dwg": "skip"}
+    kept = done["kept"].collect()
+    assert [(r["sha256"], r["text"]) for r in kept] == [("s1", "text")] and json.loads(kept[0]["provenance"])["model"] == "m"
+    assert tuple(done["totals"].first())[:4] == (1, 1, 0, 0)
+    scans.PROVIDERS["own"] = scans.Provider(_read, keyed=True)
+    try:
+        with pytest.raises(ValueError):
+            scans.provider("own", {}, "OWN_KEY")
+        with pytest.raises(KeyError):
+            scans.provider("other", {})
+        assert scans.provider("own", {"OWN_KEY": "x"}, "OWN_KEY").read is _read
+    finally:
+        del scans.PROVIDERS["own"]
+
+
+def test_exits(spark):
+    from corpustide.plans import lifecycle
+
+    assert [lifecycle.exit_for(e) for e in (None, lifecycle.Incomplete(), lifecycle.Empty(), lifecycle.Stale(), scans.Quota(), register.Refused(), ValueError())] == [0, 2, 3, 4, 3, 2, 1]
+    packed = publish.archives(spark.createDataFrame([("p", "a.md", b"x")], "pid string, path string, content binary"))
+    assert lifecycle.verify(packed).count() == 1
+    with pytest.raises(lifecycle.Unverified, match="p"):
+        lifecycle.verify(packed.withColumn("sha256", F.lit("0")))
+
+
+def test_publish_delivery(spark, tmp_path):
+    """Only items that moved are written again, and of them only documents to send; all have their last look."""
+    from corpustide.plans import lifecycle
+
+    register.install(spark)
+    delivery = {
+        "send": spark.createDataFrame([("p1", "k" * 16), ("p2", "m" * 16)], "pid string, key string"),
+        "refreshed": spark.createDataFrame([("p1",)], "pid string"),
+        "summary": spark.createDataFrame([("p1", "changed"), ("p2", "unchanged")], "pid string, status string"),
+        "changes": spark.createDataFrame([("p1", "changed"), ("p2", "unchanged")], "pid string, status string"),
+    }
+    name = lambda k: f"doc/{'0123456789abcdef' if k else 'fedcba9876543210'}.md"
+    texts = spark.createDataFrame([("p1", "k" * 16, name(1), b"one"), ("p1", "l" * 16, name(0), b"old"), ("p2", "m" * 16, name(1), b"two"), ("p1", "k" * 16, "original/a.pdf", b"pdf")], "pid string, key string, path string, content binary")
+    seen = spark.createDataFrame([("p1", "d1"), ("p2", "d0")], "pid string, last_seen string")
+    lifecycle.publish_delivery(str(tmp_path), "r1", delivery, texts, seen)
+    assert sorted(str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*") if f.is_file() and not f.name.startswith((".", "_", "part-"))) == ["day.json", f"p1/{name(1)}", "p1/index.json", "p1/runs/r1.json", "p1/seen.json", "p1/state.json", "p2/runs/r1.json", "p2/seen.json"]
+
+
 def _page(n, start, end):
     records = [{"identifier": f"u{k}", "type": "competition"} for k in range(n * 3, min(n * 3 + 3, 7))]
     return records, 7, 3
