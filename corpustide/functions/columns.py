@@ -216,3 +216,14 @@ def chunk(text: Column, offset: int, size: int = 50_000) -> Column:
     """Struct (text, next): a part of a text, and where the next one starts, null at the end."""
     n = F.char_length(text)
     return F.struct(F.substring(text, offset + 1, size).alias("text"), F.when(n > offset + size, F.lit(offset + size)).alias("next"))
+
+
+def item_uri(drive: Column, item: Column) -> Column:
+    """Address of an item of a drive as a reader's connector takes it; null where there is no item."""
+    return F.when(item.isNotNull(), F.concat(F.lit("file:///"), drive, F.lit("/"), item))
+
+
+def entry_chars(documents: Column) -> Column:
+    """Characters of an index entry's documents (array of structs with ``chars``); unknown ones count nothing."""
+    some = F.coalesce(documents, F.array().cast("array<struct<chars: bigint>>"))
+    return F.aggregate(some, F.lit(0).cast("long"), lambda n, d: n + F.coalesce(d["chars"].cast("long"), F.lit(0)))

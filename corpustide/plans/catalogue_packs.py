@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import columns as C
 from ..functions import values as V
 from ..operators import extract, keyed, links, packs, planning, scans
-from ..sources import fetch, publish, register
+from ..sources import fetch, files, publish, register
 from ..streaming import runs
 from . import demo_packs as P
 from . import demo_views as D
@@ -78,6 +79,25 @@ def member_names(spark, sf):
     return rows.select("p_partkey", "name", C.safe_member(F.col("name")).alias("safe"), C.is_packaging(F.col("name")).alias("plumbing"), F.element_at(F.split("name", r"\."), -1).alias("last"))
 
 
+@query("SELECT CAST(p_partkey AS VARCHAR) AS pid, '3' AS numid, 1 AS ilvl, 'paragraph' AS origin, substr(sha1(p_name), 1, 8) AS digest, '4' AS start, 'decimal' AS num_fmt, '%2.' AS lvl_text, true AS no_restart FROM part WHERE p_partkey % 10 = 0")
+def numbering_sidecars(spark, sf):
+    """The numbering that Word stores, beside the text of each document."""
+    paragraph = "struct<`index`: int, numId: string, ilvl: int, `from`: string, digest: string>"
+    level = "struct<start: string, numFmt: string, lvlText: string, lvlRestart: string>"
+    read = F.from_json("structure", f"struct<paragraphs: array<{paragraph}>, numbering: map<string, struct<levels: map<string, {level}>>>>")
+    rows = _extracted(spark, sf).filter("structure is not null").select("pid", read.alias("s")).select("pid", F.explode("s.paragraphs").alias("p"), F.try_element_at("s.numbering", F.lit("3")).alias("n"))
+    own = F.try_element_at("n.levels", F.lit("1"))
+    return rows.select("pid", F.col("p.numId").alias("numid"), "p.ilvl", F.col("p.from").alias("origin"), "p.digest", own["start"].alias("start"), own["numFmt"].alias("num_fmt"), own["lvlText"].alias("lvl_text"), own["lvlRestart"].isNull().alias("no_restart"))
+
+
+@query("SELECT 'c' || c_nationkey AS pid, count(DISTINCT c_custkey) AS members, 1 AS digests FROM customer GROUP BY c_nationkey")
+def archive_bytes(spark, sf):
+    """Archives made of the same members in another order are the same, byte for byte."""
+    rows = D.table(spark, sf, "customer").select(F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("pid"), F.concat(F.lit("doc/"), F.col("c_custkey").cast("string")).alias("path"), F.encode("c_name", "utf-8").alias("content"))
+    both = publish.archives(rows).unionByName(publish.archives(rows.unionByName(rows.filter("path like '%1'")).repartition(5, "path")))
+    return both.groupBy("pid").agg(F.max("members").alias("members"), F.count_distinct("sha256").cast("int").alias("digests"))
+
+
 # ---------------------------------------------------------------- downloads
 
 
@@ -207,6 +227,43 @@ def notices_per_day(spark, sf):
     return runs.per_day(D.table(spark, sf, "events"), "ts", "event_type")
 
 
+def _streamed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """What a stream says in update mode until its input is read, with the number of its batch."""
+    out, at = files.scratch(spark, name), files.scratch(spark, "progress")
+    write = lambda df, n: df.withColumn("batch", F.lit(n).cast("long")).write.mode("append").parquet(out)
+    schema = StructType([*rows.schema.fields, StructField("batch", LongType())])
+    rows.writeStream.outputMode("update").option("checkpointLocation", at).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    return spark.read.schema(schema).parquet(out)
+
+
+def _events(spark, sf) -> DataFrame:
+    """The events table as a stream of its files."""
+    rows = spark.readStream.schema(D.table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_days(spark, sf):
+    """Notices by day and kind, counted over a stream with a watermark: of each window what was said last."""
+    rows = _streamed(spark, runs.per_day(_events(spark, sf).withWatermark("ts", "40 days"), "ts", "event_type"), "days")
+    return rows.groupBy("day", "event_type").agg(F.max_by("n", "batch").alias("n"))
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def stream_once(spark, sf):
+    """Each key once over a stream that brings it again, while the watermark remembers it."""
+    return _streamed(spark, runs.deduplicated(_events(spark, sf), "user_id", "ts", "60 days").select("user_id"), "once").select("user_id")
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS pid, CAST(min_by(CAST(ts AS DATE), event_id) AS VARCHAR) AS first_seen, CAST(max_by(CAST(ts AS DATE), event_id) AS VARCHAR) AS last_seen,
+ CAST(max_by(CAST(ts AS DATE), event_id) FILTER (WHERE event_type <> 'view') AS VARCHAR) AS last_change FROM events GROUP BY user_id""")
+def stream_seen(spark, sf):
+    """The state of each item over a stream of runs."""
+    e = _events(spark, sf).select(F.col("user_id").cast("string").alias("pid"), F.col("ts").cast("date").cast("string").alias("date"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status"))
+    last = lambda c: F.max_by(c, "batch").alias(c)
+    return _streamed(spark, runs.seen(e), "seen").groupBy("pid").agg(last("first_seen"), last("last_seen"), last("last_change"))
+
+
 @query("SELECT * FROM (VALUES (1, 'present'), (2, 'stale'), (3, 'present'), (4, 'missing')) t(shard, state)")
 def shard_states(spark, sf):
     """Each expected shard as present, stale or missing; an index without a run counts as present."""
@@ -250,6 +307,14 @@ def scan_totals(spark, sf):
     return scans.totals(D.table(spark, sf, "part").select(outcome.alias("outcome"), F.when(F.col("p_size") % 4 == 0, F.col("p_name")).alias("text")))
 
 
+@query("SELECT 'c' || o_custkey AS pid, 'file:///d1/' || min(o_orderkey) AS uri, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey END) AS BIGINT) AS chars FROM orders GROUP BY o_custkey")
+def entry_sizes(spark, sf):
+    """Address and characters of index entries; documents whose length is not known count nothing."""
+    doc = F.struct(F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("chars"))
+    by = D.table(spark, sf, "orders").groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid")).agg(F.collect_list(doc).alias("documents"), F.min("o_orderkey").cast("string").alias("item"))
+    return by.select("pid", C.item_uri(F.lit("d1"), F.col("item")).alias("uri"), C.entry_chars(F.col("documents")).alias("chars"))
+
+
 @query("""SELECT path FROM (SELECT CASE p_partkey % 4 WHEN 0 THEN p_partkey || '/manifest.json' WHEN 1 THEN p_partkey || '/doc/' || substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 16) || '.md' WHEN 2 THEN p_partkey || '/original/a.pdf' ELSE p_partkey || '/media/b.png' END AS path, p_partkey FROM part) WHERE p_partkey % 4 < 2""")
 def delivered_names(spark, sf):
     """What is ever delivered of a pack's files."""

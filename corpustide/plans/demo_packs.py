@@ -33,7 +33,9 @@ def docx(heading: str, text: str) -> bytes:
     cells = "".join(f"<w:tc>{paragraph(t)}</w:tc>" for t in (heading, text))
     body = paragraph(heading, '<w:pStyle w:val="h"/>') + paragraph(text, '<w:numPr><w:ilvl w:val="1"/><w:numId w:val="3"/></w:numPr>') + f"<w:tbl><w:tr>{cells}</w:tr></w:tbl>"
     styles = f'<w:styles xmlns:w="{WORD}"><w:style w:styleId="h"><w:name w:val="Heading 2"/></w:style></w:styles>'
-    return zipped([("word/document.xml", f'<w:document xmlns:w="{WORD}"><w:body>{body}</w:body></w:document>'), ("word/styles.xml", styles)])
+    level = '<w:lvl w:ilvl="1"><w:start w:val="4"/><w:numFmt w:val="decimal"/><w:lvlText w:val="%2."/></w:lvl>'
+    numbering = f'<w:numbering xmlns:w="{WORD}"><w:abstractNum w:abstractNumId="0">{level}</w:abstractNum><w:num w:numId="3"><w:abstractNumId w:val="0"/></w:num></w:numbering>'
+    return zipped([("word/document.xml", f'<w:document xmlns:w="{WORD}"><w:body>{body}</w:body></w:document>'), ("word/styles.xml", styles), ("word/numbering.xml", numbering)])
 
 
 def xlsx(name: str, value: str) -> bytes:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,18 @@ def read_binary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("bytes"), "content")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate files that driver and tasks share: below ``spark.checkpoint.dir``; without it a local session has one of its own."""
+    conf = spark.sparkContext.getConf()
+    at = conf.get("spark.checkpoint.dir")
+    if not at:
+        master = conf.get("spark.master") or ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and tasks share")
+        at = "file://" + tempfile.mkdtemp(prefix="corpustide-")
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def load_policy(source: str | None) -> dict[str, list[str]] | None:
     """A recall policy from JSON text or a path; whatever is wrong with it, there is no policy and nothing is left out."""
     if not source or not source.strip():
