@@ -398,7 +398,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Documents link when their Jaccard likeness is ``threshold`` or more. Null texts, and texts without words, have an
     empty set and link with nothing. A text of fewer than ``n`` words is one gram. Rows with a null id link with
-    nothing, and have a null component. Rows that repeat an id are one node, which links by any of its texts.
+    nothing, and have a null component. Rows that repeat an id are one node, which links by any of its texts. An empty
+    table gives no rows. Texts of any length are read whole; a set of more grams than a block holds has a block of four.
     Identity of grams is that of 64-bit hashes, of sets 128 bits. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -106,7 +106,11 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", limit: int = SAMPLE) -> Discriminant | Constant:
-    """Discriminant from at most ``limit`` labelled rows of each class; priors from all labels that may be learned from."""
+    """Discriminant from at most ``limit`` labelled rows of each class; priors from all labels that may be learned from.
+
+    Where a class has no row, everything is of the other one; without any, of class 1. Null texts count as empty; rows
+    that repeat an id are rows of their own; other columns are not read.
+    """
     rows = sample(docs, labels, label_col, id_col, text_col, limit).mapInPandas(_statistics, "label int, x array<double>").collect()
     y = np.array([r["label"] for r in rows], dtype=int)
     if len(np.unique(y)) < 2:
@@ -118,7 +122,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score_quality(docs: DataFrame, model: Discriminant | Constant, id_col: str = "doc_id", text_col: str = "text", at: float = 0.5) -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted. Null texts count as empty; null ids as held out."""
+    """One row per input row: doc_id, held_out, score, predicted. Null texts count as empty; null ids as held out.
+
+    Equal texts score alike, rows that repeat each get a row, an empty table gives none, texts of any length are read
+    whole, and other columns are not read.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -130,7 +138,7 @@ def score_quality(docs: DataFrame, model: Discriminant | Constant, id_col: str =
 
 
 def keep_quality(docs: DataFrame, model: Discriminant | Constant, text_col: str = "text", at: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the model scores ``at`` or more; same columns."""
+    """The rows of ``docs`` that the model scores ``at`` or more; same columns, whatever their names. Null texts count as empty."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
