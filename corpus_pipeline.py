@@ -38,7 +38,10 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     else:
         digest = F.sha2("text", 256)
         same = Window.partitionBy("doc_id", digest).orderBy(F.to_json(F.struct(*docs.columns)))
-        rows = stored(known.withColumn(nth, F.row_number().over(same)).filter(F.col(nth) == 1).drop(nth).withColumn(node, F.monotonically_increasing_id()), "rows")
+        rows = stored(
+            known.withColumn(nth, F.row_number().over(same)).filter(F.col(nth) == 1).drop(nth).withColumn(node, F.monotonically_increasing_id()),
+            "rows"
+        )
         found = jaccard_join.jaccard_components(rows, id_col=node, n=5, threshold=0.8).select(F.col("doc_id").alias(node), F.col("component_id").alias(keep))
         order = F.struct("doc_id", digest.alias("digest"), F.col(node).alias("node"))
         first = rows.select(node, order.alias(nth)).join(found, node).groupBy(keep).agg(F.min(nth).alias(nth))

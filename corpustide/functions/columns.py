@@ -145,7 +145,10 @@ def pause_for(received: Column, cap: float = V.PAUSE_CAP, floor: float = V.PAUSE
 def mime_for(path: Column) -> Column:
     """Media type by extension; PDF where it is unknown."""
     ext = F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))
-    known = {".pdf": "application/pdf", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".tif": "image/tiff", ".tiff": "image/tiff", ".bmp": "image/bmp"}
+    known = {
+        ".pdf": "application/pdf", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".tif": "image/tiff",
+        ".tiff": "image/tiff", ".bmp": "image/bmp"
+    }
     out = F.when(ext == ".pdf", known[".pdf"])
     for e, mime in list(known.items())[1:]:
         out = out.when(ext == e, mime)
@@ -209,7 +212,10 @@ def download_url(pid: Column, record_id: Column, file_id: Column, link_type: Col
     route = F.when(file_id.isNotNull(), "DownloadDocumentFile").otherwise("DownloadDocumentFilesInZip")
     file_part = F.when(file_id.isNotNull(), F.concat(F.lit("&FileId="), text(file_id))).otherwise("")
     code = F.coalesce(F.nullif(link_type, F.lit("")), F.lit(V.DEFAULT_LINK_TYPE))
-    return F.concat(F.lit(V.PLATFORM_DOCUMENT), route, F.lit("?Id="), text(record_id), file_part, F.lit("&DocumentLinkTypeCode="), text(code), F.lit("&ProcurementIdentifier="), text(pid))
+    return F.concat(
+        F.lit(V.PLATFORM_DOCUMENT), route, F.lit("?Id="), text(record_id), file_part, F.lit("&DocumentLinkTypeCode="), text(code),
+        F.lit("&ProcurementIdentifier="), text(pid)
+    )
 
 
 def chunk(text: Column, offset: int, size: int = 50_000) -> Column:

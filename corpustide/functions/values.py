@@ -6,7 +6,10 @@ FACTS = (
     "value", "currency", "buyer", "buyer_reg", "procedure", "profile", "legal_basis", "work_kind", "award_criteria",
     "cpv_main", "cpv_additional", "place", "lots", "framework", "contract_duration",
 )
-LOCALIZED = ("status", "procedure", "legal_basis", "work_kind", "award_criteria", "lots", "framework", "contract_duration", "deadline", "opening", "docs_until", "consultation_until")
+LOCALIZED = (
+    "status", "procedure", "legal_basis", "work_kind", "award_criteria", "lots", "framework", "contract_duration", "deadline",
+    "opening", "docs_until", "consultation_until"
+)
 RECORD_FIELDS = ("publish_date", "title", "type_code", "section", "withheld")
 LANGUAGE_LABELS = (("lv", "Iepirkuma statuss"), ("en", "Procurement status"))
 
@@ -15,7 +18,10 @@ PAGE_FIELDS = {
     "ref": ("IdentificationNumber", "Iepirkuma identifikācijas numurs", "Identification number"),
     "title": ("Name", "Iepirkuma nosaukums", "Name"),
     "status": ("StatusInfo", "Iepirkuma statuss", "Procurement status"),
-    "published": ("FirstAnnouncementDate", "Izsludināts", "Announced", "Izsludināts / publicēts", "Izsludināšanas / publicēšanas datums", "Announced / Published", "Announcement / Publication date"),
+    "published": (
+        "FirstAnnouncementDate", "Izsludināts", "Announced", "Izsludināts / publicēts", "Izsludināšanas / publicēšanas datums",
+        "Announced / Published", "Announcement / Publication date"
+    ),
     "procedure": ("ProcurementRegulationId", "Procedūras tips", "Procedure / procurement"),
     "profile": ("ProfileId", "Iepirkuma profils", "Procurement profile"),
     "legal_basis": ("RegulatoryActId", "Procedūras juridiskais pamats", "Regulatory LA"),
@@ -78,7 +84,10 @@ LEVEL_KEYS = ("start", "numFmt", "lvlText", "lvlRestart")
 NO_TEXT = "no text layer — a scan or a vector drawing"
 
 # Delivery.
-DELIVERED_NAMES = ("manifest.json", "summary.json", "procurement.json", "manifest_normalized.json", "document.md", "structure.json", "done.txt", "failed.txt", "withdrawn.txt", "resolved.tsv")
+DELIVERED_NAMES = (
+    "manifest.json", "summary.json", "procurement.json", "manifest_normalized.json", "document.md", "structure.json", "done.txt",
+    "failed.txt", "withdrawn.txt", "resolved.tsv"
+)
 
 # Pause between requests, in seconds: ceiling, floor, and per MiB received.
 PAUSE_CAP, PAUSE_FLOOR, PAUSE_PER_MIB = 5.0, 0.75, 0.5

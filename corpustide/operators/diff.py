@@ -20,7 +20,9 @@ def heads(previous: DataFrame, current: DataFrame) -> DataFrame:
     """
     p, c = previous.alias("p"), current.alias("c")
     joined = c.join(p, F.col("c.pid") == F.col("p.pid"), "left")
-    both = lambda name: F.coalesce((F.col(f"p.{name}") != F.col(f"c.{name}")) & (F.col(f"p.{name}") != "") & (F.col(f"c.{name}") != ""), F.lit(False))
+    both = lambda name: F.coalesce(
+        (F.col(f"p.{name}") != F.col(f"c.{name}")) & (F.col(f"p.{name}") != "") & (F.col(f"c.{name}") != ""), F.lit(False)
+    )
     known = F.col("p.pid").isNotNull()
     return joined.select(
         F.col("c.pid").alias("pid"), (~known).alias("new"), both("language").alias("translated"), both("parser").alias("reparsed"),
@@ -37,7 +39,10 @@ def fact_moves(previous: DataFrame, current: DataFrame, items: DataFrame) -> Dat
     """Moved facts: pid, ord, field, was, now. Facts are long tables (pid, field, value as JSON text)."""
     p, c = previous.alias("p"), current.alias("c")
     same = (F.col("p.pid") == F.col("c.pid")) & (F.col("p.field") == F.col("c.field"))
-    both = p.join(c, same, "full_outer").select(F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.field", "c.field").alias("field"), F.col("p.value").alias("was"), F.col("c.value").alias("now"))
+    both = p.join(c, same, "full_outer").select(
+        F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.field", "c.field").alias("field"), F.col("p.value").alias("was"),
+        F.col("c.value").alias("now")
+    )
     moved = both.filter(~F.col("was").eqNullSafe(F.col("now")))
     ord_ = F.array_position(F.array(*[F.lit(f) for f in V.FACTS]), F.col("field"))
     known = items.filter("not new").select("pid", "translated", "reparsed")
@@ -58,7 +63,10 @@ def record_state(records: DataFrame, withheld: DataFrame | None = None) -> DataF
 
     ``records``: pid, id, publish_date, title, type_code, section, files array<struct<sha256, original_name, filename>>, pos.
     """
-    files = F.map_from_entries(F.array_distinct(F.transform(F.filter("files", lambda f: F.coalesce(f["sha256"], F.lit("")) != ""), lambda f: F.struct(f["sha256"], F.coalesce(F.nullif(f["original_name"], F.lit("")), f["filename"])))))
+    files = F.map_from_entries(F.array_distinct(F.transform(
+        F.filter("files", lambda f: F.coalesce(f["sha256"], F.lit("")) != ""),
+        lambda f: F.struct(f["sha256"], F.coalesce(F.nullif(f["original_name"], F.lit("")), f["filename"]))
+    )))
     cols = ["pid", "id", "publish_date", "title", "type_code", "section", "withheld", "files"]
     out = records.withColumn("files", files).withColumn("withheld", F.lit(False)).withColumn("rank", F.lit(0))
     if withheld is not None:
@@ -76,8 +84,17 @@ def record_moves(previous: DataFrame, current: DataFrame, fields: tuple[str, ...
     p, c = previous.alias("p"), current.alias("c")
     both = p.join(c, (F.col("p.pid") == F.col("c.pid")) & (F.col("p.id") == F.col("c.id")), "full_outer")
     moved = [~F.col(f"p.{f}").eqNullSafe(F.col(f"c.{f}")) for f in fields]
-    pairs = F.filter(F.array(*[F.when(m, F.struct(F.lit(f).alias("field"), F.col(f"p.{f}").cast("string").alias("was"), F.col(f"c.{f}").cast("string").alias("now"))) for f, m in zip(fields, moved)]), lambda x: x.isNotNull())
-    names = lambda of, other: F.transform(F.array_sort(F.array_except(F.map_keys(f"{of}.files"), F.map_keys(f"{other}.files"))), lambda d: F.try_element_at(F.col(f"{of}.files"), d))
+    pairs = F.filter(
+        F.array(*[F.when(
+            m,
+            F.struct(F.lit(f).alias("field"), F.col(f"p.{f}").cast("string").alias("was"), F.col(f"c.{f}").cast("string").alias("now"))
+        ) for f, m in zip(fields, moved)]),
+        lambda x: x.isNotNull()
+    )
+    names = lambda of, other: F.transform(
+        F.array_sort(F.array_except(F.map_keys(f"{of}.files"), F.map_keys(f"{other}.files"))),
+        lambda d: F.try_element_at(F.col(f"{of}.files"), d)
+    )
     out = both.select(
         F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.id", "c.id").alias("id"),
         F.when(F.col("p.pid").isNull(), "added").when(F.col("c.pid").isNull(), "removed").otherwise("changed").alias("move"),
@@ -87,14 +104,24 @@ def record_moves(previous: DataFrame, current: DataFrame, fields: tuple[str, ...
     changed = out.filter((F.col("move") != "changed") | touched | (F.size("fields") > 0))
     is_changed = F.col("move") == "changed"
     empty = F.array().cast("array<string>")
-    return changed.select("pid", "id", "move", "title", F.when(is_changed, F.col("fields")).otherwise(F.array().cast("array<struct<field: string, was: string, now: string>>")).alias("fields"), F.when(is_changed, F.col("files_added")).otherwise(empty).alias("files_added"), F.when(is_changed, F.col("files_removed")).otherwise(empty).alias("files_removed"), (is_changed & touched & ~F.col("_dated")).alias("silent"))
+    return changed.select(
+        "pid", "id", "move", "title",
+        F.when(is_changed, F.col("fields")).otherwise(F.array().cast("array<struct<field: string, was: string, now: string>>")).alias("fields"),
+        F.when(is_changed, F.col("files_added")).otherwise(empty).alias("files_added"),
+        F.when(is_changed, F.col("files_removed")).otherwise(empty).alias("files_removed"),
+        (is_changed & touched & ~F.col("_dated")).alias("silent")
+    )
 
 
 def document_state(entries: DataFrame) -> DataFrame:
     """Extracted documents keyed by (pid, key); those listed twice or without text are left out, of one key the last stays."""
     read = entries.filter(F.col("also_listed_under").isNull() & (F.coalesce("markdown_path", F.lit("")) != ""))
     name = F.coalesce(F.nullif("original_file", F.lit("")), F.substring_index(F.coalesce("source", F.lit("")), "/", -1))
-    out = read.select("pid", C.document_key(F.col("original_sha256"), F.col("source")).alias("key"), name.alias("name"), "source", "section", F.col("record_title").alias("record"), F.nullif(F.col("record_id").cast("string"), F.lit("")).alias("record_id"), F.col("markdown_chars").alias("chars"), "pos")
+    out = read.select(
+        "pid", C.document_key(F.col("original_sha256"), F.col("source")).alias("key"), name.alias("name"), "source", "section",
+        F.col("record_title").alias("record"), F.nullif(F.col("record_id").cast("string"), F.lit("")).alias("record_id"),
+        F.col("markdown_chars").alias("chars"), "pos"
+    )
     whole = F.struct(*[F.col(c) for c in out.columns])
     return out.groupBy("pid", "key").agg(F.max_by(whole, "pos").alias("r")).select("r.*").drop("pos")
 
@@ -127,9 +154,16 @@ def diff(previous: dict[str, DataFrame], current: dict[str, DataFrame]) -> DataF
     facts = fact_moves(previous["facts"], current["facts"], items).groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("ord", "field", "was", "now"))).alias("facts"))
     move = lambda m: F.array_sort(F.collect_list(F.when(F.col("move") == m, F.col("id"))))
     whole = F.struct("id", "title", "fields", "files_added", "files_removed", "silent")
-    records = record_moves(previous["records"], current["records"]).groupBy("pid").agg(move("added").alias("records_added"), move("removed").alias("records_removed"), F.array_sort(F.collect_list(F.when(F.col("move") == "changed", whole))).alias("records_changed"))
-    docs = key_moves(previous["documents"], current["documents"]).withColumnsRenamed({"added": "documents_added", "removed": "documents_removed", "now": "n_documents"})
-    gaps = key_moves(previous["unreadable"], current["unreadable"]).drop("carried_over").withColumnsRenamed({"added": "unreadable_added", "removed": "unreadable_removed", "now": "n_unreadable"})
+    records = record_moves(previous["records"], current["records"]).groupBy("pid").agg(
+        move("added").alias("records_added"), move("removed").alias("records_removed"),
+        F.array_sort(F.collect_list(F.when(F.col("move") == "changed", whole))).alias("records_changed")
+    )
+    docs = key_moves(previous["documents"], current["documents"]).withColumnsRenamed({
+        "added": "documents_added", "removed": "documents_removed", "now": "n_documents"
+    })
+    gaps = key_moves(previous["unreadable"], current["unreadable"]).drop("carried_over").withColumnsRenamed({
+        "added": "unreadable_added", "removed": "unreadable_removed", "now": "n_unreadable"
+    })
     counts = current["records"].groupBy("pid").agg(F.count("*").alias("n_records"))
     out = items
     for part in (facts, records, docs, gaps, counts):
@@ -141,7 +175,9 @@ def diff(previous: dict[str, DataFrame], current: dict[str, DataFrame]) -> DataF
     moved = F.lit(False)
     for name in lists:
         moved = moved | (F.size(name) > 0)
-    skipped = F.when(F.col("reparsed"), F.array(*[F.lit(f) for f in sorted(V.FACTS)])).when(F.col("translated"), F.array(*[F.lit(f) for f in sorted(V.LOCALIZED)])).otherwise(F.array().cast("array<string>"))
+    skipped = F.when(F.col("reparsed"), F.array(*[F.lit(f) for f in sorted(V.FACTS)])).when(
+        F.col("translated"), F.array(*[F.lit(f) for f in sorted(V.LOCALIZED)])
+    ).otherwise(F.array().cast("array<string>"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return out.withColumn("status", F.when(F.col("new"), "new").when(moved, "changed").otherwise("unchanged")).select(
         "pid", "status", *[F.when(~F.col("new"), F.col(c)).alias(c) for c in ("reextracted", "reparsed", "translated")], "was_language", "now_language", "tool", *lists,
@@ -166,9 +202,16 @@ def summary(changes: DataFrame) -> DataFrame:
     old = F.col("status") != "new"
     n = lambda c: F.when(old, F.size(c)).alias(c)
     silent = F.when(old, F.size(F.filter("records_changed", lambda r: r["silent"]))).alias("silent_records")
-    return changes.select("pid", "status", F.when(~old, F.col("n_documents")).alias("documents"), F.when(old, F.col("reextracted")).alias("reextracted"), n("facts"), n("records_added"), n("records_changed"), n("documents_added"), n("documents_removed"), F.when(old, F.col("carried_over")).alias("carried_over"), silent)
+    return changes.select(
+        "pid", "status", F.when(~old, F.col("n_documents")).alias("documents"),
+        F.when(old, F.col("reextracted")).alias("reextracted"), n("facts"), n("records_added"), n("records_changed"),
+        n("documents_added"), n("documents_removed"), F.when(old, F.col("carried_over")).alias("carried_over"), silent
+    )
 
 
 def seen(runs: DataFrame) -> DataFrame:
     """first_seen, last_seen and last_change of each item over its runs (pid, date, seq, status), in the order they ran."""
-    return runs.groupBy("pid").agg(F.min_by("date", "seq").alias("first_seen"), F.max_by("date", "seq").alias("last_seen"), F.max_by(F.when(F.col("status") != "unchanged", F.col("date")), F.when(F.col("status") != "unchanged", F.col("seq"))).alias("last_change"))
+    return runs.groupBy("pid").agg(
+        F.min_by("date", "seq").alias("first_seen"), F.max_by("date", "seq").alias("last_seen"),
+        F.max_by(F.when(F.col("status") != "unchanged", F.col("date")), F.when(F.col("status") != "unchanged", F.col("seq"))).alias("last_change")
+    )

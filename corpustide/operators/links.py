@@ -14,7 +14,9 @@ def platform_links(notices: DataFrame, uuid: str = "uuid", page: str = "html") -
 
     A notice whose page was read several times counts once, by the smallest platform id.
     """
-    found = notices.select(F.lower(F.trim(F.col(uuid))).alias("uuid"), C.platform_id(F.col(page)).cast("long").alias("pid")).filter("uuid is not null and pid is not null")
+    found = notices.select(
+        F.lower(F.trim(F.col(uuid))).alias("uuid"), C.platform_id(F.col(page)).cast("long").alias("pid")
+    ).filter("uuid is not null and pid is not null")
     return found.groupBy("uuid").agg(F.min("pid").alias("pid")).select("uuid", F.concat(F.lit(V.PLATFORM_PAGE), F.col("pid").cast("string")).alias("url"))
 
 

@@ -31,7 +31,10 @@ def manifests(rows: DataFrame) -> DataFrame:
 
 def fetch_totals(files: DataFrame, keys: list[str]) -> DataFrame:
     """By ``keys``: records, files, distinct paths and bytes. files: record_id, path, size."""
-    return files.groupBy(*keys).agg(F.count_distinct("record_id").alias("records"), F.count("*").alias("files"), F.count_distinct("path").alias("unique_files"), F.sum("size").alias("bytes"))
+    return files.groupBy(*keys).agg(
+        F.count_distinct("record_id").alias("records"), F.count("*").alias("files"), F.count_distinct("path").alias("unique_files"),
+        F.sum("size").alias("bytes")
+    )
 
 
 def summaries(files: DataFrame) -> DataFrame:

@@ -235,7 +235,11 @@ class Document:
             yield from (x for x in every if isinstance(x, dict) and x.get("Type") == "Page")
 
 
-_GLYPHS = {"space": " ", "period": ".", "comma": ",", "hyphen": "-", "colon": ":", "semicolon": ";", "parenleft": "(", "parenright": ")", "slash": "/", "quotesingle": "'", "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+_GLYPHS = {
+    "space": " ", "period": ".", "comma": ",", "hyphen": "-", "colon": ":", "semicolon": ";", "parenleft": "(", "parenright": ")",
+    "slash": "/", "quotesingle": "'", "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
+    "seven": "7", "eight": "8", "nine": "9"
+}
 
 
 def _glyph(name: str) -> str:

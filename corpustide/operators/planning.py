@@ -13,7 +13,10 @@ from .keyed import last_per_key
 def coverage(records: DataFrame, expected: int, pages: int, key: str = "identifier", other: str = "externalId") -> DataFrame:
     """One row: expected, unique, pages, drift, proven. Rows with neither id count as one."""
     unique = records.agg(F.count_distinct(F.coalesce(F.nullif(key, F.lit("")), F.nullif(other, F.lit("")), F.lit(""))).alias("unique"))
-    return unique.select(F.lit(expected).alias("expected"), "unique", F.lit(pages).alias("pages"), (F.lit(expected) - F.col("unique")).alias("drift"), (F.col("unique") == expected).alias("proven"))
+    return unique.select(
+        F.lit(expected).alias("expected"), "unique", F.lit(pages).alias("pages"),
+        (F.lit(expected) - F.col("unique")).alias("drift"), (F.col("unique") == expected).alias("proven")
+    )
 
 
 def normalised_notices(records: DataFrame) -> DataFrame:
@@ -22,7 +25,9 @@ def normalised_notices(records: DataFrame) -> DataFrame:
     return records.select(
         text("externalId").alias("id"), text("identifier").alias("uuid"), text("procurementIdentifier").alias("ref"), F.trim(text("name")).alias("title"), F.trim(text("organizationName")).alias("buyer"),
         text("organizationIdentifier").alias("buyer_reg"), F.substring(text("publicationDate"), 1, 10).alias("published"), F.col("date").alias("deadline"), C.register_amount(F.col("amount")).alias("value"),
-        F.coalesce(F.nullif("currency", F.lit("")), F.lit("EUR")).alias("currency"), F.coalesce("cpvCodes", F.array().cast("array<struct<code: string, caption: string>>")).alias("cpv"), F.col("type").alias("notice_type"),
+        F.coalesce(F.nullif("currency", F.lit("")), F.lit("EUR")).alias("currency"), F.coalesce(
+            "cpvCodes", F.array().cast("array<struct<code: string, caption: string>>")
+        ).alias("cpv"), F.col("type").alias("notice_type"),
         F.col("procedureType").alias("procedure"), F.col("procedureLegalBasis").alias("legal_basis"), F.coalesce(F.col("euFund").cast("boolean"), F.lit(False)).alias("eu_fund"), F.concat(F.lit(V.NOTICE_PAGE), text("identifier")).alias("link"),
     )
 
@@ -64,12 +69,16 @@ def targets(window: DataFrame, named: DataFrame, deduplicate_window: bool = True
     asked = named.withColumn("key", C.identity(F.col("target"))).filter("key is not null").groupBy("key").agg(F.min_by(F.struct("target", "pos"), "pos").alias("r")).select("key", "r.*")
     taken = found.select("key").unionByName(found.filter("uuid is not null").select(F.concat(F.lit("iub:"), F.lower("uuid")).alias("key"))).distinct()
     rest = asked.join(taken, "key", "left_anti")
-    return found.select("target", "key", "uuid", "pos", F.lit(False).alias("named")).unionByName(rest.select("target", "key", F.lit(None).cast("string").alias("uuid"), "pos", F.lit(True).alias("named")))
+    return found.select("target", "key", "uuid", "pos", F.lit(False).alias("named")).unionByName(rest.select(
+        "target", "key", F.lit(None).cast("string").alias("uuid"), "pos", F.lit(True).alias("named")
+    ))
 
 
 def shard_loads(df: DataFrame, shards: int) -> DataFrame:
     """By shard: targets, weight, heavy ones. ``df``: key, weight."""
-    return df.groupBy(C.shard_of(F.col("key"), shards).alias("shard")).agg(F.count("*").alias("targets"), F.sum("weight").alias("weight"), F.count_if(F.col("weight") > 1).alias("heavy"))
+    return df.groupBy(C.shard_of(F.col("key"), shards).alias("shard")).agg(
+        F.count("*").alias("targets"), F.sum("weight").alias("weight"), F.count_if(F.col("weight") > 1).alias("heavy")
+    )
 
 
 #: Items of one day that one task may balance; some bytes each.
@@ -106,7 +115,11 @@ def balance(items: DataFrame, slices: int, pid: str = "pid", load: str = "chars"
     kinds = dict(items.dtypes)
     own = [pid, load, *([day] if day else [])]
     schema = ", ".join(f"`{c}` {'bigint' if c == load else kinds[c]}" for c in own) + ", slice int"
-    rows = items.select(pid, F.col(load).cast("long").alias(load), *([day] if day else []), (F.col(day).cast("string") if day else F.lit("")).alias("_day"), F.coalesce(F.col(load).cast("long"), F.lit(0)).alias("_load"))
+    rows = items.select(
+        pid, F.col(load).cast("long").alias(load), *([day] if day else []),
+        (F.col(day).cast("string") if day else F.lit("")).alias("_day"),
+        F.coalesce(F.col(load).cast("long"), F.lit(0)).alias("_load")
+    )
     parts = rows.repartition("_day") if day else rows.coalesce(1)
     return parts.sortWithinPartitions("_day", F.desc("_load"), pid).mapInPandas(run, schema)
 
@@ -138,16 +151,26 @@ def coverage_block(accounts: DataFrame, resolved: DataFrame, delivered: DataFram
     """One row: targets, delivered, excused (of those asked for), unaccounted."""
     names = resolved.groupBy("asked").agg(F.max_by("found", "shard").alias("found"))
     named = accounts.join(names, accounts["key"] == names["asked"], "left").select(F.coalesce("found", "key").alias("key"), "outcome")
-    keys = named.groupBy("key").agg(F.bool_or(F.col("outcome") == "target").alias("asked"), F.bool_or(F.col("outcome").isin("failed", "withdrawn")).alias("excused"))
+    keys = named.groupBy("key").agg(
+        F.bool_or(F.col("outcome") == "target").alias("asked"),
+        F.bool_or(F.col("outcome").isin("failed", "withdrawn")).alias("excused")
+    )
     done = delivered.select(F.concat(F.lit("eis:"), F.col("pid").cast("string")).alias("key"), F.lit(True).alias("done")).distinct()
     both = keys.join(done, "key", "full_outer")
     yes = lambda c: F.coalesce(c, F.lit(False))
-    return both.agg(F.count_if(yes(F.col("asked"))).alias("targets"), F.count_if(yes(F.col("done"))).alias("delivered"), F.count_if(yes(F.col("asked") & F.col("excused"))).alias("excused"), F.count_if(yes(F.col("asked")) & ~yes(F.col("excused")) & ~yes(F.col("done"))).alias("unaccounted"))
+    return both.agg(
+        F.count_if(yes(F.col("asked"))).alias("targets"), F.count_if(yes(F.col("done"))).alias("delivered"),
+        F.count_if(yes(F.col("asked") & F.col("excused"))).alias("excused"),
+        F.count_if(yes(F.col("asked")) & ~yes(F.col("excused")) & ~yes(F.col("done"))).alias("unaccounted")
+    )
 
 
 def day_counts(tenders: DataFrame) -> DataFrame:
     """By status, unknown where there is none: tenders, documents, chars, unreadable."""
-    return tenders.groupBy(F.coalesce("status", F.lit("unknown")).alias("status")).agg(F.count("*").alias("tenders"), F.sum("documents").alias("documents"), F.sum("chars").alias("chars"), F.sum("unreadable").alias("unreadable"))
+    return tenders.groupBy(F.coalesce("status", F.lit("unknown")).alias("status")).agg(
+        F.count("*").alias("tenders"), F.sum("documents").alias("documents"), F.sum("chars").alias("chars"),
+        F.sum("unreadable").alias("unreadable")
+    )
 
 
 def delivery_tallies(changes: DataFrame, sent: DataFrame) -> DataFrame:
@@ -155,7 +178,10 @@ def delivery_tallies(changes: DataFrame, sent: DataFrame) -> DataFrame:
     n = sent.groupBy("pid").agg(F.count("*").alias("sent"))
     kept = F.when(F.coalesce("reextracted", F.lit(False)), 0).otherwise(F.coalesce("carried_over", F.lit(0)))
     is_ = lambda s: F.count_if(F.col("status") == s).alias(s)
-    return changes.join(n, "pid", "left").agg(is_("new"), is_("changed"), is_("unchanged"), F.coalesce(F.sum("sent"), F.lit(0)).alias("sent"), F.coalesce(F.sum(kept), F.lit(0)).alias("carried"))
+    return changes.join(n, "pid", "left").agg(
+        is_("new"), is_("changed"), is_("unchanged"), F.coalesce(F.sum("sent"), F.lit(0)).alias("sent"),
+        F.coalesce(F.sum(kept), F.lit(0)).alias("carried")
+    )
 
 
 def exit_code(done: int, failed: int) -> int:
@@ -163,7 +189,9 @@ def exit_code(done: int, failed: int) -> int:
     return 0 if done or not failed else 1
 
 
-def collect_day(indexes: DataFrame, entries: DataFrame, accounts: DataFrame, resolved: DataFrame, run_id: str | None, shards: int, slices: int) -> dict[str, DataFrame]:
+def collect_day(
+    indexes: DataFrame, entries: DataFrame, accounts: DataFrame, resolved: DataFrame, run_id: str | None, shards: int, slices: int
+) -> dict[str, DataFrame]:
     """One day from its shards: states, tenders with slices, counts by status, unaccounted targets, coverage, completeness.
 
     ``entries``: pid, shard, pos, status, title, documents, chars, unreadable; only rows of fresh shards count.
@@ -176,4 +204,7 @@ def collect_day(indexes: DataFrame, entries: DataFrame, accounts: DataFrame, res
     lost = unaccounted(own, names, tenders)
     signs = states.select((F.col("state") == "present").alias("ok")).unionByName(lost.select(F.lit(False).alias("ok")))
     complete = signs.agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("complete"))
-    return {"states": states, "tenders": tenders.join(balance(tenders, slices).select("pid", "slice"), "pid"), "counts": day_counts(tenders), "unaccounted": lost, "coverage": coverage_block(own, names, tenders), "complete": complete}
+    return {
+        "states": states, "tenders": tenders.join(balance(tenders, slices).select("pid", "slice"), "pid"),
+        "counts": day_counts(tenders), "unaccounted": lost, "coverage": coverage_block(own, names, tenders), "complete": complete
+    }

@@ -6,7 +6,10 @@ import re
 
 #: Groups that hold no text of the document: fixed names of the format.
 HIDDEN = frozenset("fonttbl colortbl stylesheet info pict object themedata datastore listtable listoverridetable rsidtbl generator xmlnstbl latentstyles header footer headerl headerr footerl footerr".split())
-BREAKS = {"par": "\n", "line": "\n", "sect": "\n", "page": "\n", "row": "\n", "tab": "\t", "cell": "\t", "emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”"}
+BREAKS = {
+    "par": "\n", "line": "\n", "sect": "\n", "page": "\n", "row": "\n", "tab": "\t", "cell": "\t", "emdash": "—", "endash": "–",
+    "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”"
+}
 _TOKEN = re.compile(rb"\\'(?P<hex>[0-9a-fA-F]{2})|\\(?P<word>[a-zA-Z]+)(?P<number>-?\d+)? ?|\\(?P<sign>[^a-zA-Z])|(?P<brace>[{}])|(?P<text>[^\\{}\r\n]+)", re.S)
 
 

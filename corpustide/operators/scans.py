@@ -23,7 +23,10 @@ def first_paths(files: DataFrame, order: list[str]) -> DataFrame:
     return files.filter(F.coalesce("sha256", F.lit("")) != "").groupBy("sha256").agg(F.min_by("path", F.struct(*order)).alias("kept_path"))
 
 
-def queue(gaps: DataFrame, paths: DataFrame, reasons: tuple[str, ...] = V.SCAN_REASONS, limit: int | None = None, size_limit: int | None = V.INLINE_LIMIT) -> DataFrame:
+def queue(
+    gaps: DataFrame, paths: DataFrame, reasons: tuple[str, ...] = V.SCAN_REASONS, limit: int | None = None,
+    size_limit: int | None = V.INLINE_LIMIT
+) -> DataFrame:
     """Every gap (file, bytes, sha256, reason, path, pos) with ``send_path`` and, where it is not sent, ``skipped``; the first rule that holds decides.
 
     The run limit takes gaps in their order. Positions among those to send are counted by ranges, then within them.
@@ -87,7 +90,10 @@ def prompt_digest(prompt: str) -> str:
     return hashlib.sha256(prompt.encode()).hexdigest()
 
 
-def run(misses: DataFrame, reader: Callable[[bytes, str], str], load: Callable[[str], bytes], pause: float = 0.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def run(
+    misses: DataFrame, reader: Callable[[bytes, str], str], load: Callable[[str], bytes], pause: float = 0.0,
+    sleep: Callable[[float], None] = time.sleep
+) -> DataFrame:
     """Read each row (sha256, send_path, pos) in order: sha256, outcome (read, empty, failed, deferred), text, error.
 
     One task, because a quota ends the run for all that follow; so rows are addresses, and ``load`` gives a file's bytes
@@ -127,10 +133,16 @@ def plan(queued: DataFrame, cache: DataFrame) -> DataFrame:
 
 def results(rows: DataFrame, name: str, model: str, prompt: str, at: Column) -> DataFrame:
     """Read texts as they are kept: sha256, text, provenance (JSON: provider, model, digest of the prompt, time). Only a read text is kept, each digest once."""
-    about = F.to_json(F.struct(F.lit(name).alias("provider"), F.lit(model).alias("model"), F.lit(prompt_digest(prompt)).alias("prompt_sha256"), at.cast("string").alias("read_at")))
+    about = F.to_json(F.struct(
+        F.lit(name).alias("provider"), F.lit(model).alias("model"), F.lit(prompt_digest(prompt)).alias("prompt_sha256"),
+        at.cast("string").alias("read_at")
+    ))
     kept = rows.filter("outcome = 'read' and coalesce(sha256, '') <> ''").groupBy("sha256").agg(F.min("text").alias("text"))
     return kept.select("sha256", "text", about.alias("provenance"))
 
 
 def totals(results: DataFrame) -> DataFrame:
-    return results.agg(*[F.count_if(F.col("outcome") == k).alias(k) for k in ("read", "empty", "failed", "deferred")], F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars"))
+    return results.agg(
+        *[F.count_if(F.col("outcome") == k).alias(k) for k in ("read", "empty", "failed", "deferred")],
+        F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")
+    )

@@ -17,7 +17,10 @@ from functools import lru_cache
 #: Format, fixed values: signature, property numbers, and coders by their number.
 SIGNATURE = b"7z\xbc\xaf\x27\x1c"
 END, HEADER, MAIN, FILES, PACK, UNPACK, SUB, SIZE, CRC, FOLDER, UNPACKED, STREAMS, EMPTY, EMPTY_FILE, NAMES, ENCODED = 0, 1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 17, 23
-CODERS = {b"\x00": "copy", b"\x21": "lzma2", b"\x03\x01\x01": "lzma", b"\x04\x01\x08": "deflate", b"\x04\x02\x02": "bzip2", b"\x03": "delta", b"\x03\x03\x01\x03": "x86", b"\x04": "x86", b"\x06\xf1\x07\x01": "aes"}
+CODERS = {
+    b"\x00": "copy", b"\x21": "lzma2", b"\x03\x01\x01": "lzma", b"\x04\x01\x08": "deflate", b"\x04\x02\x02": "bzip2",
+    b"\x03": "delta", b"\x03\x03\x01\x03": "x86", b"\x04": "x86", b"\x06\xf1\x07\x01": "aes"
+}
 
 
 class Cursor:

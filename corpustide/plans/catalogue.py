@@ -43,7 +43,10 @@ def doc_key(spark, sf):
 def identity_normalise(spark, sf):
     p = D.table(spark, sf, "pages")
     pid = F.col("page_id").cast("string")
-    return p.select("page_id", C.identity(F.col("url")).alias("identity"), C.identity(pid).alias("by_number"), C.identity(F.concat(F.lit(V.PLATFORM_PAGE), pid)).alias("by_address"))
+    return p.select(
+        "page_id", C.identity(F.col("url")).alias("identity"), C.identity(pid).alias("by_number"),
+        C.identity(F.concat(F.lit(V.PLATFORM_PAGE), pid)).alias("by_address")
+    )
 
 
 _SCOPE = dict(recall=["green", "blue", "lace"], prefixes=["Brand#1", "Brand#2"], excluded=["salmon"])
@@ -114,13 +117,18 @@ def target_urls(spark, sf):
     key = F.col("o_orderkey")
     text, kind = key.cast("string"), key % 4
     uuid = F.concat(F.lit("0000ABCD-0000-0000-0000-"), F.lpad(text, 12, "0"))
-    target = F.when(kind == 0, text).when(kind == 1, F.concat(F.lit("https://eis.gov.lv/ekeis/supplier/procurement/"), text, F.lit("/"))).when(kind == 2, F.concat(F.lit(V.NOTICE_PAGE), uuid)).otherwise(F.concat(F.lit("http://elsewhere.example/"), text))
+    target = F.when(kind == 0, text).when(
+        kind == 1, F.concat(F.lit("https://eis.gov.lv/ekeis/supplier/procurement/"), text, F.lit("/"))
+    ).when(kind == 2, F.concat(F.lit(V.NOTICE_PAGE), uuid)).otherwise(F.concat(F.lit("http://elsewhere.example/"), text))
     o = D.table(spark, sf, "orders")
     notices = o.filter(key % 8 == 2).select(uuid.alias("uuid"), F.concat(F.lit(V.PLATFORM_PAGE), (key * 2).cast("string")).alias("html"))
     return links.target_urls(o.select("o_orderkey", target.alias("target")), links.platform_links(notices))
 
 
-_MARKS = ("", "__RequestVerificationToken ActualDocuments_items", "Basic data", "Iepirkuma pamatdati", "Pieeja liegta / Access Denied", "Pārbaude pret robotiem", "__RequestVerificationToken", "Pieeja liegta / Access Denied Pārbaude pret robotiem Basic data")
+_MARKS = (
+    "", "__RequestVerificationToken ActualDocuments_items", "Basic data", "Iepirkuma pamatdati", "Pieeja liegta / Access Denied",
+    "Pārbaude pret robotiem", "__RequestVerificationToken", "Pieeja liegta / Access Denied Pārbaude pret robotiem Basic data"
+)
 _CLASSES = ("other", "published", "published", "published", "denied", "robot", "other", "published")
 
 
@@ -134,8 +142,13 @@ def page_class(spark, sf):
 @query(r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title, CASE WHEN page_id % 2 = 0 THEN ['Basic data'] ELSE [] END AS marks, 'Name & more' AS label FROM pages""")
 def page_log(spark, sf):
     """What a log says of a page that was not the one asked for; and a label's own words."""
-    p = D.table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.concat("html", F.lit("Basic data"))).otherwise(F.col("html")).alias("html"))
-    return p.select("page_id", pages.describe(F.col("html")).alias("d"), C.label_text(F.lit(" Name &amp;  more: <span>tip</span>")).alias("label")).select("page_id", "d.title", "d.marks", "label")
+    p = D.table(spark, sf, "pages").select(
+        "page_id", F.when(F.col("page_id") % 2 == 0, F.concat("html", F.lit("Basic data"))).otherwise(F.col("html")).alias("html")
+    )
+    return p.select(
+        "page_id", pages.describe(F.col("html")).alias("d"),
+        C.label_text(F.lit(" Name &amp;  more: <span>tip</span>")).alias("label")
+    ).select("page_id", "d.title", "d.marks", "label")
 
 
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
@@ -161,12 +174,16 @@ def page_facts(spark, sf):
     """Facts of procurement pages: each of the driver's pages stands within one, its address and number in labelled fields."""
     p = D.table(spark, sf, "pages")
     number = F.col("page_id").cast("string")
-    field = lambda fid, label, *value: [F.lit(f'<label title="a > b" for="{fid}">{label}: <i>tip</i></label> <div class="x field-block">'), *value, F.lit("</div>")]
+    field = lambda fid, label, *value: [
+        F.lit(f'<label title="a > b" for="{fid}">{label}: <i>tip</i></label> <div class="x field-block">'), *value, F.lit("</div>")
+    ]
     uuid = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(V.NOTICE_PAGE + "00000000-0000-0000-0000-"), F.lpad(number, 12, "0"))).otherwise("")
     codes = F.concat(F.lit('<script>var CpvAdditionals_items = [{"Title": "<b>4500'), number, F.lit('</b>"}, {"Title": "71"}, {"Title": "71"}];</script>'))
     html = F.concat(
         F.lit('__RequestVerificationToken var ActualDocuments_items = [{"Id": '), number, F.lit(', "Title": "a [b]"}]; '), uuid, *field("Name", "Name", F.col("url")), *field("x", "Kontaktpersona", F.lit("A person")), *field("", "Expected contract price", number, F.lit(",50 EUR")),
-        *field("OrganizerId", "Pasūtītājs", F.lit("Buyer "), number, F.lit(", reģ. numurs: "), number), *field("SubjectDescription_CpvAdditionalIdList", "CPV", codes), F.col("html"),
+        *field(
+            "OrganizerId", "Pasūtītājs", F.lit("Buyer "), number, F.lit(", reģ. numurs: "), number
+        ), *field("SubjectDescription_CpvAdditionalIdList", "CPV", codes), F.col("html"),
     )
     facts = pages.notices(p.select("page_id", html.alias("html")), "page_id")
     return facts.select("pid", "title", "register_check", "unconfirmed", "iub_uuid", "value", "currency", "buyer", "buyer_reg", "cpv_additional", "link")
@@ -175,7 +192,10 @@ def page_facts(spark, sf):
 @query("SELECT CAST(page_id AS VARCHAR) AS doc_id, 'actual' AS section, 'a [b] ' || page_id AS title, 'PRCDOC' AS link_type FROM pages")
 def page_documents(spark, sf):
     p = D.table(spark, sf, "pages")
-    entry = lambda title: F.concat(F.lit('[{"Id": '), F.col("page_id").cast("string"), F.lit(f', "Title": "{title} '), F.col("page_id").cast("string"), F.lit('", "DocumentTitle": {"Title": "]"}}]; x = [1'))
+    entry = lambda title: F.concat(
+        F.lit('[{"Id": '), F.col("page_id").cast("string"), F.lit(f', "Title": "{title} '), F.col("page_id").cast("string"),
+        F.lit('", "DocumentTitle": {"Title": "]"}}]; x = [1')
+    )
     html = F.concat(F.col("html"), F.lit(" ActualDocuments_items = "), entry("a [b]"), F.lit(" HistoricalDocuments_items = "), entry("old"))
     return pages.documents(p.select("page_id", html.alias("html")), "page_id").select("doc_id", "section", "title", "link_type")
 
@@ -228,7 +248,10 @@ def resumed_records(spark, sf):
 @query("""SELECT user_id, min_by(CAST(ts AS DATE), event_id) AS first_seen, max_by(CAST(ts AS DATE), event_id) AS last_seen,
  max_by(CAST(ts AS DATE), event_id) FILTER (WHERE event_type <> 'view') AS last_change FROM events GROUP BY user_id""")
 def seen_state(spark, sf):
-    e = D.table(spark, sf, "events").select(F.col("user_id").alias("pid"), F.col("ts").cast("date").alias("date"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status"))
+    e = D.table(spark, sf, "events").select(
+        F.col("user_id").alias("pid"), F.col("ts").cast("date").alias("date"), F.col("event_id").alias("seq"),
+        F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status")
+    )
     return diff.seen(e).withColumnRenamed("pid", "user_id")
 
 
@@ -270,7 +293,11 @@ def doc_diff(spark, sf):
     moves = diff.heads(before, after).join(diff.key_moves(old, new), "pid", "left")
     known = ~F.col("new")
     status = F.when(F.col("new"), "new").when((F.size("added") + F.size("removed")) > 0, "changed").otherwise("unchanged")
-    return moves.select("pid", status.alias("status"), F.when(known, F.size("added").cast("long")).alias("added"), F.when(known, F.size("removed").cast("long")).alias("removed"), F.when(known, F.col("carried_over")).alias("carried_over"), F.col("now").alias("documents"))
+    return moves.select(
+        "pid", status.alias("status"), F.when(known, F.size("added").cast("long")).alias("added"),
+        F.when(known, F.size("removed").cast("long")).alias("removed"), F.when(known, F.col("carried_over")).alias("carried_over"),
+        F.col("now").alias("documents")
+    )
 
 
 _FACTS = """f AS (SELECT 'c' || c_custkey AS pid, sha256(CAST(c_custkey AS VARCHAR)) AS d, * FROM customer),
@@ -298,7 +325,10 @@ _RECORDS = """lf AS (SELECT DISTINCT l_orderkey, sha256(concat_ws('-', l_orderke
  move = 'changed' AND a + z > 0 AND NOT dated AS silent FROM q WHERE move <> 'changed' OR edited OR a + z > 0""")
 def record_diff_silent(spark, sf):
     moves = diff.record_moves(*D.records(spark, sf))
-    return moves.select("pid", "id", "move", F.size("fields").alias("n_fields"), F.size("files_added").cast("long").alias("n_files_added"), F.size("files_removed").cast("long").alias("n_files_removed"), "silent")
+    return moves.select(
+        "pid", "id", "move", F.size("fields").alias("n_fields"), F.size("files_added").cast("long").alias("n_files_added"),
+        F.size("files_removed").cast("long").alias("n_files_removed"), "silent"
+    )
 
 
 def _changes(spark, sf):
@@ -366,7 +396,9 @@ def biddable_counts(spark, sf):
 
 @query("SELECT 60000 AS expected, count(DISTINCT l_orderkey || '-' || l_linenumber) AS \"unique\", 7 AS pages, 60000 - count(DISTINCT l_orderkey || '-' || l_linenumber) AS drift, count(DISTINCT l_orderkey || '-' || l_linenumber) = 60000 AS proven FROM lineitem")
 def coverage_proof(spark, sf):
-    l = D.table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("identifier"), F.lit(None).cast("string").alias("externalId"))
+    l = D.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("identifier"), F.lit(None).cast("string").alias("externalId")
+    )
     return planning.coverage(l, 60000, 7)
 
 
@@ -378,13 +410,19 @@ def freshness(spark, sf):
 @query("""SELECT CAST(('0x' || substr(sha256('eis:' || p_partkey), 1, 16))::UBIGINT % 4 + 1 AS INTEGER) AS shard, count(*) AS targets, sum(CASE WHEN contains(lower(p_type), 'construction') OR starts_with(CAST(p_size AS VARCHAR), '45') THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END) AS weight,
  count(*) FILTER (contains(lower(p_type), 'construction') OR starts_with(CAST(p_size AS VARCHAR), '45')) AS heavy FROM part GROUP BY 1""")
 def shard_loads(spark, sf):
-    p = D.table(spark, sf, "part").select(F.concat(F.lit("eis:"), F.col("p_partkey").cast("string")).alias("key"), C.weigh(C.codes(F.array(F.col("p_size").cast("string"))), F.col("p_type")).alias("weight"))
+    p = D.table(spark, sf, "part").select(
+        F.concat(F.lit("eis:"), F.col("p_partkey").cast("string")).alias("key"),
+        C.weigh(C.codes(F.array(F.col("p_size").cast("string"))), F.col("p_type")).alias("weight")
+    )
     return planning.shard_loads(p, 4)
 
 
 @query("SELECT l_orderkey AS pid, max_by(l_linestatus, (l_suppkey, l_partkey, l_linenumber, l_linestatus)) AS status FROM lineitem GROUP BY 1")
 def last_tenders(spark, sf):
-    l = D.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("pid"), F.col("l_suppkey").alias("shard"), F.struct("l_partkey", "l_linenumber", "l_linestatus").alias("pos"), F.col("l_linestatus").alias("status"))
+    l = D.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("pid"), F.col("l_suppkey").alias("shard"),
+        F.struct("l_partkey", "l_linenumber", "l_linestatus").alias("pos"), F.col("l_linestatus").alias("status")
+    )
     return planning.last_tenders(l).select("pid", "status")
 
 
@@ -414,7 +452,10 @@ def coverage_block(spark, sf):
 @query("SELECT coalesce(lang, 'unknown') AS status, count(*) AS tenders, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unreadable FROM documents GROUP BY 1")
 def day_counts(spark, sf):
     d = D.table(spark, sf, "documents")
-    return planning.day_counts(d.select(F.col("lang").alias("status"), F.lit(1).cast("long").alias("documents"), F.col("n_chars").alias("chars"), F.col("text").isNull().cast("long").alias("unreadable")))
+    return planning.day_counts(d.select(
+        F.col("lang").alias("status"), F.lit(1).cast("long").alias("documents"), F.col("n_chars").alias("chars"),
+        F.col("text").isNull().cast("long").alias("unreadable")
+    ))
 
 
 @query("""WITH RECURSIVE t AS (SELECT c_custkey AS pid, CAST(round(abs(c_acctbal) * 100) AS BIGINT) AS chars, row_number() OVER (ORDER BY CAST(round(abs(c_acctbal) * 100) AS BIGINT) DESC, c_custkey) AS n FROM customer),
@@ -431,7 +472,15 @@ def slice_balance(spark, sf):
 def normalised_notices(spark, sf):
     p = D.table(spark, sf, "part")
     none = F.lit(None).cast("string")
-    raw = p.select(F.col("p_partkey").alias("externalId"), F.col("p_brand").alias("identifier"), none.alias("procurementIdentifier"), F.concat(F.lit(" "), "p_name", F.lit("  ")).alias("name"), none.alias("organizationName"), none.alias("organizationIdentifier"), F.concat(F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size")).cast("string"), F.lit("T10:00:00Z")).alias("publicationDate"), none.alias("date"), F.col("p_size").cast("string").alias("amount"), none.alias("currency"), F.lit(None).cast("array<struct<code: string, caption: string>>").alias("cpvCodes"), F.col("p_type").alias("type"), none.alias("procedureType"), none.alias("procedureLegalBasis"), F.lit(None).cast("boolean").alias("euFund"))
+    raw = p.select(
+        F.col("p_partkey").alias("externalId"), F.col("p_brand").alias("identifier"), none.alias("procurementIdentifier"),
+        F.concat(F.lit(" "), "p_name", F.lit("  ")).alias("name"), none.alias("organizationName"),
+        none.alias("organizationIdentifier"),
+        F.concat(F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size")).cast("string"), F.lit("T10:00:00Z")).alias("publicationDate"),
+        none.alias("date"), F.col("p_size").cast("string").alias("amount"), none.alias("currency"),
+        F.lit(None).cast("array<struct<code: string, caption: string>>").alias("cpvCodes"), F.col("p_type").alias("type"),
+        none.alias("procedureType"), none.alias("procedureLegalBasis"), F.lit(None).cast("boolean").alias("euFund")
+    )
     return planning.normalised_notices(raw).select("id", "uuid", "title", "published", "value", "currency", "link")
 
 
@@ -449,7 +498,9 @@ _GAPS = """g AS (SELECT p_name || ['.pdf', '.jpg', '.dwg', '.zip', '.docx'][p_si
  SELECT pos, file, skipped, CASE WHEN skipped IS NULL THEN coalesce(path, kept) END AS send_path FROM f""")
 def ocr_queue(spark, sf):
     g = D.gaps(spark, sf)
-    files = g.filter("sha256 <> '' and bytes < 10000000").select("sha256", F.concat(F.lit("original/"), F.lpad(F.col("pos").cast("string"), 12, "0")).alias("path"), "pos")
+    files = g.filter("sha256 <> '' and bytes < 10000000").select(
+        "sha256", F.concat(F.lit("original/"), F.lpad(F.col("pos").cast("string"), 12, "0")).alias("path"), "pos"
+    )
     return scans.queue(g, scans.first_paths(files, ["pos"]), limit=100).select("pos", "file", "skipped", "send_path")
 
 
@@ -468,18 +519,38 @@ def scan_cache_misses(spark, sf):
 @query("""SELECT l_returnflag AS method, count(DISTINCT l_orderkey) AS records, count(*) AS files, count(DISTINCT l_partkey || '-' || l_suppkey) AS unique_files, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes FROM lineitem GROUP BY 1""")
 def fetch_summary(spark, sf):
     l = D.table(spark, sf, "lineitem")
-    return packs.fetch_totals(l.select(F.col("l_returnflag").alias("method"), F.col("l_orderkey").alias("record_id"), F.concat_ws("-", "l_partkey", "l_suppkey").alias("path"), F.col("l_quantity").cast("long").alias("size")), ["method"])
+    return packs.fetch_totals(
+        l.select(
+            F.col("l_returnflag").alias("method"), F.col("l_orderkey").alias("record_id"),
+            F.concat_ws("-", "l_partkey", "l_suppkey").alias("path"), F.col("l_quantity").cast("long").alias("size")
+        ),
+        ["method"]
+    )
 
 
 def _download(spark, sf):
     """A download's rows: customers are packs, orders records (some withheld), line items files (some listed twice)."""
     l, o = D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders")
     path = F.concat(F.lit("actual/"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
-    own = o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), F.col("o_orderkey"), F.col("o_orderkey").cast("string").alias("record_id"), F.lit("actual").alias("section"), F.col("o_orderpriority").alias("title"), F.lit("T").alias("type_code"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date"))
+    own = o.select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), F.col("o_orderkey"),
+        F.col("o_orderkey").cast("string").alias("record_id"), F.lit("actual").alias("section"),
+        F.col("o_orderpriority").alias("title"), F.lit("T").alias("type_code"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date")
+    )
     none = lambda kind: F.lit(None).cast(kind)
-    hidden = own.filter(F.col("o_orderkey") % 10 == 0).select("*", F.lit(True).alias("withheld"), none("string").alias("filename"), none("string").alias("original_name"), none("string").alias("path"), none("bigint").alias("size"), none("string").alias("sha256"), none("boolean").alias("duplicate"), none("string").alias("method"), none("binary").alias("content"))
+    hidden = own.filter(F.col("o_orderkey") % 10 == 0).select(
+        "*", F.lit(True).alias("withheld"), none("string").alias("filename"), none("string").alias("original_name"),
+        none("string").alias("path"), none("bigint").alias("size"), none("string").alias("sha256"),
+        none("boolean").alias("duplicate"), none("string").alias("method"), none("binary").alias("content")
+    )
     files = own.filter(F.col("o_orderkey") % 10 != 0).join(l, own["o_orderkey"] == l["l_orderkey"])
-    shown = files.select(*[own[c] for c in own.columns], F.lit(False).alias("withheld"), path.alias("filename"), path.alias("original_name"), path.alias("path"), F.col("l_quantity").cast("long").alias("size"), F.sha2(path, 256).alias("sha256"), (F.col("l_linenumber") % 7 == 0).alias("duplicate"), F.col("l_returnflag").alias("method"), F.encode(path, "utf-8").alias("content"))
+    shown = files.select(
+        *[own[c] for c in own.columns], F.lit(False).alias("withheld"), path.alias("filename"), path.alias("original_name"),
+        path.alias("path"), F.col("l_quantity").cast("long").alias("size"), F.sha2(path, 256).alias("sha256"),
+        (F.col("l_linenumber") % 7 == 0).alias("duplicate"), F.col("l_returnflag").alias("method"),
+        F.encode(path, "utf-8").alias("content")
+    )
     return shown.unionByName(hidden).drop("o_orderkey")
 
 
@@ -492,9 +563,14 @@ def pack_manifests(spark, sf):
     """What the manifests say, read back from their JSON."""
     record = "struct<id: string, files: array<struct<path: string, size: bigint>>>"
     read = F.from_json(F.decode("content", "utf-8"), f"struct<pid: string, documents: array<{record}>, withheld_records: array<{record}>>")
-    rows = packs.manifests(_download(spark, sf)).select(read.alias("m")).select("m.pid", "m.documents", F.size("m.withheld_records").cast("long").alias("withheld"))
+    rows = packs.manifests(_download(spark, sf)).select(read.alias("m")).select(
+        "m.pid", "m.documents", F.size("m.withheld_records").cast("long").alias("withheld")
+    )
     files = F.flatten(F.transform("documents", lambda d: d["files"]))
-    return rows.select("pid", F.size("documents").cast("long").alias("documents"), "withheld", F.size(files).cast("long").alias("files"), F.aggregate(files, F.lit(0).cast("long"), lambda n, f: n + f["size"]).alias("bytes"))
+    return rows.select(
+        "pid", F.size("documents").cast("long").alias("documents"), "withheld", F.size(files).cast("long").alias("files"),
+        F.aggregate(files, F.lit(0).cast("long"), lambda n, f: n + f["size"]).alias("bytes")
+    )
 
 
 @query(f"WITH {_DOWNLOAD}, n AS (SELECT pid, count(DISTINCT path) AS members FROM f GROUP BY pid) SELECT pid, coalesce(members, 0) + 1 AS members, true AS ok FROM n FULL JOIN w USING (pid)")
@@ -509,7 +585,9 @@ def pack_summaries(spark, sf):
     """What the summaries say, read back from their JSON."""
     read = F.from_json(F.decode("content", "utf-8"), "struct<pid: string, records: bigint, unique_files: bigint, methods: map<string, bigint>>")
     files = _download(spark, sf).filter("not withheld")
-    return packs.summaries(files).select(read.alias("m")).select("m.pid", "m.records", "m.unique_files", F.coalesce(F.try_element_at("m.methods", F.lit("R")), F.lit(0)).alias("returned"))
+    return packs.summaries(files).select(read.alias("m")).select(
+        "m.pid", "m.records", "m.unique_files", F.coalesce(F.try_element_at("m.methods", F.lit("R")), F.lit(0)).alias("returned")
+    )
 
 
 @query(f"WITH {_GAPS} SELECT reason, count(*) AS n, min_by(file, pos) AS sample FROM g GROUP BY reason")
@@ -539,8 +617,15 @@ def scan_plan(spark, sf):
 def download_links(spark, sf):
     o = D.table(spark, sf, "orders")
     section = F.when(F.col("o_orderstatus") == "F", "archive").otherwise("actual")
-    records = o.select(F.col("o_custkey").alias("pid"), F.col("o_orderkey").alias("id"), section.alias("section"), F.nullif("o_orderstatus", F.lit("O")).alias("link_type"), F.lit("f.pdf").alias("filename"), F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderkey") * 10).alias("file_id"), F.lit(0).alias("pos"))
-    docs = o.select(F.col("o_custkey").alias("pid"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderkey").alias("record_id"), section.alias("section"), F.lit("f.pdf").alias("original_file"))
+    records = o.select(
+        F.col("o_custkey").alias("pid"), F.col("o_orderkey").alias("id"), section.alias("section"),
+        F.nullif("o_orderstatus", F.lit("O")).alias("link_type"), F.lit("f.pdf").alias("filename"),
+        F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderkey") * 10).alias("file_id"), F.lit(0).alias("pos")
+    )
+    docs = o.select(
+        F.col("o_custkey").alias("pid"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderkey").alias("record_id"),
+        section.alias("section"), F.lit("f.pdf").alias("original_file")
+    )
     return pages.links(docs, records)
 
 
@@ -550,7 +635,10 @@ def extracted_texts(spark, sf):
     """Every document as a text file of its own pack, through the extractor: its text, and its length."""
     d = D.table(spark, sf, "documents")
     pid = F.col("doc_id").cast("string")
-    files = d.select(pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
+    files = d.select(
+        pid.alias("pid"), pid.alias("record_id"), F.concat(F.lit("d/"), pid, F.lit(".txt")).alias("path"),
+        F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content")
+    )
     return extract.extract(files).select("pid", "source", "kind", F.md5("text").alias("text_md5"), "chars", "bytes", "sha256")
 
 

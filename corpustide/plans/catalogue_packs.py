@@ -76,7 +76,10 @@ def member_names(spark, sf):
     """Which members of an archive stay inside it, and which are a container's own."""
     start = F.element_at(F.array(*[F.lit(x) for x in ("a/", "../", "/", "c:/", "META-INF/", "a/..b/")]), (F.col("p_partkey") % 6 + 1).cast("int"))
     rows = D.table(spark, sf, "part").select("p_partkey", F.concat(start, "p_name", F.when(F.col("p_partkey") % 6 == 0, ".txt").otherwise("")).alias("name"))
-    return rows.select("p_partkey", "name", C.safe_member(F.col("name")).alias("safe"), C.is_packaging(F.col("name")).alias("plumbing"), F.element_at(F.split("name", r"\."), -1).alias("last"))
+    return rows.select(
+        "p_partkey", "name", C.safe_member(F.col("name")).alias("safe"), C.is_packaging(F.col("name")).alias("plumbing"),
+        F.element_at(F.split("name", r"\."), -1).alias("last")
+    )
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS pid, '3' AS numid, 1 AS ilvl, 'paragraph' AS origin, substr(sha1(p_name), 1, 8) AS digest, '4' AS start, 'decimal' AS num_fmt, '%2.' AS lvl_text, true AS no_restart FROM part WHERE p_partkey % 10 = 0")
@@ -85,15 +88,23 @@ def numbering_sidecars(spark, sf):
     paragraph = "struct<`index`: int, numId: string, ilvl: int, `from`: string, digest: string>"
     level = "struct<start: string, numFmt: string, lvlText: string, lvlRestart: string>"
     read = F.from_json("structure", f"struct<paragraphs: array<{paragraph}>, numbering: map<string, struct<levels: map<string, {level}>>>>")
-    rows = _extracted(spark, sf).filter("structure is not null").select("pid", read.alias("s")).select("pid", F.explode("s.paragraphs").alias("p"), F.try_element_at("s.numbering", F.lit("3")).alias("n"))
+    rows = _extracted(spark, sf).filter("structure is not null").select("pid", read.alias("s")).select(
+        "pid", F.explode("s.paragraphs").alias("p"), F.try_element_at("s.numbering", F.lit("3")).alias("n")
+    )
     own = F.try_element_at("n.levels", F.lit("1"))
-    return rows.select("pid", F.col("p.numId").alias("numid"), "p.ilvl", F.col("p.from").alias("origin"), "p.digest", own["start"].alias("start"), own["numFmt"].alias("num_fmt"), own["lvlText"].alias("lvl_text"), own["lvlRestart"].isNull().alias("no_restart"))
+    return rows.select(
+        "pid", F.col("p.numId").alias("numid"), "p.ilvl", F.col("p.from").alias("origin"), "p.digest", own["start"].alias("start"),
+        own["numFmt"].alias("num_fmt"), own["lvlText"].alias("lvl_text"), own["lvlRestart"].isNull().alias("no_restart")
+    )
 
 
 @query("SELECT 'c' || c_nationkey AS pid, count(DISTINCT c_custkey) AS members, 1 AS digests FROM customer GROUP BY c_nationkey")
 def archive_bytes(spark, sf):
     """Archives made of the same members in another order are the same, byte for byte."""
-    rows = D.table(spark, sf, "customer").select(F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("pid"), F.concat(F.lit("doc/"), F.col("c_custkey").cast("string")).alias("path"), F.encode("c_name", "utf-8").alias("content"))
+    rows = D.table(spark, sf, "customer").select(
+        F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("pid"),
+        F.concat(F.lit("doc/"), F.col("c_custkey").cast("string")).alias("path"), F.encode("c_name", "utf-8").alias("content")
+    )
     both = publish.archives(rows).unionByName(publish.archives(rows.unionByName(rows.filter("path like '%1'")).repartition(5, "path")))
     return both.groupBy("pid").agg(F.max("members").alias("members"), F.count_distinct("sha256").cast("int").alias("digests"))
 
@@ -103,7 +114,10 @@ def archive_bytes(spark, sf):
 
 def _fetched(spark, sf) -> DataFrame:
     number = F.col("c_custkey").cast("string")
-    rows = D.table(spark, sf, "customer").select(number.alias("target"), number.alias("pid"), F.concat(F.lit(V.PLATFORM_PAGE), number).alias("url"), F.array().cast("array<string>").alias("done"))
+    rows = D.table(spark, sf, "customer").select(
+        number.alias("target"), number.alias("pid"), F.concat(F.lit(V.PLATFORM_PAGE), number).alias("url"),
+        F.array().cast("array<string>").alias("done")
+    )
     return fetch.fetch(rows, "corpustide.plans.demo_packs:Portal", pause=0.0)
 
 
@@ -162,7 +176,13 @@ def discovered(spark, sf):
     key = F.col("p_partkey").cast("string")
     cpv = F.array(F.struct(F.col("p_size").cast("string").alias("code"), F.lit("c").alias("caption")))
     kind = F.element_at(F.array(F.lit("competition"), F.lit("planning"), F.lit("result")), (F.col("p_size") % 3 + 1).cast("int"))
-    raw = p.select(F.col("p_partkey").alias("pos"), key.alias("identifier"), none.alias("externalId"), none.alias("procurementIdentifier"), F.concat_ws(" ", "p_name", "p_type").alias("name"), F.col("p_name").alias("organizationName"), none.alias("organizationIdentifier"), F.lit("2026-01-01T10:00:00Z").alias("publicationDate"), none.alias("date"), none.alias("amount"), none.alias("currency"), cpv.alias("cpvCodes"), kind.alias("type"), none.alias("procedureType"), none.alias("procedureLegalBasis"), F.lit(None).cast("boolean").alias("euFund"))
+    raw = p.select(
+        F.col("p_partkey").alias("pos"), key.alias("identifier"), none.alias("externalId"), none.alias("procurementIdentifier"),
+        F.concat_ws(" ", "p_name", "p_type").alias("name"), F.col("p_name").alias("organizationName"),
+        none.alias("organizationIdentifier"), F.lit("2026-01-01T10:00:00Z").alias("publicationDate"), none.alias("date"),
+        none.alias("amount"), none.alias("currency"), cpv.alias("cpvCodes"), kind.alias("type"), none.alias("procedureType"),
+        none.alias("procedureLegalBasis"), F.lit(None).cast("boolean").alias("euFund")
+    )
     return lifecycle.discover(raw.unionByName(raw.filter("pos % 50 = 0")), p.count(), 1, policy=_POLICY).select("uuid", F.col("buyer").alias("title"))
 
 
@@ -170,7 +190,9 @@ def discovered(spark, sf):
 def named_list(spark, sf):
     """Targets of a list with a byte-order mark, comments and blanks."""
     k = F.col("o_orderkey").cast("string")
-    line = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("\ufeff"), k)).when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("  "), k, F.lit("  # why"))).when(F.col("o_orderkey") % 5 == 2, k).when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("# "), k)).otherwise("   ")
+    line = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("\ufeff"), k)).when(
+        F.col("o_orderkey") % 5 == 1, F.concat(F.lit("  "), k, F.lit("  # why"))
+    ).when(F.col("o_orderkey") % 5 == 2, k).when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("# "), k)).otherwise("   ")
     return planning.named_targets(D.table(spark, sf, "orders").select(line.alias("value")))
 
 
@@ -205,7 +227,10 @@ def overlap(spark, sf):
 def shard_choice(spark, sf):
     """Whether a key is in the second shard of three; of one shard everything is; beyond the last, nothing."""
     key = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
-    return D.table(spark, sf, "part").select("p_partkey", key.alias("key"), C.take_shard(key, 2, 3).alias("mine"), C.take_shard(key, 1, 1).alias("alone"), C.take_shard(key, 4, 3).alias("beyond"))
+    return D.table(spark, sf, "part").select(
+        "p_partkey", key.alias("key"), C.take_shard(key, 2, 3).alias("mine"), C.take_shard(key, 1, 1).alias("alone"),
+        C.take_shard(key, 4, 3).alias("beyond")
+    )
 
 
 @query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'lv' WHEN page_id % 4 = 1 THEN 'lv' WHEN page_id % 4 = 2 THEN 'en' END AS language, CASE WHEN page_id % 4 = 2 THEN url END AS status FROM pages")
@@ -213,7 +238,9 @@ def page_languages(spark, sf):
     """A page's language by its status label, and that field by its label."""
     lv, en = V.LANGUAGE_LABELS[0][1], V.LANGUAGE_LABELS[1][1]
     k = F.col("page_id") % 4
-    fields = F.when(k == 0, F.create_map(F.lit(lv), F.lit(None).cast("string"), F.lit(en), F.lit(None).cast("string"))).when(k == 1, F.create_map(F.lit(lv), F.lit(None).cast("string"))).when(k == 2, F.create_map(F.lit(en), F.col("url"))).otherwise(F.create_map(F.lit("x"), F.lit("y")))
+    fields = F.when(
+        k == 0, F.create_map(F.lit(lv), F.lit(None).cast("string"), F.lit(en), F.lit(None).cast("string"))
+    ).when(k == 1, F.create_map(F.lit(lv), F.lit(None).cast("string"))).when(k == 2, F.create_map(F.lit(en), F.col("url"))).otherwise(F.create_map(F.lit("x"), F.lit("y")))
     p = D.table(spark, sf, "pages").select("page_id", fields.alias("fields"))
     return p.select("page_id", C.page_language(F.col("fields")).alias("language"), C.field(F.col("fields"), "status").alias("status"))
 
@@ -259,7 +286,10 @@ def stream_once(spark, sf):
  CAST(max_by(CAST(ts AS DATE), event_id) FILTER (WHERE event_type <> 'view') AS VARCHAR) AS last_change FROM events GROUP BY user_id""")
 def stream_seen(spark, sf):
     """The state of each item over a stream of runs."""
-    e = _events(spark, sf).select(F.col("user_id").cast("string").alias("pid"), F.col("ts").cast("date").cast("string").alias("date"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status"))
+    e = _events(spark, sf).select(
+        F.col("user_id").cast("string").alias("pid"), F.col("ts").cast("date").cast("string").alias("date"),
+        F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status")
+    )
     last = lambda c: F.max_by(c, "batch").alias(c)
     return _streamed(spark, runs.seen(e), "seen").groupBy("pid").agg(last("first_seen"), last("last_seen"), last("last_change"))
 
@@ -267,7 +297,10 @@ def stream_seen(spark, sf):
 @query("SELECT * FROM (VALUES (1, 'present'), (2, 'stale'), (3, 'present'), (4, 'missing')) t(shard, state)")
 def shard_states(spark, sf):
     """Each expected shard as present, stale or missing; an index without a run counts as present."""
-    rows = D.table(spark, sf, "region").filter("r_regionkey < 3").select((F.col("r_regionkey") + 1).cast("int").alias("shard"), F.when(F.col("r_regionkey") == 0, "now").when(F.col("r_regionkey") == 1, "old").alias("run_id"))
+    rows = D.table(spark, sf, "region").filter("r_regionkey < 3").select(
+        (F.col("r_regionkey") + 1).cast("int").alias("shard"),
+        F.when(F.col("r_regionkey") == 0, "now").when(F.col("r_regionkey") == 1, "old").alias("run_id")
+    )
     return planning.fresh_shards(rows, "now", 4)
 
 
@@ -279,7 +312,12 @@ def _day(spark, sf) -> dict[str, DataFrame]:
     l, o = D.table(spark, sf, "lineitem"), D.table(spark, sf, "orders")
     indexes = spark.createDataFrame([(1, "now"), (2, "now"), (3, None), (4, "old")], "shard int, run_id string")
     chars, status = F.col("l_quantity").cast("long"), F.coalesce(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")), F.lit("unknown"))
-    entries = l.select(F.col("l_orderkey").cast("string").alias("pid"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("shard"), F.struct(F.col("l_partkey"), chars.alias("c"), status.alias("s")).alias("pos"), F.when(status != "unknown", status).alias("status"), F.lit(1).cast("long").alias("documents"), chars.alias("chars"), F.lit(0).cast("long").alias("unreadable"))
+    entries = l.select(
+        F.col("l_orderkey").cast("string").alias("pid"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("shard"),
+        F.struct(F.col("l_partkey"), chars.alias("c"), status.alias("s")).alias("pos"),
+        F.when(status != "unknown", status).alias("status"), F.lit(1).cast("long").alias("documents"), chars.alias("chars"),
+        F.lit(0).cast("long").alias("unreadable")
+    )
     key = F.concat(F.lit("eis:"), F.col("o_orderkey").cast("string"))
     accounts = o.select(F.lit(1).alias("shard"), key.alias("key"), F.lit("target").alias("outcome"))
     none = spark.createDataFrame([], "shard int, asked string, found string")
@@ -311,7 +349,9 @@ def scan_totals(spark, sf):
 def entry_sizes(spark, sf):
     """Address and characters of index entries; documents whose length is not known count nothing."""
     doc = F.struct(F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("chars"))
-    by = D.table(spark, sf, "orders").groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid")).agg(F.collect_list(doc).alias("documents"), F.min("o_orderkey").cast("string").alias("item"))
+    by = D.table(spark, sf, "orders").groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid")).agg(
+        F.collect_list(doc).alias("documents"), F.min("o_orderkey").cast("string").alias("item")
+    )
     return by.select("pid", C.item_uri(F.lit("d1"), F.col("item")).alias("uri"), C.entry_chars(F.col("documents")).alias("chars"))
 
 
@@ -319,7 +359,9 @@ def entry_sizes(spark, sf):
 def delivered_names(spark, sf):
     """What is ever delivered of a pack's files."""
     k, text = F.col("p_partkey") % 4, F.col("p_partkey").cast("string")
-    name = F.when(k == 0, "/manifest.json").when(k == 1, F.concat(F.lit("/doc/"), F.substring(F.sha2(text, 256), 1, 16), F.lit(".md"))).when(k == 2, "/original/a.pdf").otherwise("/media/b.png")
+    name = F.when(k == 0, "/manifest.json").when(
+        k == 1, F.concat(F.lit("/doc/"), F.substring(F.sha2(text, 256), 1, 16), F.lit(".md"))
+    ).when(k == 2, "/original/a.pdf").otherwise("/media/b.png")
     return packs.delivered(D.table(spark, sf, "part").select(F.concat(text, name).alias("path")))
 
 
@@ -334,10 +376,18 @@ def index_rows(spark, sf):
     facts = D.table(spark, sf, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("pid"), F.col("c_name").alias("title"))
     source = F.concat(F.lit("a/"), F.col("o_orderkey").cast("string"), F.lit(".pdf"))
     none = F.lit(None).cast("string")
-    entries = o.filter("o_orderkey % 5 <> 0").select("pid", F.sha2(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")), 256).alias("original_sha256"), source.alias("source"), F.lit("actual").alias("section"), none.alias("record_title"), none.alias("also_listed_under"), source.alias("markdown_path"), F.lit(1).alias("markdown_chars"), F.col("o_orderkey").alias("pos"))
+    entries = o.filter("o_orderkey % 5 <> 0").select(
+        "pid", F.sha2(F.concat(F.lit("f"), F.col("o_orderkey").cast("string")), 256).alias("original_sha256"),
+        source.alias("source"), F.lit("actual").alias("section"), none.alias("record_title"), none.alias("also_listed_under"),
+        source.alias("markdown_path"), F.lit(1).alias("markdown_chars"), F.col("o_orderkey").alias("pos")
+    )
     gaps = o.filter("o_orderkey % 5 = 0").select("pid", source.alias("file"), F.lit("conversion failed").alias("reason"))
     rows = lifecycle.index_entries(facts, entries, gaps, spark.createDataFrame([], "pid string, key string, download string"))
-    return rows.select("pid", "key", "title", F.size("documents").cast("long").alias("documents"), F.size("unreadable").cast("long").alias("unreadable"), F.array_min(F.transform("documents", lambda d: d["path"])).alias("first"))
+    return rows.select(
+        "pid", "key", "title", F.size("documents").cast("long").alias("documents"),
+        F.size("unreadable").cast("long").alias("unreadable"),
+        F.array_min(F.transform("documents", lambda d: d["path"])).alias("first")
+    )
 
 
 @query("SELECT 'c' || c_custkey AS pid, 'new' AS status FROM customer WHERE c_custkey % 3 = 0")
@@ -355,7 +405,10 @@ def publishable_only(spark, sf):
 def journal_lines(spark, sf):
     """A journal of one JSON line a record, read back: every line, and the last of each item."""
     o = D.table(spark, sf, "orders")
-    journal = o.select(F.col("o_orderkey").alias("line"), F.to_json(F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("state"))).alias("value"))
+    journal = o.select(
+        F.col("o_orderkey").alias("line"),
+        F.to_json(F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("state"))).alias("value")
+    )
     both = journal.agg(F.count("*").alias("lines"))
     items = keyed.replay(journal, schema="id string, state string").agg(F.count("*").alias("items"))
     return both.withColumn("_one", F.lit(1)).join(items.withColumn("_one", F.lit(1)), "_one").select("lines", "items")

@@ -35,27 +35,40 @@ def docx(heading: str, text: str) -> bytes:
     styles = f'<w:styles xmlns:w="{WORD}"><w:style w:styleId="h"><w:name w:val="Heading 2"/></w:style></w:styles>'
     level = '<w:lvl w:ilvl="1"><w:start w:val="4"/><w:numFmt w:val="decimal"/><w:lvlText w:val="%2."/></w:lvl>'
     numbering = f'<w:numbering xmlns:w="{WORD}"><w:abstractNum w:abstractNumId="0">{level}</w:abstractNum><w:num w:numId="3"><w:abstractNumId w:val="0"/></w:num></w:numbering>'
-    return zipped([("word/document.xml", f'<w:document xmlns:w="{WORD}"><w:body>{body}</w:body></w:document>'), ("word/styles.xml", styles), ("word/numbering.xml", numbering)])
+    return zipped([
+        ("word/document.xml", f'<w:document xmlns:w="{WORD}"><w:body>{body}</w:body></w:document>'), ("word/styles.xml", styles),
+        ("word/numbering.xml", numbering)
+    ])
 
 
 def xlsx(name: str, value: str) -> bytes:
     cells = f'<row><c r="A1" t="inlineStr"><is><t>{name}</t></is></c><c r="C1"><v>{value}</v></c></row><row/><row><c r="A3"><f>A1+1</f></c></row>'
     book = f'<workbook xmlns="{SHEET}" xmlns:r="{RELATION}"><sheets><sheet name="Lapa" r:id="rId1"/></sheets></workbook>'
     related = '<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>'
-    return zipped([("xl/workbook.xml", book), ("xl/_rels/workbook.xml.rels", related), ("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{SHEET}"><sheetData>{cells}</sheetData></worksheet>')])
+    return zipped([
+        ("xl/workbook.xml", book), ("xl/_rels/workbook.xml.rels", related),
+        ("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{SHEET}"><sheetData>{cells}</sheetData></worksheet>')
+    ])
 
 
 def pptx(text: str) -> bytes:
     shape = f"<p:sp><p:txBody><a:p><a:r><a:t>{text}</a:t></a:r></a:p></p:txBody></p:sp>"
     slide = f'<p:sld xmlns:p="{SLIDE}" xmlns:a="{DRAWING}"><p:cSld><p:spTree>{shape}</p:spTree></p:cSld></p:sld>'
     show = f'<p:presentation xmlns:p="{SLIDE}" xmlns:r="{RELATION}"><p:sldIdLst><p:sldId r:id="a"/></p:sldIdLst></p:presentation>'
-    return zipped([("ppt/presentation.xml", show), ("ppt/_rels/presentation.xml.rels", '<Relationships><Relationship Id="a" Target="slides/slide1.xml"/></Relationships>'), ("ppt/slides/slide1.xml", slide)])
+    return zipped([
+        ("ppt/presentation.xml", show),
+        ("ppt/_rels/presentation.xml.rels", '<Relationships><Relationship Id="a" Target="slides/slide1.xml"/></Relationships>'),
+        ("ppt/slides/slide1.xml", slide)
+    ])
 
 
 def pdf(text: str) -> bytes:
     """A page that shows one line."""
     shown = f"BT /F1 12 Tf 72 700 Td ({text}) Tj ET".encode("cp1252")
-    objects = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>", b"<< /Type /Page /Contents 4 0 R >>", b"<< /Length %d >>\nstream\n%s\nendstream" % (len(shown), shown)]
+    objects = [
+        b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>", b"<< /Type /Page /Contents 4 0 R >>",
+        b"<< /Length %d >>\nstream\n%s\nendstream" % (len(shown), shown)
+    ]
     return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, body) for n, body in enumerate(objects, 1))
 
 

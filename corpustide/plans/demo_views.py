@@ -23,8 +23,13 @@ def items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(previous, current) heads of the items: pid, tool, parser, language."""
     pids = table(spark, sf_dir, "documents").select(F.col("source").alias("pid")).distinct()
     flip = lambda n, digits, a, b: F.when(digit(F.col("pid"), n).isin(*digits), b).otherwise(a)
-    previous = pids.filter(~digit(F.col("pid"), 4).isin("0", "1")).select("pid", F.lit("t1").alias("tool"), F.lit("p1").alias("parser"), F.lit("lv").alias("language"))
-    current = pids.select("pid", flip(3, "01234567", "t1", "t2").alias("tool"), flip(2, "0123", "p1", "p2").alias("parser"), flip(1, "0123", "lv", "en").alias("language"))
+    previous = pids.filter(~digit(F.col("pid"), 4).isin("0", "1")).select(
+        "pid", F.lit("t1").alias("tool"), F.lit("p1").alias("parser"), F.lit("lv").alias("language")
+    )
+    current = pids.select(
+        "pid", flip(3, "01234567", "t1", "t2").alias("tool"), flip(2, "0123", "p1", "p2").alias("parser"),
+        flip(1, "0123", "lv", "en").alias("language")
+    )
     return previous, current
 
 
@@ -34,7 +39,11 @@ def extracted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     first = F.sha2("text", 256)
 
     def shape(rows: DataFrame, sha: Column) -> DataFrame:
-        return rows.select(F.col("source").alias("pid"), sha.alias("original_sha256"), F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"), F.col("doc_id").alias("pos"), F.col("lang").alias("section"), F.char_length("text").cast("long").alias("markdown_chars")).select(
+        return rows.select(
+            F.col("source").alias("pid"), sha.alias("original_sha256"),
+            F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"), F.col("doc_id").alias("pos"),
+            F.col("lang").alias("section"), F.char_length("text").cast("long").alias("markdown_chars")
+        ).select(
             "pid", "original_sha256", F.col("path").alias("source"), "pos", "section", F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), F.lit(None).cast("string").alias("record_id"), F.lit(None).cast("string").alias("also_listed_under"), F.col("path").alias("markdown_path"), "markdown_chars"
         )
 
@@ -52,7 +61,9 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     reason = F.when(F.col("p_size") < 20, "no text layer — a scan or a vector drawing").when(F.col("p_size") < 40, "conversion failed: damaged").otherwise("no deterministic text extraction")
     digest = F.when(digit(F.col("p_partkey")) == "0", "").otherwise(F.sha2(F.concat("p_name", "p_brand"), 256))
     return p.select(
-        F.concat("p_name", ext).alias("file"), (F.col("p_size").cast("long") * 400_000).alias("bytes"), digest.alias("sha256"), reason.alias("reason"), F.when(digit(F.col("p_partkey"), 2) == "1", F.concat(F.lit("unpacked/"), F.col("p_partkey").cast("string"))).alias("path"), F.col("p_name").alias("source"), F.col("p_partkey").alias("pos")
+        F.concat("p_name", ext).alias("file"), (F.col("p_size").cast("long") * 400_000).alias("bytes"), digest.alias("sha256"), reason.alias("reason"), F.when(
+            digit(F.col("p_partkey"), 2) == "1", F.concat(F.lit("unpacked/"), F.col("p_partkey").cast("string"))
+        ).alias("path"), F.col("p_name").alias("source"), F.col("p_partkey").alias("pos")
     )
 
 
@@ -72,7 +83,11 @@ def records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     previous = shape(rows.filter(key != "0"), day, F.col("o_orderpriority"), lambda f: f["d"].substr(1, 1) != "3")
-    current = shape(rows.filter(key != "f"), F.when(key == "7", F.date_format(F.date_add("o_orderdate", 1), "yyyy-MM-dd")).otherwise(day), F.when(key == "8", F.concat("o_orderpriority", F.lit("!"))).otherwise(F.col("o_orderpriority")), lambda f: f["d"].substr(1, 1) != "4")
+    current = shape(
+        rows.filter(key != "f"), F.when(key == "7", F.date_format(F.date_add("o_orderdate", 1), "yyyy-MM-dd")).otherwise(day),
+        F.when(key == "8", F.concat("o_orderpriority", F.lit("!"))).otherwise(F.col("o_orderpriority")),
+        lambda f: f["d"].substr(1, 1) != "4"
+    )
     return previous, current
 
 
@@ -80,11 +95,21 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     """(previous facts, current facts, previous heads, current heads), of customers: wide facts as text."""
     c = table(spark, sf_dir, "customer").withColumn("pid", F.concat(F.lit("c"), F.col("c_custkey").cast("string")))
     d = lambda n: digit(F.col("c_custkey"), n)
-    base = dict(title=F.col("c_name"), status=F.col("c_mktsegment"), value=F.format_string("%.2f", "c_acctbal"), buyer=F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), deadline=F.lit(None).cast("string"))
-    edits = dict(title=F.when(d(1) == "1", F.concat("c_name", F.lit("*"))).otherwise(base["title"]), status=F.when(d(1).isin("2", "1"), F.lower("c_mktsegment")).otherwise(base["status"]), deadline=F.when(d(2) == "2", "2026-01-01"), buyer=F.when(d(2) == "3", None).otherwise(base["buyer"]))
+    base = dict(
+        title=F.col("c_name"), status=F.col("c_mktsegment"), value=F.format_string("%.2f", "c_acctbal"),
+        buyer=F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), deadline=F.lit(None).cast("string")
+    )
+    edits = dict(
+        title=F.when(d(1) == "1", F.concat("c_name", F.lit("*"))).otherwise(base["title"]),
+        status=F.when(d(1).isin("2", "1"), F.lower("c_mktsegment")).otherwise(base["status"]),
+        deadline=F.when(d(2) == "2", "2026-01-01"), buyer=F.when(d(2) == "3", None).otherwise(base["buyer"])
+    )
     wide = lambda cols: c.select("pid", *[v.alias(k) for k, v in cols.items()])
     old = c.select("pid", F.lit("t1").alias("tool"), F.lit("p1").alias("parser"), F.when(d(3) == "0", None).otherwise(F.lit("lv")).alias("language"))
-    new = c.select("pid", F.lit("t1").alias("tool"), F.when(d(4).isin("0", "1"), "p2").otherwise("p1").alias("parser"), F.when(d(3).isin("0", "1", "2", "3"), "en").otherwise("lv").alias("language"))
+    new = c.select(
+        "pid", F.lit("t1").alias("tool"), F.when(d(4).isin("0", "1"), "p2").otherwise("p1").alias("parser"),
+        F.when(d(3).isin("0", "1", "2", "3"), "en").otherwise("lv").alias("language")
+    )
     return wide(base), wide(base | edits), old, new
 
 
@@ -100,15 +125,30 @@ def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict
     items_now = new.withColumn("tool", F.when(digit(key(F.col("pid")), 6).isin("0", "1"), "t2").otherwise("t1"))
     l, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
-    lines = l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), own.alias("d"), F.concat(F.lit("a/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("source"), (F.col("l_quantity") > 45).alias("unread"), F.col("l_quantity").cast("long").alias("n"))
+    lines = l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), own.alias("d"),
+        F.concat(F.lit("a/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("source"),
+        (F.col("l_quantity") > 45).alias("unread"), F.col("l_quantity").cast("long").alias("n")
+    )
     at = lambda k: F.substring("d", k, 1)
 
     def side(heads: DataFrame, wide: DataFrame, recs: DataFrame, gone: str, fixed: str, cut) -> dict[str, DataFrame]:
         from ..operators import diff
 
         mine = cut(lines.filter(at(2) != gone))
-        entries = mine.filter(~F.col("unread") | (at(3) == fixed)).select("pid", F.col("d").alias("original_sha256"), "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), F.lit(None).cast("string").alias("record_id"), F.lit(None).cast("string").alias("also_listed_under"), F.col("source").alias("markdown_path"), F.col("n").alias("markdown_chars"), F.lit(0).alias("pos"))
-        gaps_ = mine.filter(F.col("unread") & (at(3) != fixed)).select("pid", F.col("source").alias("file"), F.col("n").alias("bytes"), F.when(at(4) != "0", F.col("d")).alias("sha256"), F.lit("conversion failed").alias("reason"))
-        return {"heads": cut(heads), "facts": diff.long_facts(cut(wide)), "records": cut(recs), "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps_)}
+        entries = mine.filter(~F.col("unread") | (at(3) == fixed)).select(
+            "pid", F.col("d").alias("original_sha256"), "source", F.lit("actual").alias("section"),
+            F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"),
+            F.lit(None).cast("string").alias("record_id"), F.lit(None).cast("string").alias("also_listed_under"),
+            F.col("source").alias("markdown_path"), F.col("n").alias("markdown_chars"), F.lit(0).alias("pos")
+        )
+        gaps_ = mine.filter(F.col("unread") & (at(3) != fixed)).select(
+            "pid", F.col("source").alias("file"), F.col("n").alias("bytes"), F.when(at(4) != "0", F.col("d")).alias("sha256"),
+            F.lit("conversion failed").alias("reason")
+        )
+        return {
+            "heads": cut(heads), "facts": diff.long_facts(cut(wide)), "records": cut(recs),
+            "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps_)
+        }
 
     return side(old, wide_was, records_was, "1", "x", known), side(items_now, wide_now, records_now, "2", "0", lambda df: df)

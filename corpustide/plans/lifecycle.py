@@ -37,7 +37,9 @@ class Unresolved(Exception):
 
 
 #: Exit codes by what ended a run: fixed values, by command.
-EXITS: dict[type[BaseException], int] = {Incomplete: 2, Empty: 3, Stale: 4, downloads.Refused: 2, downloads.Malformed: 2, scans.Quota: 3, Unverified: 2, Unresolved: 1}
+EXITS: dict[type[BaseException], int] = {
+    Incomplete: 2, Empty: 3, Stale: 4, downloads.Refused: 2, downloads.Malformed: 2, scans.Quota: 3, Unverified: 2, Unresolved: 1
+}
 
 
 def exit_for(error: BaseException | None) -> int:
@@ -54,7 +56,10 @@ def verify(archives: DataFrame) -> DataFrame:
     return checked
 
 
-def read_scans(gaps: DataFrame, files: DataFrame, cache: DataFrame, reader: scans.Provider, load: Callable[[str], bytes], name: str, prompt: str, at: Column, limit: int | None = None, pause: float = 0.0) -> dict[str, DataFrame]:
+def read_scans(
+    gaps: DataFrame, files: DataFrame, cache: DataFrame, reader: scans.Provider, load: Callable[[str], bytes], name: str,
+    prompt: str, at: Column, limit: int | None = None, pause: float = 0.0
+) -> dict[str, DataFrame]:
     """Character recognition of what extraction could not read: the queue with what becomes of each gap, results to keep, and totals.
 
     files (sha256, path, pos): where the bytes of a gap are kept. cache (sha256, text, provenance): earlier results, which
@@ -82,7 +87,10 @@ def discover(records: DataFrame, expected: int, pages_read: int, now=None, polic
         raise Empty("no notices")
     if now is not None and planning.freshness(records, "publicationDate", now).first()["stale"]:
         raise Stale("newest notice")
-    once = keyed.first_per_key(records.withColumn("_key", F.coalesce(F.nullif("identifier", F.lit("")), F.nullif("externalId", F.lit("")), F.lit(""))), ["_key"], ["pos"]).drop("_key")
+    once = keyed.first_per_key(
+        records.withColumn("_key", F.coalesce(F.nullif("identifier", F.lit("")), F.nullif("externalId", F.lit("")), F.lit(""))),
+        ["_key"], ["pos"]
+    ).drop("_key")
     notices = planning.normalised_notices(planning.biddable(once, "type"))
     if notice_pages is not None:
         notices = links.with_links(notices, links.platform_links(notice_pages))
@@ -114,11 +122,18 @@ def split(rows: DataFrame) -> dict[str, DataFrame]:
     items = rows.filter(F.col("outcome").isin("done", "failed", "withdrawn"))
     files = rows.filter("outcome = 'file'")
     text = extract.extract(files.filter("content is not null").select("pid", "record_id", "path", "content"))
-    gaps = text.filter("kind = 'unsupported'").select("pid", F.col("source").alias("file"), "bytes", "sha256", F.col("note").alias("reason"), F.lit(None).cast("string").alias("path"))
+    gaps = text.filter("kind = 'unsupported'").select(
+        "pid", F.col("source").alias("file"), "bytes", "sha256", F.col("note").alias("reason"),
+        F.lit(None).cast("string").alias("path")
+    )
     facts = pages.notices(items.filter("outcome = 'done'"), "pid")
     written = packs.manifests(rows).unionByName(packs.summaries(files)).unionByName(packs.procurements(facts))
     archives = packs.originals(files, written)
-    return {"written": written, "originals": archives, "outcomes": items.select("target", "pid", "outcome", "error"), "records": rows.filter("outcome in ('file', 'record')").drop("content", "html"), "files": files, "facts": facts, "extracted": text, "gaps": gaps}
+    return {
+        "written": written, "originals": archives, "outcomes": items.select("target", "pid", "outcome", "error"),
+        "records": rows.filter("outcome in ('file', 'record')").drop("content", "html"), "files": files, "facts": facts,
+        "extracted": text, "gaps": gaps
+    }
 
 
 def account(outcomes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -134,8 +149,14 @@ def exit_code(outcomes: DataFrame) -> int:
 
 def state(facts: DataFrame, records: DataFrame, entries: DataFrame, gaps: DataFrame, tool: str | None, parser: str | None) -> dict[str, DataFrame]:
     """The state of items that two runs are compared by: heads, facts, records, documents, unreadable."""
-    heads = facts.select("pid", F.lit(tool).cast("string").alias("tool"), F.lit(parser).cast("string").alias("parser"), C.page_language(F.col("fields")).alias("language"))
-    return {"heads": heads, "facts": diff.long_facts(facts), "records": records, "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps)}
+    heads = facts.select(
+        "pid", F.lit(tool).cast("string").alias("tool"), F.lit(parser).cast("string").alias("parser"),
+        C.page_language(F.col("fields")).alias("language")
+    )
+    return {
+        "heads": heads, "facts": diff.long_facts(facts), "records": records, "documents": diff.document_state(entries),
+        "unreadable": diff.unreadable_state(gaps)
+    }
 
 
 def deliver(previous: dict[str, DataFrame], current: dict[str, DataFrame], publishable: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -148,7 +169,10 @@ def deliver(previous: dict[str, DataFrame], current: dict[str, DataFrame], publi
         previous = {k: df.join(publishable, "pid", "left_semi") for k, df in previous.items()}
     changes = diff.diff(previous, current)
     send = diff.documents_to_send(changes, current["documents"])
-    return {"changes": changes, "refreshed": diff.refreshed(changes), "send": send, "summary": diff.summary(changes), "tallies": planning.delivery_tallies(changes, send)}
+    return {
+        "changes": changes, "refreshed": diff.refreshed(changes), "send": send, "summary": diff.summary(changes),
+        "tallies": planning.delivery_tallies(changes, send)
+    }
 
 
 def publish_delivery(root: str, run: str, delivery: dict[str, DataFrame], texts: DataFrame, seen: DataFrame, shard: int | None = None) -> None:
@@ -162,10 +186,16 @@ def index_entries(facts: DataFrame, entries: DataFrame, gaps: DataFrame, address
     """One index row for each item: its facts in short, its documents with their addresses, and what could not be read."""
     key = C.document_key(F.col("original_sha256"), F.col("source"))
     docs = entries.filter(F.col("also_listed_under").isNull() & (F.coalesce("markdown_path", F.lit("")) != "")).withColumn("key", key).join(addresses, ["pid", "key"], "left")
-    doc = F.struct("pos", F.concat(F.lit("doc/"), "key", F.lit(".md")).alias("path"), F.substring_index("source", "/", -1).alias("name"), "source", "section", F.col("record_title").alias("record"), F.col("markdown_chars").alias("chars"), "download")
+    doc = F.struct(
+        "pos", F.concat(F.lit("doc/"), "key", F.lit(".md")).alias("path"), F.substring_index("source", "/", -1).alias("name"),
+        "source", "section", F.col("record_title").alias("record"), F.col("markdown_chars").alias("chars"), "download"
+    )
     listed = docs.groupBy("pid").agg(F.array_sort(F.collect_list(doc)).alias("documents"))
     unread = gaps.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("file", "reason"))).alias("unreadable"))
-    have = [c for c in ("title", "buyer", "buyer_reg", "deadline", "value", "currency", "cpv_main", "ref", "link", "iub_uuid", "procedure", "profile", "work_kind") if c in facts.columns]
+    have = [c for c in (
+        "title", "buyer", "buyer_reg", "deadline", "value", "currency", "cpv_main", "ref", "link", "iub_uuid", "procedure",
+        "profile", "work_kind"
+    ) if c in facts.columns]
     out = facts.select("pid", F.concat(F.lit("EIS:"), "pid").alias("key"), *have).join(listed, "pid", "left").join(unread, "pid", "left")
     empty = lambda c: F.coalesce(c, F.array().cast(dict(out.dtypes)[c])).alias(c)
     return out.select("pid", "key", *have, empty("documents"), empty("unreadable"))

@@ -23,7 +23,9 @@ class Malformed(ValueError):
     """A page declares an array of documents that cannot be read: a pack without them would look whole."""
 
 
-def retried(call: Callable[[], tuple[int, dict[str, str], bytes]], tries: int = 5, wait: float = 1.0, sleep: Callable = time.sleep) -> tuple[int, dict[str, str], bytes]:
+def retried(
+    call: Callable[[], tuple[int, dict[str, str], bytes]], tries: int = 5, wait: float = 1.0, sleep: Callable = time.sleep
+) -> tuple[int, dict[str, str], bytes]:
     """An answer (status, headers, body) worth having: busy ones are asked again, after what they ask for, a minute at most."""
     for n in range(tries):
         answer = call()
@@ -47,7 +49,10 @@ def read_json(call: Callable[[], tuple[int, dict[str, str], bytes]], **how) -> o
         return None
 
 
-def upload(data: bytes, put: Callable[[tuple[int, int], bytes], int], tries: int = 5, single: int = 4 << 20, chunk: int = 10 << 20, sleep: Callable = time.sleep) -> int:
+def upload(
+    data: bytes, put: Callable[[tuple[int, int], bytes], int], tries: int = 5, single: int = 4 << 20, chunk: int = 10 << 20,
+    sleep: Callable = time.sleep
+) -> int:
     """Bytes put as one, or as ranges in order; each is tried again while the store is busy. Gives the number of requests that were needed."""
     from .publish import ranges
 
@@ -86,7 +91,11 @@ def page_records(page: str, sections: tuple[str, ...] = ("actual", "archive")) -
     for section, name in (("actual", V.CURRENT_ARRAY), ("archive", V.ARCHIVE_ARRAY)):
         for r in script_array(page, name) if section in sections else ():
             title = r.get("Title") or (r.get("DocumentTitle") or {}).get("Title") or ""
-            out.append({"section": section, "id": str(r.get("Id")), "title": title.strip(), "type_code": r.get("TypeCode"), "publish_date": r.get("PublishDate"), "link_type": r.get("DocumentLinkTypeCode") or V.DEFAULT_LINK_TYPE, "downloadable": r.get("ShowDownloadIcon") is not False})
+            out.append({
+                "section": section, "id": str(r.get("Id")), "title": title.strip(), "type_code": r.get("TypeCode"),
+                "publish_date": r.get("PublishDate"), "link_type": r.get("DocumentLinkTypeCode") or V.DEFAULT_LINK_TYPE,
+                "downloadable": r.get("ShowDownloadIcon") is not False
+            })
     return out
 
 
@@ -103,7 +112,10 @@ def stored_files(files: list[tuple[str, bytes]], section: str, seen: dict[tuple[
                 path = f"{stem}-{digest[:10]}{dot}{ext}" if dot else f"{path}-{digest[:10]}"
             seen[clean, digest] = path
             taken.add(path)
-        yield {"filename": clean, "original_name": name, "path": path, "size": len(data), "sha256": digest, "duplicate": duplicate, "content": None if duplicate else data}
+        yield {
+            "filename": clean, "original_name": name, "path": path, "size": len(data), "sha256": digest, "duplicate": duplicate,
+            "content": None if duplicate else data
+        }
 
 
 SCHEMA = (

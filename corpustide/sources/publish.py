@@ -39,7 +39,10 @@ def archives(members: DataFrame, last: str | None = "index.json") -> DataFrame:
 
     def run(pack: pd.DataFrame) -> pd.DataFrame:
         data = archive([(p, bytes(c)) for p, c in zip(pack["path"], pack["content"])], last)
-        return pd.DataFrame({"pid": [pack["pid"].iloc[0]], "sha256": [hashlib.sha256(data).hexdigest()], "members": [pack["path"].nunique()], "content": [data]})
+        return pd.DataFrame({
+            "pid": [pack["pid"].iloc[0]], "sha256": [hashlib.sha256(data).hexdigest()], "members": [pack["path"].nunique()],
+            "content": [data]
+        })
 
     return members.groupBy("pid").applyInPandas(run, "pid string, sha256 string, members long, content binary")
 
@@ -113,7 +116,10 @@ def _put_all(files: DataFrame, root: str) -> None:
     files.select("path", F.col("content").cast("binary").alias("content")).write.format("publication").option("root", root).mode("append").save()
 
 
-def publish(root: str, state: str, documents: DataFrame, seen: DataFrame | None = None, runs: DataFrame | None = None, changes: DataFrame | None = None, shard: int | None = None) -> None:
+def publish(
+    root: str, state: str, documents: DataFrame, seen: DataFrame | None = None, runs: DataFrame | None = None,
+    changes: DataFrame | None = None, shard: int | None = None
+) -> None:
     """Publish documents (pid, path, content), step by step, each by tasks and only after the one before has ended:
 
     documents; each item's index; each item's state; what was seen (pid, first_seen, last_seen, last_change) and the
@@ -124,7 +130,9 @@ def publish(root: str, state: str, documents: DataFrame, seen: DataFrame | None
     to_json = lambda *cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     at = lambda name: F.concat(F.col("pid"), F.lit(f"/{name}"))
     _put_all(documents.select(at("").alias("folder"), "path", "content").select(F.concat("folder", "path").alias("path"), "content"), root)
-    listed = documents.select("pid", F.struct("path", F.sha2("content", 256).alias("sha256")).alias("d")).groupBy("pid").agg(F.array_sort(F.collect_list("d")).alias("documents"))
+    listed = documents.select(
+        "pid", F.struct("path", F.sha2("content", 256).alias("sha256")).alias("d")
+    ).groupBy("pid").agg(F.array_sort(F.collect_list("d")).alias("documents"))
     _put_all(listed.select(at("index.json").alias("path"), to_json("pid", "documents").alias("content")), root)
     items = documents.select("pid").distinct()
     _put_all(items.select(at("state.json").alias("path"), to_json("pid", F.lit(state).alias("state")).alias("content")), root)

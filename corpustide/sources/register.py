@@ -24,7 +24,9 @@ def transport(name: str) -> Callable:
     return getattr(importlib.import_module(module), function)
 
 
-def get_json(url: str, tries: int = 4, wait: float = 0.4, open_url: Callable = urllib.request.urlopen, sleep: Callable = time.sleep) -> tuple[object, dict[str, str]]:
+def get_json(
+    url: str, tries: int = 4, wait: float = 0.4, open_url: Callable = urllib.request.urlopen, sleep: Callable = time.sleep
+) -> tuple[object, dict[str, str]]:
     """(parsed body, headers), with a wait that doubles after each failure."""
     for n in range(tries):
         try:
@@ -37,7 +39,9 @@ def get_json(url: str, tries: int = 4, wait: float = 0.4, open_url: Callable = u
     raise AssertionError("unreachable")
 
 
-def scan_pages(page: Callable[[int], tuple[list[dict], int, int]], pause: float = 0.25, most: int = V.MAX_PAGES, sleep: Callable = time.sleep) -> Iterator[tuple[int, dict]]:
+def scan_pages(
+    page: Callable[[int], tuple[list[dict], int, int]], pause: float = 0.25, most: int = V.MAX_PAGES, sleep: Callable = time.sleep
+) -> Iterator[tuple[int, dict]]:
     """(page number, record) of a paged scan. ``page(n)`` gives records, the total and the page size.
 
     Ends on an empty page, a short page, the total reached, or ``most`` pages.
@@ -185,7 +189,9 @@ def record_archive(post: Callable[[str], bytes], url: str) -> list[tuple[str, by
         return None
 
 
-def record_files(post: Callable[[str], bytes], list_files: Callable[[str], list[dict]], record_url: str, file_url: Callable[[dict], str]) -> tuple[str, list[tuple[str, bytes]]]:
+def record_files(
+    post: Callable[[str], bytes], list_files: Callable[[str], list[dict]], record_url: str, file_url: Callable[[dict], str]
+) -> tuple[str, list[tuple[str, bytes]]]:
     """(method, files): the record's archive, or else each of its files on its own."""
     members = record_archive(post, record_url)
     if members is not None:
