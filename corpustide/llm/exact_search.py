@@ -185,7 +185,10 @@ def _read(edges: Edges, k: int):
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, block: int = ROWS, query_block: int = QUERIES) -> DataFrame:
+def top_k(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256,
+    block: int = ROWS, query_block: int = QUERIES
+) -> DataFrame:
     """Each query's k best vectors other than its own id's: query_id, rank (from 1), vec_id, score.
 
     Null ids and vectors, and vectors with null or non-finite components, take no part; a vector is held only against
@@ -200,7 +203,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         fine = ~F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         rows = df.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(fine)
         # 256 * x in double, as asked for; the floor of a double within 64 bits
-        return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v")).withColumn("n", F.size("v"))
+        return rows.select(
+            F.col(id_col).cast("long").alias("id"),
+            F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v")
+        ).withColumn("n", F.size("v"))
 
     rows, asked = stored(whole(vectors), "vectors"), whole(queries)
     asked = stored(asked.groupBy("n", "id").agg(F.min("v").alias("v")), "queries")
@@ -209,12 +215,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     found = spark.createDataFrame([], "query_id long, vec_id long, score long")
     for n in [r["n"] for r in asked.select("n").distinct().sort("n").collect()]:  # a row for each length of vectors
         mine, own = rows.filter(F.col("n") == n).select("id", "v"), asked.filter(F.col("n") == n).select("id", "v")
-        spread = mine.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.percentile_approx(F.col("x").cast("double"), [c / CELLS for c in range(1, CELLS)], 200).alias("e"), F.min("x").alias("least"), F.max("x").alias("most")).sort("d").collect()  # a row for each component
+        spread = mine.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(
+            F.percentile_approx(F.col("x").cast("double"), [c / CELLS for c in range(1, CELLS)], 200).alias("e"),
+            F.min("x").alias("least"), F.max("x").alias("most")
+        ).sort("d").collect()  # a row for each component
         if n and not spread:
             continue
-        edges = Edges(np.array([r["e"] for r in spread]).reshape(n, CELLS - 1), np.array([r["least"] for r in spread], dtype=np.float64), np.array([r["most"] for r in spread], dtype=np.float64))
+        edges = Edges(
+            np.array([r["e"] for r in spread]).reshape(n, CELLS - 1), np.array([r["least"] for r in spread], dtype=np.float64),
+            np.array([r["most"] for r in spread], dtype=np.float64)
+        )
         table = stored(mine.mapInPandas(_blocks(block, edges), kinds).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts))), "approximations")
-        blocks = own.mapInPandas(_blocks(query_block, None), kinds).select(F.monotonically_increasing_id().alias("qb"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact"))
+        blocks = own.mapInPandas(_blocks(query_block, None), kinds).select(
+            F.monotonically_increasing_id().alias("qb"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact")
+        )
         blocks = stored(blocks, "query-blocks")
 
         def meet(asking: DataFrame, cols: list[str]) -> DataFrame:

@@ -152,7 +152,9 @@ def _parts(rows: DataFrame, n: int) -> DataFrame:
         table.append((float(k), base, hot, int(value) if hot else None))
         base += hot + 1
     ranges = rows.sparkSession.createDataFrame(table, "_k double, base int, hot int, value long")  # at most n rows
-    numbered = Bucketizer(splits=[-math.inf, *ends, math.inf], inputCol="_place", outputCol="_k").transform(rows.withColumn("_place", F.col("doc").cast("double"))) if ends else rows.withColumn("_place", F.lit(0.0)).withColumn("_k", F.lit(0.0))
+    numbered = Bucketizer(
+        splits=[-math.inf, *ends, math.inf], inputCol="_place", outputCol="_k"
+    ).transform(rows.withColumn("_place", F.col("doc").cast("double"))) if ends else rows.withColumn("_place", F.lit(0.0)).withColumn("_k", F.lit(0.0))
     place = (F.col("hash").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)  # of the hash, from 0 to 1
     within = F.when(F.col("doc") == F.col("value"), F.least(F.col("hot") - 1, F.floor(place * F.col("hot")).cast("int"))).otherwise(F.col("hot"))
     return numbered.join(F.broadcast(ranges), "_k").withColumn("part", F.col("base") + within).drop("_k", "_place", "base", "hot", "value")
@@ -168,7 +170,10 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     The texts move once: to ranges of ids, in order, each with the first row of the range that follows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(id_col).isNull().alias("void"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(id_col).isNull().alias("void"),
+        F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")
+    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _parts(rows, 8 * parts)
     # first row of each part, in the order of descending ids: a row for each part
@@ -180,7 +185,10 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     every = rows.select("part", F.lit(0).alias("head"), "doc", "hash", "void", "text").unionByName(tails)
     dealt = every.repartition(parts, "part").sortWithinPartitions("part", "head", F.desc("doc"), F.desc("hash"))
     dealt = dealt.select("part", "head", F.when(~F.col("void"), F.col("doc")).alias("doc"), "text")
-    return dealt.mapInPandas(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInPandas(
+        _compare,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    )
 
 
 def op3_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -78,7 +78,10 @@ def frequent_grams(texts: DataFrame, n: int) -> np.ndarray:
 
     The driver sees a histogram of the counts' levels first, and then just the grams above the level it chose.
     """
-    counts = stored(texts.select("text").mapInPandas(_frequent(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n >= 8").withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "frequent")
+    counts = stored(
+        texts.select("text").mapInPandas(_frequent(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n >= 8").withColumn("level", F.floor(F.log2("n") * 8).cast("int")),
+        "frequent"
+    )
     level, held = None, 0
     for r in sorted(counts.groupBy("level").agg(F.count("*").alias("c")).collect(), reverse=True):
         held += r["c"]
@@ -215,7 +218,10 @@ def trie_overlaps(stored_sets: list[np.ndarray], probes: list[np.ndarray], frequ
     return linked
 
 
-def _walk(codes: list[np.ndarray], order: list[int], sizes: np.ndarray, has: np.ndarray, probe_sizes: np.ndarray, t: Fraction, run: int, linked: np.ndarray) -> None:
+def _walk(
+    codes: list[np.ndarray], order: list[int], sizes: np.ndarray, has: np.ndarray, probe_sizes: np.ndarray, t: Fraction, run: int,
+    linked: np.ndarray
+) -> None:
     """Walk the trie of ``codes`` (sorted by ``order``) once for all probes, and mark ``linked``."""
 
     def need(sets: list[int], probes: np.ndarray) -> np.ndarray:
@@ -409,7 +415,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     frequent = frequent_grams(texts, n)
 
-    sets = stored(texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, bits binary, prefix array<long>"), "sets")
+    sets = stored(
+        texts.mapInPandas(_summaries(n, t, frequent), "doc long, size long, one long, two long, least int, forgo int, bits binary, prefix array<long>"),
+        "sets"
+    )
     same = ["size", "one", "two"]
     classes = stored(sets.filter("size > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("rep"), F.max("doc").alias("other")), "classes")
     some = sets.filter("size > 0 and doc is not null")
@@ -421,7 +430,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     led = stored(held.join(merged(pivots), "gram").groupBy("doc", "pivot").agg(F.count("*").alias("n")), "led")
     led = led.join(merged(members.filter("doc = rep").dropDuplicates(["doc", "size"])), "doc")
     by_doc = Window.partitionBy("doc", "size")
-    led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn("left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0)))
+    led = led.withColumn("all", F.sum("n").over(by_doc)).withColumn(
+        "left", F.sum("n").over(by_doc.orderBy("n", F.desc("pivot")).rowsBetween(Window.unboundedPreceding, 0))
+    )
     led = stored(led, "weighed")
     # Copies that lack some of the first pivot's grams would be led to others by these, and the group would meet many
     # times over. A pivot that half of its own recurring grams lead to another joins that one's group, in two steps
@@ -445,14 +456,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     at = stored(at, "at").join(stored(down, "down"), ["pivot", "band"], "left")
 
     def place(b1, k1, b2, k2, second):
-        return F.struct(F.col("pivot").alias("pivot"), b1.cast("int").alias("b1"), k1.cast("int").alias("k1"), b2.cast("int").alias("b2"), k2.cast("int").alias("k2"), second.alias("second"))
+        return F.struct(
+            F.col("pivot").alias("pivot"), b1.cast("int").alias("b1"), k1.cast("int").alias("k1"), b2.cast("int").alias("b2"),
+            k2.cast("int").alias("k2"), second.alias("second")
+        )
 
     every = lambda k: F.sequence(F.lit(0), k - 1)
     none = F.array().cast("array<struct<pivot: long, b1: int, k1: int, b2: int, k2: int, second: boolean>>")
     b, o = F.col("band"), F.col("own")
     same_band = F.transform(every(F.col("k")), lambda j: place(b, F.least(o, j), b, F.greatest(o, j), o > j))
     above = F.when(F.col("k_up").isNotNull(), F.transform(every(F.coalesce("k_up", F.lit(1))), lambda j: place(b, o, b + 1, j, F.lit(False)))).otherwise(none)
-    below = F.when(F.col("k_down").isNotNull(), F.transform(every(F.coalesce("k_down", F.lit(1))), lambda j: place(b - 1, j, b, o, F.lit(True)))).otherwise(none)
+    below = F.when(
+        F.col("k_down").isNotNull(),
+        F.transform(every(F.coalesce("k_down", F.lit(1))), lambda j: place(b - 1, j, b, o, F.lit(True)))
+    ).otherwise(none)
     # of a lone set in its band without neighbours nothing is to be compared
     alone = (F.col("c") == 1) & F.col("k_up").isNull() & F.col("k_down").isNull()
     met = at.filter(~alone).select("doc", "pivot", F.concat(same_band, above, below).alias("places"))
@@ -461,24 +478,41 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = lambda df: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
     bitmaps = some.select("doc", "size", "bits").join(merged(met), "doc").select("doc", "size", "bits", "pivots", F.explode("places").alias("p"))
     # the few smallest of a set's pivots show most of the groups that meet elsewhere too
-    bitmaps = bitmaps.select("p.*", "doc", "size", "bits", F.slice(F.array_sort(F.filter("pivots", lambda x: x < F.col("p.pivot"))), 1, SMALLEST).alias("pivots"))
+    bitmaps = bitmaps.select(
+        "p.*", "doc", "size", "bits",
+        F.slice(F.array_sort(F.filter("pivots", lambda x: x < F.col("p.pivot"))), 1, SMALLEST).alias("pivots")
+    )
     near = stored(grouped(bitmaps).mapInPandas(_near(t), "doc long, pivot long, b1 int, k1 int, b2 int, k2 int, second boolean"), "near")
     copies = members.select("doc", "rep").distinct().groupBy(F.col("rep").alias("doc")).agg(F.count("*").alias("copies"))
     # two sets that link keep the smallest pivot they share, so that later ones know that they have met
-    near = near.groupBy("doc").agg(F.collect_set(F.struct(*KEYS, "second")).alias("places")).withColumn("pivots", F.array_distinct(F.transform("places", lambda p: p["pivot"])))
+    near = near.groupBy("doc").agg(F.collect_set(F.struct(*KEYS, "second")).alias("places")).withColumn(
+        "pivots", F.array_distinct(F.transform("places", lambda p: p["pivot"]))
+    )
     places = stored(near.join(merged(copies), "doc"), "near-places")
     keyed = texts.join(merged(places), "doc").mapInPandas(_blocks(n, frequent), BLOCK_KINDS)
     links = grouped(keyed).mapInPandas(_links(t, frequent), "a long, b long, n long")
     links = stored(links, "links")
-    twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")), "a", "left_semi")
+    twice = members.filter("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).join(
+        members.groupBy("doc").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select(F.col("doc").alias("a")),
+        "a", "left_semi"
+    )
     found = components(stored(links.filter("n = 0").select("a", "b").unionByName(twice).distinct(), "links"))
-    degrees = links.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n")).join(copies.select(F.col("doc").alias("rep"), "copies"), "rep", "full_outer")
+    degrees = links.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n")).join(
+        copies.select(F.col("doc").alias("rep"), "copies"), "rep", "full_outer"
+    )
     degrees = stored(degrees.select("rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links")), "degrees")
 
-    final = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc", "size", "rep", F.coalesce("component", "rep").alias("component"))
+    final = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "doc", "size", "rep", F.coalesce("component", "rep").alias("component")
+    )
     final = final.join(degrees, "rep")
-    nothing = sets.filter("size = 0 or doc is null").select("doc", "size", F.col("doc").alias("rep"), F.col("doc").alias("component"), F.lit(0).cast("long").alias("links"))
-    return final.unionByName(nothing).select(F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), F.col("rep").alias("class_id"), F.col("links").alias("n_links"))
+    nothing = sets.filter("size = 0 or doc is null").select(
+        "doc", "size", F.col("doc").alias("rep"), F.col("doc").alias("component"), F.lit(0).cast("long").alias("links")
+    )
+    return final.unionByName(nothing).select(
+        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("rep").alias("class_id"), F.col("links").alias("n_links")
+    )
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

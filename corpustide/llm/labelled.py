@@ -22,7 +22,9 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text
     Which ones is decided by a hash of the id. Ids with labels other than 0 and 1, or with both, are left out. The
     list of ids that is broadcast has at most ``2 * limit`` rows.
     """
-    clean = labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("label")).filter(~held_out("doc") & F.col("label").isin(0, 1))
+    clean = labels.select(
+        F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("label")
+    ).filter(~held_out("doc") & F.col("label").isin(0, 1))
     single = clean.groupBy("doc").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").select("doc", "label")
     there = {r["label"]: r["n"] for r in single.groupBy("label").agg(F.count("*").alias("n")).collect()}
     place = F.shiftrightunsigned(F.xxhash64("doc"), 11) / F.lit(float(2**53))  # in [0, 1)

@@ -59,7 +59,10 @@ def find_exponent(shares: DataFrame, entropy: float | None, repetition: float |
     return round(high, 6)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy: float | None = None, repetition: float | None = 4.0, budget: int | None = None, blocks: int = 64, seed: int = 17) -> DataFrame:
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy: float | None = None,
+    repetition: float | None = 4.0, budget: int | None = None, blocks: int = 64, seed: int = 17
+) -> DataFrame:
     """One row per document taken and time it is taken: doc_id, source, n_tokens, epoch, offset (tokens of its source
     before it), block, weight, budget (of its source), exponent, and hash of the text.
 
@@ -68,7 +71,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     one source, with an empty name. Rows that repeat are documents of their own, an empty table gives no rows. Other
     columns are not read.
     """
-    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), count_tokens(F.col(text_col)).alias("n")), "tokens")
+    rows = stored(
+        docs.select(
+            F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"),
+            F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), count_tokens(F.col(text_col)).alias("n")
+        ),
+        "tokens"
+    )
     totals = rows.groupBy("source").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("docs")).filter("total > 0")
     whole = rows.agg(F.sum("n")).first()[0] or 0
     empty = rows.filter("n = 0").select("doc", "hash", "source", "n", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("block"))
@@ -103,7 +112,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     block = F.floor(F.col("offset") * F.lit(float(blocks)) / F.col("budget")).cast("int")
     out = placed.select("doc", "hash", "source", "n", "epoch", "offset", block.alias("block")).unionByName(empty)
     out = out.join(sources.select("source", "weight", "budget"), "source", "left")
-    return out.select(F.col("doc").alias("doc_id"), "source", F.col("n").alias("n_tokens"), "epoch", "offset", "block", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("budget", F.lit(0).cast("long")).alias("budget"), F.lit(exponent).alias("exponent"), "hash")
+    return out.select(
+        F.col("doc").alias("doc_id"), "source", F.col("n").alias("n_tokens"), "epoch", "offset", "block",
+        F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("budget", F.lit(0).cast("long")).alias("budget"),
+        F.lit(exponent).alias("exponent"), "hash"
+    )
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
@@ -113,10 +126,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each is taken the same number of times, to within one. Rows without words are taken once. An empty table gives no rows.
     """
     key_, same_, times_, nth_ = free_names(docs, "_key", "_same", "_times", "_nth")
-    key = F.struct(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
+    key = F.struct(
+        F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source")
+    )
     taken = mix(docs, id_col, text_col, source_col, **how).groupBy(F.struct(F.col("doc_id").alias("doc"), "hash", "source").alias("key")).agg(F.count("*").alias("taken"))
     there = docs.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("rows"))
-    each = taken.join(there, "key").select(F.col("key").alias(same_), F.round(F.col("taken") / F.col("rows")).cast("int").alias(times_)).filter(F.col(times_) > 0)
+    each = taken.join(there, "key").select(
+        F.col("key").alias(same_), F.round(F.col("taken") / F.col("rows")).cast("int").alias(times_)
+    ).filter(F.col(times_) > 0)
     rows = docs.withColumn(key_, key)
     joined = rows.join(each, [F.col(f"{key_}.{k}").eqNullSafe(F.col(f"{same_}.{k}")) for k in ("doc", "hash", "source")])
     return joined.withColumn(nth_, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*docs.columns)

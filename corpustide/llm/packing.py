@@ -53,7 +53,9 @@ class Ids:
         vocabulary, merges = file["model"]["vocab"], file["model"]["merges"]
         special = {t["content"] for t in file["added_tokens"]}
         joined = ["".join(m.split(" ") if isinstance(m, str) else m) for m in merges]
-        usual = file["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not file.get("normalizer")
+        usual = file["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True
+        } and not file.get("normalizer")
         self.fast = None
         if usual and [vocabulary[m] for m in joined] == list(range(256, 256 + len(joined))):
             shown = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or 174 <= c <= 255]  # bytes that stand for themselves
@@ -134,7 +136,10 @@ def through(lengths: np.ndarray, took: np.ndarray, at: np.ndarray, capacity: int
 Configuration = tuple[tuple[int, int], ...]
 
 
-def fractional(demand: np.ndarray, capacity: int, rng: np.random.Generator, keep: float = 0.9, least: float = 0.01, reach: float = 0.75, rate: float = 0.25) -> tuple[dict[Configuration, float], float]:
+def fractional(
+    demand: np.ndarray, capacity: int, rng: np.random.Generator, keep: float = 0.9, least: float = 0.01, reach: float = 0.75,
+    rate: float = 0.25
+) -> tuple[dict[Configuration, float], float]:
     """Multiplicative weights on the configuration program: configurations ((length, count), …) with their multiplicity, and a lower bound.
 
     A length's price is its share of the capacity times its weight, and its weight falls by the same factor as the
@@ -333,7 +338,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     empty table gives no rows.
     """
     kinds = "doc long, piece int, start long, length long, ids_crc32 long, ids binary"
-    pieces = stored(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInPandas(_pieces(tokenizer, capacity, end, ids), kinds), "pieces")
+    pieces = stored(
+        docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInPandas(_pieces(tokenizer, capacity, end, ids), kinds),
+        "pieces"
+    )
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     slots = layout(configurations(histogram, capacity), capacity)
     # A length's pieces are dealt to coarse groups, and those to fine ones of some hundreds of rows; the sums before a

@@ -18,9 +18,18 @@ from .labelled import held_out, sample
 
 #: Labelled rows of each class to learn from at most.
 SAMPLE = 10_000
-FEATURES = ("words", "word length", "spread of word length", "distinct words", "upper case", "digits", "sentence marks", "other marks", "line breaks", "distinct lines", "entropy", "short words", "runs of marks")
+FEATURES = (
+    "words", "word length", "spread of word length", "distinct words", "upper case", "digits", "sentence marks", "other marks",
+    "line breaks", "distinct lines", "entropy", "short words", "runs of marks"
+)
 _KIND = np.zeros(256, dtype=np.int8)
-for _k, _chars in enumerate((bytes(range(65, 91)), bytes(range(48, 58)), b".,;:!?'\"-()", bytes(c for c in range(33, 127) if not chr(c).isalnum() and c not in b".,;:!?'\"-()"), b"\n", b"\x20\t\r\x0b\x0c"), 1):
+for _k, _chars in enumerate(
+    (
+        bytes(range(65, 91)), bytes(range(48, 58)), b".,;:!?'\"-()",
+        bytes(c for c in range(33, 127) if not chr(c).isalnum() and c not in b".,;:!?'\"-()"), b"\n", b"\x20\t\r\x0b\x0c"
+    ),
+    1
+):
     _KIND[np.frombuffer(_chars, dtype=np.uint8)] = _k
 
 
@@ -105,7 +114,10 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"label": batch["label"], "x": [statistics(t).tolist() for t in batch["text"]]})
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", limit: int = SAMPLE) -> Discriminant | Constant:
+def learn(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    limit: int = SAMPLE
+) -> Discriminant | Constant:
     """Discriminant from at most ``limit`` labelled rows of each class; priors from all labels that may be learned from.
 
     Where a class has no row, everything is of the other one; without any, of class 1. Null texts count as empty; rows

@@ -62,7 +62,11 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
     """Stored: uid (a number for each input row), doc, hash (of the text), repo, owner, spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = F.array_sort(F.concat(*[_spans(text, k) for k in range(len(KINDS))]))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc"), F.sha2(F.col(text_col), 256).alias("hash"), F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), spans.alias("spans"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc"),
+        F.sha2(F.col(text_col), 256).alias("hash"), F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"),
+        F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), spans.alias("spans")
+    )
     return stored(rows, "candidates")
 
 
@@ -79,7 +83,10 @@ def _verdicts(found: DataFrame, owners: int, repositories: int) -> DataFrame:
     return spans.join(counts, "value").select("uid", "span", "repos", "owners", ((F.col("owners") < owners) | (F.col("repos") < repositories)).alias("live"))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source",
+    owners: int = OWNERS, repositories: int = REPOSITORIES
+) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live_spans, held_by.
 
     ``held_by`` has, for each of ``spans`` in their order, the distinct repositories and owners of its value. Null texts
@@ -88,18 +95,28 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives none, texts of any length are read whole. Other columns are not read.
     """
     found = candidates(docs, id_col, text_col, repo_col, owner_col)
-    judged = _verdicts(found, owners, repositories).groupBy("uid").agg(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"), F.count_if(~F.col("live")).alias("n_example"), F.array_sort(F.collect_list(F.struct("span", "repos", "owners"))).alias("held"))
+    judged = _verdicts(found, owners, repositories).groupBy("uid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"),
+        F.count_if(~F.col("live")).alias("n_example"),
+        F.array_sort(F.collect_list(F.struct("span", "repos", "owners"))).alias("held")
+    )
     of = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["rank"] < BASE)
     out = found.join(judged, "uid", "left")
     return out.select(
         F.col("doc").alias("doc_id"), of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
         F.coalesce(F.size("live").cast("long"), F.lit(0).cast("long")).alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce(_listed(F.col("live")), F.lit("")).alias("live_spans"),
-        F.coalesce(F.transform("held", lambda h: F.struct(h["repos"].alias("repos"), h["owners"].alias("owners"))), F.array().cast("array<struct<repos: bigint, owners: bigint>>")).alias("held_by"),
+        F.coalesce(
+            F.transform("held", lambda h: F.struct(h["repos"].alias("repos"), h["owners"].alias("owners"))),
+            F.array().cast("array<struct<repos: bigint, owners: bigint>>")
+        ).alias("held_by"),
     )
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES, mark: str = "[SECRET]") -> DataFrame:
+def redact_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source",
+    owners: int = OWNERS, repositories: int = REPOSITORIES, mark: str = "[SECRET]"
+) -> DataFrame:
     """The rows of ``docs`` with every live-looking secret replaced by ``mark``; examples stay. Same columns, whatever their names.
 
     Null texts stay null, texts without secrets as they are; rows that repeat, and rows without an id, are each kept.
@@ -112,11 +129,16 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = candidates(marked, id_col, text_col, repo_col, owner_col)
     live = _verdicts(found, owners, repositories).filter("live").groupBy("uid").agg(F.array_sort(F.collect_list("span")).alias("live"))
     # spans and verdicts follow from the text alone, so one row for each distinct text is enough
-    keyed = stored(found.join(live, "uid").select("hash", "live").dropDuplicates(["hash"]), "live").select(F.col("hash").alias(hash_), F.col("live").alias(spans_))
+    keyed = stored(
+        found.join(live, "uid").select("hash", "live").dropDuplicates(["hash"]), "live"
+    ).select(F.col("hash").alias(hash_), F.col("live").alias(spans_))
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
-        before = F.when(s["start"] >= acc["at"], F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(acc["out"])
+        before = F.when(
+            s["start"] >= acc["at"],
+            F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
+        ).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), before.alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))

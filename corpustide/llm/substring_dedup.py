@@ -96,17 +96,35 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     ``key`` is a hash of the text, which tells apart rows that share an id. Rows with a null id neither repeat nor are
     repeated; null and short texts have no windows. Rows with equal ids are one document: no window repeats there.
     """
-    from_docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).filter("doc is not null and text is not null")
+    from_docs = docs.select(
+        F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")
+    ).filter("doc is not null and text is not null")
     kinds = "anchor long, region long, doc long, key long, first long, last long, place long"
     found = stored(from_docs.mapInPandas(_find(window, seed), kinds), "anchors")
-    shared = stored(found.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), (F.min("region") != F.max("region")).alias("several")).filter("lo < hi").select("anchor", "several"), "shared")
+    shared = stored(
+        found.groupBy("anchor").agg(
+            F.min("doc").alias("lo"), F.max("doc").alias("hi"), (F.min("region") != F.max("region")).alias("several")
+        ).filter("lo < hi").select("anchor", "several"),
+        "shared"
+    )
     found = stored(found.join(shared, "anchor"), "recurring")
-    classes = stored(found.groupBy("anchor", "region").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("several").alias("several")).filter("lo < hi or several").select("anchor", "region", "lo"), "classes")
+    classes = stored(
+        found.groupBy("anchor", "region").agg(
+            F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("several").alias("several")
+        ).filter("lo < hi or several").select("anchor", "region", "lo"),
+        "classes"
+    )
     known = stored(found.join(classes, ["anchor", "region"]), "known")
     whole = known.filter("doc > lo").select("doc", "key", "first", "last")
     spans = known.filter("doc = lo and several").groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "first", "last", "place")).alias("spans"))
-    parts = stored(from_docs.join(spans, ["doc", "key"]).mapInPandas(_extend(window), "anchor long, place long, hash long, doc long, key long, at long"), "windows")
-    again = stored(parts.groupBy("anchor", "place", "hash").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor", "place", "hash", "lo"), "again")
+    parts = stored(
+        from_docs.join(spans, ["doc", "key"]).mapInPandas(_extend(window), "anchor long, place long, hash long, doc long, key long, at long"),
+        "windows"
+    )
+    again = stored(
+        parts.groupBy("anchor", "place", "hash").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor", "place", "hash", "lo"),
+        "again"
+    )
     extended = parts.join(again, ["anchor", "place", "hash"]).filter("doc > lo").select("doc", "key", F.col("at").alias("first"), F.col("at").alias("last"))
     return whole.unionByName(extended)
 
@@ -153,10 +171,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if not 1 <= seed < window:
         raise ValueError("seed must be shorter than window")
-    found = repeats(docs, id_col, text_col, window, seed).groupBy("doc", "key").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
+    found = repeats(docs, id_col, text_col, window, seed).groupBy("doc", "key").agg(
+        F.collect_list("first").alias("first"), F.collect_list("last").alias("last")
+    )
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     joined = rows.join(found, (rows["id"] == found["doc"]) & (rows["hash"] == found["key"]), "left").select("id", "text", "first", "last")
-    return joined.mapInPandas(_cut(window, texts), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<start: long, end: long>>")
+    return joined.mapInPandas(
+        _cut(window, texts),
+        "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<start: long, end: long>>"
+    )
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

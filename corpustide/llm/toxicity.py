@@ -202,7 +202,10 @@ class Grammar:
             symbols = list(map(self.lexicon, clause))
             if not _HOT.isdisjoint(symbols):
                 written.update(MACHINE(symbols))
-        out[:6] = (written[DIRECT] + written[AIMED], written[INSULT] - written[AIMED], written[THREATENED], written[NEGATED], written[REPORTED], written[LIKELY])
+        out[:6] = (
+            written[DIRECT] + written[AIMED], written[INSULT] - written[AIMED], written[THREATENED], written[NEGATED],
+            written[REPORTED], written[LIKELY]
+        )
         out[6] = 100 * written[LIKELY] / max(50, n)
         return out
 

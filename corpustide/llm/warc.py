@@ -211,7 +211,10 @@ def write_packages(pages: DataFrame, least: int = 1000) -> DataFrame:
 
 def read_packages(packages: DataFrame) -> DataFrame:
     """All records of packages (column content): page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload (empty for a revisit)."""
-    return packages.select("content").mapInPandas(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return packages.select("content").mapInPandas(
+        _read,
+        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
+    )
 
 
 def op4_warc(spark, sf_dir: str) -> DataFrame:

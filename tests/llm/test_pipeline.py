@@ -49,7 +49,10 @@ def test_near_duplicates_stage(spark, docs):
 def test_near_duplicates_stage_repeated_ids(spark, docs):
     """Rows of one id with texts that do not link all stay; of repeated and of linked ones the first does."""
     long = " ".join(f"w{k}" for k in range(100))
-    rows = [(1, "one text of its own here", "b"), (1, "another that is not like it", "a"), (1, "another that is not like it", "c"), (2, long, "a"), (2, long + " end", "a"), (3, long, "a"), (4, None, "a"), (4, None, "a"), (4, "", "a")]
+    rows = [
+        (1, "one text of its own here", "b"), (1, "another that is not like it", "a"), (1, "another that is not like it", "c"),
+        (2, long, "a"), (2, long + " end", "a"), (3, long, "a"), (4, None, "a"), (4, None, "a"), (4, "", "a")
+    ]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     kept = pipeline.near_duplicates_stage(spark, df, SF).collect()
     got = sorted((r["doc_id"], r["text"] or str(r["text"]), r["source"]) for r in kept if r["doc_id"] != 2)
@@ -112,9 +115,15 @@ def test_odd_rows(spark):
     """Every stage on nulls, empty, long and repeated rows, with columns that have its helpers' names."""
     long = " ".join(f"w{k % 977}x{k}" for k in range(9000))
     plain = "The harbour office closes early on market days, and the ferry waits for nobody after nine. " * 3
-    rows = [(1, plain, "a"), (1, plain, "a"), (1, plain + "Other ends follow here.", "b"), (2, None, "a"), (3, "", None), (None, plain, None), (None, None, "a"), (4, long, "a"), (5, long, "b"), (6, plain + " password=hunter2hunter2", "c")]
+    rows = [
+        (1, plain, "a"), (1, plain, "a"), (1, plain + "Other ends follow here.", "b"), (2, None, "a"), (3, "", None),
+        (None, plain, None), (None, None, "a"), (4, long, "a"), (5, long, "b"), (6, plain + " password=hunter2hunter2", "c")
+    ]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    names = ["lang", "n_chars", "_keep", "_nth", "_node", "_spans", "_hash", "_key", "_same", "_times", "doc", "size", "grams", "score", "key", "label", "node", "component_id", "order", "digest"]
+    names = [
+        "lang", "n_chars", "_keep", "_nth", "_node", "_spans", "_hash", "_key", "_same", "_times", "doc", "size", "grams", "score",
+        "key", "label", "node", "component_id", "order", "digest"
+    ]
     df = df.select("*", *[F.lit(f"own {n}").alias(n) for n in names]).repartition(3)
     none = spark.read.parquet(f"{SF}/labels.parquet").filter("false")
     kept = quality.keep_quality(df, quality.learn(df, none))
@@ -139,7 +148,9 @@ def test_whole(spark, docs):
     now = docs
     for name, stage in pipeline.STAGES:
         now = stored(stage(spark, now, SF), "test-stage")
-    assert sorted(map(tuple, pipeline.run(spark, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, now.select("doc_id", "piece", "start", "length", "ids_crc32").collect()))
+    assert sorted(map(
+        tuple, pipeline.run(spark, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    )) == sorted(map(tuple, now.select("doc_id", "piece", "start", "length", "ids_crc32").collect()))
     empty = docs.filter("false")
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
