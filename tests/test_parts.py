@@ -42,7 +42,10 @@ def test_identity_and_shards(spark):
 
 
 def test_scope(spark):
-    rows = [("Road works", ["45000"], 0), ("Green roof", ["45000"], 1), (None, ["45000"], 2), ("Green roof", ["99"], 3), ("green salmon", ["1"], 4), ("", [], 5), ("other", ["99", "1"], 6)]
+    rows = [
+        ("Road works", ["45000"], 0), ("Green roof", ["45000"], 1), (None, ["45000"], 2), ("Green roof", ["99"], 3),
+        ("green salmon", ["1"], 4), ("", [], 5), ("other", ["99", "1"], 6)
+    ]
     got = _values(spark, rows, "t string, c array<string>", C.outside_scope(F.col("t"), F.col("c"), ["green"], ["99"], ["salmon"]))
     assert got == [True, False, False, True, True, False, True]
     assert _values(spark, rows, "t string, c array<string>", C.outside_scope(F.col("t"), F.col("c"), [], ["99"], [])) == [False] * 7
@@ -50,10 +53,19 @@ def test_scope(spark):
 
 def test_small_scalars(spark):
     long = "ā" * 90 + ".pdf"
-    assert _each(spark, ["a/b:c.txt", long, "...", "x" * 80], C.slug(F.col("x"))) == ["a_b_c.txt", "ā" * 67 + "~" + hashlib.sha1(long.encode()).hexdigest()[:8] + ".pdf", "file", "x" * 80]
+    assert _each(spark, ["a/b:c.txt", long, "...", "x" * 80], C.slug(F.col("x"))) == [
+        "a_b_c.txt", "ā" * 67 + "~" + hashlib.sha1(long.encode()).hexdigest()[:8] + ".pdf", "file", "x" * 80
+    ]
     assert _each(spark, ["a/b", "../a", "/a", "a/..\\b", "c:/x", "a..b"], C.safe_member(F.col("x"))) == [True, False, False, False, False, True]
     assert _each(spark, ["0", "", None, "12.5", "x", "0.0"], C.register_amount(F.col("x"))) == [None, None, None, 12.5, None, 0.0]
-    assert _each(spark, ["https://www.eis.gov.lv/EKEIS/Supplier/Procurement/7", "http://www.eis.gov.lv/EKEIS/Supplier/Procurement/7", "https://evil/EKEIS/Supplier/Procurement/7"], C.canonical_url(F.col("x"))["id"]) == ["7", None, None]
+    assert _each(
+        spark,
+        [
+            "https://www.eis.gov.lv/EKEIS/Supplier/Procurement/7", "http://www.eis.gov.lv/EKEIS/Supplier/Procurement/7",
+            "https://evil/EKEIS/Supplier/Procurement/7"
+        ],
+        C.canonical_url(F.col("x"))["id"]
+    ) == ["7", None, None]
     assert _each(spark, ["Firm, reģ. numurs: 400", "Firm", None], C.split_buyer(F.col("x"))["reg"]) == ["400", None, None]
     assert _each(spark, ["Name&#257;:: <b>tip</b>", None], C.label_text(F.col("x"))) == ["Nameā", ""]
     assert _each(spark, ["a<br>&amp; b"], C.html_text(F.col("x"))) == ["a & b"]
@@ -75,7 +87,10 @@ var HistoricalDocuments_items = [{"Id": 5, "Title": "old"}, {"Id": 7, "Title": "
 
 
 def test_page(spark):
-    df = spark.createDataFrame([(1, PAGE), (2, "nothing"), (3, None), (4, "Pieeja liegta / Access Denied"), (5, "Pārbaude pret robotiem")], "pid long, html string")
+    df = spark.createDataFrame(
+        [(1, PAGE), (2, "nothing"), (3, None), (4, "Pieeja liegta / Access Denied"), (5, "Pārbaude pret robotiem")],
+        "pid long, html string"
+    )
     assert [r[0] for r in df.orderBy("pid").select(C.page_class(F.col("html"))).collect()] == ["published", "other", "other", "denied", "robot"]
     rows = pages.notices(df).collect()
     assert len(rows) == 1
@@ -142,8 +157,14 @@ def test_balance(spark, loads, slices):
 
 def test_day(spark):
     indexes = spark.createDataFrame([(1, "r"), (2, None), (3, "old")], "shard int, run_id string")
-    entries = spark.createDataFrame([("1", 1, 0, "new", 2, 10, 0), ("2", 1, 1, None, 1, 30, 1), ("1", 2, 0, "changed", 3, 20, 0), ("9", 3, 0, "new", 1, 1, 0)], "pid string, shard int, pos int, status string, documents long, chars long, unreadable long")
-    accounts = spark.createDataFrame([(1, "iub:a", "target"), (1, "eis:2", "target"), (2, "eis:5", "target"), (2, "eis:6", "target"), (2, "eis:6", "failed")], "shard int, key string, outcome string")
+    entries = spark.createDataFrame(
+        [("1", 1, 0, "new", 2, 10, 0), ("2", 1, 1, None, 1, 30, 1), ("1", 2, 0, "changed", 3, 20, 0), ("9", 3, 0, "new", 1, 1, 0)],
+        "pid string, shard int, pos int, status string, documents long, chars long, unreadable long"
+    )
+    accounts = spark.createDataFrame(
+        [(1, "iub:a", "target"), (1, "eis:2", "target"), (2, "eis:5", "target"), (2, "eis:6", "target"), (2, "eis:6", "failed")],
+        "shard int, key string, outcome string"
+    )
     resolved = spark.createDataFrame([(2, "iub:a", "eis:1")], "shard int, asked string, found string")
     day = planning.collect_day(indexes, entries, accounts, resolved, "r", 4, 2)
     assert {r["shard"]: r["state"] for r in day["states"].collect()} == {1: "present", 2: "present", 3: "stale", 4: "missing"}
@@ -170,11 +191,19 @@ def test_walk(spark):
 
 
 def test_scan_queue(spark):
-    rows = [("a.dwg", 1, "s1", "no text layer", None), ("b.pdf", 1, "s2", "failed", None), ("c.JPG", 1, None, "x", None), ("d.pdf", 99 << 20, "s3", "no text layer", "unpacked/d"), ("e.pdf", 1, "s4", "no text layer", None), ("f.pdf", 99 << 20, "s5", "no text layer", None), ("g.pdf", 1, "s5", "no text layer", None), ("h.pdf", 1, "s5", "no text layer", None)]
+    rows = [
+        ("a.dwg", 1, "s1", "no text layer", None), ("b.pdf", 1, "s2", "failed", None), ("c.JPG", 1, None, "x", None),
+        ("d.pdf", 99 << 20, "s3", "no text layer", "unpacked/d"), ("e.pdf", 1, "s4", "no text layer", None),
+        ("f.pdf", 99 << 20, "s5", "no text layer", None), ("g.pdf", 1, "s5", "no text layer", None),
+        ("h.pdf", 1, "s5", "no text layer", None)
+    ]
     gaps = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "file string, bytes long, sha256 string, reason string, path string, pos long")
     paths = scans.first_paths(spark.createDataFrame([("s5", "p2", 2), ("s5", "p1", 1)], "sha256 string, path string, n int"), ["n"])
     got = [(r["skipped"], r["send_path"]) for r in scans.queue(gaps, paths, limit=2).orderBy("pos").collect()]
-    assert got == [("drawing-not-sent", None), ("reason-not-selected", None), ("no-digest-to-cache-by", None), (None, "unpacked/d"), ("source-not-retained", None), ("too-large-for-inline-upload", None), (None, "p1"), ("over-the-run-limit", None)]
+    assert got == [
+        ("drawing-not-sent", None), ("reason-not-selected", None), ("no-digest-to-cache-by", None), (None, "unpacked/d"),
+        ("source-not-retained", None), ("too-large-for-inline-upload", None), (None, "p1"), ("over-the-run-limit", None)
+    ]
 
 
 def _read(content, path):
@@ -202,7 +231,10 @@ def test_read_scans(spark):
     from corpustide.plans import lifecycle
 
     rows = [("a.pdf", "s1", "ok"), ("b.pdf", "s1", "ok"), ("c.pdf", "s2", "more"), ("d.pdf", "s3", "blank"), ("e.dwg", "s4", "ok")]
-    gaps = spark.createDataFrame([(f, 10, d, V.NO_TEXT, p, n) for n, (f, d, p) in enumerate(rows)], "file string, bytes long, sha256 string, reason string, path string, pos long")
+    gaps = spark.createDataFrame(
+        [(f, 10, d, V.NO_TEXT, p, n) for n, (f, d, p) in enumerate(rows)],
+        "file string, bytes long, sha256 string, reason string, path string, pos long"
+    )
     files = spark.createDataFrame([], "sha256 string, path string, pos long")
     cache = spark.createDataFrame([("s2", "known", "{}"), ("s3", "torn", None)], "sha256 string, text string, provenance string")
     done = lifecycle.read_scans(gaps, files, cache, scans.Provider(_read, model="m"), _load, "p", "read it", F.lit("2026-01-01"))
@@ -224,7 +256,9 @@ def test_read_scans(spark):
 def test_exits(spark):
     from corpustide.plans import lifecycle
 
-    assert [lifecycle.exit_for(e) for e in (None, lifecycle.Incomplete(), lifecycle.Empty(), lifecycle.Stale(), scans.Quota(), register.Refused(), ValueError())] == [0, 2, 3, 4, 3, 2, 1]
+    assert [lifecycle.exit_for(e) for e in (
+        None, lifecycle.Incomplete(), lifecycle.Empty(), lifecycle.Stale(), scans.Quota(), register.Refused(), ValueError()
+    )] == [0, 2, 3, 4, 3, 2, 1]
     packed = publish.archives(spark.createDataFrame([("p", "a.md", b"x")], "pid string, path string, content binary"))
     assert lifecycle.verify(packed).count() == 1
     with pytest.raises(lifecycle.Unverified, match="p"):
@@ -243,10 +277,16 @@ def test_publish_delivery(spark, tmp_path):
         "changes": spark.createDataFrame([("p1", "changed"), ("p2", "unchanged")], "pid string, status string"),
     }
     name = lambda k: f"doc/{'0123456789abcdef' if k else 'fedcba9876543210'}.md"
-    texts = spark.createDataFrame([("p1", "k" * 16, name(1), b"one"), ("p1", "l" * 16, name(0), b"old"), ("p2", "m" * 16, name(1), b"two"), ("p1", "k" * 16, "original/a.pdf", b"pdf")], "pid string, key string, path string, content binary")
+    texts = spark.createDataFrame(
+        [("p1", "k" * 16, name(1), b"one"), ("p1", "l" * 16, name(0), b"old"), ("p2", "m" * 16, name(1), b"two"), ("p1", "k" * 16, "original/a.pdf", b"pdf")],
+        "pid string, key string, path string, content binary"
+    )
     seen = spark.createDataFrame([("p1", "d1"), ("p2", "d0")], "pid string, last_seen string")
     lifecycle.publish_delivery(str(tmp_path), "r1", delivery, texts, seen)
-    assert sorted(str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*") if f.is_file() and not f.name.startswith((".", "_", "part-"))) == ["day.json", f"p1/{name(1)}", "p1/index.json", "p1/runs/r1.json", "p1/seen.json", "p1/state.json", "p2/runs/r1.json", "p2/seen.json"]
+    assert sorted(str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*") if f.is_file() and not f.name.startswith((".", "_", "part-"))) == [
+        "day.json", f"p1/{name(1)}", "p1/index.json", "p1/runs/r1.json", "p1/seen.json", "p1/state.json", "p2/runs/r1.json",
+        "p2/seen.json"
+    ]
 
 
 def _page(n, start, end):
@@ -275,7 +315,9 @@ def test_sources(spark, tmp_path):
         headers = {"A": "b"}
 
     waits = []
-    assert register.get_json("http://x", open_url=lambda *a, **k: flaky() and Body(b'{"a": 1}'), sleep=waits.append) == ({"a": 1}, {"A": "b"}) and waits == [0.4, 0.8]
+    assert register.get_json(
+        "http://x", open_url=lambda *a, **k: flaky() and Body(b'{"a": 1}'), sleep=waits.append
+    ) == ({"a": 1}, {"A": "b"}) and waits == [0.4, 0.8]
     with pytest.raises(register.Refused):
         register.fetch_page(lambda u: "Pieeja liegta / Access Denied", "u", sleep=lambda s: None)
     with pytest.raises(RuntimeError):
@@ -291,11 +333,16 @@ def test_archives_and_publication(spark, tmp_path):
     assert zipfile.ZipFile(io.BytesIO(one)).namelist() == ["a", "b", "index.json"]
     assert publish.ranges(5) == [(0, 5)] and publish.ranges(25 << 20)[-1] == (20 << 20, 25 << 20)
     register.install(spark)
-    rows = spark.createDataFrame([("p1", "doc/x.md", b"x"), ("p1", "doc/y.md", b"y"), ("p2", "doc/z.md", b"z")], "pid string, path string, content binary").repartition(3)
+    rows = spark.createDataFrame(
+        [("p1", "doc/x.md", b"x"), ("p1", "doc/y.md", b"y"), ("p2", "doc/z.md", b"z")], "pid string, path string, content binary"
+    ).repartition(3)
     packed = publish.archives(rows)
     assert {r["pid"]: r["members"] for r in publish.verified(packed).filter("ok").collect()} == {"p1": 2, "p2": 1}
     assert publish.verified(packed.withColumn("sha256", F.lit("0"))).filter("ok").count() == 0
-    seen = spark.createDataFrame([("p1", "d1", "d2", "d2"), ("p2", "d1", "d2", "d2"), ("p3", "d0", "d2", "d0")], "pid string, first_seen string, last_seen string, last_change string")
+    seen = spark.createDataFrame(
+        [("p1", "d1", "d2", "d2"), ("p2", "d1", "d2", "d2"), ("p3", "d0", "d2", "d0")],
+        "pid string, first_seen string, last_seen string, last_change string"
+    )
     runs = spark.createDataFrame([("p1", "changed"), ("p2", "new"), ("p3", "unchanged")], "pid string, status string")
     for _ in range(2):  # a replay writes the same
         publish.publish(str(tmp_path), "s1", rows, seen, runs, runs, shard=2)
@@ -350,7 +397,9 @@ def test_walk_stream(spark, tmp_path):
     got = {}  # by batch, as one that was broken off before it was committed runs again
 
     def start():
-        pages = spark.readStream.format("walk").options(transport="test_parts:_walk_live", state=str(tmp_path / "state"), start="1", batch="20", misses="40").load()
+        pages = spark.readStream.format("walk").options(
+            transport="test_parts:_walk_live", state=str(tmp_path / "state"), start="1", batch="20", misses="40"
+        ).load()
         return pages.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda df, n: got.update({n: [r["pid"] for r in df.collect()]})).start()
 
     import time
@@ -378,13 +427,18 @@ def test_streams(spark, tmp_path):
     second = spark.createDataFrame([("a", "d2", 3, "unchanged"), ("b", "d3", 4, "changed")], schema)
     first.coalesce(1).write.parquet(str(tmp_path / "in"))
     got = {}
-    q = runs.seen(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda df, n: got.update({r["pid"]: (r["first_seen"], r["last_seen"], r["last_change"]) for r in df.collect()})).start()
+    q = runs.seen(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(
+        lambda df, n: got.update({r["pid"]: (r["first_seen"], r["last_seen"], r["last_change"]) for r in df.collect()})
+    ).start()
     q.processAllAvailable()
     second.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     q.processAllAvailable()
     q.stop()
     assert got == {"a": ("d1", "d2", "d1"), "b": ("d1", "d3", "d3")}
-    notices = spark.createDataFrame([("u1", "2026-01-01 10:00:00", "x"), ("u1", "2026-01-01 10:00:00", "x"), ("u2", "2026-01-01 11:00:00", "x")], "key string, ts string, kind string").withColumn("ts", F.to_timestamp("ts"))
+    notices = spark.createDataFrame(
+        [("u1", "2026-01-01 10:00:00", "x"), ("u1", "2026-01-01 10:00:00", "x"), ("u2", "2026-01-01 11:00:00", "x")],
+        "key string, ts string, kind string"
+    ).withColumn("ts", F.to_timestamp("ts"))
     notices.coalesce(1).write.parquet(str(tmp_path / "n"))
     stream = runs.deduplicated(spark.readStream.schema(notices.schema).parquet(str(tmp_path / "n")), "key", "ts")
     q = stream.writeStream.format("memory").queryName("once").start()
@@ -424,7 +478,10 @@ def test_fetch_to_delivery(spark):
     assert outcomes == {"1": "done", "2": "withdrawn", "3": "failed"} and lifecycle.exit_code(run["outcomes"]) == 0
     got = sorted((r["record_id"], r["path"], r["duplicate"], r["method"]) for r in run["files"].collect())
     one, two = hashlib.sha256(b"new").hexdigest()[:10], None
-    assert got == [("1", "actual/a.txt", False, "zip"), ("1", "actual/b.txt", False, "zip"), ("2", f"actual/a-{one}.txt", False, "files"), ("2", "actual/a.txt", True, "files"), ("4", "archive/a.txt", False, "zip")]
+    assert got == [
+        ("1", "actual/a.txt", False, "zip"), ("1", "actual/b.txt", False, "zip"), ("2", f"actual/a-{one}.txt", False, "files"),
+        ("2", "actual/a.txt", True, "files"), ("4", "archive/a.txt", False, "zip")
+    ]
     assert two is None and run["records"].filter("withheld").count() == 1 and run["facts"].first()["title"] == "T"
     assert run["extracted"].filter("kind = 'markdown'").count() == 4
     written = {(r["pid"], r["path"]): json.loads(bytes(r["content"])) for r in run["written"].collect()}
@@ -434,9 +491,18 @@ def test_fetch_to_delivery(spark):
     assert written["1", "summary.json"]["methods"] == {"zip": 2, "files": 1} and written["1", "procurement.json"]["title"] == "T"
     kept = {r["pid"]: (r["members"], r["ok"], zipfile.ZipFile(io.BytesIO(bytes(r["content"]))).namelist()) for r in run["originals"].collect()}
     assert kept["1"] == (5, True, [*sorted(["actual/a.txt", f"actual/a-{one}.txt", "actual/b.txt", "archive/a.txt"]), "manifest.json"])
-    assert sorted((r["key"], r["outcome"]) for r in lifecycle.account(run["outcomes"], targets).collect()) == [("eis:1", "target"), ("eis:2", "target"), ("eis:2", "withdrawn"), ("eis:3", "failed"), ("eis:3", "target")]
-    entries = run["extracted"].filter("kind = 'markdown'").select("pid", "original_sha256", "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"), F.lit(None).cast("string").alias("record_title"), "record_id", F.lit(None).cast("string").alias("also_listed_under"), F.col("source").alias("markdown_path"), F.col("chars").alias("markdown_chars"), F.lit(0).alias("pos"))
-    records = spark.createDataFrame([], "pid string, id string, publish_date string, title string, type_code string, section string, withheld boolean, files map<string,string>")
+    assert sorted((r["key"], r["outcome"]) for r in lifecycle.account(run["outcomes"], targets).collect()) == [
+        ("eis:1", "target"), ("eis:2", "target"), ("eis:2", "withdrawn"), ("eis:3", "failed"), ("eis:3", "target")
+    ]
+    entries = run["extracted"].filter("kind = 'markdown'").select(
+        "pid", "original_sha256", "source", F.lit("actual").alias("section"), F.lit(None).cast("string").alias("original_file"),
+        F.lit(None).cast("string").alias("record_title"), "record_id", F.lit(None).cast("string").alias("also_listed_under"),
+        F.col("source").alias("markdown_path"), F.col("chars").alias("markdown_chars"), F.lit(0).alias("pos")
+    )
+    records = spark.createDataFrame(
+        [],
+        "pid string, id string, publish_date string, title string, type_code string, section string, withheld boolean, files map<string,string>"
+    )
     now = lifecycle.state(run["facts"], records, entries, run["gaps"], "t", "p")
     before = {k: df.filter("false") for k, df in now.items()}
     assert [r["status"] for r in lifecycle.deliver(before, now)["changes"].collect()] == ["new"]
@@ -451,8 +517,13 @@ def test_discovery(spark):
     from corpustide.plans import lifecycle
 
     kinds = "pos int, identifier string, externalId string, procurementIdentifier string, name string, organizationName string, organizationIdentifier string, publicationDate string, date string, amount string, currency string, cpvCodes array<struct<code: string, caption: string>>, type string, procedureType string, procedureLegalBasis string, euFund boolean"
-    row = lambda n, uid, title, kind: (n, uid, None, None, title, None, None, "2026-01-01T10:00:00Z", None, "0", None, [("45000", "c")], kind, None, None, None)
-    df = spark.createDataFrame([row(0, "a", " Green ", "competition"), row(1, "b", "Other", "planning"), row(2, "c", "Green", "result"), row(3, "a", "Green again", "competition")], kinds)
+    row = lambda n, uid, title, kind: (
+        n, uid, None, None, title, None, None, "2026-01-01T10:00:00Z", None, "0", None, [("45000", "c")], kind, None, None, None
+    )
+    df = spark.createDataFrame(
+        [row(0, "a", " Green ", "competition"), row(1, "b", "Other", "planning"), row(2, "c", "Green", "result"), row(3, "a", "Green again", "competition")],
+        kinds
+    )
     assert [r["title"] for r in lifecycle.discover(df, 3, 1, policy={"recall": ["green"], "prefixes": [], "excluded": []}).collect()] == ["Green"]
     assert lifecycle.discover(df, 3, 1, F.lit("2026-01-02 09:00:00")).count() == 2
     with pytest.raises(lifecycle.Incomplete):
