@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +61,29 @@ def merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def releasing(run: Callable) -> Callable:
+    """``run``, a function over batches, that gives unused memory back to the system at its end.
+
+    Workers stay for the tasks that follow, and with them what the allocators keep: beside a JVM that then needs its
+    whole heap that can be too much for the executor.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), remembered; forgets all when ``limit`` words are held, so memory is bounded."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

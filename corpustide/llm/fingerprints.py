@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling
+from .common import Rolling, releasing
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 SMALLEST, LETTERS, WINDOW = 3, 64, 7
@@ -186,7 +186,7 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     dealt = every.repartition(parts, "part").sortWithinPartitions("part", "head", F.desc("doc"), F.desc("hash"))
     dealt = dealt.select("part", "head", F.when(~F.col("void"), F.col("doc")).alias("doc"), "text")
     return dealt.mapInPandas(
-        _compare,
+        releasing(_compare),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     )
 

@@ -32,12 +32,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASES, Rolling, WordHashes, components, merged, mixed, stored
+from .common import BASES, Rolling, WordHashes, components, merged, mixed, releasing, stored
 
 #: Most entries in the list of frequent grams (8 bytes each): it only orders the grams.
 FREQUENT = 65_536
 #: Grams of a block at most, and sets of a block at most.
 BLOCK_GRAMS, BLOCK_SETS = 400_000, 1024
+#: Bytes of a batch of sets, about.
+BATCH = 8 << 20
 #: Smaller pivots of a set that go with its bitmap; all that remain go with the set itself.
 SMALLEST = 4
 #: Bytes of the table of which probe holds which gram, so that many probes walk the trie at once.
@@ -64,13 +66,15 @@ def _frequent(n: int, least: int = 3):
         known = WordHashes()
         for batch in batches:
             sets = [gram_hashes(t, n, known) for t in batch["text"].drop_duplicates()]
-            every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            del sets
+            every.sort()
             edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True]) if len(every) else np.zeros(1, np.int64)
             count = np.diff(edge)
             keep = count >= least
             yield pd.DataFrame({"gram": every[edge[:-1][keep]].view(np.int64), "n": count[keep]})
 
-    return run
+    return releasing(run)
 
 
 def frequent_grams(texts: DataFrame, n: int) -> np.ndarray:
@@ -165,7 +169,7 @@ def _summaries(n: int, t: Fraction, frequent: np.ndarray):
                 bits.append(parity(grams))
             yield pd.DataFrame({"doc": batch["doc"], "size": size, "one": one, "two": two, "least": least, "forgo": forgo, "bits": bits, "prefix": prefix})
 
-    return run
+    return releasing(run)
 
 
 def band(size: int, t: Fraction) -> int:
@@ -180,16 +184,18 @@ def _blocks(n: int, frequent: np.ndarray):
         known = WordHashes()
         for batch in batches:
             out: list[tuple] = []
+            held = 0  # bytes
             for doc, text, places, pivots, copies in zip(batch["doc"], batch["text"], batch["places"], batch["pivots"], batch["copies"]):
                 grams = ordered(gram_hashes(text, n, known), frequent).tobytes()
                 for p in places:
                     out.append((p["pivot"], p["b1"], p["k1"], p["b2"], p["k2"], doc, p["second"], copies, pivots, grams))
-                    if len(out) >= 2000:
+                    held += len(grams) + 200
+                    if held >= BATCH:
                         yield pd.DataFrame(out, columns=BLOCK_COLS)
-                        out = []
+                        out, held = [], 0
             yield pd.DataFrame(out, columns=BLOCK_COLS)
 
-    return run
+    return releasing(run)
 
 
 #: A group: pivot, and band and block of both sides.
@@ -357,7 +363,7 @@ def _grouped(group, columns: list[str]):
         if held:
             yield pd.DataFrame(dict(zip(columns, group(pd.concat(held, ignore_index=True)))))
 
-    return run
+    return releasing(run)
 
 
 def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:

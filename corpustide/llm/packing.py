@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import releasing, stored
 
 #: The pre-tokenizer's pattern: fixed value, part of the vocabulary's public definition.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,7 +89,7 @@ def _pieces(path: str, capacity: int, end: int, ids: bool):
             out["doc"] = out["doc"].astype("Int64")
             yield out
 
-    return run
+    return releasing(run)
 
 
 def knapsack(prices: np.ndarray, capacity: int, noise: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -326,7 +326,7 @@ def _place(slots: dict[int, tuple[np.ndarray, ...]]):
                 offset[mine] = start[k] + inside % n[k] * at
             yield batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
-    return run
+    return releasing(run)
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end: int = 2, ids: bool = True) -> DataFrame:

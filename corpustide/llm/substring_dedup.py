@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, Rolling, WordHashes, mixed, sliding_min, stored
+from .common import BASES, Rolling, WordHashes, mixed, releasing, sliding_min, stored
 
 #: Bits of a seed's order key that hold its place, so that of equal hashes the rightmost wins; longer documents go in
 #: segments of so many windows.
@@ -69,7 +69,7 @@ def _find(window: int, seed: int):
             cols = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 7
             yield pd.DataFrame(dict(zip(("anchor", "region", "doc", "key", "first", "last", "place"), cols)))
 
-    return run
+    return releasing(run)
 
 
 def _extend(window: int):
@@ -87,7 +87,7 @@ def _extend(window: int):
             cols = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 6
             yield pd.DataFrame(dict(zip(("anchor", "place", "hash", "doc", "key", "at"), cols)))
 
-    return run
+    return releasing(run)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, seed: int = 25) -> DataFrame:
@@ -159,7 +159,7 @@ def _cut(window: int, texts: bool):
                 out["spans"].append(spans)
             yield pd.DataFrame({"doc_id": batch["id"]} | out)
 
-    return run
+    return releasing(run)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, seed: int = 25, texts: bool = True) -> DataFrame:
