@@ -147,6 +147,8 @@ def fractional(
     factor ``keep``, at last to nothing: lengths that have more left are covered by the dearest configuration through
     them, as far as no other length in it falls below ``reach`` of the round's share. So every length ends covered
     exactly, and none runs out long before the others. No configuration holds more of a length than there is.
+    Some hundred knapsacks of ``capacity`` squared steps each are solved on the driver, however many pieces there are:
+    seconds for a capacity of 1024, about a minute for 8192.
     """
     lengths = np.flatnonzero(demand)
     have, wanted = demand.astype(float), demand.tolist()
