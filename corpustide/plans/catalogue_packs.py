@@ -266,7 +266,7 @@ def _streamed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 def _events(spark, sf) -> DataFrame:
     """The events table as a stream of its files."""
     rows = spark.readStream.schema(D.table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    return rows.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))  # the table's times are UTC
 
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -287,7 +287,7 @@ def stream_once(spark, sf):
 def stream_seen(spark, sf):
     """The state of each item over a stream of runs."""
     e = _events(spark, sf).select(
-        F.col("user_id").cast("string").alias("pid"), F.col("ts").cast("date").cast("string").alias("date"),
+        F.col("user_id").cast("string").alias("pid"), F.to_utc_timestamp("ts", F.current_timezone()).cast("date").cast("string").alias("date"),
         F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status")
     )
     last = lambda c: F.max_by(c, "batch").alias(c)

@@ -17,7 +17,11 @@ def deduplicated(notices: DataFrame, key: str, stamp: str, late: str = "3 days")
 
 def per_day(notices: DataFrame, stamp: str, kind: str) -> DataFrame:
     """Notices by publication day (UTC) and kind. The stream must carry a watermark."""
-    return notices.groupBy(F.window(stamp, "1 day").alias("day"), kind).agg(F.count("*").alias("n")).select(F.col("day.start").cast("date").alias("day"), kind, "n")
+    start = F.col("day.start")
+    if dict(notices.dtypes)[stamp] != "timestamp_ntz":  # an instant shows its day by the session's zone
+        start = F.to_utc_timestamp(start, F.current_timezone())
+    counts = notices.groupBy(F.window(stamp, "1 day").alias("day"), kind).agg(F.count("*").alias("n"))
+    return counts.select(start.cast("date").alias("day"), kind, "n")
 
 
 _SEEN = "first_seen string, last_seen string, last_change string, seq long"
