@@ -69,10 +69,9 @@ def _frequent(n: int, least: int = 3):
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             del sets
             every.sort()
-            edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True]) if len(every) else np.zeros(1, np.int64)
-            count = np.diff(edge)
-            keep = count >= least
-            yield pd.DataFrame({"gram": every[edge[:-1][keep]].view(np.int64), "n": count[keep]})
+            gram = np.unique(every[: max(0, len(every) - least + 1)][every[least - 1 :] == every[: max(0, len(every) - least + 1)]])
+            count = np.searchsorted(every, gram, side="right") - np.searchsorted(every, gram)
+            yield pd.DataFrame({"gram": gram.view(np.int64), "n": count})
 
     return releasing(run)
 
