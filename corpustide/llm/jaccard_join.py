@@ -59,19 +59,30 @@ def gram_hashes(text: str | None, n: int, known: WordHashes) -> np.ndarray:
     return np.unique(Rolling(hashes).windows(n))
 
 
-def _frequent(n: int, least: int = 3):
-    """Grams that are in ``least`` documents of a batch, with their number there."""
+def _frequent(n: int, least: int = 3, most: int = 4_000_000):
+    """Grams that are in ``least`` of some thousand documents that follow one another (``most`` grams in all), with their number there."""
+
+    def counted(sets: list[np.ndarray]) -> pd.DataFrame:
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        sets.clear()
+        every.sort()
+        starts = every[: max(0, len(every) - least + 1)]
+        gram = np.unique(starts[every[least - 1 :] == starts])
+        count = np.searchsorted(every, gram, side="right") - np.searchsorted(every, gram)
+        return pd.DataFrame({"gram": gram.view(np.int64), "n": count})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
+        sets: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            sets = [gram_hashes(t, n, known) for t in batch["text"].drop_duplicates()]
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            del sets
-            every.sort()
-            gram = np.unique(every[: max(0, len(every) - least + 1)][every[least - 1 :] == every[: max(0, len(every) - least + 1)]])
-            count = np.searchsorted(every, gram, side="right") - np.searchsorted(every, gram)
-            yield pd.DataFrame({"gram": gram.view(np.int64), "n": count})
+            for text in batch["text"].drop_duplicates():
+                sets.append(gram_hashes(text, n, known))
+                held += len(sets[-1])
+            if held >= most:
+                yield counted(sets)
+                held = 0
+        yield counted(sets)
 
     return releasing(run)
 
