@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Odd multipliers of the two polynomial hashes (modulo 2**64), and of the final mixing.
@@ -49,6 +49,16 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def named(name: str) -> Column:
+    """The column of this name, whatever it is: dots and backticks in it are part of the name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def all_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, by name."""
+    return [named(c) for c in df.columns]
+
+
 #: Rows that go to a Python worker at once while a table is stored: their buffers count beside the JVM's heap.
 ROWS_AT_ONCE = 2000
 
@@ -74,6 +84,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str, order: list[Column], at: str = "at") -> DataFrame:
+    """Stored: ``df`` with its rows numbered 0, 1, 2... by ``order``, a task numbering only its own range.
+
+    Rows that tie in all of ``order`` stand in any order, fixed once the table is stored. A row for each written
+    partition, its count, goes through the driver.
+    """
+    part, first = free_names(df, "_part", "_first")
+    placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), name)
+    placed = placed.withColumn(part, F.shiftright(at, 33))
+    sizes, firsts, before = sorted(tuple(r) for r in placed.groupBy(part).count().collect()), [], 0
+    for k, n in sizes:
+        firsts.append((k, before - (k << 33)))
+        before += n
+    spark = df.sparkSession
+    offsets = spark.createDataFrame(firsts, f"{part} long, {first} long")
+    return placed.join(F.broadcast(offsets), part).withColumn(at, F.col(at) + F.col(first)).drop(part, first)
+
+
 def merged(df: DataFrame) -> DataFrame:
     """``df`` as a side of a sort-merge join, at any size: the plan of a small run is then that of a large one."""
     return df.hint("merge")

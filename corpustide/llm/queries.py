@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat_format import op13_chat_format
 from .exact_search import op7_exact_search
 from .fingerprints import op3_fingerprints
 from .jaccard_join import op6_jaccard_join
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op13_chat_format": op13_chat_format,
 }
 

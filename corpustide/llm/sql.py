@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat_format import OP13_SQL
 from .exact_search import OP7_SQL
 from .secret_scan import BASE, KINDS, OWNERS
 from .warc import OP4_SQL
@@ -49,4 +50,4 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(comp, n.doc_id) AS component_id, co
 FROM n LEFT JOIN c ON n.h = c.h AND n.n > 0 LEFT JOIN m ON m.node = c.rep LEFT JOIN w ON w.rep = c.rep
 """
 
-ORACLES = {"op1_substring_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_search": OP7_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_search": OP7_SQL, "op13_chat_format": OP13_SQL}
