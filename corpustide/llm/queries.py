@@ -9,6 +9,7 @@ from .jaccard_join import op6_jaccard_join
 from .mixing import op10_mixing
 from .packing import op2_best_fit_packing
 from .quality import op9_quality
+from .resampling import op12_resampling
 from .secret_scan import op5_secret_scan
 from .substring_dedup import op1_substring_dedup
 from .toxicity import op8_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op12_resampling": op12_resampling,
     "op13_chat_format": op13_chat_format,
 }
 
