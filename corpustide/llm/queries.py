@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import op13_chat_format
+from .conversation_repair import op11_conversation_repair
 from .exact_search import op7_exact_search
 from .fingerprints import op3_fingerprints
 from .jaccard_join import op6_jaccard_join
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_resampling": op12_resampling,
     "op13_chat_format": op13_chat_format,
 }

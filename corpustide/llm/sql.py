@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import OP13_SQL
+from .conversation_repair import OP11_SQL
 from .exact_search import OP7_SQL
 from .resampling import OP12_SQL
 from .secret_scan import BASE, KINDS, OWNERS
@@ -51,4 +52,4 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(comp, n.doc_id) AS component_id, co
 FROM n LEFT JOIN c ON n.h = c.h AND n.n > 0 LEFT JOIN m ON m.node = c.rep LEFT JOIN w ON w.rep = c.rep
 """
 
-ORACLES = {"op1_substring_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_search": OP7_SQL, "op12_resampling": OP12_SQL, "op13_chat_format": OP13_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_search": OP7_SQL, "op11_conversation_repair": OP11_SQL, "op12_resampling": OP12_SQL, "op13_chat_format": OP13_SQL}
