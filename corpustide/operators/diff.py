@@ -1,31 +1,56 @@
 """What moved between two states of a corpus: facts, records, documents and unreadable files, by item.
 
-States are long tables keyed by item (pid) and child key. Every comparison is a full outer join on the keys with
-null-safe equality, then one aggregate by item; nothing is compared row by row in Python, so it spreads over keys.
+States are long tables keyed by item (pid) and child key. The rows of both sides are put under one another and grouped
+by the keys, then the groups that moved by item; nothing is compared row by row in Python. No join stands between a
+state and what is found in it, so where both sides lie in the same buckets of their items (see
+:mod:`corpustide.operators.buckets`) no row of either is moved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
 
 
+def both(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, p, c): the two sides' other columns as structs, null where a side has no such key. Keys are distinct within a side."""
+    values = [c for c in current.columns if c not in keys]
+    # a field that is never null tells a row of nulls from none
+    v = F.struct(F.lit(True).alias("there"), *values)
+    of = lambda now: F.first(F.when(F.col("now") == now, F.col("v")), ignorenulls=True)
+    found = _stacked(previous, current, keys, lambda now: [F.lit(now).alias("now"), v.alias("v")]).agg(of(False).alias("p"), of(True).alias("c"))
+    return found.withColumnsRenamed({f"_{k}": k for k in keys})
+
+
+def _stacked(previous: DataFrame, current: DataFrame, keys: list[str], values: Callable[[bool], list[Column]]) -> GroupedData:
+    """Both sides' rows under one another, grouped by keys. The keys get names of their own first: a union is known to keep
+    its sides' buckets where their columns come from projections, not where they carry their tables' names."""
+    side = lambda df, now: df.select(*[F.col(k).alias(f"_{k}") for k in keys], *values(now))
+    return side(previous, False).unionByName(side(current, True)).groupBy(*[f"_{k}" for k in keys])
+
+
+def joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join by item as a merge at any size: both come grouped by item, so neither is moved again."""
+    return left.join(right.hint("merge"), "pid", how)
+
+
 def heads(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Items of ``current`` (pid, tool, parser, language) with what the comparison of each must know.
 
     ``translated`` and ``reparsed`` need both sides known; ``reextracted`` compares nulls too.
     """
-    p, c = previous.alias("p"), current.alias("c")
-    joined = c.join(p, F.col("c.pid") == F.col("p.pid"), "left")
-    both = lambda name: F.coalesce(
+    sides = both(previous, current, ["pid"]).filter("c is not null")
+    moved = lambda name: F.coalesce(
         (F.col(f"p.{name}") != F.col(f"c.{name}")) & (F.col(f"p.{name}") != "") & (F.col(f"c.{name}") != ""), F.lit(False)
     )
-    known = F.col("p.pid").isNotNull()
-    return joined.select(
-        F.col("c.pid").alias("pid"), (~known).alias("new"), both("language").alias("translated"), both("parser").alias("reparsed"),
+    known = F.col("p").isNotNull()
+    return sides.select(
+        "pid", (~known).alias("new"), moved("language").alias("translated"), moved("parser").alias("reparsed"),
         (known & ~F.col("p.tool").eqNullSafe(F.col("c.tool"))).alias("reextracted"), F.col("p.language").alias("was_language"), F.col("c.language").alias("now_language"), F.col("c.tool").alias("tool"),
     )
 
@@ -37,16 +62,11 @@ def comparable(name: Column, translated: Column, reparsed: Column) -> Column:
 
 def fact_moves(previous: DataFrame, current: DataFrame, items: DataFrame) -> DataFrame:
     """Moved facts: pid, ord, field, was, now. Facts are long tables (pid, field, value as JSON text)."""
-    p, c = previous.alias("p"), current.alias("c")
-    same = (F.col("p.pid") == F.col("c.pid")) & (F.col("p.field") == F.col("c.field"))
-    both = p.join(c, same, "full_outer").select(
-        F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.field", "c.field").alias("field"), F.col("p.value").alias("was"),
-        F.col("c.value").alias("now")
-    )
-    moved = both.filter(~F.col("was").eqNullSafe(F.col("now")))
+    sides = both(previous, current, ["pid", "field"]).select("pid", "field", F.col("p.value").alias("was"), F.col("c.value").alias("now"))
+    moved = sides.filter(~F.col("was").eqNullSafe(F.col("now")))
     ord_ = F.array_position(F.array(*[F.lit(f) for f in V.FACTS]), F.col("field"))
     known = items.filter("not new").select("pid", "translated", "reparsed")
-    return moved.join(known, "pid").filter(comparable(F.col("field"), F.col("translated"), F.col("reparsed"))).select("pid", ord_.cast("int").alias("ord"), "field", "was", "now")
+    return joined(moved, known).filter(comparable(F.col("field"), F.col("translated"), F.col("reparsed"))).select("pid", ord_.cast("int").alias("ord"), "field", "was", "now")
 
 
 def long_facts(wide: DataFrame, pid: str = "pid", facts: tuple[str, ...] = V.FACTS) -> DataFrame:
@@ -81,8 +101,7 @@ def record_moves(previous: DataFrame, current: DataFrame, fields: tuple[str, ...
 
     ``silent``: the files moved and the publication date did not. File names come in the order of their digests.
     """
-    p, c = previous.alias("p"), current.alias("c")
-    both = p.join(c, (F.col("p.pid") == F.col("c.pid")) & (F.col("p.id") == F.col("c.id")), "full_outer")
+    sides = both(previous, current, ["pid", "id"])
     moved = [~F.col(f"p.{f}").eqNullSafe(F.col(f"c.{f}")) for f in fields]
     pairs = F.filter(
         F.array(*[F.when(
@@ -95,9 +114,9 @@ def record_moves(previous: DataFrame, current: DataFrame, fields: tuple[str, ...
         F.array_sort(F.array_except(F.map_keys(f"{of}.files"), F.map_keys(f"{other}.files"))),
         lambda d: F.try_element_at(F.col(f"{of}.files"), d)
     )
-    out = both.select(
-        F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.id", "c.id").alias("id"),
-        F.when(F.col("p.pid").isNull(), "added").when(F.col("c.pid").isNull(), "removed").otherwise("changed").alias("move"),
+    out = sides.select(
+        "pid", "id",
+        F.when(F.col("p").isNull(), "added").when(F.col("c").isNull(), "removed").otherwise("changed").alias("move"),
         F.coalesce("c.title", "p.title").alias("title"), pairs.alias("fields"), names("c", "p").alias("files_added"), names("p", "c").alias("files_removed"), (moved[0]).alias("_dated"),
     )
     touched = (F.size("files_added") > 0) | (F.size("files_removed") > 0)
@@ -134,17 +153,19 @@ def unreadable_state(gaps: DataFrame) -> DataFrame:
 
 def key_moves(previous: DataFrame, current: DataFrame) -> DataFrame:
     """By item: sorted keys added and removed, and the number kept. Both sides: pid, key, distinct."""
-    p, c = previous.select("pid", "key").alias("p"), current.select("pid", "key").alias("c")
-    both = p.join(c, (F.col("p.pid") == F.col("c.pid")) & (F.col("p.key") == F.col("c.key")), "full_outer").select(
-        F.coalesce("p.pid", "c.pid").alias("pid"), F.coalesce("p.key", "c.key").alias("key"), F.col("p.pid").isNotNull().alias("was"), F.col("c.pid").isNotNull().alias("now")
-    )
-    return both.groupBy("pid").agg(
+    return keys_of(previous, current).groupBy("pid").agg(
         F.array_sort(F.collect_list(F.when(F.col("now") & ~F.col("was"), F.col("key")))).alias("added"),
         F.array_sort(F.collect_list(F.when(F.col("was") & ~F.col("now"), F.col("key")))).alias("removed"),
         F.count_if(F.col("was") & F.col("now")).alias("carried_over"), F.count_if("now").alias("now"),
     )
 
 
+def keys_of(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """Rows (pid, key, was, now): on which sides each key is."""
+    rows = _stacked(previous, current, ["pid", "key"], lambda now: [F.lit(now).alias("here")])
+    return rows.agg(F.bool_or(~F.col("here")).alias("was"), F.bool_or("here").alias("now")).withColumnsRenamed({"_pid": "pid", "_key": "key"})
+
+
 def diff(previous: dict[str, DataFrame], current: dict[str, DataFrame]) -> DataFrame:
     """One change record for each item of ``current``. States hold heads, facts, records, documents and unreadable.
 
@@ -167,7 +188,7 @@ def diff(previous: dict[str, DataFrame], current: dict[str, DataFrame]) -> DataF
     counts = current["records"].groupBy("pid").agg(F.count("*").alias("n_records"))
     out = items
     for part in (facts, records, docs, gaps, counts):
-        out = out.join(part, "pid", "left")
+        out = joined(out, part, "left")
     lists = ["facts", "records_added", "records_removed", "records_changed", "documents_added", "documents_removed", "unreadable_added", "unreadable_removed"]
     kinds = dict(out.dtypes)
     for name in lists:
@@ -197,6 +218,13 @@ def documents_to_send(changes: DataFrame, documents: DataFrame) -> DataFrame:
     return documents.select("pid", "key").join(wanted, "pid").filter(F.col("whole") | F.array_contains("wanted", F.col("key"))).select("pid", "key")
 
 
+def sendable(previous: dict[str, DataFrame], current: dict[str, DataFrame]) -> DataFrame:
+    """:func:`documents_to_send` straight from two states: of their tables only heads and documents are read."""
+    items = heads(previous["heads"], current["heads"]).select("pid", (F.col("new") | F.col("reextracted")).alias("whole"))
+    keys = keys_of(previous["documents"], current["documents"]).filter("now")
+    return joined(keys, items).filter(F.col("whole") | ~F.col("was")).select("pid", "key")
+
+
 def summary(changes: DataFrame) -> DataFrame:
     """One small row for each change record; of a new item only its documents."""
     old = F.col("status") != "new"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import diff, extract, keyed, links, packs, pages, planning, scans
+from ..operators import buckets, diff, extract, keyed, links, packs, pages, planning, scans
 from . import demo_views as D
 
 QUERIES: dict = {}
@@ -331,9 +331,20 @@ def record_diff_silent(spark, sf):
     )
 
 
-def _changes(spark, sf):
+#: Names of the states that sessions have stored, by application and folder.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _two_states(spark, sf) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Yesterday's state as bucketed tables, written the first time that it is asked for, and today's dealt out alike."""
     previous, current = D.states(spark, sf)
-    return diff.diff(previous, current), current["documents"]
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _STORED:
+        name = buckets.new_name("yesterday")
+        buckets.save(previous, name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _STORED[place] = name
+    name = _STORED[place]
+    return buckets.load(spark, name), buckets.dealt(current, buckets.buckets_of(spark, name))
 
 
 _STATES = f"""{_FACTS}, {_RECORDS},
@@ -357,20 +368,20 @@ _STATES = f"""{_FACTS}, {_RECORDS},
  CASE WHEN NOT new THEN CAST(silent AS INTEGER) END AS silent_records FROM t""")
 def change_summary(spark, sf):
     """Facts, records, documents and unreadable files of customers, between two states."""
-    return diff.summary(_changes(spark, sf)[0])
+    return diff.summary(diff.diff(*_two_states(spark, sf)))
 
 
 @query(f"WITH {_STATES} SELECT ds.pid, ds.key FROM ds JOIN h USING (pid) WHERE now AND (new OR reextracted OR NOT was)")
 def docs_to_send(spark, sf):
-    changes, documents = _changes(spark, sf)
-    return diff.documents_to_send(changes, documents)
+    """Documents of customers to deliver: of items that are new or extracted anew all, else those that yesterday had not."""
+    return diff.sendable(*_two_states(spark, sf))
 
 
 @query(f"""WITH {_STATES} SELECT count(*) FILTER (status = 'new') AS new, count(*) FILTER (status = 'changed') AS changed, count(*) FILTER (status = 'unchanged') AS unchanged,
  CAST(sum(CASE WHEN new OR reextracted THEN docs ELSE added END) AS BIGINT) AS sent, CAST(sum(CASE WHEN new OR reextracted THEN 0 ELSE carried END) AS BIGINT) AS carried FROM t""")
 def delivery_tallies(spark, sf):
-    changes, documents = _changes(spark, sf)
-    return planning.delivery_tallies(changes, diff.documents_to_send(changes, documents))
+    previous, current = _two_states(spark, sf)
+    return planning.delivery_tallies(diff.diff(previous, current), diff.sendable(previous, current))
 
 
 # ---------------------------------------------------------------- planning and reconciliation
