@@ -21,14 +21,14 @@ KEYS = {"heads": [], "facts": ["field"], "records": ["id"], "documents": ["key"]
 ITEM = "pid"
 
 
-def dealt(state: dict[str, DataFrame], buckets: int) -> dict[str, DataFrame]:
-    """The tables of a state dealt to ``buckets`` partitions of their items, as bucketed tables are."""
-    return {name: df.repartition(buckets, ITEM) for name, df in state.items()}
+def dealt(state: dict[str, DataFrame], buckets: int, there: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The tables of a state dealt to ``buckets`` partitions of their items, as bucketed tables are; those ``there`` are so already."""
+    return {name: df if name in there else df.repartition(buckets, ITEM) for name, df in state.items()}
 
 
-def save(state: dict[str, DataFrame], name: str, buckets: int, path: str | None = None) -> None:
+def save(state: dict[str, DataFrame], name: str, buckets: int, path: str | None = None, there: tuple[str, ...] = ()) -> None:
     """Write a state's tables as ``<name>_<table>``, each bucket one file, below ``path`` or in the shared scratch folder."""
-    for kind, df in dealt(state, buckets).items():
+    for kind, df in dealt(state, buckets, there).items():
         spark = df.sparkSession
         at = f"{path.rstrip('/')}/{kind}" if path else scratch(spark, f"state-{kind}")
         df.write.bucketBy(buckets, ITEM).sortBy(ITEM, *KEYS[kind]).option("path", at).format("parquet").saveAsTable(f"{name}_{kind}")

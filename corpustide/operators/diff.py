@@ -141,8 +141,8 @@ def document_state(entries: DataFrame) -> DataFrame:
         F.col("record_title").alias("record"), F.nullif(F.col("record_id").cast("string"), F.lit("")).alias("record_id"),
         F.col("markdown_chars").alias("chars"), "pos"
     )
-    whole = F.struct(*[F.col(c) for c in out.columns])
-    return out.groupBy("pid", "key").agg(F.max_by(whole, "pos").alias("r")).select("r.*").drop("pos")
+    values = [c for c in out.columns if c not in ("pid", "key", "pos")]
+    return out.groupBy("pid", "key").agg(*[F.max_by(c, "pos").alias(c) for c in values])  # by column, so that those not asked for are never read
 
 
 def unreadable_state(gaps: DataFrame) -> DataFrame:

@@ -331,20 +331,19 @@ def record_diff_silent(spark, sf):
     )
 
 
-#: Names of the states that sessions have stored, by application and folder.
-_STORED: dict[tuple[str, str], str] = {}
+#: Names of the states that sessions have stored, by application and folder, and which of their tables are there.
+_STORED: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
-def _two_states(spark, sf) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Yesterday's state as bucketed tables, written the first time that it is asked for, and today's dealt out alike."""
-    previous, current = D.states(spark, sf)
-    place = (spark.sparkContext.applicationId, sf)
-    if place not in _STORED:
-        name = buckets.new_name("yesterday")
-        buckets.save(previous, name, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        _STORED[place] = name
-    name = _STORED[place]
-    return buckets.load(spark, name), buckets.dealt(current, buckets.buckets_of(spark, name))
+def _two_states(spark, sf, kinds=tuple(buckets.KEYS)) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Tables of yesterday's state in buckets, each written the first time that it is asked for, and today's dealt out alike."""
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, there = _STORED.setdefault((spark.sparkContext.applicationId, sf), (buckets.new_name("yesterday"), set()))
+    count = buckets.buckets_of(spark, name) if "heads" in there else count
+    previous, current = D.states(spark, sf, lambda rows: rows.repartition(count, "pid"))
+    buckets.save({kind: previous[kind] for kind in kinds if kind not in there}, name, count, there=D.DEALT)
+    there.update(kinds)
+    return buckets.load(spark, name, kinds), buckets.dealt({kind: current[kind] for kind in kinds}, count, D.DEALT)
 
 
 _STATES = f"""{_FACTS}, {_RECORDS},
@@ -374,7 +373,7 @@ def change_summary(spark, sf):
 @query(f"WITH {_STATES} SELECT ds.pid, ds.key FROM ds JOIN h USING (pid) WHERE now AND (new OR reextracted OR NOT was)")
 def docs_to_send(spark, sf):
     """Documents of customers to deliver: of items that are new or extracted anew all, else those that yesterday had not."""
-    return diff.sendable(*_two_states(spark, sf))
+    return diff.sendable(*_two_states(spark, sf, ("heads", "documents")))
 
 
 @query(f"""WITH {_STATES} SELECT count(*) FILTER (status = 'new') AS new, count(*) FILTER (status = 'changed') AS changed, count(*) FILTER (status = 'unchanged') AS unchanged,

@@ -7,9 +7,13 @@ branch of the comparison is reached. Every row is in one state at least.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import scratch
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,14 +71,30 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept(rows: DataFrame, name: str, sf_dir: str) -> DataFrame:
+    """``rows`` as a file of the shared scratch folder, written once by an application for a folder of tables: digests are
+    taken when a file is downloaded, not again at each comparison."""
+    spark = rows.sparkSession
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _KEPT:
+        path = scratch(spark, name)
+        rows.write.parquet(path)
+        _KEPT[place] = path
+    return spark.read.schema(rows.schema).parquet(_KEPT[place])
+
+
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
 def records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(previous, current) records, of orders and their line items: pid, id, publish_date, title, type_code, section, withheld, files (map)."""
     o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
     files = l.select("l_orderkey", own.alias("d"), F.concat(F.lit("f"), F.col("l_linenumber").cast("string")).alias("n"))
-    by = files.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.struct("d", "n"))).alias("fs"))
+    by = files.groupBy("l_orderkey").agg(F.array_distinct(F.array_sort(F.collect_list(F.struct("d", "n")))).alias("fs"))
     rows = o.join(by, o["o_orderkey"] == by["l_orderkey"], "left").withColumn("fs", F.coalesce("fs", F.array().cast("array<struct<d: string, n: string>>")))
-    key = digit(F.col("o_orderkey"))
+    rows = kept(rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "fs", digit(F.col("o_orderkey")).alias("digit")), "records", sf_dir)
+    key = F.col("digit")
 
     def shape(df: DataFrame, date: Column, title: Column, keep: Column) -> DataFrame:
         return df.select(
@@ -113,9 +133,14 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     return wide(base), wide(base | edits), old, new
 
 
-def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+#: Tables of :func:`states` that its ``deal`` has put in place.
+DEALT = ("documents", "unreadable")
+
+
+def states(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(previous, current) whole states, of customers: heads, facts, records (orders), documents and unreadable files (line items).
 
+    ``deal`` puts rows (pid, ...) where they are to lie before documents are told apart by their keys.
     A customer whose digest has 0 in its fifth place is new, one with 0 or 1 in its sixth was extracted by another tool.
     """
     wide_was, wide_now, old, new = facts(spark, sf_dir)
@@ -130,6 +155,7 @@ def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict
         F.concat(F.lit("a/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("source"),
         (F.col("l_quantity") > 45).alias("unread"), F.col("l_quantity").cast("long").alias("n")
     )
+    lines = kept(lines, "lines", sf_dir)
     at = lambda k: F.substring("d", k, 1)
 
     def side(heads: DataFrame, wide: DataFrame, recs: DataFrame, gone: str, fixed: str, cut) -> dict[str, DataFrame]:
@@ -148,7 +174,7 @@ def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict
         )
         return {
             "heads": cut(heads), "facts": diff.long_facts(cut(wide)), "records": cut(recs),
-            "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps_)
+            "documents": diff.document_state(deal(entries)), "unreadable": diff.unreadable_state(deal(gaps_))
         }
 
     return side(old, wide_was, records_was, "1", "x", known), side(items_now, wide_now, records_now, "2", "0", lambda df: df)
