@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import values as V
 from ..operators import buckets, diff, extract, keyed, links, packs, pages, planning, scans
+from ..sources import delivery
+from ..sources.files import scratch
 from . import demo_views as D
 
 QUERIES: dict = {}
@@ -383,6 +385,30 @@ def delivery_tallies(spark, sf):
     return planning.delivery_tallies(diff.diff(previous, current), diff.sendable(previous, current))
 
 
+@query(f"""WITH {_ITEMS}, t AS (SELECT pid, 'doc/' || substr(sha256(s || chr(10) || 'a/' || doc_id), 1, 16) || '.md' AS path, s AS sha256, strlen(text) AS bytes, doc_id FROM (SELECT doc.*, text FROM doc JOIN documents USING (doc_id)) WHERE substr(s, 1, 1) <> '7' OR s IS NULL
+  UNION ALL SELECT pid, 'doc/' || substr(sha256(e || chr(10) || 'a/' || doc_id), 1, 16) || '.md', e, strlen(text) + 1, doc_id FROM (SELECT doc.*, text FROM doc JOIN documents USING (doc_id)) WHERE substr(s, 1, 1) = '7')
+ SELECT b.pid, t.path, t.sha256, t.bytes, CASE WHEN h.new OR h.reextracted OR NOT b.was THEN 'second' ELSE 'first' END AS run, true AS whole FROM b JOIN h USING (pid) JOIN t ON t.pid = b.pid AND t.path = 'doc/' || b.key || '.md' WHERE b.now""")
+def delivered_documents(spark, sf):
+    """Two deliveries of documents, the second on top of the first: what its manifest names, and whether the files read back are whole.
+
+    The first has the previous state's documents; the second writes those to send only, and names the run that wrote the others.
+    """
+    root = scratch(spark, "delivery")
+    d = D.table(spark, sf, "documents").select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("source"), "text")
+    before, after = D.items(spark, sf)
+    old, new = _document_states(spark, sf)
+
+    def files(state: DataFrame, text) -> DataFrame:
+        return state.join(d, "source").select("pid", "key", F.concat(F.lit("doc/"), "key", F.lit(".md")).alias("path"), F.encode(text, "utf-8").alias("content"))
+
+    edited = F.when(F.substring(F.sha2("text", 256), 1, 1) == "7", F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    delivery.deliver(spark, root, "first", [("documents", files(old, F.col("text")))])
+    today = files(new, edited)
+    send = diff.sendable({"heads": before, "documents": old}, {"heads": after, "documents": new})
+    delivery.deliver(spark, root, "second", [("documents", today.join(send, ["pid", "key"], "left_semi"))], keep=today.select("pid", "path"))
+    return delivery.contents(spark, root).select("pid", "path", "sha256", "bytes", "run", "whole")
+
+
 # ---------------------------------------------------------------- planning and reconciliation
 
 

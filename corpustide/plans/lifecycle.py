@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import values as V
 from ..operators import diff, extract, keyed, links, packs, pages, planning, scans
+from ..sources import delivery as atomic
 from ..sources import fetch as downloads
 from ..sources import publish
 
@@ -182,6 +183,14 @@ def publish_delivery(root: str, run: str, delivery: dict[str, DataFrame], texts:
     publish.publish(root, run, packs.delivered(documents).select("pid", "path", "content"), seen, delivery["summary"], delivery["changes"], shard)
 
 
+def publish_whole(spark: SparkSession, root: str, run: str, delivery: dict[str, DataFrame], texts: DataFrame, seen: DataFrame, shard: int | None = None) -> dict:
+    """As :func:`publish_delivery`, to any store and visible all at once (see :mod:`corpustide.sources.delivery`): the new version.
+    What was delivered before and is not written again stays."""
+    documents = texts.join(delivery["send"], ["pid", "key"], "left_semi").join(delivery["refreshed"].select("pid"), "pid", "left_semi")
+    rows = packs.delivered(documents).select("pid", "path", "content")
+    return atomic.deliver(spark, root, run, atomic.files_of(run, rows, seen, delivery["summary"], delivery["changes"], shard))
+
+
 def index_entries(facts: DataFrame, entries: DataFrame, gaps: DataFrame, addresses: DataFrame) -> DataFrame:
     """One index row for each item: its facts in short, its documents with their addresses, and what could not be read."""
     key = C.document_key(F.col("original_sha256"), F.col("source"))
