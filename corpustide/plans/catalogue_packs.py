@@ -294,6 +294,70 @@ def stream_seen(spark, sf):
     return _streamed(spark, runs.seen(e), "seen").groupBy("pid").agg(last("first_seen"), last("last_seen"), last("last_change"))
 
 
+#: Events in seven files: five of six days each, every tenth event two files later than its own time.
+_FILES = """f AS (SELECT *, least((day(ts) - 1) // 6, 4) + CASE WHEN event_id % 10 = 3 THEN 2 ELSE 0 END AS file FROM events)"""
+
+
+def _put_files(spark: SparkSession, sf: str, at: str, which: range = range(7)) -> DataFrame:
+    """Some of seven files of the events table below a folder, in the order that they came, some events late; and a stream of them, one a batch."""
+    e = D.table(spark, sf, "events")
+    file = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4)) + F.when(F.col("event_id") % 10 == 3, 2).otherwise(0)
+    rows = e.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    for k in which:  # a stream takes files by the time at which they were written
+        rows.filter(file == k).coalesce(1).write.mode("append").parquet(at)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(at)
+
+
+#: A batch drops days that ended before the watermark that held when the batch before it began: a day behind the newest event of all files before that.
+_LATE = f"""{_FILES}, m AS (SELECT file, max(max(ts)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 1 DAY AS mark FROM f GROUP BY file),
+ l AS (SELECT f.*, CAST(ts AS DATE) AS day, coalesce(CAST(ts AS DATE) + INTERVAL 1 DAY <= date_trunc('millisecond', mark), false) AS late FROM f JOIN m USING (file))"""
+
+
+@query(f"WITH {_LATE} SELECT day, event_type, count(*) AS n FROM l WHERE NOT late GROUP BY 1, 2")
+def stream_late_days(spark, sf):
+    """Events by day and kind over a stream of several files, a day's patience: those that come later are not counted."""
+    rows = _streamed(spark, runs.per_day(_put_files(spark, sf, files.scratch(spark, "late")).withWatermark("ts", "1 day"), "ts", "event_type"), "late-days")
+    return rows.groupBy("day", "event_type").agg(F.max_by("n", "batch").alias("n"))
+
+
+@query(f"WITH {_LATE} SELECT CAST(file AS BIGINT) AS batch, count(DISTINCT (day, event_type)) AS dropped FROM l WHERE late GROUP BY 1")
+def stream_dropped(spark, sf):
+    """What each batch of the same stream dropped as too late, from the stream's progress: rows of days and kinds, summed before they meet the state."""
+    told = runs.Dropped()
+    spark.streams.addListener(told)
+    try:
+        _streamed(spark, runs.per_day(_put_files(spark, sf, files.scratch(spark, "dropped")).withWatermark("ts", "1 day"), "ts", "event_type"), "dropped-days")
+        told.ended.wait(60)
+    finally:
+        spark.streams.removeListener(told)
+    return spark.createDataFrame([(b, n) for b, n in told.by_batch.items() if n], "batch long, dropped long")
+
+
+@query(f"""WITH r AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events WHERE event_id % 10 <> 3),
+ s AS (SELECT *, count(*) FILTER (before IS NULL OR date_trunc('millisecond', ts) > date_trunc('millisecond', before) + INTERVAL 48 HOUR) OVER (PARTITION BY user_id ORDER BY event_id) AS spell FROM r)
+ SELECT CAST(user_id AS VARCHAR) AS pid, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_seen, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_seen, CAST(max_by(CAST(ts AS DATE), event_id) FILTER (WHERE event_type <> 'view') AS VARCHAR) AS last_change,
+  epoch_ms(max(ts)) + 48 * 3600000 < (SELECT epoch_ms(max(ts)) FROM r) AS forgotten FROM (SELECT *, max(spell) OVER (PARTITION BY user_id) AS latest FROM s) WHERE spell = latest GROUP BY user_id""")
+def stream_forgotten(spark, sf):
+    """Items over a stream of several files that ended and was started again; an item not seen for two days leaves the state."""
+    import datetime
+
+    source, at, out = (files.scratch(spark, name) for name in ("forgotten", "progress", "forgotten-rows"))
+    write = lambda df, n: df.withColumn("batch", F.lit(n).cast("long")).write.mode("append").parquet(out)
+    for which in (range(3), range(3, 7)):  # the second stream goes on from the first one's state
+        events = _put_files(spark, sf, source, which).filter("event_id % 10 <> 3")
+        rows = runs.seen_lately(
+            events.select(
+                F.col("user_id").cast("string").alias("pid"), F.to_utc_timestamp("ts", F.current_timezone()).cast("date").cast("string").alias("date"),
+                F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "unchanged").otherwise("changed").alias("status"), F.col("ts").alias("stamp")
+            ),
+            datetime.timedelta(days=2)
+        )
+        rows.writeStream.outputMode("update").option("checkpointLocation", at).foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    told = spark.read.schema(StructType([*rows.schema.fields, StructField("batch", LongType())])).parquet(out)
+    # a batch in which an item comes and goes says both
+    return told.groupBy("pid").agg(F.max_by(F.struct("first_seen", "last_seen", "last_change", "forgotten"), F.struct("batch", "forgotten")).alias("r")).select("pid", "r.*")
+
+
 @query("SELECT * FROM (VALUES (1, 'present'), (2, 'stale'), (3, 'present'), (4, 'missing')) t(shard, state)")
 def shard_states(spark, sf):
     """Each expected shard as present, stale or missing; an index without a run counts as present."""

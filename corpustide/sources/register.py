@@ -7,14 +7,13 @@ from __future__ import annotations
 
 import importlib
 import json
-import os
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from ..functions import values as V
 
@@ -87,61 +86,37 @@ class Register(DataSource):
         return RegisterReader(self.options)
 
 
-class WalkReader(DataSourceStreamReader):
-    """Pages of consecutive ids; the offset is the frontier id. A batch takes ``batch`` ids, and none after a run of misses.
+class WalkReader(SimpleDataSourceStreamReader):
+    """Pages of consecutive ids; a batch takes ``batch`` ids, and none after a run of misses.
 
-    Spark does not tell a reader the offset that it committed, so the frontier is kept in the folder ``state``: a name
-    for each planned batch, made when it is planned, which is after its offset was logged. A restarted reader goes on
-    from the largest. Tasks leave there the last id of a batch that had a page, which the run of misses is counted from.
+    The offset that Spark logs and commits is all the state there is: the frontier id and the last id that had a page,
+    which the run of misses is counted from. A restarted walk goes on from the offset it is given, and a batch that was
+    logged but not committed is read again by its range of ids. The source shows one page at a time, so one reader walks.
     """
 
     def __init__(self, options: dict[str, str]):
-        self.options = dict(options)
-        self.state = self.options.get("state")
-        if not self.state:
-            raise ValueError("state must name a folder that driver and tasks share, kept as long as the checkpoint")
-        os.makedirs(self.state, exist_ok=True)
-        self.start, self.end = int(self.options.get("start", 1)), int(self.options.get("end", 2**62))
-        self.misses = int(self.options.get("misses", 40))
-
-    def _kept(self, kind: str) -> list[int]:
-        return [int(name.partition("-")[2]) for name in os.listdir(self.state) if name.startswith(f"{kind}-")]
-
-    def _keep(self, kind: str, number: int) -> None:
-        os.close(os.open(os.path.join(self.state, f"{kind}-{number}"), os.O_CREAT | os.O_WRONLY))
+        self.page = transport(options["transport"])
+        self.start, self.end = int(options.get("start", 1)), int(options.get("end", 2**62))
+        self.size, self.misses = int(options.get("batch", 100)), int(options.get("misses", 40))
 
     def initialOffset(self) -> dict:
-        return {"id": self.start}
-
-    def latestOffset(self) -> dict:
-        at = max(self._kept("planned"), default=self.start)
-        last = max(self._kept("hit"), default=self.start - 1)
-        if at - 1 - last >= self.misses:
-            return {"id": at}  # the walk has ended
-        return {"id": min(at + int(self.options.get("batch", 100)), self.end)}
+        return {"id": self.start, "hit": self.start - 1}
 
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        self._keep("planned", end["id"])
-        return [InputPartition((start["id"], end["id"]))] if end["id"] > start["id"] else []
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        page = transport(self.options["transport"])
-        last = None
-        for pid in range(*partition.value):
-            found = page(pid)
-            last = pid if found is not None else last
-            yield (pid, found)
-        if last is not None:
-            self._keep("hit", last)
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        at, hit, rows = start["id"], start["hit"], []
+        if at - 1 - hit < self.misses:  # else the walk has ended
+            for pid in range(at, min(at + self.size, self.end)):
+                found = self.page(pid)
+                hit = pid if found is not None else hit
+                rows.append((pid, found))
+        return iter(rows), {"id": at + len(rows), "hit": hit}
 
-    def commit(self, end: dict) -> None:
-        for kind in ("planned", "hit"):
-            for old in sorted(self._kept(kind))[:-1]:
-                os.remove(os.path.join(self.state, f"{kind}-{old}"))
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        return ((pid, self.page(pid)) for pid in range(start["id"], end["id"]))
 
 
 class Walk(DataSource):
-    """``spark.readStream.format("walk")``: pid, html (null where nothing is published). Options: transport, state, start, end, batch, misses."""
+    """``spark.readStream.format("walk")``: pid, html (null where nothing is published). Options: transport, start, end, batch, misses."""
 
     @classmethod
     def name(cls) -> str:
@@ -150,7 +125,7 @@ class Walk(DataSource):
     def schema(self) -> str:
         return "pid long, html string"
 
-    def streamReader(self, schema) -> DataSourceStreamReader:
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return WalkReader(self.options)
 
 

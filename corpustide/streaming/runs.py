@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 
 def deduplicated(notices: DataFrame, key: str, stamp: str, late: str = "3 days") -> DataFrame:
@@ -24,22 +26,94 @@ def per_day(notices: DataFrame, stamp: str, kind: str) -> DataFrame:
     return counts.select(start.cast("date").alias("day"), kind, "n")
 
 
-_SEEN = "first_seen string, last_seen string, last_change string, seq long"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SEEN = "first_seen string, last_seen string, last_change string, seq long, until long"
+_OUT = "pid string, first_seen string, last_seen string, last_change string"
 
 
-def seen(runs: DataFrame) -> DataFrame:
-    """first_seen, last_seen and last_change of each item over a stream of runs (pid, date, seq, status), as they come."""
+class _Seen(StatefulProcessor):
+    """State of one item: when it was first and last seen, when it last changed, the last run's number, and when it is forgotten."""
+
+    def __init__(self, forget: int | None):
+        self.forget = forget  # milliseconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("seen", _SEEN)
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, last, change, at = state.get if state.exists else (None, None, None, -1)
-        rows = pd.concat(list(batches)).sort_values("seq")
-        for date, seq, status in zip(rows["date"], rows["seq"], rows["status"]):
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first, last, change, at, until = self.state.get() if self.state.exists() else (None, None, None, -1, None)
+        before = until
+        batch = pd.concat(list(rows)).sort_values("seq")
+        stamps = batch["stamp"] if self.forget else [None] * len(batch)
+        for date, seq, status, stamp in zip(batch["date"], batch["seq"], batch["status"], stamps):
             if seq <= at:
                 continue  # a run that was replayed
+            now = int(stamp.timestamp() * 1000) if self.forget else None
+            if until is not None and now > until:
+                first = change = None  # forgotten before this run, whether or not its timer has gone off
             first, last, at = first or date, date, int(seq)
             change = date if status != "unchanged" else change
-        state.update((first, last, change, at))
-        yield pd.DataFrame({"pid": [key[0]], "first_seen": [first], "last_seen": [last], "last_change": [change]})
+            until = now + self.forget if self.forget else None
+        self.state.update((first, last, change, at, until))
+        if until != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(until)
+        yield self._row(key, first, last, change, False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        first, last, change, _, _ = self.state.get()
+        self.state.clear()
+        yield self._row(key, first, last, change, True)
+
+    def _row(self, key: tuple, first, last, change, gone: bool) -> pd.DataFrame:
+        row = {"pid": [key[0]], "first_seen": [first], "last_seen": [last], "last_change": [change]}
+        return pd.DataFrame(row | {"forgotten": [gone]} if self.forget else row)
+
+    def close(self) -> None:
+        """Nothing is held beside the state."""
+
+
+def seen(runs: DataFrame) -> DataFrame:
+    """first_seen, last_seen and last_change of each item over a stream of runs (pid, date, seq, status), as they come; kept for ever.
+
+    State lies in RocksDB, beside the JVM's heap: the session's provider is set to it.
+    """
+    return _kept(runs, None, "None")
+
+
+def seen_lately(runs: DataFrame, forget: timedelta, late: str = "0 seconds") -> DataFrame:
+    """As :func:`seen` with runs' times (stamp), of items seen within ``forget``: one that is not seen for longer leaves the state
+    (a last row, ``forgotten``) when the watermark, ``late`` behind the newest run, has passed it; seen again it is a new one.
+
+    What an item's rows say does not depend on how runs are cut into batches: a run that comes after the time is up counts as
+    the first, though no timer has gone off. Runs that are later than the watermark are dropped.
+    """
+    return _kept(runs.withWatermark("stamp", late), int(forget.total_seconds() * 1000), "EventTime")
+
+
+def _kept(runs: DataFrame, forget: int | None, mode: str) -> DataFrame:
+    runs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    schema = _OUT + (", forgotten boolean" if forget else "")
+    return runs.groupBy("pid").transformWithStateInPandas(_Seen(forget), schema, "Update", mode)
+
+
+class Dropped(StreamingQueryListener):
+    """Counts what a stream's stateful operators dropped as too late, by batch, from the progress that Spark reports."""
+
+    def __init__(self) -> None:
+        self.by_batch: dict[int, int] = {}
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        """Nothing has been dropped yet."""
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.by_batch[p.batchId] = sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        """An idle stream drops nothing."""
 
-    out = "pid string, first_seen string, last_seen string, last_change string"
-    return runs.groupBy("pid").applyInPandasWithState(step, out, _SEEN, "update", GroupStateTimeout.NoTimeout)
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()

@@ -392,14 +392,12 @@ def _walk_live(pid):
 
 
 def test_walk_stream(spark, tmp_path):
-    """A stream over ids goes on after a restart where it stopped, reads none twice, and ends after a run of misses."""
+    """A stream over ids goes on after a restart where its checkpoint says, reads none twice, and ends after a run of misses."""
     register.install(spark)
     got = {}  # by batch, as one that was broken off before it was committed runs again
 
     def start():
-        pages = spark.readStream.format("walk").options(
-            transport="test_parts:_walk_live", state=str(tmp_path / "state"), start="1", batch="20", misses="40"
-        ).load()
+        pages = spark.readStream.format("walk").options(transport="test_parts:_walk_live", start="1", batch="20", misses="40").load()
         return pages.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda df, n: got.update({n: [r["pid"] for r in df.collect()]})).start()
 
     import time
@@ -415,8 +413,44 @@ def test_walk_stream(spark, tmp_path):
     q.stop()
     read = [pid for n in sorted(got) for pid in got[n]]
     assert read == list(range(1, len(read) + 1)) and 240 + 38 <= len(read) <= 300
-    with pytest.raises(Exception):
-        spark.readStream.format("walk").options(transport="test_parts:_walk_live").load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp2")).start().processAllAvailable()
+    q = start()  # a walk that has ended reads nothing more
+    q.processAllAvailable()
+    q.stop()
+    assert [pid for n in sorted(got) for pid in got[n]] == read
+
+
+def test_walk_replays_a_batch():
+    """The offset holds all that a walk knows: the same one gives the same rows, and a range is read again as it was."""
+    reader = register.WalkReader({"transport": "test_parts:_walk_live", "start": "5", "batch": "50", "misses": "40", "end": "70"})
+    rows, end = reader.read(reader.initialOffset())
+    rows = list(rows)
+    again = register.WalkReader({"transport": "test_parts:_walk_live", "start": "1", "batch": "7"})
+    assert [p for p, _ in rows] == list(range(5, 55)) and end["id"] == 55 and list(again.readBetweenOffsets({"id": 5}, end)) == rows
+    assert [p for p, _ in reader.read(end)[0]] == list(range(55, 70)) and list(reader.read({"id": 100, "hit": 60})[0]) == []
+    assert reader.read({"id": 100, "hit": 60})[1] == {"id": 100, "hit": 60}
+
+
+def test_forgotten_items(spark, tmp_path):
+    """An item leaves the state when its time is up, and is new when it comes again, in whatever batches."""
+    import datetime
+
+    from corpustide.streaming import runs
+
+    day = lambda n: datetime.datetime(2026, 1, n)
+    one = [("a", "d1", 1, "new", day(1)), ("b", "d1", 2, "new", day(1))]
+    two = [("b", "d9", 3, "unchanged", day(9)), ("c", "d20", 4, "new", day(20))]
+    three = [("a", "d21", 5, "unchanged", day(21)), ("c", "d21", 4, "changed", day(21))]
+    schema = "pid string, date string, seq long, status string, stamp timestamp"
+    for k, batches in enumerate(([one, two, three], [one + two + three])):
+        got, at = {}, str(tmp_path / f"in{k}")
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(at)
+            q = runs.seen_lately(spark.readStream.schema(schema).parquet(at), datetime.timedelta(days=5)).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / f"cp{k}"))
+            seen = []
+            q.foreachBatch(lambda df, n: seen.extend(df.collect())).trigger(availableNow=True).start().awaitTermination()
+            for r in sorted(seen, key=lambda r: r["forgotten"]):
+                got[r["pid"]] = tuple(r)[1:]
+        assert got == {"a": ("d21", "d21", None, False), "b": ("d9", "d9", None, True), "c": ("d20", "d20", "d20", False)}
 
 
 def test_streams(spark, tmp_path):
