@@ -17,12 +17,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_names, stored
+from .common import all_of, free_names, named, stored
 
 #: Ways and rounds of the search: the exponent is found to about 1e-7.
 WAYS, ROUNDS = 32, 5
 #: Rows of a fine range, about.
 RANGE = 100
+#: Largest exponent tried.
+STEEPEST = 64.0
 
 
 def count_tokens(text: Column) -> Column:
@@ -30,19 +32,30 @@ def count_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def measure(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
-    """(exponent, entropy, repetition of the most repeated source while the largest share is read once) for each exponent. shares: column p."""
+def measure(shares: DataFrame, exponents: list[float], readings: float | None = None) -> list[tuple[float, float, float]]:
+    """(exponent, entropy, repetition) for each exponent; repetition is of the source that is read most often. shares: column p.
+
+    With ``readings``, the budget as a multiple of all tokens, each source is read its weight's part of that; without, as
+    often as it is while the largest source is read once.
+    """
     largest = F.lit(shares.agg(F.max("p")).first()[0])
     x = shares.select("p", F.explode(F.array(*[F.lit(float(a)) for a in exponents])).alias("a"))
-    x = x.select("a", F.log("p").alias("l"), F.exp(F.col("a") * F.log("p")).alias("q"), F.exp((F.col("a") - 1) * F.log(F.col("p") / largest)).alias("r"))
+    read = F.exp((F.col("a") - 1) * F.log(F.col("p") / (largest if readings is None else F.lit(1.0))))
+    x = x.select("a", F.log("p").alias("l"), F.exp(F.col("a") * F.log("p")).alias("q"), read.alias("r"))
     rows = x.groupBy("a").agg(F.sum("q").alias("z"), F.sum(F.col("q") * F.col("l")).alias("s"), F.max("r").alias("r")).collect()  # a row for each exponent
-    return sorted((r["a"], math.log(r["z"]) - r["a"] * r["s"] / r["z"], r["r"]) for r in rows)
+    return sorted((r["a"], math.log(r["z"]) - r["a"] * r["s"] / r["z"], r["r"] if readings is None else r["r"] / r["z"] * readings) for r in rows)
 
 
-def find_exponent(shares: DataFrame, entropy: float | None, repetition: float | None, flatten: float = 0.5) -> float:
-    """Smallest exponent that keeps to both bounds. Without ``entropy``, its target lies ``flatten`` of the way from the present one to the largest."""
+def find_exponent(
+    shares: DataFrame, entropy: float | None, repetition: float | None, flatten: float = 0.5, readings: float | None = None
+) -> float:
+    """Smallest exponent that keeps to both bounds: between 0 and 1, or above 1 for an entropy below the present one.
+
+    Without ``entropy``, its target lies ``flatten`` of the way from the present one to the largest. ``readings`` as in
+    :func:`measure`. Bounds that no exponent up to STEEPEST keeps to are an error that says which one.
+    """
     low, high = 0.0, 1.0
-    ends = measure(shares, [low, high])
+    ends = measure(shares, [low, high], readings)
     if entropy is None:
         entropy = ends[1][1] + flatten * (ends[0][1] - ends[1][1])
 
@@ -51,12 +64,22 @@ def find_exponent(shares: DataFrame, entropy: float | None, repetition: float |
 
     if fits(ends[0]):
         return low
+    top = ends[1]
+    while not fits(top):
+        # from 1 on a larger exponent lowers the entropy only, and reads the largest source more often
+        if top[1] <= entropy + 1e-9:
+            raise ValueError(f"no exponent keeps every source to {repetition} readings: at {top[0]} one is read {top[2]:.6g} times")
+        if top[0] >= STEEPEST:
+            raise ValueError(f"no exponent up to {STEEPEST} has an entropy of {entropy} or less: at {top[0]} it is {top[1]:.6g}")
+        low, high = high, high * 2
+        top = measure(shares, [high], readings)[0]
     for _ in range(ROUNDS):
         step = (high - low) / WAYS
-        good = [m[0] for m in measure(shares, [low + step * k for k in range(1, WAYS)]) if fits(m)]
+        good = [m[0] for m in measure(shares, [low + step * k for k in range(1, WAYS)], readings) if fits(m)]
         high = min(good, default=high)
         low = max(low, high - step)
-    return round(high, 6)
+    found = round(high, 6)
+    return found if fits(measure(shares, [found], readings)[0]) else high
 
 
 def mix(
@@ -66,15 +89,18 @@ def mix(
     """One row per document taken and time it is taken: doc_id, source, n_tokens, epoch, offset (tokens of its source
     before it), block, weight, budget (of its source), exponent, and hash of the text.
 
-    Without ``budget`` the largest source is read once, so nothing is left out. A document is taken while its source's
+    Without ``budget`` the largest source is read once, so nothing is left out. With one (tokens, of all sources together)
+    ``repetition`` bounds the readings of every source within it, the last one begun counting in part. An ``entropy`` or
+    ``repetition`` that no exponent can keep to is an error (a budget of ten times all tokens reads some source ten times
+    or more, whatever the mix). A document is taken while its source's
     budget holds all of it. Documents without tokens (null, empty) cost nothing and are taken once; null sources are
     one source, with an empty name. Rows that repeat are documents of their own, an empty table gives no rows. Other
     columns are not read.
     """
     rows = stored(
         docs.select(
-            F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"),
-            F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), count_tokens(F.col(text_col)).alias("n")
+            named(id_col).cast("long").alias("doc"), F.xxhash64(named(text_col)).alias("hash"),
+            F.coalesce(named(source_col).cast("string"), F.lit("")).alias("source"), count_tokens(named(text_col)).alias("n")
         ),
         "tokens"
     )
@@ -82,7 +108,7 @@ def mix(
     whole = rows.agg(F.sum("n")).first()[0] or 0
     empty = rows.filter("n = 0").select("doc", "hash", "source", "n", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("block"))
     totals = stored(totals.withColumn("p", F.col("total") / F.lit(float(max(1, whole)))), "totals")
-    exponent = find_exponent(totals, entropy, repetition) if whole else 1.0
+    exponent = find_exponent(totals, entropy, repetition, readings=None if budget is None else budget / whole) if whole else 1.0
     power = totals.withColumn("q", F.exp(F.lit(exponent) * F.log("p")))
     z, top_total, top_power = power.agg(F.sum("q"), F.max("total"), F.max("q")).first()
     every = budget if budget is not None else (top_total or 0) * (z or 1) / (top_power or 1)
@@ -127,8 +153,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     key_, same_, times_, nth_ = free_names(docs, "_key", "_same", "_times", "_nth")
     key = F.struct(
-        F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("hash"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source")
+        named(id_col).cast("long").alias("doc"), F.xxhash64(named(text_col)).alias("hash"),
+        F.coalesce(named(source_col).cast("string"), F.lit("")).alias("source")
     )
     taken = mix(docs, id_col, text_col, source_col, **how).groupBy(F.struct(F.col("doc_id").alias("doc"), "hash", "source").alias("key")).agg(F.count("*").alias("taken"))
     there = docs.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("rows"))
@@ -137,7 +163,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).filter(F.col(times_) > 0)
     rows = docs.withColumn(key_, key)
     joined = rows.join(each, [F.col(f"{key_}.{k}").eqNullSafe(F.col(f"{same_}.{k}")) for k in ("doc", "hash", "source")])
-    return joined.withColumn(nth_, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*docs.columns)
+    return joined.withColumn(nth_, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*all_of(docs))
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

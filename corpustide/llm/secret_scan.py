@@ -11,10 +11,12 @@ of their lengths give the starts, at any number of matches and length of text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, stored
+from .common import free_names, named, stored
 
 #: Kinds in their order: pattern of a match; group of its value; fewest characters of the value. Fixed values; the
 #: first three are the base kinds. Hex and access-key matches are runs, so asking for the length in the pattern
@@ -44,13 +46,27 @@ def _spans(text: Column, rank: int) -> Column:
         start = acc["at"] + F.char_length(pair["gap"])
         stop = start + F.char_length(pair["match"])
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), value(pair["match"]).alias("value"))
-        kept = F.when(F.char_length(span["value"]) >= least, F.concat(acc["spans"], F.array(span.cast(_SPAN)))).otherwise(acc["spans"])
-        return F.struct(stop.cast("bigint").alias("at"), kept.alias("spans"))
+        return F.struct(stop.cast("bigint").alias("at"), F.concat(acc["spans"], F.array(span.cast(_SPAN))).alias("spans"))
+
+    def later(at: Column, spans: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct((s["start"] + at).alias("start"), s["rank"].alias("rank"), (s["stop"] + at).alias("stop"), s["value"].alias("value")).cast(_SPAN))
 
     pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
     none = F.array().cast(f"array<{_SPAN}>")
-    walked = F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
+    walked = folded(
+        pairs, lambda part: F.aggregate(part, start, step), start,
+        lambda acc, part: F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["spans"], later(acc["at"], part["spans"])).alias("spans"))
+    )["spans"]
+    return F.when(text.rlike(pattern), F.filter(walked, lambda s: F.char_length(s["value"]) >= least)).otherwise(none)
+
+
+def folded(items: Column, inner: Callable[[Column], Column], start: Column, outer: Callable[[Column, Column], Column]) -> Column:
+    """An array folded in two levels: parts of about the square root of its size, then what they gave. An array that
+    grows by one with every step is copied at every step, so n of them cost n to the power of 1.5 this way, not n squared."""
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items)))).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), (F.greatest(F.size(items), F.lit(1)) - 1).cast("int"), width), lambda k: inner(F.slice(items, k + 1, width)))
+    return F.aggregate(parts, start, outer)
 
 
 def _listed(spans: Column) -> Column:
@@ -60,12 +76,12 @@ def _listed(spans: Column) -> Column:
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
     """Stored: uid (a number for each input row), doc, hash (of the text), repo, owner, spans."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(named(text_col), F.lit(""))
     spans = F.array_sort(F.concat(*[_spans(text, k) for k in range(len(KINDS))]))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc"),
-        F.sha2(F.col(text_col), 256).alias("hash"), F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"),
-        F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), spans.alias("spans")
+        F.monotonically_increasing_id().alias("uid"), named(id_col).cast("long").alias("doc"),
+        F.sha2(named(text_col), 256).alias("hash"), F.coalesce(named(repo_col).cast("string"), F.lit("")).alias("repo"),
+        F.coalesce(named(owner_col).cast("string"), F.lit("")).alias("owner"), spans.alias("spans")
     )
     return stored(rows, "candidates")
 
@@ -122,9 +138,9 @@ def redact_secrets(
     Null texts stay null, texts without secrets as they are; rows that repeat, and rows without an id, are each kept.
     Where spans of several kinds overlap, one mark takes the place of all. An empty table gives no rows.
     """
-    spans_, hash_ = free_names(docs, "_spans", "_hash")
+    spans_, hash_, clean_, chunks_, kept_ = free_names(docs, "_spans", "_hash", "_clean", "_chunks", "_kept")
     any_kind = "|".join(f"(?:{k[1]})" for k in KINDS)
-    has = F.coalesce(F.col(text_col).rlike(any_kind), F.lit(False))
+    has = F.coalesce(named(text_col).rlike(any_kind), F.lit(False))
     marked = docs.filter(has)
     found = candidates(marked, id_col, text_col, repo_col, owner_col)
     live = _verdicts(found, owners, repositories).filter("live").groupBy("uid").agg(F.array_sort(F.collect_list("span")).alias("live"))
@@ -132,20 +148,50 @@ def redact_secrets(
     keyed = stored(
         found.join(live, "uid").select("hash", "live").dropDuplicates(["hash"]), "live"
     ).select(F.col("hash").alias(hash_), F.col("live").alias(spans_))
-    text = F.col(text_col)
+    redacted = marked.join(keyed, F.sha2(named(text_col), 256) == F.col(hash_), "left")
+    # columns of their own: within a function over an array an expression is worked out again for each element
+    redacted = redacted.withColumn(chunks_, F.when(F.col(spans_).isNotNull(), chunked(named(text_col)))).withColumn(kept_, kept_between(F.coalesce(F.col(spans_), F.array().cast(f"array<{_SPAN}>"))))
+    clean = F.when(F.col(spans_).isNull(), named(text_col)).otherwise(masked(named(text_col), F.col(chunks_), F.col(kept_), mark))
+    return docs.filter(~has).unionByName(redacted.withColumn(clean_, clean).select(*[F.col(clean_).alias(c) if c == text_col else named(c) for c in docs.columns]))
+
+
+#: Characters of a chunk that texts are cut into, so that a place in a long one is found without reading it from its start.
+CHUNK = 1000
+
+
+def chunked(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def kept_between(spans: Column) -> Column:
+    """Of spans (start, stop; by start): ``kept``, the stretch before each, from the farthest stop so far to its start (its
+    stop lies before its start where the span begins within another), and ``at``, where the last stretch begins."""
+    kind = "struct<start: bigint, stop: bigint>"
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{kind}>").alias("kept"))
 
     def step(acc: Column, s: Column) -> Column:
-        before = F.when(
-            s["start"] >= acc["at"],
-            F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))
-        ).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), before.alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.char_length(text)))
-    clean = F.when(F.col(spans_).isNull(), text).otherwise(F.aggregate(spans_, start, step, rest))
-    redacted = marked.join(keyed, F.sha2(text, 256) == F.col(hash_), "left")
-    return docs.filter(~has).unionByName(redacted.withColumn(text_col, clean).select(*docs.columns))
+        gap = F.struct(acc["at"].alias("start"), s["start"].alias("stop")).cast(kind)
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.concat(acc["kept"], F.array(gap)).alias("kept"))
+
+    def later(at: Column, gaps: Column) -> Column:
+        return F.transform(gaps, lambda g: F.struct(F.greatest(g["start"], at).alias("start"), g["stop"].alias("stop")).cast(kind))
+
+    return folded(
+        spans, lambda part: F.aggregate(part, none, step), none,
+        lambda acc, part: F.struct(F.greatest(acc["at"], part["at"]).alias("at"), F.concat(acc["kept"], later(acc["at"], part["kept"])).alias("kept"))
+    )
+
+
+def masked(text: Column, chunks: Column, kept: Column, mark: str) -> Column:
+    """A text of which only what :func:`kept_between` gives is left, with ``mark`` after each stretch but the last."""
+
+    def between(start: Column, stop: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        some = F.array_join(F.slice(chunks, first + 1, F.floor(stop / CHUNK).cast("int") - first + 1), "")
+        return F.substr(some, (start - first * CHUNK + 1).cast("int"), (stop - start).cast("int"))
+
+    pieces = F.transform(F.filter(kept["kept"], lambda g: g["stop"] >= g["start"]), lambda g: F.concat(between(g["start"], g["stop"]), F.lit(mark)))
+    return F.concat(F.array_join(pieces, ""), between(kept["at"], F.char_length(text)))
 
 
 def op5_secret_scan(spark, sf_dir: str) -> DataFrame:

@@ -122,7 +122,7 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     names = [
         "lang", "n_chars", "_keep", "_nth", "_node", "_spans", "_hash", "_key", "_same", "_times", "doc", "size", "grams", "score",
-        "key", "label", "node", "component_id", "order", "digest"
+        "key", "label", "node", "component_id", "order", "digest", "a.b", "text.x", "tick`s"
     ]
     df = df.select("*", *[F.lit(f"own {n}").alias(n) for n in names]).repartition(3)
     none = spark.read.parquet(f"{SF}/labels.parquet").filter("false")
@@ -159,7 +159,7 @@ def test_whole(spark, docs):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
