@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpustide.llm import jaccard_join, mixing, packing, quality, secret_scan
-from corpustide.llm.common import free_names, merged, stored
+from corpustide.llm.common import all_of, free_names, merged, stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         kept = known.join(merged(first), known["doc_id"] == F.col(keep), "left_semi")
     else:
         digest = F.sha2("text", 256)
-        same = Window.partitionBy("doc_id", digest).orderBy(F.to_json(F.struct(*docs.columns)))
+        same = Window.partitionBy("doc_id", digest).orderBy(F.to_json(F.struct(*all_of(docs))))
         rows = stored(
             known.withColumn(nth, F.row_number().over(same)).filter(F.col(nth) == 1).drop(nth).withColumn(node, F.monotonically_increasing_id()),
             "rows"
@@ -45,7 +45,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         found = jaccard_join.jaccard_components(rows, id_col=node, n=5, threshold=0.8).select(F.col("doc_id").alias(node), F.col("component_id").alias(keep))
         order = F.struct("doc_id", digest.alias("digest"), F.col(node).alias("node"))
         first = rows.select(node, order.alias(nth)).join(found, node).groupBy(keep).agg(F.min(nth).alias(nth))
-        kept = rows.join(merged(stored(first.select(F.col(f"{nth}.node").alias(node)), "keep")), node, "left_semi").select(*docs.columns)
+        kept = rows.join(merged(stored(first.select(F.col(f"{nth}.node").alias(node)), "keep")), node, "left_semi").select(*all_of(docs))
     return kept.unionByName(docs.filter("doc_id is null"))
 
 
