@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -19,6 +19,22 @@ def coverage(records: DataFrame, expected: int, pages: int, key: str = "identifi
     )
 
 
+def observed_coverage(records: DataFrame, expected: int, pages: int, path: str, order: list[str], key: str = "identifier", other: str = "externalId") -> DataFrame:
+    """:func:`coverage`, measured in the pass that writes the records to ``path``, each once, where it came first by ``order``.
+
+    The scan is read once: distinct records are counted as they are written, so no second scan proves the first. The
+    row also has ``rows``, with repeats.
+    """
+    scanned, unique = Observation(), Observation()
+    own = F.coalesce(F.nullif(F.col(key), F.lit("")), F.nullif(F.col(other), F.lit("")), F.lit(""))
+    counted = records.observe(scanned, F.count("*").alias("rows")).withColumn("_key", own)
+    once = counted.groupBy("_key").agg(F.min_by(F.struct(*records.columns), F.struct(*order)).alias("r")).select("r.*")
+    once.observe(unique, F.count("*").alias("unique")).write.parquet(path)
+    n, rows = unique.get["unique"], scanned.get["rows"]
+    schema = "expected int, unique long, pages int, drift long, proven boolean, rows long"
+    return records.sparkSession.createDataFrame([(expected, n, pages, expected - n, n == expected, rows)], schema)
+
+
 def normalised_notices(records: DataFrame) -> DataFrame:
     """Register records (identifier, externalId, …) in the one shape that the rest knows."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import values as V
-from ..operators import buckets, diff, extract, keyed, links, packs, pages, planning, scans
-from ..sources import delivery
+from ..operators import buckets, diff, extract, keyed, keysets, links, packs, pages, planning, scans
+from ..sources import delivery, journal
 from ..sources.files import scratch
 from . import demo_views as D
 
@@ -438,6 +438,44 @@ def coverage_proof(spark, sf):
     return planning.coverage(l, 60000, 7)
 
 
+@query("SELECT CAST(60000 AS INTEGER) AS expected, count(DISTINCT l_orderkey) AS \"unique\", CAST(7 AS INTEGER) AS pages, 60000 - count(DISTINCT l_orderkey) AS drift, count(DISTINCT l_orderkey) = 60000 AS proven, count(*) AS rows, min_sum FROM lineitem, (SELECT CAST(sum(l) AS BIGINT) AS min_sum FROM (SELECT min(l_linenumber) AS l FROM lineitem GROUP BY l_orderkey)) GROUP BY min_sum")
+def coverage_observed(spark, sf):
+    """A scan's coverage measured in the pass that writes it, and what the written records hold."""
+    path = scratch(spark, "harvest")
+    l = D.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("identifier"), F.lit(None).cast("string").alias("externalId"), F.col("l_linenumber").alias("pos"))
+    proof = planning.observed_coverage(l, 60000, 7, path, ["pos"])
+    return proof.crossJoin(spark.read.parquet(path).agg(F.sum("pos").cast("long").alias("min_sum")))  # one row each
+
+
+@query("""WITH w AS (SELECT DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN 'u' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS k FROM orders), n AS (SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 AND l_linenumber > 1 THEN 'u' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END AS k FROM lineitem)
+ SELECT count(*) AS n FROM w JOIN n USING (k)""")
+def overlap_bitmaps(spark, sf):
+    """How many targets two lists share, counted from their bitmaps; some targets are numbers of the platform, some are not."""
+    o, l = D.table(spark, sf, "orders"), D.table(spark, sf, "lineitem")
+    text = lambda key, other: C.identity(F.when(other, F.concat(F.lit("u"), key.cast("string"))).otherwise(key.cast("string"))).alias("key")
+    window = o.select(text(F.col("o_orderkey"), F.col("o_orderkey") % 3 == 0))
+    named = l.select(text(F.col("l_orderkey"), (F.col("l_orderkey") % 3 == 0) & (F.col("l_linenumber") > 1)))
+    return keysets.overlap(keysets.keyset(window), keysets.keyset(named))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS id, max_by(event_type, (event_id % 4, event_id)) AS event_type, max_by(event_id, (event_id % 4, event_id)) AS event_id FROM events WHERE event_id % 4 < 2 OR (event_id % 4 = 2 AND event_id % 5 <> 3) GROUP BY user_id")
+def journal_segments(spark, sf):
+    """The state of a journal in segments that tasks wrote: one batch was written twice, one was broken off, some lines are torn, and the first batches were compacted."""
+    root = scratch(spark, "journal")
+    e = D.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("id"), "event_type", "event_id", F.col("event_id").alias("pos"))
+    batch = lambda n: e.filter(F.col("event_id") % 4 == n)  # noqa: E731  so that the last line of an id is in any of them
+    journal.append(batch(0), root, 0)
+    journal.append(batch(1), root, 1)
+    journal.append(batch(1), root, 1)  # a replay
+    journal.compact(spark, root)
+    torn = batch(2).select(F.to_json(F.struct(F.lit(2).alias("batch"), "pos", F.to_json(F.struct("id", "event_type", "event_id")).alias("entry"))).alias("value"), "event_id")
+    torn.select(F.when(F.col("event_id") % 5 == 3, F.substring("value", 1, 30)).otherwise(F.col("value")).alias("value")).write.text(f"{root}/segments/{2:012d}")
+    journal.append(batch(3), root, 3)
+    delivery.Store(spark, root).remove("segments/000000000003/_SUCCESS")  # as if broken off
+    state = journal.last(spark, root, "id string, event_type string, event_id long")
+    return state.select("id", "event_type", "event_id")
+
+
 @query("SELECT max(o_orderdate) AS newest, round((epoch_us(TIMESTAMP '2026-01-01') - epoch_us(max(o_orderdate))) / 3600000000.0::DOUBLE, 1) AS lag_hours, (epoch_us(TIMESTAMP '2026-01-01') - epoch_us(max(o_orderdate))) / 3600000000.0::DOUBLE > 36 AS stale FROM orders")
 def freshness(spark, sf):
     return planning.freshness(D.table(spark, sf, "orders"), "o_orderdate", F.lit("2026-01-01"))
@@ -485,6 +523,23 @@ def coverage_block(spark, sf):
     return planning.coverage_block(*_accounts(spark, sf))
 
 
+@query(f"""WITH {_ACCOUNTS} SELECT (SELECT count(*) FROM a) AS targets, (SELECT count(*) FROM dl) AS delivered, (SELECT count(*) FROM a WHERE excuse IS NOT NULL) AS excused,
+ (SELECT count(*) FROM a WHERE excuse IS NULL AND key NOT IN (SELECT key FROM dl)) AS unaccounted""")
+def coverage_bitmaps(spark, sf):
+    """The coverage block from sets of keys that four shards made and that are merged one after another, without a join of keys."""
+    accounts, resolved, delivered = _accounts(spark, sf)
+    named = accounts.join(resolved, accounts["key"] == resolved["asked"], "left").select(F.coalesce("found", "key").alias("key"), "outcome")
+    done = delivered.select(F.concat(F.lit("eis:"), F.col("pid").cast("string")).alias("key"))
+
+    def merged(keys: DataFrame) -> DataFrame:
+        whole = keysets.keyset(keys.filter(C.shard_of(F.col("key"), 4) == 1))
+        for shard in (2, 3, 4):
+            whole = keysets.union(whole, keysets.keyset(keys.filter(C.shard_of(F.col("key"), 4) == shard)))
+        return whole
+
+    return keysets.coverage(merged(named.filter("outcome = 'target'")), merged(named.filter("outcome in ('failed', 'withdrawn')")), merged(done))
+
+
 @query("SELECT coalesce(lang, 'unknown') AS status, count(*) AS tenders, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unreadable FROM documents GROUP BY 1")
 def day_counts(spark, sf):
     d = D.table(spark, sf, "documents")
