@@ -733,4 +733,4 @@ def extracted_texts(spark, sf):
     return extract.extract(files).select("pid", "source", "kind", F.md5("text").alias("text_md5"), "chars", "bytes", "sha256")
 
 
-from . import catalogue_packs  # noqa: E402,F401  adds its queries to the same tables
+from . import catalogue_checks, catalogue_packs  # noqa: E402,F401  they add their queries to the same tables

@@ -15,7 +15,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -55,7 +55,7 @@ def verified(archives: DataFrame) -> DataFrame:
         def one(data: bytes) -> bool:
             try:
                 return zipfile.ZipFile(io.BytesIO(data)).testzip() is None
-            except (zipfile.BadZipFile, ValueError, EOFError):
+            except Exception:  # damage shows in many ways: lengths, methods, flags, streams
                 return False
 
         return contents.map(one)
@@ -161,11 +161,29 @@ def harvest(records: DataFrame, coverage: DataFrame, root: str) -> None:
 
 
 def outcomes(df: DataFrame, root: str) -> None:
-    """Outcome lists of a run (target, outcome, found, pos): done sorted, the others in order, one file each."""
+    """Outcome lists of a run (target, outcome, found, pos): done sorted, the others in order. A list is a folder of parts
+    whose names are in the order of their lines: each task sorts and writes its own range. See :func:`listed`."""
     for name in ("done", "failed", "withdrawn"):
         mine = df.filter(F.col("outcome") == name).orderBy("target" if name == "done" else "pos").select("target")
-        mine.coalesce(1).write.mode("overwrite").text(f"{root}/{name}")
-    df.filter("found is not null").orderBy("pos").select("target", "found").coalesce(1).write.mode("overwrite").csv(f"{root}/resolved", sep="\t")
+        mine.write.mode("overwrite").text(f"{root}/{name}")
+    df.filter("found is not null").orderBy("pos").select("target", "found").write.mode("overwrite").csv(f"{root}/resolved", sep="\t")
+
+
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """(value, place) of a list written in parts: lines numbered from 0 through all parts in the order of their names.
+
+    Lines of a part are numbered by where they stand in it, so a part is read by one task; a count for each part goes
+    through the driver.
+    """
+    part = F.regexp_extract(F.input_file_name(), r"part-([0-9]+)", 1).cast("int")
+    whole = spark.read.text(path, wholetext=True).select(part.alias("part"), F.posexplode(F.split("value", "\n")).alias("at", "value"))
+    lines = whole.filter("value <> ''")
+    before, firsts = 0, []
+    for r in sorted(lines.groupBy("part").count().collect()):
+        firsts.append((r["part"], before))
+        before += r["count"]
+    starts = spark.createDataFrame(firsts, "part int, before long")
+    return lines.join(F.broadcast(starts), "part").select("value", (F.col("before") + F.col("at")).cast("long").alias("place"))
 
 
 def append_journal(path: str, rows: list[dict]) -> None:
