@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from . import prefilter
 
 
 class Quota(Exception):
@@ -58,8 +59,11 @@ def queue(
 
 
 def split_cached(queued: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(hits with their text, misses). The cache counts only where a digest has both text and provenance."""
-    whole = cache.filter("text is not null and provenance is not null").select("sha256", "text")
+    """(hits with their text, misses). The cache counts only where a digest has both text and provenance.
+
+    The cache may be a thousand times the queue: only rows that the queue's digests may ask for are moved.
+    """
+    whole = prefilter.asked_for(cache.filter("text is not null and provenance is not null").select("sha256", "text"), queued, "sha256")
     return queued.join(whole, "sha256"), queued.join(whole.select("sha256"), "sha256", "left_anti")
 
 
