@@ -6,6 +6,7 @@ A transport is ``module:function``; it is imported where the scan runs, so tests
 from __future__ import annotations
 
 import importlib
+import itertools
 import json
 import time
 import urllib.error
@@ -39,22 +40,28 @@ def get_json(
 
 
 def scan_pages(
-    page: Callable[[int], tuple[list[dict], int, int]], pause: float = 0.25, most: int = V.MAX_PAGES, sleep: Callable = time.sleep
+    page: Callable[[int], tuple[list[dict], int, int]], pause: float = 0.25, stalled: int = V.MAX_PAGES, sleep: Callable = time.sleep
 ) -> Iterator[tuple[int, dict]]:
     """(page number, record) of a paged scan. ``page(n)`` gives records, the total and the page size.
 
-    Ends on an empty page, a short page, the total reached, or ``most`` pages.
+    Ends on an empty page, a short page or the total reached, however many pages that takes. A register that brings
+    nothing new for ``stalled`` pages in a row never ends: that is an error, not the end of a scan.
     """
     seen: set[str] = set()
-    for n in range(most):
+    idle = 0
+    for n in itertools.count():
         if n:
             sleep(pause)
         records, total, size = page(n)
+        before = len(seen)
         for r in records:
             seen.add(str(r.get("identifier") or r.get("externalId") or ""))
             yield n, r
         if not records or len(records) < size or len(seen) >= total:
             return
+        idle = idle + 1 if len(seen) == before else 0
+        if idle >= stalled:
+            raise RuntimeError(f"nothing new on {idle} pages, {len(seen)} of {total} records")
 
 
 class RegisterReader(DataSourceReader):

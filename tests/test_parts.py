@@ -327,6 +327,15 @@ def test_sources(spark, tmp_path):
     assert [register.record_archive(lambda u, d=d: d, "u") for d in (b"", b"<html>", b"PK-bad", publish.archive([]))] == [None] * 4
 
 
+def test_long_scan():
+    """A scan goes on to its total, past 200 pages; a register that only repeats itself is an error."""
+    page = lambda n: ([{"identifier": str(k)} for k in range(2 * n, 2 * n + 2)], 903, 2)
+    found = list(register.scan_pages(page, sleep=lambda s: None))
+    assert len({r["identifier"] for _, r in found}) >= 903 and found[-1][0] == 451
+    with pytest.raises(RuntimeError, match="2 of 3"):
+        list(register.scan_pages(lambda n: ([{"identifier": "a"}, {"identifier": "b"}], 3, 2), stalled=5, sleep=lambda s: None))
+
+
 def test_archives_and_publication(spark, tmp_path):
     one = publish.archive([("b", b"2"), ("index.json", b"{}"), ("a", b"1"), ("a", b"again")])
     assert one == publish.archive([("a", b"1"), ("index.json", b"{}"), ("b", b"2")])
