@@ -4,6 +4,7 @@ import hashlib
 import heapq
 import io
 import json
+import os
 import zipfile
 
 import pytest
@@ -556,6 +557,28 @@ def test_fetch_to_delivery(spark):
     assert len(index["documents"]) == 4 and index["unreadable"] == [] and index["key"] == "EIS:1"
 
 
+class Waits:
+    """A platform whose pages say which process was asked."""
+
+    def page(self, url):
+        return f'__RequestVerificationToken ActualDocuments_items = [{{"Id": {os.getpid()}, "ShowDownloadIcon": false}}]; HistoricalDocuments_items = []; <label for="Name">Name</label><div>T</div>'
+
+
+def test_fetch_streams(spark):
+    """Many targets come in few batches, in as many tasks as the platform allows, and are asked once each."""
+    from corpustide.plans import catalogue_packs
+    from corpustide.sources import fetch
+
+    targets = spark.range(1000).selectExpr("cast(id as string) target", "cast(id as string) pid", "cast(id as string) url", "cast(array() as array<string>) done")
+    four = fetch.fetch(targets, "test_parts:Waits", pause=0.0, streams=4)
+    assert four.rdd.getNumPartitions() == 4 and fetch.fetch(targets, "test_parts:Waits", pause=0.0).rdd.getNumPartitions() == 1
+    assert four.filter("outcome = 'done'").select("pid").distinct().count() == 1000 == four.filter("withheld").count()
+    one = fetch.fetch(targets.limit(300), "test_parts:Waits", pause=0.0).select("outcome")
+    assert one.mapInPandas(lambda bs: (b.head(1).assign(outcome=str(len(b))) for b in bs), "outcome string").first()["outcome"] == "600"
+    plan = catalogue_packs.fetch_outcomes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
 def test_discovery(spark):
     from corpustide.plans import lifecycle
 
