@@ -19,6 +19,7 @@ from ..sources.files import scratch
 #: Child keys of a state's tables.
 KEYS = {"heads": [], "facts": ["field"], "records": ["id"], "documents": ["key"], "unreadable": ["key"]}
 ITEM = "pid"
+_AUTO = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 
 
 def dealt(state: dict[str, DataFrame], buckets: int, there: tuple[str, ...] = ()) -> dict[str, DataFrame]:
@@ -27,11 +28,20 @@ def dealt(state: dict[str, DataFrame], buckets: int, there: tuple[str, ...] = ()
 
 
 def save(state: dict[str, DataFrame], name: str, buckets: int, path: str | None = None, there: tuple[str, ...] = ()) -> None:
-    """Write a state's tables as ``<name>_<table>``, each bucket one file, below ``path`` or in the shared scratch folder."""
+    """Write a state's tables as ``<name>_<table>``, each bucket one file, below ``path`` or in the shared scratch folder.
+
+    Digests are the larger part of a state, in hexadecimal digits: zstd takes half of them, which snappy leaves.
+    """
     for kind, df in dealt(state, buckets, there).items():
         spark = df.sparkSession
         at = f"{path.rstrip('/')}/{kind}" if path else scratch(spark, f"state-{kind}")
-        df.write.bucketBy(buckets, ITEM).sortBy(ITEM, *KEYS[kind]).option("path", at).format("parquet").saveAsTable(f"{name}_{kind}")
+        before = spark.conf.get(_AUTO)
+        spark.conf.set(_AUTO, "false")  # a task reads one bucket of what is there, and writes that one
+        try:
+            rows = df.write.bucketBy(buckets, ITEM).sortBy(ITEM, *KEYS[kind]).option("path", at).option("compression", "zstd")
+            rows.format("parquet").saveAsTable(f"{name}_{kind}")
+        finally:
+            spark.conf.set(_AUTO, before)
 
 
 def attach(spark: SparkSession, schema: dict[str, str], name: str, path: str, buckets: int) -> None:

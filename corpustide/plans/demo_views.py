@@ -7,7 +7,7 @@ branch of the comparison is reached. Every row is in one state at least.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,34 +71,55 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def kept(rows: DataFrame, name: str, sf_dir: str) -> DataFrame:
-    """``rows`` as a file of the shared scratch folder, written once by an application for a folder of tables: digests are
-    taken when a file is downloaded, not again at each comparison."""
-    spark = rows.sparkSession
-    place = (spark.sparkContext.applicationId, sf_dir, name)
+#: Line items of one bucket of :func:`kept`.
+LINES = 100_000
+
+
+def kept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Orders by their customers (pid), each with its line items as downloaded, and the number of buckets they lie in.
+
+    A table in the shared scratch folder, written once by an application for a folder of tables: whatever compares states
+    of items reads it where it lies. Numbers are kept, digests are taken of them when they are asked for, as a digest is
+    longer than all that it is of. Buckets hold about as many rows at any size.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _KEPT:
-        path = scratch(spark, name)
-        rows.write.parquet(path)
-        _KEPT[place] = path
-    return spark.read.schema(rows.schema).parquet(_KEPT[place])
+        o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+        count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), l.count() // LINES + 1)
+        line = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+        by = l.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity").repartition(count, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+        own = o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus").repartition(count, "o_orderkey")
+        rows = own.join(by, own["o_orderkey"] == by["l_orderkey"], "left").select(
+            F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "lines"
+        )
+        name = f"kept_{uuid.uuid4().hex}"
+        rows.repartition(count, "pid").write.bucketBy(count, "pid").option("path", scratch(spark, "kept")).option("compression", "zstd").format("parquet").saveAsTable(name)
+        _KEPT[place] = (name, count)
+    name, count = _KEPT[place]
+    return spark.table(name), count
+
 
+_KEPT: dict[tuple[str, str], tuple[str, int]] = {}
 
-_KEPT: dict[tuple[str, str, str], str] = {}
+
+def _digest(line: Column) -> Column:
+    """A line item's own digest."""
+    return F.sha2(F.concat_ws("-", F.col("o_orderkey"), line["l_partkey"], line["l_suppkey"], line["l_linenumber"]), 256)
 
 
 def records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(previous, current) records, of orders and their line items: pid, id, publish_date, title, type_code, section, withheld, files (map)."""
-    o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
-    files = l.select("l_orderkey", own.alias("d"), F.concat(F.lit("f"), F.col("l_linenumber").cast("string")).alias("n"))
-    by = files.groupBy("l_orderkey").agg(F.array_distinct(F.array_sort(F.collect_list(F.struct("d", "n")))).alias("fs"))
-    rows = o.join(by, o["o_orderkey"] == by["l_orderkey"], "left").withColumn("fs", F.coalesce("fs", F.array().cast("array<struct<d: string, n: string>>")))
-    rows = kept(rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "fs", digit(F.col("o_orderkey")).alias("digit")), "records", sf_dir)
+    file = lambda x: F.struct(_digest(x).alias("d"), F.concat(F.lit("f"), x["l_linenumber"].cast("string")).alias("n"))
+    files = F.array_distinct(F.array_sort(F.transform("lines", file)))
+    rows = kept(spark, sf_dir)[0].select(
+        "pid", "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", digit(F.col("o_orderkey")).alias("digit"),
+        F.coalesce(files, F.array().cast("array<struct<d: string, n: string>>")).alias("fs")
+    )
     key = F.col("digit")
 
     def shape(df: DataFrame, date: Column, title: Column, keep: Column) -> DataFrame:
         return df.select(
-            F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), F.col("o_orderkey").cast("string").alias("id"), date.alias("publish_date"), title.alias("title"), F.col("o_orderpriority").alias("type_code"), F.when(F.col("o_orderstatus") == "F", "archive").otherwise("actual").alias("section"), F.lit(False).alias("withheld"), F.map_from_entries(F.filter("fs", keep)).alias("files")
+            "pid", F.col("o_orderkey").cast("string").alias("id"), date.alias("publish_date"), title.alias("title"), F.col("o_orderpriority").alias("type_code"), F.when(F.col("o_orderstatus") == "F", "archive").otherwise("actual").alias("section"), F.lit(False).alias("withheld"), F.map_from_entries(F.filter("fs", keep)).alias("files")
         )
 
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -133,14 +154,13 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
     return wide(base), wide(base | edits), old, new
 
 
-#: Tables of :func:`states` that its ``deal`` has put in place.
-DEALT = ("documents", "unreadable")
+#: Tables of :func:`states` that lie in the buckets of :func:`kept`.
+DEALT = ("records", "documents", "unreadable")
 
 
-def states(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def states(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(previous, current) whole states, of customers: heads, facts, records (orders), documents and unreadable files (line items).
 
-    ``deal`` puts rows (pid, ...) where they are to lie before documents are told apart by their keys.
     A customer whose digest has 0 in its fifth place is new, one with 0 or 1 in its sixth was extracted by another tool.
     """
     wide_was, wide_now, old, new = facts(spark, sf_dir)
@@ -148,14 +168,11 @@ def states(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFra
     key = lambda pid: F.substring(pid, 2, 20)  # noqa: E731  the customer's number, which the digests are of
     known = lambda df: df.filter(digit(key(F.col("pid")), 5) != "0")
     items_now = new.withColumn("tool", F.when(digit(key(F.col("pid")), 6).isin("0", "1"), "t2").otherwise("t1"))
-    l, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    own = F.sha2(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), 256)
-    lines = l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(
-        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("pid"), own.alias("d"),
-        F.concat(F.lit("a/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("source"),
-        (F.col("l_quantity") > 45).alias("unread"), F.col("l_quantity").cast("long").alias("n")
+    line = lambda x: F.struct(  # noqa: E731  one digest a line, though filters ask for it again and again
+        _digest(x).alias("d"), F.concat(F.lit("a/"), F.col("o_orderkey").cast("string"), F.lit("/"), x["l_linenumber"].cast("string")).alias("source"),
+        (x["l_quantity"] > 45).alias("unread"), x["l_quantity"].cast("long").alias("n")
     )
-    lines = kept(lines, "lines", sf_dir)
+    lines = kept(spark, sf_dir)[0].select("pid", F.explode_outer(F.transform("lines", line)).alias("x")).filter("x is not null").select("pid", "x.*")
     at = lambda k: F.substring("d", k, 1)
 
     def side(heads: DataFrame, wide: DataFrame, recs: DataFrame, gone: str, fixed: str, cut) -> dict[str, DataFrame]:
@@ -174,7 +191,7 @@ def states(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFra
         )
         return {
             "heads": cut(heads), "facts": diff.long_facts(cut(wide)), "records": cut(recs),
-            "documents": diff.document_state(deal(entries)), "unreadable": diff.unreadable_state(deal(gaps_))
+            "documents": diff.document_state(entries), "unreadable": diff.unreadable_state(gaps_)
         }
 
     return side(old, wide_was, records_was, "1", "x", known), side(items_now, wide_now, records_now, "2", "0", lambda df: df)

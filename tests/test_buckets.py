@@ -75,3 +75,13 @@ def test_rows_of_nulls_and_empty_states(spark):
     assert diff.heads(items, spark.createDataFrame([], heads)).count() == 0
     assert diff.fact_moves(none, a, diff.heads(items, items)).count() == 0  # null before and after
     assert diff.key_moves(none.select("pid", F.col("field").alias("key")), a.select("pid", F.col("field").alias("key"))).collect()[0]["added"] == ["title"]
+
+
+def test_lines_are_moved_once(spark):
+    """Both states read the line items where they were dealt to, and a stored state has the columns that are compared."""
+    for name in ("publishable_only", "publishable_changes", "docs_to_send"):
+        found = moved_above(catalogue.QUERIES[name](spark, SF), "kept_")
+        assert found and not any(found), name
+    name, _ = catalogue._STORED[spark.sparkContext.applicationId, SF]
+    assert spark.table(f"{name}_documents").columns == ["pid", "key"]
+    assert demo_views.kept(spark, SF)[1] >= 4
