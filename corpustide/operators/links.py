@@ -42,7 +42,10 @@ def target_urls(targets: DataFrame, links: DataFrame, target: str = "target") ->
     own = F.when(asked.rlike("^[0-9]+$"), F.concat(F.lit(V.PLATFORM_PAGE), asked)).otherwise(C.canonical_url(asked)["url"])
     known = links.select(F.col("uuid").alias("_uuid"), F.col("url").alias("_url"))
     rows = targets.withColumn("_asked", notice_uuid(asked)).withColumn("_own", own)
-    return rows.join(known, F.col("_asked") == F.col("_uuid"), "left").withColumn("url", F.coalesce("_own", "_url")).drop("_asked", "_own", "_uuid", "_url")
+    # only targets that need a notice are joined: the others' ids are null, and nulls would all go to one task
+    asks = F.col("_asked").isNotNull() & F.col("_own").isNull()
+    found = rows.filter(asks).join(known, F.col("_asked") == F.col("_uuid"), "left").drop("_uuid").unionByName(rows.filter(~asks).withColumn("_url", F.lit(None).cast("string")))
+    return found.withColumn("url", F.coalesce("_own", "_url")).drop("_asked", "_own", "_url")
 
 
 def register_uuids(targets: DataFrame, found: DataFrame) -> DataFrame:

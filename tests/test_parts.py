@@ -579,6 +579,25 @@ def test_fetch_streams(spark):
     assert plan.count("MapInPandas") == 1
 
 
+def test_targets_without_ids_stay_apart(spark):
+    """Targets that name no notice are not joined: their nulls would all meet in one task."""
+    from corpustide.operators import links
+
+    uuid = "0000abcd-0000-0000-0000-00000000000"
+    targets = spark.range(800).select(F.when(F.col("id") < 4, F.concat(F.lit(uuid), F.col("id").cast("string"))).when(F.col("id") % 2 == 0, F.col("id").cast("string")).otherwise("x").alias("target"))
+    known = spark.createDataFrame([(f"{uuid}1", "u1"), (f"{uuid}3", "u3")], "uuid string, url string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = links.target_urls(targets.repartition(4), known)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        rows = {r["target"]: r["url"] for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert max(sizes) < 400 and sum(sizes) == 800
+    assert rows[f"{uuid}1"] == "u1" and rows[f"{uuid}0"] is None and rows["10"] == V.PLATFORM_PAGE + "10" and rows["x"] is None
+
+
 def test_discovery(spark):
     from corpustide.plans import lifecycle
 
