@@ -61,10 +61,12 @@ def resumable(journal: DataFrame, disk: DataFrame) -> DataFrame:
     """(id): journal entries that need not be fetched again: with one file at least, and all of them on disk at their size.
 
     journal: id, files (array of structs with path and size), as :func:`replay` gives it. disk: path, size.
+    Paths meet by their SHA-256, 32 bytes however long they are.
     """
-    files = journal.select("id", F.explode("files").alias("f")).select("id", "f.path", "f.size")
-    there = disk.groupBy("path").agg(F.max("size").alias("there"))
-    held = files.join(there, "path", "left")
+    path = lambda c: F.unhex(F.sha2(c, 256)).alias("_path")
+    files = journal.select("id", F.explode("files").alias("f")).select("id", path("f.path"), "f.size")
+    there = disk.select(path("path"), "size").groupBy("_path").agg(F.max("size").alias("there"))
+    held = files.join(there, "_path", "left")
     return held.groupBy("id").agg(F.bool_and(F.coalesce(F.col("there") == F.col("size"), F.lit(False))).alias("whole")).filter("whole").select("id")
 
 

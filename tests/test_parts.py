@@ -598,6 +598,16 @@ def test_targets_without_ids_stay_apart(spark):
     assert rows[f"{uuid}1"] == "u1" and rows[f"{uuid}0"] is None and rows["10"] == V.PLATFORM_PAGE + "10" and rows["x"] is None
 
 
+def test_resumable_by_digest(spark):
+    """Paths meet by their digests, however long; an entry without a path is not whole."""
+    long = "actual/" + "x" * 500
+    journal = spark.createDataFrame([("a", [(long, 1), ("b", 2)]), ("c", [("b", 3)]), ("d", [(None, 1)]), ("e", [("gone", 1)])], "id string, files array<struct<path: string, size: long>>")
+    disk = spark.createDataFrame([(long, 1), ("b", 1), ("b", 2), (None, 1)], "path string, size long")
+    got = keyed.resumable(journal, disk)
+    assert [r["id"] for r in got.collect()] == ["a"]
+    assert "hashpartitioning(_path" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_discovery(spark):
     from corpustide.plans import lifecycle
 
