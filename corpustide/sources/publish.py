@@ -34,17 +34,41 @@ def archive(members: list[tuple[str, bytes]], last: str | None = "index.json") -
     return out.getvalue()
 
 
+#: Archives and their bytes that are gathered before a task hands them on.
+GATHERED, GATHERED_BYTES = 1000, 16 << 20
+
+
 def archives(members: DataFrame, last: str | None = "index.json") -> DataFrame:
     """One archive for each item of (pid, path, content): pid, sha256, members, content."""
 
-    def run(pack: pd.DataFrame) -> pd.DataFrame:
-        data = archive([(p, bytes(c)) for p, c in zip(pack["path"], pack["content"])], last)
-        return pd.DataFrame({
-            "pid": [pack["pid"].iloc[0]], "sha256": [hashlib.sha256(data).hexdigest()], "members": [pack["path"].nunique()],
-            "content": [data]
-        })
-
-    return members.groupBy("pid").applyInPandas(run, "pid string, sha256 string, members long, content binary")
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["pid", "sha256", "members", "content"])
+
+    def one(pid, pack: list[tuple[str, bytes]]) -> tuple:
+        data = archive(pack, last)
+        return pid, hashlib.sha256(data).hexdigest(), len({p for p, _ in pack if p is not None}), data
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, pack, out, held = None, [], [], 0
+        for batch in batches:
+            for pid, path, content in zip(batch["pid"], batch["path"], batch["content"]):
+                if pack and pid != at:
+                    out.append(one(at, pack))
+                    held += len(out[-1][3])
+                    pack = []
+                    if len(out) >= GATHERED or held >= GATHERED_BYTES:
+                        yield frame(out)
+                        out, held = [], 0
+                at = pid
+                pack.append((path, bytes(content)))
+        if pack:
+            out.append(one(at, pack))
+        if out:
+            yield frame(out)
+
+    # packs follow one another in a task: a call for each costs more than a small archive
+    packs = members.select("pid", "path", "content").repartition("pid").sortWithinPartitions("pid")
+    return packs.mapInPandas(run, "pid string, sha256 string, members long, content binary")
 
 
 def verified(archives: DataFrame) -> DataFrame:

@@ -608,6 +608,24 @@ def test_resumable_by_digest(spark):
     assert "hashpartitioning(_path" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_archives_in_one_task(spark):
+    """Packs follow one another in a task, without a call to Python for each; every pack is its own archive."""
+    rows = [(f"p{k}", f"doc/{n}", bytes([k, n])) for k in range(50) for n in range(3)] + [("p7", "doc/1", bytes([7, 1]))]
+    made = publish.archives(spark.createDataFrame(rows, "pid string, path string, content binary"))
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+    got = {r["pid"]: r for r in made.collect()}
+    assert len(got) == 50 and all(r["members"] == 3 and r["sha256"] == hashlib.sha256(bytes(r["content"])).hexdigest() for r in got.values())
+    assert bytes(got["p7"]["content"]) == publish.archive([(f"doc/{n}", bytes([7, n])) for n in range(3)])
+
+
+def test_texts_are_handed_on():
+    """A task hands long texts on before a batch of files has been read whole."""
+    from corpustide.operators import extract
+
+    long = [{"pid": str(k), "text": "x" * (3 << 20)} for k in range(7)]
+    assert [len(f) for f in extract.frames(iter(long))] == [3, 3, 1] and [len(f) for f in extract.frames(iter([{"pid": "a"}] * 5), 2)] == [2, 2, 1]
+
+
 def test_discovery(spark):
     from corpustide.plans import lifecycle
 
