@@ -296,18 +296,29 @@ def stream_seen(spark, sf):
     return _streamed(spark, runs.seen(e), "seen").groupBy("pid").agg(last("first_seen"), last("last_seen"), last("last_change"))
 
 
+#: Events of the table for one part of each of its files.
+EVENTS = 1_000_000
+
 #: Events in seven files: five of six days each, every tenth event two files later than its own time.
 _FILES = """f AS (SELECT *, least((day(ts) - 1) // 6, 4) + CASE WHEN event_id % 10 = 3 THEN 2 ELSE 0 END AS file FROM events)"""
 
 
 def _put_files(spark: SparkSession, sf: str, at: str, which: range = range(7)) -> DataFrame:
-    """Some of seven files of the events table below a folder, in the order that they came, some events late; and a stream of them, one a batch."""
+    """Some of seven files of the events table below a folder, in the order that they came, some events late; and a stream of them, one a batch.
+
+    A large table's file is a number of parts, the same for all, so that no task writes or reads a whole one.
+    """
     e = D.table(spark, sf, "events")
     file = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4)) + F.when(F.col("event_id") % 10 == 3, 2).otherwise(0)
     rows = e.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    parts = e.count() // EVENTS + 1
     for k in which:  # a stream takes files by the time at which they were written
-        rows.filter(file == k).coalesce(1).write.mode("append").parquet(at)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(at)
+        one = rows.filter(file == k)
+        (one.coalesce(1) if parts == 1 else one.repartition(parts, "event_id")).write.mode("append").parquet(at)
+        there = len(spark.read.schema(rows.schema).parquet(at).inputFiles())
+        for _ in range(there, parts * (k + 1)):  # parts without rows are not written
+            one.limit(0).coalesce(1).write.mode("append").parquet(at)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", parts).parquet(at)
 
 
 #: A batch drops days that ended before the watermark that held when the batch before it began: a day behind the newest event of all files before that.

@@ -463,6 +463,59 @@ def test_forgotten_items(spark, tmp_path):
         assert got == {"a": ("d21", "d21", None, False), "b": ("d9", "d9", None, True), "c": ("d20", "d20", "d20", False)}
 
 
+def test_items_in_groups(spark, tmp_path):
+    """Items of a group share one row of state and one timer: each leaves when its own time is past, in any zone; the number of groups stays."""
+    import datetime
+
+    from corpustide.streaming import runs
+
+    schema = "pid string, date string, seq long, status string, stamp timestamp"
+    at = lambda day, ms=0: datetime.datetime(2026, 1, day, 0, 0, 0, ms * 1000, datetime.timezone.utc)
+    one = [(f"p{n}", "d1", n, "new", at(1, n)) for n in range(50)]
+    zone, told = spark.conf.get("spark.sql.session.timeZone"), []
+
+    def go_on(rows: list, groups: int):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = runs.seen_lately(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), datetime.timedelta(days=5), groups=groups)
+        q = stream.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+        q = q.foreachBatch(lambda df, n: told.extend(df.collect())).start()
+        q.awaitTermination()
+        return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert go_on(one, 4) <= 4
+        told.clear()
+        go_on([("p7", "d3", 60, "changed", at(3))], 4)
+        assert [tuple(r) for r in told] == [("p7", "d1", "d3", "d3", False)]
+        told.clear()
+        go_on([("q", "d6", 61, "new", at(6, 20))], 4)  # the watermark is just when p20's time is up
+        assert sorted(r["pid"] for r in told if r["forgotten"]) == sorted(f"p{n}" for n in range(20) if n != 7)
+        assert [tuple(r) for r in told if not r["forgotten"]] == [("q", "d6", "d6", "d6", False)]
+        with pytest.raises(Exception, match="4 groups"):
+            go_on([("p7", "d7", 62, "new", at(7))], 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_files_in_parts(spark, tmp_path, monkeypatch):
+    """Each of the seven files of events is as many parts, also one with too few rows for that, and a stream takes one file a batch."""
+    import datetime
+
+    from corpustide.plans import catalogue_packs
+
+    monkeypatch.setattr(catalogue_packs, "EVENTS", 25)
+    rows = [(n, datetime.datetime(2024, 1, 1 + n // 7, 12), n, "view", 1.0, None) for n in range(90)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    stream = catalogue_packs._put_files(spark, str(tmp_path), str(tmp_path / "out"))
+    assert len(spark.read.parquet(str(tmp_path / "out")).inputFiles()) == 7 * 4
+    got = {}
+    q = stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+    q.foreachBatch(lambda df, n: got.update({n: sorted(r["event_id"] for r in df.select("event_id").collect())})).start().awaitTermination()
+    file = lambda n: min(n // 7 // 6, 4) + (2 if n % 10 == 3 else 0)
+    assert got == {k: [n for n in range(90) if file(n) == k] for k in range(7)}
+
+
 def test_streams(spark, tmp_path):
     from corpustide.streaming import runs
 
