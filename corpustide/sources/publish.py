@@ -15,7 +15,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -66,8 +66,10 @@ def archives(members: DataFrame, last: str | None = "index.json") -> DataFrame:
         if out:
             yield frame(out)
 
-    # packs follow one another in a task: a call for each costs more than a small archive
-    packs = members.select("pid", "path", "content").repartition("pid").sortWithinPartitions("pid")
+    # packs follow one another in a task: a call for each costs more than a small archive. The place of a member in its pack
+    # asks for packs as they stand, sorted, so members that lie by pack already are not moved again
+    order = Window.partitionBy("pid").orderBy(*[] if last is None else [F.col("path") == last], "path")
+    packs = members.select("pid", "path", "content").withColumn("place", F.row_number().over(order))
     return packs.mapInPandas(run, "pid string, sha256 string, members long, content binary")
 
 

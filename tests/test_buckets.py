@@ -85,3 +85,10 @@ def test_lines_are_moved_once(spark):
     name, _ = catalogue._STORED[spark.sparkContext.applicationId, SF]
     assert spark.table(f"{name}_documents").columns == ["pid", "key"]
     assert demo_views.kept(spark, SF)[1] >= 4
+
+
+def test_packs_are_not_moved(spark):
+    """What is put into an archive of originals, and its manifest, are read where they lie by pack: nothing is exchanged above the stored rows."""
+    plan = catalogue.QUERIES["original_archives"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    assert "Exchange" not in catalogue.QUERIES["pack_manifests"](spark, SF)._jdf.queryExecution().executedPlan().toString()
