@@ -667,6 +667,27 @@ def test_resumable_by_digest(spark):
     assert "hashpartitioning(_path" in got._jdf.queryExecution().executedPlan().toString()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text(max_size=9), st.binary(max_size=300)), max_size=6), st.integers(0, 2000), st.integers(0, 255))
+def test_archives_are_plain(members, at, byte):
+    """Small archives have zipfile's bytes without its work, and no damage passes that zipfile finds."""
+    members = [(name.encode("utf-8", "ignore").decode(), data) for name, data in members]
+    made, plain = publish.archive(members, last="z"), publish.PLAIN
+    try:
+        publish.PLAIN = 0  # all through zipfile
+        assert made == publish.archive(members, last="z")
+    finally:
+        publish.PLAIN = plain
+    assert publish.sound(made) and (publish._plainly_sound(made) or any("\0" in name for name, _ in members))
+    harmed = bytearray(made)
+    harmed[at % len(made)] = byte
+    try:
+        tested = zipfile.ZipFile(io.BytesIO(harmed)).testzip() is None
+    except Exception:
+        tested = False
+    assert publish.sound(bytes(harmed)) == tested and not publish.sound(made[: len(made) // 2])
+
+
 def test_archives_in_one_task(spark):
     """Packs follow one another in a task, without a call to Python for each; every pack is its own archive."""
     rows = [(f"p{k}", f"doc/{n}", bytes([k, n])) for k in range(50) for n in range(3)] + [("p7", "doc/1", bytes([7, 1]))]
